@@ -30,6 +30,7 @@ def with_contact(
     link_id: str,
     columns: Mapping[str, str],
     fan_out: bool = False,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Left join the links of one type, keeping entities that have none.
 
@@ -42,7 +43,7 @@ def with_contact(
     )
     if not fan_out:
         right = pick_primary(right, [link_key], link_id)
-    return left_lookup(entities, right, [(entity_key, link_key)], dict(columns))
+    return left_lookup(entities, right, [(entity_key, link_key)], dict(columns), hot_from)
 
 
 def pivot_links(

@@ -117,11 +117,23 @@ def upsert(
 def fold(
     incoming: DataFrame, keys: list[str], update_columns: Sequence[str], arrival: str | Sequence[str]
 ) -> DataFrame:
-    """Several incoming rows per key reduced to the row that remains of them."""
-    updated = [c for c in update_columns if c in incoming.columns]
-    last = last_wins(incoming, keys, arrival)
-    kept = [c for c in incoming.columns if c not in updated and c not in keys]
-    if not kept:
-        return last
-    first = first_wins(incoming, keys, arrival).select(*keys, *kept)
-    return last.select(*keys, *updated).join(first, keys).select(*incoming.columns)
+    """Several incoming rows per key reduced to the row that remains of them.
+
+    One aggregate, combined in the map tasks: a key with very many rows reaches its
+    reducer as one row per task.  Arrival must order the rows of a key completely.
+    """
+    orders = [arrival] if isinstance(arrival, str) else list(arrival)
+    order = F.struct(*orders)
+    updated = [c for c in incoming.columns if c in update_columns and c not in keys]
+    kept = [c for c in incoming.columns if c not in update_columns and c not in keys]
+    sides = []
+    if kept:
+        sides.append(F.min_by(F.struct(*kept), order).alias("first"))
+    if updated:
+        sides.append(F.max_by(F.struct(*updated), order).alias("last"))
+    if not sides:
+        return incoming.distinct()
+    folded = incoming.groupBy(*keys).agg(*sides)
+    return folded.select(
+        *keys, *(f"first.{c}" for c in kept), *(f"last.{c}" for c in updated)
+    ).select(*incoming.columns)

@@ -1,10 +1,11 @@
 """Equi joins of a large table with a lookup, safe against hot keys.
 
 A lookup that Catalyst itself estimates below the broadcast threshold is joined
-plainly: no shuffle of the large side.  Beyond the threshold both sides shuffle,
-and rows of hot keys are spread: the large side gets a salt, and the lookup rows
-of exactly those keys are repeated once per salt.  Rows with a NULL key, which
-match nothing, are spread as well.
+plainly: no shuffle of the large side.  So is a large side that reads so little
+that even one task could take all of it.  Otherwise both sides shuffle, and rows of
+hot keys are spread: the large side gets a salt, and the lookup rows of exactly
+those keys are repeated once per salt.  Rows with a NULL key, which match nothing,
+are spread as well.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ ROWS_PER_TASK = 1_000_000
 # At most this many keys can be hot, whatever the data: a key must also hold at
 # least 1/MAX_HOT_KEYS of all rows.  This bounds the broadcast table of hot keys.
 MAX_HOT_KEYS = 100_000
+# Below this much input no key can overload a task, so none is looked for.
+SMALL_INPUT_BYTES = 1 << 30
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -32,6 +35,17 @@ def fits_broadcast(df: DataFrame) -> bool:
     return 0 <= estimated_bytes(df) <= threshold
 
 
+def reads_little(df: DataFrame) -> bool:
+    """Whether all the sources below a frame together are small.
+
+    The estimate of a joined plan is the product of its sides and says nothing about
+    its rows; the sum over the leaves does, as lookups do not add rows.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = (int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return sum(sizes) < SMALL_INPUT_BYTES
+
+
 def hot_keys(
     df: DataFrame,
     keys: Sequence[str],
@@ -98,22 +112,28 @@ def lookup_join(
     lookup: DataFrame,
     keys: Sequence[str],
     how: str = "left",
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = None,
     null_salts: int = 1024,
     force_salt: bool = False,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Join on equally named key columns; ``how`` is left, inner, left_semi or left_anti.
 
     The large side may repeat keys without limit.  For an inner join the lookup may
-    do so too: a pair of hot groups is then cut into a grid of tasks.
+    do so too: a pair of hot groups is then cut into a grid of tasks.  ``hot_from``
+    is a frame with the same distribution of keys that is cheaper to read than the
+    large side, usually the table a chain of lookups started from.
     """
     keys = list(keys)
     if how in ("left_semi", "left_anti"):
         lookup = lookup.select(*keys).distinct()
-    if not force_salt and (fits_broadcast(lookup) or (how == "inner" and fits_broadcast(large))):
+    either_small = fits_broadcast(lookup) or (how == "inner" and fits_broadcast(large))
+    harmless = either_small or (reads_little(large) and (how != "inner" or reads_little(lookup)))
+    if harmless and not force_salt:
         return large.join(lookup, keys, how)
 
-    hot = hot_keys(large, keys, rows_per_task)
+    rows_per_task = rows_per_task or ROWS_PER_TASK
+    hot = hot_keys(large if hot_from is None else hot_from, keys, rows_per_task)
     hot_lookup = hot_keys(lookup, keys, rows_per_task) if how == "inner" else None
     left = _salted(large, keys, hot, hot_lookup, "__salt", "__salt2", null_salts)
     right = _salted(lookup, keys, hot_lookup, hot, "__salt2", "__salt")
@@ -125,9 +145,14 @@ def left_lookup(
     lookup: DataFrame,
     on: Sequence[tuple[str, str]],
     columns: dict[str, Column | str],
+    hot_from: DataFrame | None = None,
     **options: object,
 ) -> DataFrame:
-    """Left join that adds ``columns`` (output name -> lookup column or expression)."""
+    """Left join that adds ``columns`` (output name -> lookup column or expression).
+
+    In a chain of lookups, give the first table as ``hot_from``; otherwise the search
+    for hot keys would repeat the joins made so far.
+    """
     keys = [f"__key{i}" for i in range(len(on))]
     right = lookup.select(
         *(F.col(k).alias(key) for key, (_, k) in zip(keys, on)),
@@ -137,7 +162,9 @@ def left_lookup(
         ),
     )
     left = large.withColumns({key: F.col(c) for key, (c, _) in zip(keys, on)})
-    return lookup_join(left, right, keys, "left", **options).drop(*keys)
+    if hot_from is not None:
+        hot_from = hot_from.select(*(F.col(c).alias(key) for key, (c, _) in zip(keys, on)))
+    return lookup_join(left, right, keys, "left", hot_from=hot_from, **options).drop(*keys)
 
 
 def with_group_count(df: DataFrame, key: str, name: str, **options: object) -> DataFrame:
@@ -147,11 +174,7 @@ def with_group_count(df: DataFrame, key: str, name: str, **options: object) -> D
     before the shuffle and joined back, hot groups being salted.  Rows with a NULL
     key form one group, as in SQL.
     """
-    counts = df.groupBy(F.col(key).alias("__group")).agg(F.count("*").alias(name))
-    null_count = counts.where(F.col("__group").isNull()).select(F.col(name))
-    filled = left_lookup(
-        df, counts.where(F.col("__group").isNotNull()), [(key, "__group")], {name: name}, **options
-    )
-    return filled.withColumn(
-        name, F.when(F.col(key).isNull(), null_count.scalar()).otherwise(F.col(name))
-    )
+    null, text = F.col(key).isNull(), F.coalesce(F.col(key).cast("string"), F.lit(""))
+    keyed = df.withColumns({"__null": null, "__text": text})
+    counts = keyed.groupBy("__null", "__text").agg(F.count("*").alias(name))
+    return lookup_join(keyed, counts, ["__null", "__text"], "left", **options).drop("__null", "__text")

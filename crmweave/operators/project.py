@@ -48,7 +48,13 @@ def first_rows(df: DataFrame, limit: int | None, order_by: Sequence[str]) -> Dat
     return ordered(df, order_by).limit(limit)
 
 
-def add_lookup(df: DataFrame, tables: Tables, lookup: Lookup, fan_out: bool = False) -> DataFrame:
+def add_lookup(
+    df: DataFrame,
+    tables: Tables,
+    lookup: Lookup,
+    fan_out: bool = False,
+    hot_from: DataFrame | None = None,
+) -> DataFrame:
     """Join one lookup; with ``pick`` it is reduced to one row per key beforehand."""
     right = tables[lookup.source]
     for name, value in lookup.where:
@@ -60,7 +66,7 @@ def add_lookup(df: DataFrame, tables: Tables, lookup: Lookup, fan_out: bool = Fa
         for out, c in lookup.columns.items()
         if not isinstance(c, str) or c in right.columns
     }
-    return left_lookup(df, right, lookup.on, columns)
+    return left_lookup(df, right, lookup.on, columns, hot_from)
 
 
 def project_entity(
@@ -96,8 +102,9 @@ def project_entity(
         df = first_rows(df, limit, [spec.key])
 
     looked_up: list[str] = []
+    start = df
     for lookup in spec.lookups:
-        df = add_lookup(df, tables, lookup, fan_out)
+        df = add_lookup(df, tables, lookup, fan_out, start)
         looked_up += [c for c in lookup.columns if c in df.columns]
     if not early:
         df = filter_rows(df, condition)
@@ -244,5 +251,6 @@ def auto_join(
             tables[parent],
             [("__link", link.key)],
             {f"{parent}_{c}": c for c in names},
+            tables[base].withColumn("__link", child_key),
         ).drop("__link")
     return df.select(*(F.col(c.replace(".", "_")) for c in columns))

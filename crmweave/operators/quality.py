@@ -198,17 +198,23 @@ def fan_out(before: DataFrame, after: DataFrame) -> DataFrame:
     ).withColumn("fans_out", F.col("rows_after") > F.col("rows_before"))
 
 
+def compare_columns(actual: Sequence[str], expected: Sequence[str]) -> dict[str, object]:
+    """Missing and extra column names against a specification."""
+    missing = sorted(set(expected) - set(actual))
+    return {
+        "is_valid": not missing,
+        "expected_count": len(set(expected)),
+        "actual_count": len(set(actual)),
+        "missing_columns": ",".join(missing),
+        "extra_columns": ",".join(sorted(set(actual) - set(expected))),
+    }
+
+
 def validate_columns(df: DataFrame, expected: Sequence[str]) -> DataFrame:
-    """Missing and extra columns against a specification, with the row count."""
-    missing = sorted(set(expected) - set(df.columns))
-    extra = sorted(set(df.columns) - set(expected))
+    """``compare_columns`` and the row count, as one row."""
+    found = compare_columns(df.columns, expected)
     return df.agg(F.count("*").alias("row_count")).select(
-        F.lit(not missing).alias("is_valid"),
-        F.lit(len(set(expected))).alias("expected_count"),
-        F.lit(len(set(df.columns))).alias("actual_count"),
-        F.lit(",".join(missing)).alias("missing_columns"),
-        F.lit(",".join(extra)).alias("extra_columns"),
-        "row_count",
+        *(F.lit(value).alias(name) for name, value in found.items()), "row_count"
     )
 
 

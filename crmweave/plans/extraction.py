@@ -15,7 +15,7 @@ from crmweave.crm.legacy import DEPENDENCY_ORDER, ENTITIES
 from crmweave.operators.contact import with_contact
 from crmweave.operators.keyed import first_wins
 from crmweave.operators.project import project_entity, scan_target, stamp_provenance
-from crmweave.operators.quality import validate_columns
+from crmweave.operators.quality import compare_columns
 from crmweave.sources.writers import write_bronze, write_snapshot
 from crmweave.specs import EntitySpec
 
@@ -94,15 +94,14 @@ def extract_and_save(
     try:
         seen = Observation()
         rows = scan_target(table, spec, limit)
-        if validate:
-            result["validation"] = validate_columns(table, spec.base).first().asDict()
-        path = write_snapshot(
-            rows.observe(seen, F.count(F.lit(1)).alias("n")), f"{out_dir}/{spec.name}", taken_at, fmt
-        )
+        path = write_snapshot(rows, f"{out_dir}/{spec.name}", taken_at, fmt, seen)
         if path is None:
             result["status"] = "no_data"
         else:
             result |= {"status": "success", "records_extracted": seen.get["n"], "path": path}
+        if validate:
+            found = compare_columns(table.columns, spec.base)
+            result["validation"] = found | {"row_count": result["records_extracted"]}
     except PySparkException as error:
         result |= {"status": "error", "error": str(error).splitlines()[0]}
     return result
@@ -128,7 +127,7 @@ def companies_with_contacts(
     )
     return with_contact(
         df, emails, "Comp_CompanyId", "ELink_RecordID", ("ELink_Type", "Business"), "Emai_EmailId",
-        {"Company_Email": "Emai_EmailAddress", "Email_Id": "Emai_EmailId"}, fan_out,
+        {"Company_Email": "Emai_EmailAddress", "Email_Id": "Emai_EmailId"}, fan_out, company,
     )
 
 
@@ -142,5 +141,5 @@ def persons_with_contacts(
     )
     return with_contact(
         df, emails, "Pers_PersonId", "ELink_RecordID", ("ELink_Type", "Business"), "Emai_EmailId",
-        {"Person_Email": "Emai_EmailAddress", "Email_Id": "Emai_EmailId"}, fan_out,
+        {"Person_Email": "Emai_EmailAddress", "Email_Id": "Emai_EmailId"}, fan_out, person,
     )

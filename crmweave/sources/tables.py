@@ -1,57 +1,68 @@
 """Keyed tables on plain parquet that can be upserted.
 
-Parquet has no MERGE.  A table is a folder of complete versions; an upsert reads
-the newest one and writes the next.  A version counts once its ``_SUCCESS`` marker
-is there, which the job commit writes last, so a lost driver or executor leaves
-the previous version in force and the same upsert can simply run again.  One
-writer at a time is assumed.
+Parquet has no MERGE.  Rows lie in buckets by a hash of their key, and an upsert
+reads and rewrites only the buckets its rows fall into, into a folder for the next
+version: ``version=N/bucket=B``.  A version counts once its ``_SUCCESS`` marker is
+there, which the job commit writes last, so a lost driver or executor leaves the
+table as it was and the same upsert can simply run again.  One writer at a time is
+assumed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from crmweave.operators.keyed import upsert
 
+BUCKETS = 256
+BUCKET = "bucket"
+
 
 def _path(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def versions(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the complete versions, oldest first."""
+def _children(spark: SparkSession, path: str, prefix: str) -> dict[int, str]:
     folder, fs = _path(spark, path)
     if not fs.exists(folder):
-        return []
+        return {}
+    names = (status.getPath().getName() for status in fs.listStatus(folder))
+    return {int(n.removeprefix(prefix)): f"{path}/{n}" for n in names if n.startswith(prefix)}
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete versions, oldest first."""
     found = []
-    for status in fs.listStatus(folder):
-        name = status.getPath().getName()
-        if name.startswith("version=") and fs.exists(_path(spark, f"{path}/{name}/_SUCCESS")[0]):
-            found.append(int(name.removeprefix("version=")))
+    for number, folder in _children(spark, path, "version=").items():
+        marker, fs = _path(spark, f"{folder}/_SUCCESS")
+        if fs.exists(marker):
+            found.append(number)
     return sorted(found)
 
 
-def read_latest(spark: SparkSession, path: str) -> DataFrame | None:
-    """The newest version, or None where nothing has been written yet."""
-    known = versions(spark, path)
-    return spark.read.parquet(f"{path}/version={known[-1]}") if known else None
+def _current_buckets(spark: SparkSession, path: str) -> dict[int, str]:
+    """Folder holding the newest complete state of each bucket."""
+    current: dict[int, str] = {}
+    for number in versions(spark, path):
+        current |= _children(spark, f"{path}/version={number}", f"{BUCKET}=")
+    return current
 
 
-def write_next(df: DataFrame, path: str) -> int:
-    known = versions(df.sparkSession, path)
-    number = known[-1] + 1 if known else 1
-    df.write.mode("overwrite").parquet(f"{path}/version={number}")
-    return number
+def _read(spark: SparkSession, folders: Sequence[str]) -> DataFrame | None:
+    return spark.read.parquet(*folders) if folders else None
 
 
-def drop_old(spark: SparkSession, path: str, keep: int = 2) -> None:
-    """Delete all but the newest versions; readers of the previous one stay safe."""
-    for number in versions(spark, path)[:-keep]:
-        folder, fs = _path(spark, f"{path}/version={number}")
-        fs.delete(folder, True)
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table as of its newest version, or None where nothing has been written yet."""
+    return _read(spark, list(_current_buckets(spark, path).values()))
+
+
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
 def upsert_table(
@@ -61,12 +72,55 @@ def upsert_table(
     keys: Sequence[str],
     update_columns: Sequence[str],
     arrival: str | Sequence[str] | None = None,
+    buckets: int = BUCKETS,
+    touched: Sequence[int] | None = None,
     keep: int = 2,
 ) -> int:
-    """Upsert into the table at ``path`` and return the number of the new version."""
-    current = read_latest(spark, path)
-    if current is None:
-        current = spark.createDataFrame([], incoming.schema)
-    number = write_next(upsert(current, incoming, keys, update_columns, arrival), path)
+    """Upsert into the table at ``path`` and return the number of the new version.
+
+    ``touched`` names the buckets that incoming rows can fall into; without it every
+    bucket is rewritten.  The number of buckets is fixed by the first upsert.
+    """
+    current = _current_buckets(spark, path)
+    folders = [f for b, f in current.items() if touched is None or b in set(touched)]
+    stored = _read(spark, folders)
+    if stored is None:
+        stored = spark.createDataFrame([], incoming.schema)
+    merged = upsert(stored, incoming, keys, update_columns, arrival)
+    known = versions(spark, path)
+    number = known[-1] + 1 if known else 1
+    # Rebalancing by bucket gives each bucket few files, and splits a large one.
+    (
+        merged.withColumn(BUCKET, bucket_of(keys, buckets))
+        .hint("rebalance", BUCKET)
+        .write.mode("overwrite")
+        .partitionBy(BUCKET)
+        .parquet(f"{path}/version={number}")
+    )
     drop_old(spark, path, keep)
     return number
+
+
+def touched_buckets(incoming: DataFrame, keys: Sequence[str], buckets: int = BUCKETS) -> list[int]:
+    """Buckets that rows of a frame fall into: at most ``buckets`` numbers."""
+    return [r[0] for r in incoming.select(bucket_of(keys, buckets)).distinct().collect()]
+
+
+def drop_old(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Delete bucket folders that the last ``keep`` versions no longer read."""
+    known = versions(spark, path)
+    if len(known) <= keep:
+        return
+    newest_kept = known[-keep]
+    needed: dict[int, int] = {}
+    for number in known:
+        for bucket in _children(spark, f"{path}/version={number}", f"{BUCKET}="):
+            if number <= newest_kept:
+                needed[bucket] = number
+    for number in known:
+        if number >= newest_kept:
+            continue
+        for bucket, folder in _children(spark, f"{path}/version={number}", f"{BUCKET}=").items():
+            if needed[bucket] != number:
+                target, fs = _path(spark, folder)
+                fs.delete(target, True)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from crmweave.crm.staging import run_log_schema
 from crmweave.functions.text import sanitize
@@ -16,19 +17,30 @@ def write_bronze(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Replace an entity's Bronze dataset; text is cleaned of symbol characters."""
     writer = sanitize(df).write.mode("overwrite")
     if fmt == "csv":
-        # Quotes are doubled, as other CSV readers expect.
-        writer.option("header", True).option("escape", '"').csv(path)
+        # Quotes are doubled, as other CSV readers expect, and blanks are kept.
+        writer.options(
+            header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        ).csv(path)
     else:
         writer.format(fmt).save(path)
 
 
 def write_snapshot(
-    df: DataFrame, path: str, taken_at: datetime, fmt: str = "parquet"
+    df: DataFrame,
+    path: str,
+    taken_at: datetime,
+    fmt: str = "parquet",
+    observation: Observation | None = None,
 ) -> str | None:
-    """Write a time-stamped snapshot and return its path; None when there are no rows."""
+    """Write a time-stamped snapshot and return its path; None when there are no rows.
+
+    An observation receives the number of rows written, as ``n``.
+    """
     if df.isEmpty():
         return None
     target = f"{path}/snapshot_ts={taken_at:%Y%m%d_%H%M%S}"
+    if observation is not None:
+        df = df.observe(observation, F.count(F.lit(1)).alias("n"))
     write_bronze(df, target, fmt)
     return target
 

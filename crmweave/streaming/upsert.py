@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from crmweave.sources.tables import upsert_table
+from crmweave.sources.tables import BUCKETS, touched_buckets, upsert_table
 
 
 def upsert_arrivals(
@@ -21,15 +21,21 @@ def upsert_arrivals(
     arrival: str | Sequence[str],
     checkpoint_dir: str,
     fmt: str = "parquet",
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """Upsert every file not seen before, then stop.
 
+    A batch rewrites only the buckets its rows fall into.
+
     The checkpoint remembers the files.  A batch repeated after a failure upserts the
     same rows again, which changes nothing.
     """
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
-        upsert_table(batch.sparkSession, table_path, batch, keys, update_columns, arrival)
+        touched = touched_buckets(batch, keys, buckets)
+        upsert_table(
+            batch.sparkSession, table_path, batch, keys, update_columns, arrival, buckets, touched
+        )
 
     return (
         spark.readStream.schema(schema)

@@ -671,10 +671,12 @@ def _(spark, d):
 )
 def _(spark, d):
     t = roles(spark, d, "case", "company")
-    named = left_lookup(
-        t["case"], t["company"], [("Case_PrimaryCompanyId", "Comp_CompanyId")], {"Comp_Name": "Comp_Name"}
+    # Counted before the join: the name adds no rows.
+    counted = with_group_count(t["case"], "Case_PrimaryCompanyId", "total_cases")
+    return left_lookup(
+        counted, t["company"], [("Case_PrimaryCompanyId", "Comp_CompanyId")], {"Comp_Name": "Comp_Name"},
+        hot_from=t["case"],
     )
-    return with_group_count(named, "Case_PrimaryCompanyId", "total_cases")
 
 
 # --------------------------------------------------------------------------
