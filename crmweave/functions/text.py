@@ -9,16 +9,24 @@ from pyspark.sql.types import StringType
 from crmweave.functions.columns import as_column
 
 # Symbol-font characters and their plain equivalents.
-SYMBOLS, PLAIN = "\uf02d\uf0a7", "-*"
+SYMBOLS = {"\uf02d": "-", "\uf0a7": "*"}
 # Fixed value: shape of a usable e-mail address.
 EMAIL_PATTERN = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
 
 
+def without_symbols(value: Column | str) -> Column:
+    # Plain replacement searches bytes; a translation would rebuild every text.
+    value = as_column(value)
+    for symbol, plain in SYMBOLS.items():
+        value = F.replace(value, F.lit(symbol), F.lit(plain))
+    return value
+
+
 def sanitize(df: DataFrame) -> DataFrame:
     """Replace symbol-font characters in every string column, in one projection."""
     return df.select(
         *(
-            F.translate(F.col(f"`{f.name}`"), SYMBOLS, PLAIN).alias(f.name)
+            without_symbols(f"`{f.name}`").alias(f.name)
             if isinstance(f.dataType, StringType)
             else F.col(f"`{f.name}`")
             for f in df.schema.fields

@@ -1,8 +1,8 @@
 """Equi joins of a large table with a lookup, safe against hot keys.
 
-A lookup that Catalyst itself estimates below the broadcast threshold is joined
-plainly: no shuffle of the large side.  So is a large side that reads so little
-that even one task could take all of it.  Otherwise both sides shuffle, and rows of
+A large side that reads so little that even one task could take all of it is joined
+plainly, and so is a lookup that Catalyst estimates below its broadcast threshold:
+the large side then does not shuffle.  Otherwise both sides shuffle, and rows of
 hot keys are spread: the large side gets a salt, and the lookup rows of exactly
 those keys are repeated once per salt.  Rows with a NULL key, which match nothing,
 are spread as well.
@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 # A key is hot from this many rows on; each salt then takes about as many rows.
 ROWS_PER_TASK = 1_000_000
-# At most this many keys can be hot, whatever the data: a key must also hold at
-# least 1/MAX_HOT_KEYS of all rows.  This bounds the broadcast table of hot keys.
+# So many keys at most are treated as hot, the largest first.  This bounds the
+# broadcast table of hot keys; a key beyond it holds less than 1/100,000 of all rows
+# and is joined like any other.
 MAX_HOT_KEYS = 100_000
 # Below this much input no key can overload a task, so none is looked for.
 SMALL_INPUT_BYTES = 1 << 30
@@ -54,16 +55,13 @@ def hot_keys(
 ) -> DataFrame:
     """Keys holding many rows, with the number of salts each deserves.
 
-    Reads the key columns only and combines counts before the shuffle.
+    Reads the key columns only and combines counts before the shuffle.  Which keys
+    are taken is fully determined by the data, as both sides of a join rely on it.
     """
-    counts = (
-        df.select(*keys).where(_all_present(keys)).groupBy(*keys).agg(F.count("*").alias("__rows"))
-    )
-    total = counts.agg(F.coalesce(F.sum("__rows"), F.lit(0)).alias("__total")).scalar()
-    least = F.greatest(F.lit(float(rows_per_task)), total / F.lit(float(max_keys)))
-    return counts.where(F.col("__rows") >= least).select(
-        *keys, F.ceil(F.col("__rows") / F.lit(rows_per_task)).cast("int").alias("__salts")
-    )
+    rows = F.col("__rows")
+    counts = df.select(*keys).where(_all_present(keys)).groupBy(*keys).agg(F.count("*").alias("__rows"))
+    largest = counts.where(rows >= rows_per_task).orderBy(rows.desc(), *keys).limit(max_keys)
+    return largest.select(*keys, F.ceil(rows / F.lit(rows_per_task)).cast("int").alias("__salts"))
 
 
 def _all_present(keys: Sequence[str]) -> Column:
@@ -107,6 +105,13 @@ def _salted(
     )
 
 
+def _harmless(large: DataFrame, lookup: DataFrame, how: str) -> bool:
+    """Whether no key can gather too much in one task."""
+    if reads_little(large) and (how != "inner" or reads_little(lookup)):
+        return True
+    return fits_broadcast(lookup) or (how == "inner" and fits_broadcast(large))
+
+
 def lookup_join(
     large: DataFrame,
     lookup: DataFrame,
@@ -127,13 +132,12 @@ def lookup_join(
     keys = list(keys)
     if how in ("left_semi", "left_anti"):
         lookup = lookup.select(*keys).distinct()
-    either_small = fits_broadcast(lookup) or (how == "inner" and fits_broadcast(large))
-    harmless = either_small or (reads_little(large) and (how != "inner" or reads_little(lookup)))
-    if harmless and not force_salt:
+    source = large if hot_from is None else hot_from
+    if not force_salt and _harmless(source, lookup, how):
         return large.join(lookup, keys, how)
 
     rows_per_task = rows_per_task or ROWS_PER_TASK
-    hot = hot_keys(large if hot_from is None else hot_from, keys, rows_per_task)
+    hot = hot_keys(source, keys, rows_per_task)
     hot_lookup = hot_keys(lookup, keys, rows_per_task) if how == "inner" else None
     left = _salted(large, keys, hot, hot_lookup, "__salt", "__salt2", null_salts)
     right = _salted(lookup, keys, hot_lookup, hot, "__salt2", "__salt")
@@ -156,15 +160,20 @@ def left_lookup(
     keys = [f"__key{i}" for i in range(len(on))]
     right = lookup.select(
         *(F.col(k).alias(key) for key, (_, k) in zip(keys, on)),
-        *(
-            (F.col(c) if isinstance(c, str) else c).alias(name)
-            for name, c in columns.items()
-        ),
+        *((F.col(c) if isinstance(c, str) else c).alias(name) for name, c in columns.items()),
     )
-    left = large.withColumns({key: F.col(c) for key, (c, _) in zip(keys, on)})
-    if hot_from is not None:
-        hot_from = hot_from.select(*(F.col(c).alias(key) for key, (c, _) in zip(keys, on)))
-    return lookup_join(left, right, keys, "left", hot_from=hot_from, **options).drop(*keys)
+
+    def keyed(df: DataFrame) -> DataFrame:
+        return df.withColumns({key: F.col(c) for key, (c, _) in zip(keys, on)})
+
+    # The size is looked at on the frame as given: in a chain that is one and the same
+    # frame, which is then optimised once.
+    source = large if hot_from is None else hot_from
+    if not options.get("force_salt") and _harmless(source, right, "left"):
+        return keyed(large).join(right, keys, "left").drop(*keys)
+    options["force_salt"] = True
+    joined = lookup_join(keyed(large), right, keys, "left", hot_from=keyed(source).select(*keys), **options)
+    return joined.drop(*keys)
 
 
 def with_group_count(df: DataFrame, key: str, name: str, **options: object) -> DataFrame:

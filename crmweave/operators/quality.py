@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,26 +61,48 @@ def id_profile(df: DataFrame, key: str, approximate: bool = False) -> DataFrame:
     )
 
 
+def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Exact number of distinct values of each column.
+
+    Values are brought into one narrow (column, value) form and reduced in the map
+    tasks.  Several distinct aggregates at once would shuffle rows as wide as the
+    table, once per column.
+    """
+    values = F.array(
+        *(
+            F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value"))
+            for c in columns
+        )
+    )
+    return (
+        df.select(F.inline(values))
+        .where(F.col("value").isNotNull())
+        .distinct()
+        .groupBy("column_name")
+        .agg(F.count("*").alias("distinct_count"))
+    )
+
+
 def column_profile(
     df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False
 ) -> DataFrame:
     """Name, type, nullability and position, with missing and distinct counts, min, max.
 
-    Exact distinct counts shuffle each column's distinct values once;
-    ``approximate`` replaces them by sketches that need no such shuffle.
+    Exact distinct counts take a second pass and shuffle each column's distinct
+    values; ``approximate`` replaces them by sketches made in the first pass.
     """
     names = list(columns or df.columns)
-    distinct = F.approx_count_distinct if approximate else F.countDistinct
     aggregates = [F.count("*").alias("rows")]
     entries = []
     for i, name in enumerate(names):
         column = F.col(f"`{name}`")
         aggregates += [
             F.count(F.when(_missing(df, name), 1)).alias(f"n{i}"),
-            distinct(column).alias(f"d{i}"),
             F.min(column).cast("string").alias(f"lo{i}"),
             F.max(column).cast("string").alias(f"hi{i}"),
         ]
+        if approximate:
+            aggregates.append(F.approx_count_distinct(column).alias(f"d{i}"))
         field = df.schema[name]
         entries.append(
             F.struct(
@@ -87,12 +111,16 @@ def column_profile(
                 F.lit(field.nullable).alias("nullable"),
                 F.lit(df.columns.index(name) + 1).alias("ordinal"),
                 F.col(f"n{i}").alias("null_count"),
-                F.col(f"d{i}").alias("distinct_count"),
+                *([F.col(f"d{i}").alias("distinct_count")] if approximate else []),
                 F.col(f"lo{i}").alias("min_value"),
                 F.col(f"hi{i}").alias("max_value"),
             )
         )
-    return _long_form(df.agg(*aggregates), entries, "rows")
+    profile = _long_form(df.agg(*aggregates), entries, "rows")
+    if approximate:
+        return profile
+    counted = profile.join(distinct_counts(df, names), "column_name", "left")
+    return counted.withColumn("distinct_count", F.coalesce("distinct_count", F.lit(0)))
 
 
 def find_columns(df: DataFrame, pattern: str = CONTACT_NAMES) -> DataFrame:
@@ -100,8 +128,6 @@ def find_columns(df: DataFrame, pattern: str = CONTACT_NAMES) -> DataFrame:
 
     The names are chosen first, so only matching columns are read.
     """
-    import re
-
     names = [c for c in df.columns if re.search(pattern, c, re.IGNORECASE)]
     if not names:
         return null_profile(df, df.columns[:1]).where(F.lit(False)).select(
@@ -114,42 +140,64 @@ def find_columns(df: DataFrame, pattern: str = CONTACT_NAMES) -> DataFrame:
     )
 
 
-def check_relationship(tables: Mapping[str, DataFrame], link: Relationship) -> DataFrame:
-    """Rows, missing keys, orphans and cardinality of one foreign key.
+def check_relationships(tables: Mapping[str, DataFrame], links: Sequence[Relationship]) -> DataFrame:
+    """Per foreign key: rows, missing keys, orphans and cardinality.
 
-    Children are counted per key before the join, so a parent with very many
-    children costs one row.
+    Each child table is read once for all its keys, and each parent once for all
+    links to it; one join then answers for every link.  Children are counted per key
+    before the join, so a parent with very many children costs one row.
     """
-    child = tables[link.child]
-    if link.kind:
-        child = child.where(F.col(link.kind[0]) == F.lit(link.kind[1]))
-    counts = child.groupBy(F.col(link.column).cast("bigint").alias("key")).agg(F.count("*").alias("n"))
-    parents = (
-        tables[link.parent].select(F.col(link.key).cast("bigint").alias("key")).distinct()
-        .withColumn("known", F.lit(True))
-    )
+    known = [(n, link) for n, link in enumerate(links) if link.child in tables and link.parent in tables]
+    if not known:
+        raise ValueError("none of the links has both its tables")
+
+    def keys(table: str, side: str) -> DataFrame:
+        entries = []
+        for n, link in known:
+            if getattr(link, side) != table:
+                continue
+            key = F.col(link.column if side == "child" else link.key).cast("bigint")
+            entry = F.struct(F.lit(n).alias("link"), key.alias("key"))
+            if side == "child" and link.kind:
+                entry = F.when(F.col(link.kind[0]) == F.lit(link.kind[1]), entry)
+            entries.append(entry)
+        # Entries of another kind are NULL and dropped.
+        return tables[table].select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
+
+    def everywhere(side: str) -> DataFrame:
+        frames = [keys(t, side) for t in dict.fromkeys(getattr(link, side) for _, link in known)]
+        return reduce(DataFrame.unionByName, frames)
+
+    counts = everywhere("child").groupBy("link", "key").agg(F.count("*").alias("n"))
+    parents = everywhere("parent").distinct().withColumn("known", F.lit(True))
     present = F.col("key").isNotNull()
-    return counts.join(parents, "key", "left").agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(F.when(~present, F.col("n"))), F.lit(0)).alias("null_keys"),
-        F.coalesce(F.sum(F.when(present & F.col("known").isNull(), F.col("n"))), F.lit(0)).alias("orphans"),
+
+    def total(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+
+    found = counts.join(parents, ["link", "key"], "left").groupBy("link").agg(
+        total(F.lit(True)).alias("rows"),
+        total(~present).alias("null_keys"),
+        total(present & F.col("known").isNull()).alias("orphans"),
         F.coalesce(F.max(F.when(present, F.col("n"))), F.lit(0)).alias("max_children"),
-    ).select(
-        F.lit(link.child).alias("child"), F.lit(link.column).alias("child_column"),
-        F.lit(link.parent).alias("parent"), F.lit(link.key).alias("parent_key"),
-        "rows", "null_keys", "orphans",
+    )
+    # A link without any child row is reported with zeros.
+    described = [
+        F.struct(
+            F.lit(n).alias("link"), F.lit(link.child).alias("child"), F.lit(link.column).alias("child_column"),
+            F.lit(link.parent).alias("parent"), F.lit(link.key).alias("parent_key"),
+        )
+        for n, link in known
+    ]
+    names = counts.sparkSession.range(1).select(F.inline(F.array(*described)))
+    zero = F.lit(0)
+    return names.join(found, "link", "left").select(
+        "child", "child_column", "parent", "parent_key",
+        *(F.coalesce(c, zero).alias(c) for c in ("rows", "null_keys", "orphans")),
         F.when(F.col("max_children") > 1, F.lit("many:1")).otherwise(F.lit("1:1")).alias("cardinality"),
     )
 
 
-def check_relationships(tables: Mapping[str, DataFrame], links: Sequence[Relationship]) -> DataFrame:
-    checks = [check_relationship(tables, link) for link in links if link.child in tables and link.parent in tables]
-    result = checks[0]
-    for check in checks[1:]:
-        result = result.unionByName(check)
-    return result
-
-
 def check_key(df: DataFrame, table: str, key: str) -> DataFrame:
     """Whether a column is usable as primary key: no NULL, no repetition."""
     return df.agg(

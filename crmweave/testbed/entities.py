@@ -789,8 +789,9 @@ def _(spark, d):
 @query("q_sanitize", "SELECT doc_id, translate(text, 'éa', '-*') AS text FROM documents")
 def _(spark, d):
     # The texts contain no symbol-font characters, so two letters are turned into them.
-    dirty = base(spark, d, "documents").select("doc_id", F.translate("text", "éa", "\uf02d\uf0a7").alias("text"))
-    return sanitize(dirty)
+    text = F.replace(F.col("text"), F.lit("é"), F.lit("\uf02d"))
+    text = F.replace(text, F.lit("a"), F.lit("\uf0a7"))
+    return sanitize(base(spark, d, "documents").select("doc_id", text.alias("text")))
 
 
 @query(

@@ -6,6 +6,9 @@ query and its check start from the same rows.  They are test data, not operators
 
 from __future__ import annotations
 
+import re
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import DataFrame, SparkSession
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem", "events", "documents")
@@ -182,17 +185,28 @@ _BASE_INPUTS = {
 }
 
 
+# Resolved tables by session: handles like those of a catalog, holding no rows.
+_HANDLES: WeakKeyDictionary[SparkSession, dict[tuple[str, str], DataFrame]] = WeakKeyDictionary()
+
+
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One test table."""
+    handles = _HANDLES.setdefault(spark, {})
+    if (sf_dir, name) not in handles:
+        handles[sf_dir, name] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return handles[sf_dir, name]
 
 
 def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One CRM table as a DataFrame."""
-    sql = ROLE_SQL[name]
-    inputs = {t: base(spark, sf_dir, t) for t in _BASE_INPUTS[name]}
-    inputs |= {r: role(spark, sf_dir, r) for r in _ROLE_INPUTS.get(name, ())}
-    with_views = ", ".join(f"{t} AS (SELECT * FROM {{{t}}})" for t in inputs)
-    return spark.sql(f"WITH {with_views} {sql}", **inputs)
+    handles = _HANDLES.setdefault(spark, {})
+    if (sf_dir, name) not in handles:
+        inputs = {t: base(spark, sf_dir, t) for t in _BASE_INPUTS[name]}
+        inputs |= {r: role(spark, sf_dir, r) for r in _ROLE_INPUTS.get(name, ())}
+        names = "|".join(inputs)
+        sql = re.sub(rf"\b(FROM|JOIN) ({names})\b", r"\1 {\2} AS \2", ROLE_SQL[name])
+        handles[sf_dir, name] = spark.sql(sql, **inputs)
+    return handles[sf_dir, name]
 
 
 def roles(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
