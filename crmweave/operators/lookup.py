@@ -1,18 +1,23 @@
 """Equi joins of a large table with a lookup, safe against hot keys.
 
-A large side that reads so little that even one task could take all of it is joined
-plainly, and so is a lookup that Catalyst estimates below its broadcast threshold:
-the large side then does not shuffle.  Otherwise both sides shuffle, and rows of
-hot keys are spread: the large side gets a salt, and the lookup rows of exactly
-those keys are repeated once per salt.  Rows with a NULL key, which match nothing,
-are spread as well.
+Who keeps a hot key from gathering in one task:
+
+* Adaptive execution, where the session lets it split skewed joins.  It sees the real
+  shuffle sizes, splits the rows of a hot partition over tasks and needs no pass of
+  its own.  ``crmweave.session.configure`` turns this on.
+* Nobody, where it cannot matter: the large side reads so little that one task could
+  take all of it, or Catalyst estimates the lookup below its broadcast threshold, so
+  that the large side does not shuffle.
+* Salting, in every other case: the large side gets a salt for rows of hot keys, and
+  the lookup rows of exactly those keys are repeated once per salt.  Rows with a NULL
+  key, which match nothing, are spread as well.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A key is hot from this many rows on; each salt then takes about as many rows.
@@ -36,6 +41,16 @@ def fits_broadcast(df: DataFrame) -> bool:
     return 0 <= estimated_bytes(df) <= threshold
 
 
+def splits_skew(spark: SparkSession) -> bool:
+    """Whether adaptive execution splits skewed joins, also before a further operator."""
+    settings = (
+        "spark.sql.adaptive.enabled",
+        "spark.sql.adaptive.skewJoin.enabled",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin",
+    )
+    return all(spark.conf.get(name) == "true" for name in settings)
+
+
 def reads_little(df: DataFrame) -> bool:
     """Whether all the sources below a frame together are small.
 
@@ -106,7 +121,9 @@ def _salted(
 
 
 def _harmless(large: DataFrame, lookup: DataFrame, how: str) -> bool:
-    """Whether no key can gather too much in one task."""
+    """Whether a plain join leaves no key to gather in one task."""
+    if splits_skew(large.sparkSession) or large.isStreaming:
+        return True
     if reads_little(large) and (how != "inner" or reads_little(lookup)):
         return True
     return fits_broadcast(lookup) or (how == "inner" and fits_broadcast(large))
@@ -180,8 +197,8 @@ def with_group_count(df: DataFrame, key: str, name: str, **options: object) -> D
     """Attach the size of its group to every row.
 
     A window would gather each group in one task.  Here the counts are combined
-    before the shuffle and joined back, hot groups being salted.  Rows with a NULL
-    key form one group, as in SQL.
+    before the shuffle and joined back, and a join can split a hot group.  Rows with
+    a NULL key form one group, as in SQL.
     """
     null, text = F.col(key).isNull(), F.coalesce(F.col(key).cast("string"), F.lit(""))
     keyed = df.withColumns({"__null": null, "__text": text})

@@ -506,6 +506,33 @@ for _name, (_sql, _tables) in VIEW_SQL.items():
     query(f"q_view_{_name}", _sql, *_tables)(_view(_name, _tables))
 
 
+@query(
+    "q_view_threshold",
+    f"""SELECT Oppo_OpportunityId, Oppo_Description, Company_Name, Oppo_Forecast, Weighted_Forecast, Net_Amount
+        FROM ({VIEW_SQL["opportunities"][0]}) AS v
+        WHERE Oppo_Stage = '02 - HIGH' AND Weighted_Forecast > 50000""",
+    *VIEW_SQL["opportunities"][1],
+)
+def _(spark, d):
+    view = _view("opportunities", VIEW_SQL["opportunities"][1])(spark, d)
+    return project.filter_rows(view, "Oppo_Stage = '02 - HIGH' AND Weighted_Forecast > 50000").select(
+        "Oppo_OpportunityId", "Oppo_Description", "Company_Name", "Oppo_Forecast", "Weighted_Forecast", "Net_Amount"
+    )
+
+
+@query(
+    "q_view_active_in_country",
+    f"""SELECT Comp_CompanyId, Comp_Name, Comp_WebSite, Addr_City, Addr_Country
+        FROM ({VIEW_SQL["companies"][0]}) AS v WHERE Comp_Status = 'Active' AND Addr_Country = 'EUROPE'""",
+    *VIEW_SQL["companies"][1],
+)
+def _(spark, d):
+    view = _view("companies", VIEW_SQL["companies"][1])(spark, d)
+    return project.filter_rows(view, "Comp_Status = 'Active' AND Addr_Country = 'EUROPE'").select(
+        "Comp_CompanyId", "Comp_Name", "Comp_WebSite", "Addr_City", "Addr_Country"
+    )
+
+
 # --------------------------------------------------------------------------
 # Joins and contact points
 

@@ -57,6 +57,7 @@ def test_small_input_is_joined_plainly(skewed, dim):
 
 
 def test_large_input_is_salted_without_being_asked(skewed, dim, monkeypatch, spark, rows):
+    monkeypatch.setattr(lookup, "splits_skew", lambda spark: False)
     monkeypatch.setattr(lookup, "SMALL_INPUT_BYTES", 0)
     monkeypatch.setattr(lookup, "ROWS_PER_TASK", 100)
     monkeypatch.setattr(lookup, "fits_broadcast", lambda df: False)
@@ -65,6 +66,44 @@ def test_large_input_is_salted_without_being_asked(skewed, dim, monkeypatch, spa
     assert rows(joined, "k", "v", "name") == rows(skewed.join(dim, "k", "left"), "k", "v", "name")
 
 
+def test_skew_is_left_to_adaptive_execution_where_it_splits(spark, skewed, dim, monkeypatch):
+    monkeypatch.setattr(lookup, "SMALL_INPUT_BYTES", 0)
+    monkeypatch.setattr(lookup, "fits_broadcast", lambda df: False)
+    force = "spark.sql.adaptive.forceOptimizeSkewedJoin"
+    previous = spark.conf.get(force)
+    try:
+        for setting, salted in (("true", False), ("false", True)):
+            spark.conf.set(force, setting)
+            plan = lookup.lookup_join(skewed, dim, ["k"])._jdf.queryExecution().toString()
+            assert ("__salt" in plan) == salted
+    finally:
+        spark.conf.set(force, previous)
+
+
+def test_adaptive_execution_splits_a_hot_key(spark, dim):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+    }
+    previous = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        large = spark.range(0, 300_000, 1, 8).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS k", "uuid() AS v")
+        counted = lookup.lookup_join(large, dim, ["k"]).groupBy("k").agg(
+            F.count("*").alias("n"), F.max("v").alias("v")
+        )
+        assert {r["n"] for r in counted.collect() if r["k"] == 7} == {100_001}
+        assert "skew=true" in counted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in previous.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def test_broadcast_is_decided_by_size(spark, dim):
     assert lookup.fits_broadcast(dim)
     previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
