@@ -7,9 +7,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from crmweave.functions.columns import as_column
 from crmweave.operators.contact import pick_primary
 from crmweave.operators.lookup import lookup_join
 
+# What orders the records of one key: a column, an expression, or several columns.
+Arrival = str | Column | Sequence[str]
+
 
 def _checked(keys: Sequence[str]) -> list[str]:
     keys = list(keys)
@@ -78,7 +82,7 @@ def upsert(
     incoming: DataFrame,
     keys: Sequence[str],
     update_columns: Sequence[str],
-    arrival: str | Sequence[str] | None = None,
+    arrival: Arrival | None = None,
 ) -> DataFrame:
     """Merge incoming rows into a keyed table.
 
@@ -115,15 +119,14 @@ def upsert(
 
 
 def fold(
-    incoming: DataFrame, keys: list[str], update_columns: Sequence[str], arrival: str | Sequence[str]
+    incoming: DataFrame, keys: list[str], update_columns: Sequence[str], arrival: Arrival
 ) -> DataFrame:
     """Several incoming rows per key reduced to the row that remains of them.
 
     One aggregate, combined in the map tasks: a key with very many rows reaches its
     reducer as one row per task.  Arrival must order the rows of a key completely.
     """
-    orders = [arrival] if isinstance(arrival, str) else list(arrival)
-    order = F.struct(*orders)
+    order = as_column(arrival) if isinstance(arrival, (str, Column)) else F.struct(*arrival)
     updated = [c for c in incoming.columns if c in update_columns and c not in keys]
     kept = [c for c in incoming.columns if c not in update_columns and c not in keys]
     sides = []

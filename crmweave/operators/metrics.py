@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from crmweave.functions.columns import as_column, share
 from crmweave.functions.dates import SECONDS_PER_DAY, mean_days, newer_than, seconds_between
-from crmweave.operators.lookup import left_lookup
 
 
 def count_by(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:
@@ -169,10 +168,3 @@ def sla_share(
         .agg(F.count("*").alias("closed_cases"), F.count(F.when(within, 1)).alias("within_target"))
         .withColumn("sla_percent", share(F.col("within_target"), F.col("closed_cases")))
     )
-
-
-def with_names(
-    df: DataFrame, names: DataFrame, on: tuple[str, str], columns: Mapping[str, str]
-) -> DataFrame:
-    """Attach names to an aggregate, keeping groups without one."""
-    return left_lookup(df, names, [on], dict(columns))

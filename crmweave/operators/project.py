@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from crmweave.functions.columns import is_filled
 from crmweave.functions.dates import literal_time
 from crmweave.functions.payload import legacy_column
+from crmweave.functions.stages import COMPANY_KIND, PERSON_KIND
 from crmweave.operators.contact import pick_primary
 from crmweave.operators.lookup import left_lookup
 from crmweave.specs import EntitySpec, Lookup, ObjectMap, Relationship
@@ -31,12 +32,16 @@ def filter_rows(df: DataFrame, condition: Column | str | None) -> DataFrame:
 
 
 def ordered(df: DataFrame, order_by: Sequence[str], nulls_first_desc: bool = True) -> DataFrame:
-    """Sort by names; ``-name`` is descending, with the place of NULLs stated."""
+    """Sort by names; ``-name`` is descending.
+
+    NULL counts as the highest value, or as the lowest if ``nulls_first_desc`` is off.
+    """
+
     def key(name: str) -> Column:
-        if not name.startswith("-"):
-            return F.col(name).asc_nulls_last() if nulls_first_desc else F.col(name).asc_nulls_first()
-        column = F.col(name[1:])
-        return column.desc_nulls_first() if nulls_first_desc else column.desc_nulls_last()
+        column = F.col(name.removeprefix("-"))
+        if name.startswith("-"):
+            return column.desc_nulls_first() if nulls_first_desc else column.desc_nulls_last()
+        return column.asc_nulls_last() if nulls_first_desc else column.asc_nulls_first()
 
     return df.orderBy(*(key(n) for n in order_by)) if order_by else df
 
@@ -203,8 +208,6 @@ def party_lookup(company: DataFrame, person: DataFrame) -> DataFrame:
     A polymorphic link then needs one join, and so one shuffle of the links, where
     one left join per kind would need two.
     """
-    from crmweave.functions.stages import COMPANY_KIND, PERSON_KIND
-
     names = ("Comp_Name", "Comp_WebSite", "Pers_FirstName", "Pers_LastName")
 
     def party(df: DataFrame, kind: int, key: str) -> DataFrame:

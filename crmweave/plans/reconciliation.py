@@ -63,10 +63,11 @@ def reconcile_object(
         )
         staged = to_staging(counted, kind, as_of, target=target_name)
         key = staging_key(kind)
-        # Equal legacy ids are folded in the order of their content, which repeats.
-        arrival = [
-            c for c in staged.columns if c not in (key, "legacy_properties", "properties_to_update")
-        ]
+        # Bronze rows have no order of arrival.  A hash of their content gives equal
+        # legacy ids an order that is the same in every run.
+        arrival = F.xxhash64(
+            *(c for c in staged.columns if c not in ("legacy_properties", "properties_to_update"))
+        )
         upsert_table(
             spark, staging_path(staging_dir, kind), staged, [key],
             default_update_columns(kind, target_name), arrival,

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crmweave.operators.keyed import upsert
+from crmweave.operators.keyed import Arrival, upsert
 
 BUCKETS = 256
 BUCKET = "bucket"
@@ -71,7 +71,7 @@ def upsert_table(
     incoming: DataFrame,
     keys: Sequence[str],
     update_columns: Sequence[str],
-    arrival: str | Sequence[str] | None = None,
+    arrival: Arrival | None = None,
     buckets: int = BUCKETS,
     touched: Sequence[int] | None = None,
     keep: int = 2,

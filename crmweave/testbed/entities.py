@@ -10,7 +10,9 @@ from pyspark.sql.types import StructType
 from crmweave.crm.legacy import ENTITIES, RELATIONSHIPS
 from crmweave.crm.target import object_map, target_entity
 from crmweave.functions.dates import newer_than
-from crmweave.functions.money import net_after_discount, net_amount, net_weighted_amount, weighted_forecast, with_deal_amounts
+from crmweave.functions.money import (
+    net_after_discount, net_amount, net_weighted_amount, weighted_forecast, with_deal_amounts,
+)
 from crmweave.functions.names import conform, with_snake_names
 from crmweave.functions.stages import final_stage, priority_score, stage_number, status_category
 from crmweave.functions.text import email_valid, joined, sanitize
@@ -625,11 +627,11 @@ def _(spark, d):
 @query(
     "q_contact_coverage",
     f"""WITH c AS ({CONTACT_COMPANY_SQL}),
-             n AS (SELECT count(*) AS rows, count(Company_Phone) AS p, count(Company_Email) AS e,
-                          count(Comp_WebSite) AS w FROM c)
-        SELECT 'Company_Phone' AS column_name, rows, p AS filled, CAST(round(CAST(100 * p AS DECIMAL(20,4)) / rows, 2) AS DOUBLE) AS percent FROM n
-        UNION ALL SELECT 'Company_Email', rows, e, CAST(round(CAST(100 * e AS DECIMAL(20,4)) / rows, 2) AS DOUBLE) FROM n
-        UNION ALL SELECT 'Comp_WebSite', rows, w, CAST(round(CAST(100 * w AS DECIMAL(20,4)) / rows, 2) AS DOUBLE) FROM n""",
+             n AS (SELECT 'Company_Phone' AS column_name, count(*) AS rows, count(Company_Phone) AS filled FROM c
+                   UNION ALL SELECT 'Company_Email', count(*), count(Company_Email) FROM c
+                   UNION ALL SELECT 'Comp_WebSite', count(*), count(Comp_WebSite) FROM c)
+        SELECT column_name, rows, filled,
+               CAST(round(CAST(100 * filled AS DECIMAL(20,4)) / rows, 2) AS DOUBLE) AS percent FROM n""",
     "company", "address", "phone_link", "email_link",
 )
 def _(spark, d):

@@ -135,10 +135,21 @@ def reconciled(spark, d, kind, mark_conflicts=True):
 # Matching
 
 MATCH_COLUMNS = {
-    "companies": {"leg_Comp_Name": "Comp_Name", "leg_Addr_City": "Address_City", "tgt_name": "name", "tgt_domain": "domain"},
-    "contacts": {"leg_Pers_LastName": "Pers_LastName", "leg_Comp_Name": "Company_Name", "tgt_lastname": "lastname", "tgt_email": "email"},
-    "deals": {"leg_Oppo_Description": "Oppo_Description", "leg_Oppo_Stage": "Oppo_Stage", "tgt_dealname": "dealname", "tgt_dealstage": "dealstage"},
-    "engagements": {"leg_Comm_Subject": "Comm_Subject", "leg_Comm_DateTime": "Comm_DateTime", "tgt_hs_engagement_subject": "hs_engagement_subject"},
+    "companies": {
+        "leg_Comp_Name": "Comp_Name", "leg_Addr_City": "Address_City", "tgt_name": "name", "tgt_domain": "domain",
+    },
+    "contacts": {
+        "leg_Pers_LastName": "Pers_LastName", "leg_Comp_Name": "Company_Name", "tgt_lastname": "lastname",
+        "tgt_email": "email",
+    },
+    "deals": {
+        "leg_Oppo_Description": "Oppo_Description", "leg_Oppo_Stage": "Oppo_Stage", "tgt_dealname": "dealname",
+        "tgt_dealstage": "dealstage",
+    },
+    "engagements": {
+        "leg_Comm_Subject": "Comm_Subject", "leg_Comm_DateTime": "Comm_DateTime",
+        "tgt_hs_engagement_subject": "hs_engagement_subject",
+    },
 }
 
 

@@ -6,15 +6,13 @@ from pyspark.sql import functions as F
 
 from crmweave.crm.legacy import RELATIONSHIPS
 from crmweave.crm.target import object_map, target_entity
-from crmweave.functions.money import net_amount, net_weighted_amount, weighted_forecast
-from crmweave.operators import metrics, project, quality
+from crmweave.functions.money import net_amount, weighted_forecast
+from crmweave.operators import metrics, quality
 from crmweave.operators.lookup import left_lookup
-from crmweave.plans.processed import processed_view
-from crmweave.testbed.entities import OPPORTUNITY_SQL, PERSON_SQL, VIEW_SQL, entity
+from crmweave.testbed.entities import OPPORTUNITY_SQL, PERSON_SQL, entity
 from crmweave.testbed.registry import query
 from crmweave.testbed.roles import base, role, roles
 
-SECONDS = "date_diff('second', {0}, {1})"
 CASE_SECONDS = "CAST((epoch(Case_Closed) - epoch(Case_Opened)) AS BIGINT)"
 
 
@@ -330,7 +328,8 @@ def _(spark, d):
                count(CASE WHEN Pers_CompanyId IS NOT NULL AND Company_Name IS NULL THEN 1 END) AS orphans FROM p
         UNION ALL
         SELECT 'Person', 'Pers_PrimaryAddressId', 'Address_City', count(*), count(Pers_PrimaryAddressId),
-               count(Address_City), count(CASE WHEN Pers_PrimaryAddressId IS NOT NULL AND Address_City IS NULL THEN 1 END)
+               count(Address_City),
+               count(CASE WHEN Pers_PrimaryAddressId IS NOT NULL AND Address_City IS NULL THEN 1 END)
         FROM p
         UNION ALL
         SELECT 'Opportunity', 'Oppo_PrimaryPersonId', 'Person_FirstName', count(*), count(Oppo_PrimaryPersonId),
@@ -374,8 +373,8 @@ def _(spark, d):
 @query(
     "q_validate_columns",
     """SELECT false AS is_valid, 18 AS expected_count, 8 AS actual_count,
-              'closedate,company,deal_brand,deal_certainty,deal_notes,deal_priority,deal_source,deal_status,dealtype,hs_lastmodifieddate,pipeline'
-                  AS missing_columns,
+              'closedate,company,deal_brand,deal_certainty,deal_notes,deal_priority,' ||
+              'deal_source,deal_status,dealtype,hs_lastmodifieddate,pipeline' AS missing_columns,
               'score' AS extra_columns, count(*) AS row_count FROM deals""",
     "deals",
 )
