@@ -20,6 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crmweave.session import input_bytes
+
 # A key is hot from this many rows on; each salt then takes about as many rows.
 ROWS_PER_TASK = 1_000_000
 # So many keys at most are treated as hot, the largest first.  This bounds the
@@ -57,9 +59,7 @@ def reads_little(df: DataFrame) -> bool:
     The estimate of a joined plan is the product of its sides and says nothing about
     its rows; the sum over the leaves does, as lookups do not add rows.
     """
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    sizes = (int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    return sum(sizes) < SMALL_INPUT_BYTES
+    return input_bytes(df) < SMALL_INPUT_BYTES
 
 
 def hot_keys(

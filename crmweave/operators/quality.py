@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DoubleType, FloatType, MapType
 
 from crmweave.functions.columns import share
 from crmweave.functions.payload import legacy_column
@@ -96,6 +96,8 @@ def column_profile(
     entries = []
     for i, name in enumerate(names):
         column = F.col(f"`{name}`")
+        if isinstance(df.schema[name].dataType, MapType):  # maps have no order
+            column = column.cast("string")
         aggregates += [
             F.count(F.when(_missing(df, name), 1)).alias(f"n{i}"),
             F.min(column).cast("string").alias(f"lo{i}"),

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crmweave.crm.target import crosswalk_column, object_type_of
-from crmweave.functions.keys import canonical_key
 from crmweave.functions.text import contains_ci
 from crmweave.operators.lookup import left_lookup
 
@@ -98,7 +97,7 @@ def search(
     if names:
         clauses.append(reduce(lambda a, b: a & b, names))
     if crosswalk in given:
-        clauses.append(canonical_key(crosswalk) == canonical_key(F.lit(given[crosswalk])))
+        clauses.append(_carries(crosswalk, given[crosswalk]))
 
     found = table.where(F.col(crosswalk).isNotNull())
     if clauses:
@@ -107,12 +106,21 @@ def search(
     return found.select(*wanted).orderBy(KEY).limit(limit)
 
 
+def _carries(crosswalk: str, legacy_id: object) -> Column:
+    """Whether a row carries an id, as written or with the ``.0`` of a float.
+
+    Plain equality reaches the scan; normalising the column would read every row.
+    """
+    text = str(legacy_id).strip().removesuffix(".0")
+    return F.col(crosswalk).isin(text, f"{text}.0")
+
+
 def lookup_by_legacy_id(
     table: DataFrame, object_type: str, legacy_id: object, crosswalk: str | None = None
 ) -> DataFrame:
     """The target row for one legacy id: one row or none."""
     crosswalk = crosswalk or crosswalk_column(object_type)
-    found = table.where(canonical_key(crosswalk) == canonical_key(F.lit(str(legacy_id))))
+    found = table.where(_carries(crosswalk, legacy_id))
     return found.orderBy(KEY).limit(1)
 
 

@@ -15,8 +15,15 @@ from crmweave.operators.lookup import left_lookup
 from crmweave.operators.project import party_lookup, project_entity
 
 
-def processed_view(tables: Mapping[str, DataFrame], name: str, missing: str = "null") -> DataFrame:
-    return project_entity(tables, VIEWS[name], missing=missing)
+def processed_view(
+    tables: Mapping[str, DataFrame], name: str, missing: str = "null", distinct: bool = True
+) -> DataFrame:
+    """One of the seven views.
+
+    ``distinct=False`` saves the shuffle of whole rows where keys are known to be
+    unique, so that no two rows can be equal.
+    """
+    return project_entity(tables, VIEWS[name], missing=missing, distinct=distinct)
 
 
 def register_views(tables: Mapping[str, DataFrame], prefix: str = "processed_") -> list[str]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,9 +18,28 @@ SETTINGS = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
+# Input that one shuffle partition should stand for.
+BYTES_PER_PARTITION = 128 << 20
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Size of all the sources below a frame, as Catalyst knows it (no job is run)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def configure(spark: SparkSession, inputs: Iterable[DataFrame] = ()) -> SparkSession:
+    """Apply the settings; with ``inputs``, also size shuffles for these tables.
+
+    Adaptive execution merges small shuffle partitions but does not split all of
+    them, so it must start from enough.
+    """
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
+    if size := sum(input_bytes(df) for df in inputs):
+        least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        partitions = max(least, -(-size // BYTES_PER_PARTITION))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
     return spark
 
 

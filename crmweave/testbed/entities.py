@@ -197,6 +197,18 @@ def _(spark, d):
     return project.project_entity(tables, ENTITIES["Opportunity"], limit=5, missing="skip")
 
 
+@query(
+    "q_sample_records",
+    """SELECT CAST(to_json({'Comp_CompanyId': Comp_CompanyId, 'Comp_Name': Comp_Name, 'Comp_Type': Comp_Type})
+                   AS STRING) AS record
+       FROM company ORDER BY Comp_CompanyId LIMIT 3""",
+    "company",
+)
+def _(spark, d):
+    company = role(spark, d, "company").select("Comp_CompanyId", "Comp_Name", "Comp_Type")
+    return project.sample_records(company, "Comp_CompanyId")
+
+
 @query(
     "q_provenance",
     """SELECT Pers_PersonId, Pers_FirstName, TIMESTAMP '2024-02-01 00:00:00' AS bronze_extracted_at,
@@ -366,7 +378,7 @@ def _(spark, d):
 @query(
     "q_lookup_by_legacy_id",
     """SELECT hs_object_id, name, city FROM companies
-       WHERE regexp_replace(trim(legacy_company_id), '\\.0$', '') = '6' ORDER BY hs_object_id LIMIT 1""",
+       WHERE legacy_company_id IN ('6', '6.0') ORDER BY hs_object_id LIMIT 1""",
     "companies",
 )
 def _(spark, d):

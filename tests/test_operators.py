@@ -445,6 +445,19 @@ def test_profile_counts_nan_as_missing(spark):
     assert profile["s"]["data_type"] == "string" and profile["s"]["ordinal"] == 2
 
 
+def test_profile_of_maps(spark):
+    df = spark.sql("SELECT map('a', 1) AS m, array(1, 2) AS xs")
+    got = {r["column_name"]: (r["null_count"], r["distinct_count"]) for r in quality.column_profile(df).collect()}
+    assert got == {"m": (0, 1), "xs": (0, 1)}
+
+
+def test_point_lookup_reaches_the_scan(spark, tmp_path):
+    spark.sql("SELECT 1 AS hs_object_id, '6.0' AS legacy_company_id").write.parquet(str(tmp_path / "t"))
+    found = search.lookup_by_legacy_id(spark.read.parquet(str(tmp_path / "t")), "companies", 6)
+    assert found.count() == 1
+    assert "In(legacy_company_id, [6,6.0])" in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_type_suggestions(spark):
     df = spark.createDataFrame(
         [("1", "1.5", "2024-01-02", "video", None), ("22", "7", "2024-01-02 10:00:00", "2024", None)],

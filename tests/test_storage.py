@@ -4,6 +4,7 @@ from datetime import datetime
 
 import pytest
 
+from crmweave import session
 from crmweave.crm.legacy import COMPANY, ENTITIES
 from crmweave.crm.target import target_entity
 from crmweave.operators.reconcile import status_stats
@@ -148,6 +149,23 @@ def test_extraction_goes_on_after_a_failure(spark, crm, tmp_path):
     assert saved["Company_Name"] == 'Quote " and, comma' and saved["bronze_source_file"] == "person"
 
 
+def test_entities_are_extracted_side_by_side(spark, crm, tmp_path):
+    results = extract_entities(crm, str(tmp_path), NOW, ["Person", "Company", "Address"], parallel=3)
+    assert [(r.entity, r.status, r.extracted) for r in results] == [
+        ("Address", "success", 1), ("Company", "success", 3), ("Person", "success", 1),
+    ]
+
+
+def test_shuffles_are_sized_for_the_input(spark, company, monkeypatch):
+    setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    monkeypatch.setattr(session, "input_bytes", lambda df: 10 << 40)
+    try:
+        session.configure(spark, [company])
+        assert spark.conf.get(setting) == str(10 << 13)
+    finally:
+        spark.conf.unset(setting)
+
+
 def test_unknown_entities_are_refused(crm, tmp_path):
     with pytest.raises(ValueError):
         extract_entities(crm, str(tmp_path), NOW, ["Invoice"])
