@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from crmweave.functions.money import net_after_discount, weighted_forecast
 from crmweave.functions.text import joined
 from crmweave.specs import EntitySpec, Lookup
@@ -138,7 +140,20 @@ ADDRESSES = EntitySpec(
     ),
 )
 
+# Names the extracted tables use for columns of the views.
+ALIASES = {
+    "Addr_Street1": ("Addr_Address1", "Address_Street1"),
+    "Addr_Street2": ("Addr_Address2", "Address_Street2"),
+    "Comp_PhoneCityCode": ("Comp_PhoneAreaCode",),
+    "Pers_PhoneCityCode": ("Pers_PhoneAreaCode",),
+    "Pers_JobTitle": ("Pers_Title",),
+    "Oppo_Notes": ("Oppo_Note",),
+    "Oppo_CloseDate": ("Oppo_ActualClose",),
+    "Case_OpenedDate": ("Case_Opened",),
+    "Case_ClosedDate": ("Case_Closed",),
+}
+
 VIEWS = {
-    v.name: v
+    v.name: replace(v, aliases=ALIASES)
     for v in (COMPANIES, PERSONS, OPPORTUNITIES, COMMUNICATIONS, CASES, SOCIAL_NETWORKS, ADDRESSES)
 }

@@ -17,7 +17,7 @@ from crmweave.functions.payload import legacy_column
 from crmweave.functions.stages import COMPANY_KIND, PERSON_KIND
 from crmweave.operators.contact import pick_primary
 from crmweave.operators.lookup import left_lookup
-from crmweave.specs import EntitySpec, Lookup, ObjectMap, Relationship
+from crmweave.specs import EntitySpec, Lookup, ObjectMap, Relationship, find_column
 
 Tables = Mapping[str, DataFrame]
 
@@ -59,6 +59,7 @@ def add_lookup(
     lookup: Lookup,
     fan_out: bool = False,
     hot_from: DataFrame | None = None,
+    aliases: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """Join one lookup; with ``pick`` it is reduced to one row per key beforehand."""
     right = tables[lookup.source]
@@ -66,11 +67,11 @@ def add_lookup(
         right = right.where(F.col(name) == F.lit(value))
     if lookup.pick and not fan_out:
         right = pick_primary(right, [k for _, k in lookup.on], lookup.pick)
-    columns = {
-        out: (c if isinstance(c, str) else c())
-        for out, c in lookup.columns.items()
-        if not isinstance(c, str) or c in right.columns
-    }
+    columns: dict[str, Column | str] = {}
+    for out, source in lookup.columns.items():
+        found = find_column(source, right.columns, aliases) if isinstance(source, str) else source()
+        if found is not None:
+            columns[out] = found
     return left_lookup(df, right, lookup.on, columns, hot_from)
 
 
@@ -90,7 +91,8 @@ def project_entity(
     Only the columns named by the spec are read from each source.
     """
     source = tables[spec.source]
-    absent = [c for c in spec.base if c not in source.columns]
+    found = {c: find_column(c, source.columns, spec.aliases) for c in spec.base}
+    absent = [c for c in spec.base if found[c] is None]
     if absent and missing == "error":
         raise ValueError(f"{spec.name} lacks {absent}")
 
@@ -109,18 +111,20 @@ def project_entity(
     looked_up: list[str] = []
     start = df
     for lookup in spec.lookups:
-        df = add_lookup(df, tables, lookup, fan_out, start)
+        df = add_lookup(df, tables, lookup, fan_out, start, spec.aliases)
         looked_up += [c for c in lookup.columns if c in df.columns]
     if not early:
         df = filter_rows(df, condition)
 
     out: list[Column] = []
     for name in spec.base:
-        if name in source.columns:
-            out.append(F.col(name))
+        if found[name] is not None:
+            out.append(F.col(found[name]).alias(name))
         elif missing == "null":
             out.append(F.lit(None).cast(spec.schema[name].dataType).alias(name))
-    out += [F.col(c).alias(name) for name, c in spec.renamed.items() if c in source.columns]
+    out += [
+        F.col(c).alias(name) for name, c in spec.renamed.items() if find_column(c, source.columns)
+    ]
     out += [F.col(name) for name in looked_up]
     out += [build().alias(name) for name, build in spec.computed.items()]
     df = df.select(*out)

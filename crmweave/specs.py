@@ -8,7 +8,7 @@ declared at import time, before a session exists.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column
@@ -43,7 +43,10 @@ class Lookup:
 
 @dataclass(frozen=True)
 class EntitySpec:
-    """One denormalised entity: base columns, lookups, computed columns, key."""
+    """One denormalised entity: base columns, lookups, computed columns, key.
+
+    ``aliases`` are other names under which sources offer a column.
+    """
 
     name: str
     source: str
@@ -52,6 +55,7 @@ class EntitySpec:
     lookups: tuple[Lookup, ...] = ()
     computed: dict[str, ColumnBuilder] = field(default_factory=dict)
     renamed: dict[str, str] = field(default_factory=dict)
+    aliases: dict[str, tuple[str, ...]] = field(default_factory=dict)
     require_key: bool = True
     blank_key_is_missing: bool = False
     distinct: bool = False
@@ -71,6 +75,17 @@ class EntitySpec:
         return self.base + tuple(self.renamed) + looked_up + tuple(self.computed)
 
 
+def find_column(
+    name: str, columns: Iterable[str], aliases: Mapping[str, Iterable[str]] | None = None
+) -> str | None:
+    """The column a name or one of its aliases stands for; case does not matter."""
+    actual = {c.lower(): c for c in columns}
+    for known in (name, *(aliases or {}).get(name, ())):
+        if known.lower() in actual:
+            return actual[known.lower()]
+    return None
+
+
 @dataclass(frozen=True)
 class FieldMap:
     """One legacy column feeding one target property."""

@@ -443,7 +443,7 @@ VIEW_SQL = {
     "companies": (
         """SELECT DISTINCT Comp_CompanyId, Comp_Name, Comp_WebSite, Comp_Type, Comp_Status, Comp_Territory,
                   Comp_Sector, Comp_Revenue, Comp_EmailAddress, Comp_PhoneNumber, Addr_AddressId,
-                  Addr_Street1, Addr_City, Addr_PostCode, Addr_Country
+                  Addr_Address1 AS Addr_Street1, Addr_City, Addr_PostCode, Addr_Country
            FROM company LEFT JOIN address ON Comp_CompanyId = Addr_CompanyId
            WHERE Comp_CompanyId IS NOT NULL""",
         ("company", "address"),
@@ -451,8 +451,8 @@ VIEW_SQL = {
     "persons": (
         """SELECT DISTINCT Pers_PersonId, Pers_FirstName, Pers_LastName, Pers_EmailAddress, Pers_PhoneNumber,
                   Pers_Territory, Pers_Status, Comp_CompanyId, Comp_Name AS Company_Name,
-                  Comp_WebSite AS Company_Website, Addr_AddressId, Addr_Street1, Addr_City, Addr_PostCode,
-                  Addr_Country
+                  Comp_WebSite AS Company_Website, Addr_AddressId, Addr_Address1 AS Addr_Street1, Addr_City,
+                  Addr_PostCode, Addr_Country
            FROM person LEFT JOIN company ON Pers_CompanyId = Comp_CompanyId
                 LEFT JOIN address ON Pers_PersonId = Addr_PersonId
            WHERE Pers_PersonId IS NOT NULL""",
@@ -485,8 +485,8 @@ VIEW_SQL = {
         ("communication", "company", "person", "opportunity"),
     ),
     "cases": (
-        """SELECT DISTINCT Case_CaseId, Case_Status, Case_Priority, Case_Description, Comp_CompanyId,
-                  Comp_Name AS Company_Name, Comp_WebSite AS Company_Website, Pers_PersonId,
+        """SELECT DISTINCT Case_CaseId, Case_Status, Case_Priority, Case_Description,
+                  Case_Opened AS Case_OpenedDate, Case_Closed AS Case_ClosedDate, Comp_CompanyId, Comp_Name AS Company_Name, Comp_WebSite AS Company_Website, Pers_PersonId,
                   Pers_FirstName AS Person_FirstName, Pers_LastName AS Person_LastName
            FROM "case" LEFT JOIN company ON Case_PrimaryCompanyId = Comp_CompanyId
                 LEFT JOIN person ON Case_PrimaryPersonId = Pers_PersonId
@@ -501,7 +501,7 @@ VIEW_SQL = {
         ("social_network", "person"),
     ),
     "addresses": (
-        f"""SELECT DISTINCT Addr_AddressId, Addr_Type, Addr_Street1, Addr_City, Addr_PostCode, Addr_Country,
+        f"""SELECT DISTINCT Addr_AddressId, Addr_Type, Addr_Address1 AS Addr_Street1, Addr_City, Addr_PostCode, Addr_Country,
                   Comp_CompanyId, Comp_Name AS Company_Name, Pers_PersonId,
                   CASE WHEN Pers_PersonId IS NOT NULL THEN {_PERSON_NAME} END AS Person_FullName
            FROM address LEFT JOIN company ON Addr_CompanyId = Comp_CompanyId

@@ -20,14 +20,12 @@ ROLE_SQL = {
         SELECT c_custkey * 2 AS Addr_AddressId, c_custkey AS Addr_CompanyId,
                CAST(NULL AS BIGINT) AS Addr_PersonId, 'Billing' AS Addr_Type,
                'Building ' || CAST(c_custkey AS STRING) AS Addr_Address1,
-               'Building ' || CAST(c_custkey AS STRING) AS Addr_Street1,
                n_name AS Addr_City, r_name AS Addr_Country,
                CAST(10000 + n_nationkey AS STRING) AS Addr_PostCode
         FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
         UNION ALL
         SELECT s_suppkey * 2 + 1, CAST(NULL AS BIGINT), s_suppkey, 'Office',
-               'Floor ' || CAST(s_suppkey AS STRING), 'Floor ' || CAST(s_suppkey AS STRING),
-               n_name, r_name, CAST(20000 + n_nationkey AS STRING)
+               'Floor ' || CAST(s_suppkey AS STRING), n_name, r_name, CAST(20000 + n_nationkey AS STRING)
         FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "company": """
         SELECT c_custkey AS Comp_CompanyId, c_custkey AS Comp_PrimaryPersonId,

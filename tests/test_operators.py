@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from crmweave.crm.legacy import ENTITIES, RELATIONSHIPS
 from crmweave.crm.target import object_map, target_entity
 from crmweave.operators import contact, keyed, lookup, metrics, project, quality, reconcile, search
+from crmweave.plans.processed import processed_view
 from crmweave.specs import Relationship
 
 
@@ -225,6 +226,16 @@ def test_limit_none_is_all_and_zero_is_none(crm, rows):
     assert rows(project.project_entity(crm, spec, limit=2), "Case_CaseId") == [(1,), (2,)]
 
 
+def test_column_names_ignore_case_and_know_aliases(spark):
+    tables = {
+        "case": spark.sql("SELECT 1L AS case_caseid, TIMESTAMP_NTZ '2024-01-01' AS Case_Opened, 1L AS Case_PrimaryCompanyId, NULL AS Case_PrimaryPersonId"),
+        "company": spark.sql("SELECT 1L AS COMP_COMPANYID, 'Acme' AS comp_name"),
+        "person": spark.sql("SELECT 1L AS Pers_PersonId"),
+    }
+    row = processed_view(tables, "cases").first()
+    assert (row["Case_CaseId"], row["Case_OpenedDate"], row["Company_Name"]) == (1, datetime(2024, 1, 1), "Acme")
+
+
 def test_auto_join_needs_a_relationship(crm, rows):
     got = project.auto_join(crm, "case", ["Case_CaseId", "company.Comp_Name"], RELATIONSHIPS)
     assert rows(got) == [(1, "Acme"), (2, "Beta"), (3, None)]
