@@ -54,8 +54,9 @@ sone_networklink STRING, Related_TableID INT, Related_RecordID BIGINT, bord_capt
 network_type STRING, sone_network STRING, CreatedDate TIMESTAMP_NTZ, UpdatedDate TIMESTAMP_NTZ
 """
 ADDRESS_DDL = """
-Addr_AddressId BIGINT, Addr_Address1 STRING, Addr_Address2 STRING, Addr_Address3 STRING,
-Addr_City STRING, Addr_State STRING, Addr_Country STRING, Addr_PostCode STRING,
+Addr_AddressId BIGINT, Addr_CompanyId BIGINT, Addr_PersonId BIGINT, Addr_Type STRING,
+Addr_Address1 STRING, Addr_Address2 STRING, Addr_Address3 STRING, Addr_City STRING,
+Addr_State STRING, Addr_Country STRING, Addr_PostCode STRING, Addr_CountryCode STRING,
 Addr_CreatedDate TIMESTAMP_NTZ, Addr_UpdatedDate TIMESTAMP_NTZ
 """
 

@@ -149,6 +149,8 @@ ALIASES = {
     "Pers_JobTitle": ("Pers_Title",),
     "Oppo_Notes": ("Oppo_Note",),
     "Oppo_CloseDate": ("Oppo_ActualClose",),
+    "Comm_CompanyId": ("Company_Id", "Comp_CompanyId"),
+    "Comm_PersonId": ("Person_Id", "Pers_PersonId"),
     "Case_OpenedDate": ("Case_Opened",),
     "Case_ClosedDate": ("Case_Closed",),
 }

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType
 
 from crmweave.functions.columns import is_filled
-from crmweave.specs import FieldMap, ObjectMap
+from crmweave.specs import FieldMap, ObjectMap, find_column
 
 Transform = Callable[[Column], Column]
 
@@ -19,7 +19,7 @@ TRANSFORMS: dict[str, Transform] = {"trim": F.trim, "lower": F.lower, "upper": F
 
 def legacy_column(field: FieldMap, available: list[str]) -> str | None:
     """Column of the frame holding a field, under its own name or an alias."""
-    return next((c for c in (field.legacy, *field.aliases) if c in available), None)
+    return find_column(field.legacy, available, {field.legacy: field.aliases})
 
 
 def legacy_value(

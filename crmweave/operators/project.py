@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 from datetime import datetime
 from functools import reduce
 
@@ -72,7 +73,8 @@ def add_lookup(
         found = find_column(source, right.columns, aliases) if isinstance(source, str) else source()
         if found is not None:
             columns[out] = found
-    return left_lookup(df, right, lookup.on, columns, hot_from)
+    on = [(find_column(b, df.columns, aliases) or b, key) for b, key in lookup.on]
+    return left_lookup(df, right, on, columns, hot_from)
 
 
 def project_entity(
@@ -109,8 +111,9 @@ def project_entity(
         df = first_rows(df, limit, [spec.key])
 
     looked_up: list[str] = []
+    df, lookups = _make_room(df, spec, {c for c in found.values() if c})
     start = df
-    for lookup in spec.lookups:
+    for lookup in lookups:
         df = add_lookup(df, tables, lookup, fan_out, start, spec.aliases)
         looked_up += [c for c in lookup.columns if c in df.columns]
     if not early:
@@ -133,6 +136,29 @@ def project_entity(
     return df if limit_first else first_rows(df, limit, [spec.key])
 
 
+def _make_room(df: DataFrame, spec: EntitySpec, base: set[str]) -> tuple[DataFrame, list[Lookup]]:
+    """Drop source columns named like columns the lookups bring.
+
+    A table extracted earlier already has the names of its company, say.  A key among
+    the dropped columns is kept under another name.
+    """
+    brought = {name.lower() for lookup in spec.lookups for name in lookup.columns}
+    dropped = [c for c in df.columns if c.lower() in brought and c not in base]
+    if not dropped:
+        return df, list(spec.lookups)
+    lookups = []
+    for lookup in spec.lookups:
+        on = []
+        for name, key in lookup.on:
+            column = find_column(name, df.columns, spec.aliases)
+            if column in dropped:
+                df = df.withColumn(f"__{column}", F.col(column))
+                column = f"__{column}"
+            on.append((column or name, key))
+        lookups.append(replace(lookup, on=tuple(on)))
+    return df.drop(*dropped), lookups
+
+
 def _resolves(df: DataFrame, condition: Column | str | None) -> bool:
     """Whether a condition needs columns of this frame only (nothing is run)."""
     try:

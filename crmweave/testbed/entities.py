@@ -90,7 +90,8 @@ query("q_entity_case", CASE_SQL, "case", "company", "person", "email_link")(
 )
 query(
     "q_entity_address",
-    """SELECT Addr_AddressId, Addr_Address1, Addr_City, Addr_Country, Addr_PostCode
+    """SELECT Addr_AddressId, Addr_CompanyId, Addr_PersonId, Addr_Type, Addr_Address1, Addr_City, Addr_Country,
+              Addr_PostCode
        FROM address WHERE Addr_AddressId IS NOT NULL""",
     "address",
 )(entity("Address", "address"))

@@ -7,6 +7,7 @@ import pytest
 from crmweave import session
 from crmweave.crm.legacy import COMPANY, ENTITIES
 from crmweave.crm.target import target_entity
+from crmweave.operators.metrics import closure_rate, mean_days_by
 from crmweave.operators.reconcile import status_stats
 from crmweave.plans.extraction import extract_all, extract_and_save, extract_entities
 from crmweave.plans.processed import register_views
@@ -242,3 +243,33 @@ def test_entities_have_a_key_and_unique_columns():
     for spec in ENTITIES.values():
         assert spec.key in spec.base
         assert len(set(spec.columns)) == len(spec.columns)
+
+
+def test_from_bronze_to_gold(spark, tmp_path):
+    """Extract, read back, build views on the extracted tables, and measure."""
+    sources = {
+        "company": spark.sql("SELECT 1L AS Comp_CompanyId, 'Acme' AS Comp_Name, 10L AS Comp_PrimaryAddressId"),
+        "person": spark.sql("SELECT 4L AS Pers_PersonId, 1L AS Pers_CompanyId, 'Ann' AS Pers_FirstName, 10L AS Pers_PrimaryAddressId"),
+        "address": spark.sql("SELECT 10L AS Addr_AddressId, 'Oslo' AS Addr_City, 'Main 1' AS Addr_Address1"),
+        "email_link": spark.sql("SELECT 4L AS ELink_RecordID, 1L AS Emai_EmailId, 13 AS ELink_EntityID, 'a@x.de' AS Emai_EmailAddress"),
+        "case": spark.sql(
+            """SELECT id AS Case_CaseId, 1L AS Case_PrimaryCompanyId, 4L AS Case_PrimaryPersonId,
+                      IF(id < 3, 'Closed', 'Open') AS Case_Status, TIMESTAMP_NTZ '2024-01-01' AS Case_Opened,
+                      IF(id < 3, TIMESTAMP_NTZ '2024-01-03', NULL) AS Case_Closed FROM range(4)"""
+        ),
+    }
+    results = extract_entities(sources, str(tmp_path), NOW, ["Address", "Company", "Person", "Case"])
+    assert {r.status for r in results} == {"success"}
+    bronze = {r.entity.lower(): readers.read_parquet(spark, r.path) for r in results}
+    assert {r["Person_EmailAddress"] for r in bronze["case"].collect()} == {"a@x.de"}
+
+    register_views(bronze, "silver_")
+    silver = spark.table("silver_cases")
+    row = silver.where("Case_CaseId = 0").first()
+    assert (row["Company_Name"], row["Person_FirstName"], row["bronze_source_file"]) == ("Acme", "Ann", "case")
+    assert row["Case_OpenedDate"] == datetime(2024, 1, 1) and row["bronze_extracted_at"] == NOW
+
+    rate = closure_rate(silver, "Comp_CompanyId", "Case_Status", "Closed").first()
+    assert (rate["total_cases"], rate["closed_cases"], float(rate["closure_rate"])) == (4, 3, 75.0)
+    mean = mean_days_by(silver, "Case_Status", "Case_OpenedDate", "Case_ClosedDate")
+    assert {r["Case_Status"]: r["avg_days_to_close"] for r in mean.collect()} == {"Closed": 2.0, "Open": None}
