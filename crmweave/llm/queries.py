@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crmweave.llm import mixing, rules, shards
+from crmweave.llm import decontaminate, language, licences, mixing, rules, shards
 from crmweave.llm.frames import table
 from crmweave.session import configure
 
@@ -27,6 +27,12 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+@query("op2_language")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language.predictions(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score", F.size("span_from").alias("n_spans"))
+
+
 @query("op3_mixing")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -69,6 +75,43 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_licences")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.findings(table(spark, sf_dir, "documents"))
+
+
+HITS_SQL = r"""
+with d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
+), b as (
+  select item_id::varchar as item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark
+), windows as (
+  select distinct item, w[i : i + 9] as g, len(w[i : i + 9]) as n
+  from (select item, w, unnest(range(1, greatest(len(w) - 8, 2))) as i from b where len(w) > 0)
+), grams as (
+  select doc_id, i, w[i : i + n - 1] as g, n
+  from (select doc_id, w, unnest(range(1, len(w) + 1)) as i from d), (select distinct n from windows) where i + n - 1 <= len(w)
+), found as (select doc_id, i, n, item from grams join windows using (g, n)),
+hit as (select doc_id, count(*) as n_hit from (select distinct doc_id, unnest(range(i, i + n)) as p from found) group by 1),
+items as (
+  select doc_id, count(*) as n_items, sha256(string_agg(item, ',' order by item)) as s
+  from (select distinct doc_id, item from found) group by 1
+)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  coalesce(s, sha256('')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join hit using (doc_id) left join items using (doc_id)
+"""
+
+
+@query("op7_decontamination", HITS_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop(
+        "span_from", "span_to"
+    )
+
+
 @query("op10_sharding")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_rows(table(spark, sf_dir, "documents"), SHARDS).select(
