@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,3 +29,12 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     path = f"{shared_folder(spark)}/llm-{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def workers_find_package(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver has it; a cluster gets it by ``--py-files``."""
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    if root not in environment.get("PYTHONPATH", "").split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(x for x in (environment.get("PYTHONPATH"), root) if x)
+    return spark

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crmweave.llm import decontaminate, language, licences, mixing, rules, shards
-from crmweave.llm.frames import table
+from crmweave.llm import decontaminate, language, licences, mixing, neardup, rules, shards
+from crmweave.llm.frames import table, workers_find_package
 from crmweave.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,7 +19,7 @@ SHARDS = 16
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def add(function: Query) -> Query:
-        QUERIES[name] = lambda spark, sf_dir: function(configure(spark), sf_dir)
+        QUERIES[name] = lambda spark, sf_dir: function(workers_find_package(configure(spark)), sf_dir)
         if sql is not None:
             CHECKS[name] = sql
         return function
@@ -112,6 +112,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op9_near_duplicates")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.linked(table(spark, sf_dir, "documents"))
+
+
 @query("op10_sharding")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_rows(table(spark, sf_dir, "documents"), SHARDS).select(
