@@ -20,11 +20,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from crmweave.llm.frames import stored
+from crmweave.llm.frames import free_name, stored
 
 MAX_PATTERNS = 20_000
-# Documents of a pattern are ordered by a seeded hash, in this many parts whose sums are formed before any sorting.
-ORDER_PARTS = 4096
+# Documents of a pattern are ordered by a seeded hash; the sums of its 2**12 parts (__b) are formed before any sorting.
 
 WORDS = r"[^\x20\x09-\x0D]+"
 NULL_LAST = (1, "")
@@ -133,53 +132,77 @@ def plan(
     return docs.sparkSession.createDataFrame(rows, schema), rows
 
 
-def mix(
-    docs: DataFrame, members: Column | None = None, key: str = "doc_id", text: str = "text", most: int = 2, seed: int = 0,
-    weights: Sequence[int] = (3, 1, 2), share: Fraction = Fraction(3, 2), carry: Sequence[str] = (),
-) -> DataFrame:
-    """Key, size, source_size, target and taken for every row (plus ``carry``); ``members`` is an array of sources.
+def prepared(docs: DataFrame, members: Column, key: str, text: str, seed: int) -> DataFrame:
+    """The frame with __size, __k (its pattern as text), __p (the pattern), __h (its place in the seeded order), __b."""
+    pattern = F.when(F.size(members) > 0, F.array_sort(F.array_distinct(members))).otherwise(F.array(F.lit(None).cast("string")))
+    return docs.select(
+        "*", word_count(F.col(text)).alias("__size"), pattern.alias("__p"),
+        F.xxhash64(F.lit(seed), F.col(key), F.col(text)).alias("__h"),
+    ).withColumns({"__k": F.to_json("__p"), "__b": F.shiftrightunsigned("__h", 64 - 12).cast("int")})
+
+
+def decided(rows: DataFrame, numbers: DataFrame, most: int, weights: Sequence[int], share: Fraction) -> DataFrame:
+    """Prepared rows with source_size, target and __copies, how often the mix takes each. ``numbers``: the same rows,
+    at least their __size, __p, __k, __h and __b; they are read twice.
 
     A pattern that must give g tokens gives every document g // size times whole; the rest goes to documents in the
-    order of a seeded hash, to each while the sum stays within the rest. The first document beyond it is taken if that
-    ends nearer to the rest.
+    seeded order, to each while the sum stays within the rest. The first document beyond it is taken if that ends
+    nearer to the rest. Only the part of the order in which the rest runs out is sorted.
     """
-    members = F.array(F.col("source")) if members is None else members
-    keep = [F.col(c) for c in dict.fromkeys([key, *carry])]
-    rows = docs.select(
-        *keep, word_count(F.col(text)).alias("size"),
-        F.when(F.size(members) > 0, F.array_sort(F.array_distinct(members))).otherwise(F.array(F.lit(None).cast("string"))).alias("__p"),
-        F.xxhash64(F.lit(seed), F.col(key), F.col(text)).alias("__h"),
-    )
-    rows = stored(rows, "mix")  # numbers only; the texts are read once
-    given, _ = plan(rows, F.col("__p"), F.col("size"), most, weights, share)
-    # Joined by position in the plan, not by array equality, which has no null-safe hash join.
+    given, _ = plan(numbers, F.col("__p"), F.col("__size"), most, weights, share)
     given = given.withColumn("__k", F.to_json("pattern")).drop("pattern")
-    rows = rows.withColumn("__k", F.to_json("__p")).withColumn("__b", F.shiftrightunsigned("__h", 64 - 12).cast("int"))
-    w = "partition by __k2 order by __b2 rows between unbounded preceding and 1 preceding"
-    before = (
-        rows.groupBy(F.col("__k").alias("__k2"), F.col("__b").alias("__b2")).agg(F.sum("size").alias("__s"))
-        .withColumn("__before", F.expr(f"coalesce(sum(__s) over ({w}), 0)"))
-    )
-    rows = rows.join(F.broadcast(given), "__k")
     rest = F.expr("case when pattern_size > 0 then give % pattern_size else 0 end")
     whole = F.expr("case when pattern_size > 0 then div(give, pattern_size) else 0 end")
-    # Only the part in which the rest runs out is ordered; all parts before it are taken, all after it are not.
+    given = given.select("__k", "source_size", "target", rest.alias("__rest"), whole.alias("__whole"))
+    w = "partition by __k order by __b rows between unbounded preceding and 1 preceding"
     edge = (
-        before.join(F.broadcast(given.select(F.col("__k").alias("__k2"), rest.alias("__rest"))), "__k2")
+        numbers.groupBy("__k", "__b").agg(F.sum("__size").alias("__s"))
+        .withColumn("__before", F.expr(f"coalesce(sum(__s) over ({w}), 0)"))
+        .join(F.broadcast(given.select("__k", "__rest")), "__k")
         .filter("__before <= __rest and __rest < __before + __s")
-        .select("__k2", "__b2", "__before", F.lit(True).alias("__edge"))
+        .select("__k", F.col("__b").alias("__e"), "__before")
     )
-    rows = rows.join(
-        F.broadcast(edge.select("__k2", F.col("__b2").alias("__e"), "__before")), F.col("__k") == F.col("__k2"), "left"
-    ).withColumn("__rest", rest).withColumn("__whole", whole)
-    order = ", ".join(["__h", *(f"`{c}`" for c in dict.fromkeys([key, *carry]))])
+    # One row a pattern, so both tables are within MAX_PATTERNS rows.
+    rows = rows.join(F.broadcast(given), "__k").join(F.broadcast(edge), "__k", "left")
+    order = ", ".join(f"`{c}`" for c in ["__h", *(c for c in rows.columns if not c.startswith("__"))])
+    more = "__sum <= __rest or (__sum - __size <= __rest and __sum - __rest < __rest - (__sum - __size))"
     at_edge = rows.filter("__b = __e").withColumn(
-        "__sum", F.expr(f"sum(size) over (partition by __k order by {order} rows unbounded preceding)") + F.col("__before")
-    ).withColumn(
-        "__more", F.expr("__sum <= __rest or (__sum - size <= __rest and __sum - __rest < __rest - (__sum - size))")
-    ).drop("__sum")
+        "__sum", F.expr(f"sum(__size) over (partition by __k order by {order} rows unbounded preceding)") + F.col("__before")
+    ).withColumn("__more", F.expr(more)).drop("__sum")
     others = rows.filter("__e is null or __b <> __e").withColumn("__more", F.expr("__rest > 0 and (__e is null or __b < __e)"))
-    return at_edge.unionByName(others).select(
-        *keep, "size", "source_size", "target",
-        (F.col("size") * (F.col("__whole") + F.when(F.col("__more"), 1).otherwise(0))).cast("long").alias("taken"),
+    both = at_edge.unionByName(others)
+    return both.withColumn("__copies", F.expr("if(__size > 0, __whole + cast(__more as int), 0)"))
+
+
+SHARE = Fraction(3, 2)
+NUMBERS = ("__size", "__p", "__k", "__h", "__b")
+
+
+def mix(
+    docs: DataFrame, members: Column | None = None, key: str = "doc_id", text: str = "text", most: int = 2, seed: int = 0,
+    weights: Sequence[int] = (3, 1, 2), share: Fraction = SHARE,
+) -> DataFrame:
+    """Key, size, source_size, target and taken for every row; ``members`` is an array of sources (default: ``source``)."""
+    members = F.array(F.col("source")) if members is None else members
+    # Numbers only; the texts are read once.
+    rows = stored(prepared(docs, members, key, text, seed).select(key, *NUMBERS), "mix")
+    return decided(rows, rows, most, weights, share).select(
+        key, F.col("__size").alias("size"), "source_size", "target", (F.col("__size") * F.col("__copies")).cast("long").alias("taken")
     )
+
+
+def mixed_rows(
+    docs: DataFrame, members: Column | None = None, key: str = "doc_id", text: str = "text", most: int = 2, seed: int = 0,
+    weights: Sequence[int] = (3, 1, 2), share: Fraction = SHARE,
+) -> DataFrame:
+    """The rows of the mix, each as often as it is taken, without more columns."""
+    members = F.array(F.col("source")) if members is None else members
+    # Columns are renamed by position, so that none of theirs clashes with one of ours.
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    place = {c: F.col(f"c{i}") for i, c in enumerate(docs.columns)}
+    named = docs.select("*", members.alias(free_name(docs, "members"))).toDF(*plain.columns, "__m")
+    rows = prepared(named, F.col("__m"), f"c{docs.columns.index(key)}", f"c{docs.columns.index(text)}", seed)
+    numbers = stored(rows.select(*NUMBERS), "mix")
+    taken = decided(rows.drop("__m"), numbers, most, weights, share)
+    again = taken.withColumn("__n", F.explode(F.expr("array_repeat(0, cast(__copies as int))")))
+    return again.select(*(column.alias(c) for c, column in place.items()))

@@ -5,8 +5,8 @@ to the shard with the least ``-ln(u) / weight``. A new shard wins some rows and
 ones, so only the rows that it wins move. A shard's share of the rows is its share of the weights.
 
 Nulls: a null key is a key of its own (all such rows share one shard). A null text has no bytes. Repeated rows are kept
-and get slots of their own. Extra columns pass through; a clash with a result column is an error for the caller to
-rename, except that ``shard_rows`` drops nothing and adds only the names it is given. An empty table gives no rows.
+and get slots of their own. ``shard_rows`` returns its own columns only; ``placed_rows`` keeps all columns, and where one
+is called shard or slot, the added one gets an underscore. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crmweave.llm.frames import free_name
+
 # Slots are counted in this many parts of each shard, so that no task numbers a whole shard.
 SLOT_PARTS = 4096
 # The hash gives 52 bits, which a double holds exactly.
@@ -76,3 +78,10 @@ def shard_rows(
         shard_of(F.col(key), grown).alias("grown_shard"),
     )
     return with_slots(placed, "shard", key)
+
+
+def placed_rows(docs: DataFrame, shards: int, key: str = "doc_id", weights: Sequence[float] | None = None) -> DataFrame:
+    """All rows with their columns, and ``shard`` and ``slot`` (with underscores where a column has such a name)."""
+    shard = free_name(docs, "shard")
+    placed = docs.withColumn(shard, shard_of(F.col(key), list(weights or [1.0] * shards)))
+    return with_slots(placed, shard, key, free_name(placed, "slot"))
