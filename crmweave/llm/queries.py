@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crmweave.llm import decontaminate, language, licences, mixing, neardup, rules, shards
+from crmweave.llm import decontaminate, language, licences, mixing, neardup, repeats, rules, shards
 from crmweave.llm.frames import table, workers_find_package
 from crmweave.session import configure
 
@@ -112,6 +112,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op8_suffix_repeats")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.cleaned(table(spark, sf_dir, "documents"))
+
+
 @query("op9_near_duplicates")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.linked(table(spark, sf_dir, "documents"))
