@@ -55,6 +55,22 @@ def shingle_sets(piece: Piece, width: int) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.searchsorted(owner, np.arange(len(piece) + 1))
 
 
+def borrowed(own: np.ndarray) -> np.ndarray:
+    """Registers (sets x registers) with the empty ones, -1, filled from others of the set; those of an empty set stay."""
+    full, filled, width = own >= 0, own.copy(), own.shape[1]
+    for donors in _DONORS:
+        open_ = np.flatnonzero((filled < 0).any(axis=1))
+        if not len(open_):
+            return filled
+        donor = donors[:width] % width
+        filled[open_] = np.where((filled[open_] < 0) & full[open_][:, donor], own[open_][:, donor], filled[open_])
+    for i in np.flatnonzero((filled < 0).any(axis=1) & full.any(axis=1)):  # few values: the next register around that has one
+        at = np.flatnonzero(full[i])
+        nearest = at[np.searchsorted(at, np.arange(width)) % len(at)]
+        filled[i] = np.where(filled[i] < 0, own[i, nearest], filled[i])
+    return filled
+
+
 def registers(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Registers (uint16) of each set, sets x REGISTERS; those of an empty set are 0 and not to be used."""
     owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
@@ -68,19 +84,7 @@ def registers(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     code = ((HASH_BITS - np.minimum(bits, HASH_BITS)).astype(np.int64) << MANTISSA) | (rest & ((1 << MANTISSA) - 1))
     out = np.full((len(bounds) - 1) * REGISTERS, -1, np.int64)
     out[cell[first]] = code
-    own = out.reshape(-1, REGISTERS)
-    full, filled = own >= 0, own.copy()
-    for k in range(BORROW_TRIES):
-        if (filled >= 0).all():
-            break
-        donor = _DONORS[k]
-        filled = np.where((filled < 0) & full[:, donor], own[:, donor], filled)
-    left = np.flatnonzero((filled < 0).any(axis=1) & full.any(axis=1))
-    for i in left:  # few shingles: the next bucket around that has one
-        at = np.flatnonzero(full[i])
-        nearest = at[np.searchsorted(at, np.arange(REGISTERS)) % len(at)]
-        filled[i] = np.where(filled[i] < 0, own[i, nearest], filled[i])
-    return np.maximum(filled, 0).astype(np.uint16)
+    return np.maximum(borrowed(out.reshape(-1, REGISTERS)), 0).astype(np.uint16)
 
 
 def profiled(piece: Piece, width: int) -> pa.Array:

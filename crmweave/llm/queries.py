@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crmweave.llm import decontaminate, language, licences, mixing, neardup, repeats, rules, shards
+from crmweave.llm import decontaminate, language, licences, lines, mixing, neardup, repeats, rules, shards
 from crmweave.llm.frames import table, workers_find_package
 from crmweave.session import configure
 
@@ -75,6 +75,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_fuzzy_lines")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.deduplicated(table(spark, sf_dir, "documents"))
+
+
 @query("op6_licences")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.findings(table(spark, sf_dir, "documents"))
