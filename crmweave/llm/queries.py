@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crmweave.llm import decontaminate, language, licences, lines, mixing, neardup, repeats, rules, shards
+from crmweave.llm import decontaminate, language, licences, lines, mixing, neardup, repeats, rules, shards, tokens
 from crmweave.llm.frames import table, workers_find_package
 from crmweave.session import configure
 
@@ -27,6 +27,18 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def vocabulary() -> str:
+    """The byte-level vocabulary of the public tokenizers, which every machine has at the same place."""
+    from public_tokenizers import path
+
+    return str(path("byte_bpe_50k.json"))
+
+
+@query("op1_token_file")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.round_trip(table(spark, sf_dir, "documents"), vocabulary())
+
+
 @query("op2_language")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language.predictions(table(spark, sf_dir, "documents"))
