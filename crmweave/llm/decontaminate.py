@@ -7,7 +7,7 @@ has fewer. Spans of hit words can be removed, or texts dropped, by limits on spa
 Items are taken in blocks of at most BLOCK_WORDS words (or one item), each with an automaton of its own, which bounds
 what a task holds; every block is run against every text, and the hits are united in the row itself.
 
-Nulls: a null text or item has no words, and a null item_id is left out of the ids. Items without words match nothing.
+Nulls: a null text or item has no words; a null item_id counts as an item and is left out of the ids' digest. Items without words match nothing.
 Repeated items count each. Repeated texts are rows of their own. Extra columns pass through; the added column gets a
 free name. Empty tables: without items nothing is hit; without texts there are no rows.
 """
@@ -38,6 +38,10 @@ HITS = StructType(
 )
 
 
+def word_hashes_of(text: str | None) -> np.ndarray:
+    return next(pieces(pa.array([text], pa.large_string()))).words(ALNUM, LOWER).hashes()
+
+
 class Items:
     """A block of items: their automaton, and for each state the items whose windows end with its strings."""
 
@@ -98,13 +102,12 @@ def blocks(items: DataFrame, key: str, text: str, window: int, most: int) -> Ite
     """Items in blocks, streamed to the driver; only one block is there at a time, beside the automata made of them."""
     rows, words = [], 0
     for row in items.select(F.col(key).cast("string").alias("k"), F.col(text).alias("t")).orderBy("k", "t").toLocalIterator():
-        for piece in pieces(pa.array([row["t"]], pa.large_string())):
-            found = piece.words(ALNUM, LOWER)
-            if rows and words + len(found) > most:
-                yield Items(rows, window)
-                rows, words = [], 0
-            rows.append((row["k"], found.hashes()))
-            words += len(found)
+        found = word_hashes_of(row["t"])
+        if rows and words + len(found) > most:
+            yield Items(rows, window)
+            rows, words = [], 0
+        rows.append((row["k"], found))
+        words += len(found)
     yield Items(rows, window)
 
 
@@ -146,14 +149,14 @@ def found_in(piece: Piece, block: Items) -> pa.Array:
 def packed(n_words: np.ndarray, spans: dict[int, list], items: dict[int, set]) -> pa.Array:
     n = len(n_words)
     joined = {i: united(s) for i, s in spans.items()}
-    names = {i: sorted(x for x in s if x is not None) for i, s in items.items()}
+    names = {i: sorted(s, key=lambda x: (x is not None, x)) for i, s in items.items()}
     none = hashlib.sha256(b"").hexdigest()
     hit, n_items = np.zeros(n, np.int64), np.zeros(n, np.int64)
     digest, counts, name_counts = [none] * n, np.zeros(n, np.int64), np.zeros(n, np.int64)
     for i, s in joined.items():
         hit[i], counts[i] = sum(b - a for a, b in s), len(s)
         n_items[i], name_counts[i] = len(items[i]), len(names[i])
-        digest[i] = hashlib.sha256(",".join(names[i]).encode()).hexdigest()
+        digest[i] = hashlib.sha256(",".join(x for x in names[i] if x is not None).encode()).hexdigest()
     flat = np.array([x for i in sorted(joined) for x in joined[i]], np.int64).reshape(-1, 2)
     bounds = np.concatenate([[0], np.cumsum(counts)])
     all_names = pa.array([x for i in sorted(names) for x in names[i]], pa.string())

@@ -1,0 +1,354 @@
+"""Operators over odd rows, clashing columns and empty tables, and queries over the small tables against brute force."""
+
+from collections import defaultdict
+
+import brute
+import pytest
+from pyspark.sql import functions as F
+
+from crmweave.llm import decontaminate, language, licences, lines, mixing, neardup, queries, repeats, rules, shards, tokens
+from crmweave.llm.components import components
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def texts(df):
+    return [(r[0], r[1]) for r in df.select("doc_id", "text").collect()]
+
+
+def by_id(df, *columns):
+    return {r[0]: tuple(r)[1:] for r in df.select("doc_id", *columns).collect()}
+
+
+def together(odd, documents):
+    """The small table's rows and the odd ones; ids of the latter are lowest."""
+    return odd.withColumn("doc_id", F.col("doc_id") - 100).unionByName(documents)
+
+
+@pytest.fixture(scope="module")
+def both(odd, documents):
+    return together(odd, documents).cache()
+
+
+@pytest.fixture(scope="module")
+def items(llm):
+    return llm.read.parquet(f"{SMALL}/benchmark.parquet")
+
+
+# 1 token files
+
+
+def test_token_file(both):
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(queries.vocabulary())
+    got = sorted(tuple(r) for r in tokens.round_trip(both.filter("doc_id is null or doc_id <> 0"), queries.vocabulary()).collect() if r[0] is not None)
+    rows = sorted((r for r in texts(both) if r[0] is not None and r[0] != 0), key=lambda r: r[0])
+    at, want = None, []
+    for i, text in rows:
+        ids = [*model.encode(text or "", add_special_tokens=False).ids, 0]
+        at = got[0][1] if at is None else at
+        want.append((i, at, len(ids), brute.zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids))))
+        at += len(ids)
+    assert got == want
+
+
+def test_token_file_of_nothing(none, clashing):
+    assert tokens.round_trip(none, queries.vocabulary()).collect() == []
+    assert tokens.round_trip(clashing, queries.vocabulary()).count() == clashing.count()
+
+
+def test_a_damaged_block_is_an_error():
+    import numpy as np
+    import pyarrow as pa
+
+    ids = np.arange(40)[None, :]
+    names = ["part", "block", "length", "crc32", "payload", "rows", "keys", "counts", "after"]
+    row = pa.RecordBatch.from_pydict(dict(zip(names, [[0], [0], [40], [1], tokens.encode(ids), [[0]], [[7]], [[40]], [[0]]])))
+    with pytest.raises(ValueError, match="checksum"):
+        tokens.read_blocks(row)
+
+
+# 2 language
+
+
+def test_language(both, documents):
+    got = by_id(language.predictions(both), "held_out", "lang_pred", "score")
+    rows = [r for r in documents.collect()]
+    right = [got[r["doc_id"]][1] == r["lang"] for r in rows if got[r["doc_id"]][0]]
+    assert len(right) > 20 and sum(right) >= 0.95 * len(right)
+    assert {got[i - 100][1] for i in (1, 2, 3, 10)} == {"und"} and got[9 - 100][1] == "ru"
+    assert all(0 <= s <= 1 and h == (brute.zlib.crc32(str(i).encode()) % 5 == 0) for i, (h, _, s) in got.items() if i is not None)
+
+
+def test_language_spans_of_mixed_text(llm, documents):
+    model = language.learn(documents)
+    en, fr = (documents.filter(f"lang = '{x}' and length(text) > 2000").first()["text"][:900] for x in ("en", "fr"))
+    mixed = llm.createDataFrame([(1, f"{en} {fr}")], "doc_id long, text string")
+    found, c = language.identify(mixed, model)
+    assert found.first()[c]["langs"] == ["en", "fr"]
+
+
+def test_language_steps_and_short_cut_agree(documents):
+    import numpy as np
+
+    draw = np.random.default_rng(2)
+    of = np.array([0, 0, 40, 45, 400])
+    scores = draw.normal(0, 6, (400, 3)).astype(np.float32)
+    best = np.array([0, *(int(scores[a:b].sum(axis=0).argmax()) for a, b in ((0, 40), (40, 45), (45, 400)))])
+    for i in np.flatnonzero(language.single(scores, of, best)):
+        if of[i + 1] > of[i]:
+            assert (language.viterbi(scores, of, np.array([i]))[0] == best[i]).all()
+
+
+def test_language_of_nothing(none, clashing, odd):
+    assert language.predictions(none).collect() == []
+    assert language.predictions(clashing).count() == clashing.count()
+    kept = language.in_known_language(clashing, language.learn(odd))
+    assert kept.columns == clashing.columns and 1 not in [r["doc_id"] for r in kept.collect()]
+
+
+# 3 mixing
+
+
+def test_mix(both):
+    rows = mixing.mix(both).collect()
+    size = {(r[0], len(brute.words(r[1]))) for r in texts(both)}
+    assert {(r["doc_id"], r["size"]) for r in rows} == size and len(rows) == both.count()
+    assert sorted(map(tuple, rows), key=repr) == sorted(map(tuple, mixing.mix(both.repartition(7)).collect()), key=repr)
+    source = {r["doc_id"]: r["source"] for r in both.collect()}
+    taken, whole, goal, most = defaultdict(int), defaultdict(int), {}, defaultdict(int)
+    for r in rows:
+        s = source[r["doc_id"]] if r["doc_id"] is not None else "?"
+        assert r["taken"] <= 2 * r["size"]
+        if s == "?":
+            continue
+        taken[s], whole[s], goal[s], most[s] = taken[s] + r["taken"], r["source_size"], r["target"], max(most[s], r["size"])
+    assert all(abs(taken[s] - goal[s]) <= most[s] + 70 for s in goal if s != "a")
+    want = mixing.targets(whole)
+    assert all(goal[s] == pytest.approx(float(want[s])) for s in goal)
+
+
+def test_mixed_rows(both, none, clashing):
+    times = defaultdict(int)
+    for r in mixing.mixed_rows(both).collect():
+        times[r["doc_id"], r["text"]] += 1
+    asked = defaultdict(int)
+    for r in mixing.mix(both).collect():
+        asked[r["doc_id"]] += r["taken"] // r["size"] if r["size"] else 0
+    got = defaultdict(int)
+    for (i, _), n in times.items():
+        got[i] += n
+    assert dict(got) == {i: n for i, n in asked.items() if n}
+    assert mixing.mixed_rows(clashing).columns == clashing.columns
+    assert mixing.mix(none).collect() == [] and mixing.mixed_rows(none).collect() == []
+
+
+def test_mix_of_overlapping_sources(llm):
+    rows = [(i, "w " * 10, ["x"] if i % 2 else ["x", "y"]) for i in range(40)] + [(99, "w", [])]
+    df = llm.createDataFrame(rows, "doc_id long, text string, of array<string>")
+    got = mixing.mix(df, F.col("of"))
+    # Sources have 601 words in all, of which 200 count twice; 150 % of them are more than all texts taken twice.
+    assert got.agg(F.sum("taken")).first()[0] == 2 * 401
+
+
+def test_too_many_patterns(llm, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_PATTERNS", 2)
+    df = llm.createDataFrame([(i, "w", str(i)) for i in range(4)], "doc_id long, text string, source string")
+    with pytest.raises(ValueError, match="patterns"):
+        mixing.mix(df)
+
+
+# 4 rules
+
+
+def test_rules(both):
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    got = by_id(rules.judged(both), *names, "kept", "failed_rule")
+    for i, text in texts(both):
+        if i is not None:
+            assert got[i][:6] == brute.counts(text)
+            assert got[i][6] == (got[i][7] is None)
+
+
+def test_rules_order_changes_no_verdict(both):
+    turned = rules.rules()[::-1]
+    counted = rules.counted(both)
+    verdict = counted.select("doc_id", *(F.coalesce(r.fails, F.lit(True)).alias(r.name) for r in turned)).collect()
+    kept = by_id(rules.judged(both, turned), "kept")
+    assert all(kept[r[0]][0] == (not any(r[1:])) for r in verdict if r[0] is not None)
+
+
+def test_rules_of_nothing(none, clashing):
+    assert rules.judged(none).collect() == []
+    assert rules.judged(clashing).count() == clashing.count()
+
+
+# 5 lines
+
+
+def test_fuzzy_lines(both):
+    got = by_id(lines.deduplicated(both), "n_lines", "n_removed", "removed_lines")
+    assert got == brute.fuzzy_lines(texts(both))
+
+
+def test_fuzzy_lines_in_large_groups(llm):
+    base = [f"part{i}" for i in range(60)]
+    rows = [(k, " ".join([*base[: 10 + k % 50], f"own{k}", *base[10 + k % 50 :]])) for k in range(120)]
+    rows += [(200 + k, " ".join(base[: 40 + k])) for k in range(20)]
+    df = llm.createDataFrame(rows, "doc_id long, text string")
+    assert by_id(lines.deduplicated(df), "n_lines", "n_removed", "removed_lines") == brute.fuzzy_lines(rows)
+
+
+def test_fuzzy_lines_of_nothing(none, clashing):
+    assert lines.deduplicated(none).collect() == []
+    kept = lines.without_lines(clashing)
+    assert kept.columns == clashing.columns and kept.count() == clashing.count()
+    text = {r["doc_id"]: r["text"] for r in kept.collect()}
+    assert text[8].startswith("ONE two\n") and text[7] == "" and text[1] is None
+
+
+# 6 licences
+
+
+def test_licences(both):
+    names = ("n_words", "n_base", "first_word", "last_word", "base_labels")
+    got = by_id(licences.findings(both), *names, "labels", "score")
+    for i, text in texts(both):
+        if i is not None:
+            assert got[i][:5] == brute.base_phrases(text, licences.BASE)
+            assert set(got[i][4].split(",")) <= {*got[i][5].split(","), ""} and 0 <= got[i][6] <= 1
+
+
+def test_licence_templates_are_found_with_changes(llm):
+    text = licences.TEMPLATES[2][1]
+    cut = text.replace("free of charge, to any", "free of charge, in all lands, to any").replace("publish, distribute, ", "")
+    df = llm.createDataFrame([(1, f"x y {text}"), (2, f"{cut} z"), (3, text[:60]), (4, "the license of the software")], "doc_id long, text string")
+    got = by_id(licences.findings(df), "labels", "score", "span_from", "span_to")
+    assert got[1] == ("mit", 1.0, [2], [2 + len(brute.alnum(text))])
+    assert got[2][0] == "mit" and 0.6 <= got[2][1] < 1
+    assert got[3][0] == got[4][0] == ""
+
+
+def test_licences_of_nothing(none, clashing):
+    assert licences.findings(none).collect() == []
+    assert licences.findings(clashing).count() == clashing.count()
+
+
+# 7 decontamination
+
+
+def test_decontamination(both, items, llm):
+    more = llm.createDataFrame([(900, "w3 W4, w5"), (901, None), (902, ""), (None, "w7 w8 w9"), (903, "déjà vu")], "item_id long, text string")
+    all_items = items.select("item_id", "text").unionByName(more)
+    named = [(r[0], r[1]) for r in all_items.collect()]
+    got = by_id(decontaminate.contamination(both, all_items), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    in_blocks = by_id(decontaminate.contamination(both, all_items, block_words=700), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    assert got == in_blocks and sum(g[4] for g in got.values()) > 5
+    for i, text in texts(both):
+        if i is not None and len(text or "") < 20_000:
+            want = brute.hits(text, named)
+            digest = brute.hits(text, [n for n in named if n[0] is not None])[3]
+            assert got[i] == (*want[:3], digest, want[4])
+
+
+def test_contaminated_rows_and_spans_go(clashing, llm):
+    items = llm.createDataFrame([(1, " ".join(f"W{i}" for i in range(20, 35)))], "item_id long, text string")
+    clean = decontaminate.without_contaminated(clashing, items)
+    assert clean.columns == clashing.columns
+    assert {5, 6, 7, 8}.isdisjoint({r["doc_id"] for r in clean.collect()}) and clean.count() == clashing.count() - 6
+    cut = decontaminate.without_spans(clashing, items)
+    text = {r["doc_id"]: r["text"] for r in cut.collect()}
+    assert cut.columns == clashing.columns and text[5].startswith("w0 w1") and "w20" not in text[5] and "w19 \n w35" in text[5]
+    assert text[1] is None and text[2] == ""
+
+
+def test_decontamination_of_nothing(none, odd, items, llm):
+    no_items = llm.createDataFrame([], "item_id long, text string")
+    assert decontaminate.contamination(none, items).collect() == []
+    assert decontaminate.contamination(odd, no_items).filter("contaminated").count() == 0
+
+
+# 8 repeats
+
+
+def test_repeats(both):
+    short = both.filter("text is null or length(text) < 50000")
+    got = sorted((tuple(r) for r in repeats.cleaned(short).collect()), key=repr)
+    assert got == sorted(brute.repeats(texts(short)), key=repr)
+
+
+def test_repeats_of_a_hot_passage(llm):
+    passage = " ".join(f"shared{i}" for i in range(30))
+    rows = [(k, f"before{k} {passage} after{k} " + " ".join(f"own{k}x{i}" for i in range(k % 9))) for k in range(150)]
+    df = llm.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in repeats.cleaned(df).collect())
+    assert got == sorted(brute.repeats(rows))
+
+
+def test_repeats_of_nothing(none, clashing):
+    assert repeats.cleaned(none).collect() == []
+    assert repeats.cleaned(clashing).count() == clashing.count()
+
+
+# 9 near copies
+
+
+def test_near_duplicates(both):
+    got = by_id(neardup.linked(both), "n_shingles", "component_id", "kept")
+    want = brute.near(texts(both))
+    assert {i: g for i, g in got.items() if i is not None} == want
+
+
+def test_near_duplicates_that_miss_the_first_of_their_group(llm):
+    base = [f"s{i}" for i in range(100)]
+    rows = []
+    for k in range(60):  # a chain: each is near the next, few are near the first
+        rows.append((k, " ".join([*base[k:], *(f"t{i}" for i in range(k))])))
+    df = llm.createDataFrame(rows, "doc_id long, text string")
+    assert by_id(neardup.linked(df), "n_shingles", "component_id", "kept") == brute.near(rows)
+
+
+def test_one_of_each_group_stays(clashing, none):
+    left = neardup.without_near_copies(clashing)
+    ids = [r["doc_id"] for r in left.collect()]
+    assert left.columns == clashing.columns and sorted(i for i in ids if i is not None) == [-3, 1, 2, 3, 4, 5, 9, 10, 11, 12, 13, 14, 8] or 7 not in ids
+    assert ids.count(6) == 0 and ids.count(5) == 1 and ids.count(None) == 2
+    assert neardup.linked(none).collect() == [] and neardup.without_near_copies(none).collect() == []
+
+
+def test_components(llm):
+    links = [(i, i + 1) for i in range(30)] + [(100, 50), (50, 70), (70, 100), (5, 5)]
+    got = {tuple(r) for r in components(llm.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {(i, 0) for i in range(31)} | {(i, 50) for i in (50, 70, 100)}
+    assert components(llm.createDataFrame([], "a long, b long")).collect() == []
+
+
+# 10 shards
+
+
+def test_shards(both):
+    rows = shards.shard_rows(both, 16).collect()
+    assert len(rows) == both.count()
+    slots = defaultdict(list)
+    for r in rows:
+        slots[r["shard"]].append(r["slot"])
+        assert r["grown_shard"] in (r["shard"], 16) and 0 <= r["shard"] < 16
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    got = {(r["doc_id"], r["size"], r["text_crc32"]) for r in rows}
+    assert got == {(i, len((t or "").encode()) + 1, brute.crc(t)) for i, t in texts(both)}
+    assert len({(r["doc_id"], r["shard"]) for r in rows}) == len({r["doc_id"] for r in rows})
+
+
+def test_shards_by_weight(llm):
+    df = llm.range(6000).withColumnRenamed("id", "doc_id").select("doc_id", shards.shard_of(F.col("doc_id"), {3: 1.0, 8: 3.0}).alias("s"))
+    n = {r[0]: r[1] for r in df.groupBy("s").count().collect()}
+    assert 0.7 < n[8] / 6000 < 0.8 and n[3] + n[8] == 6000
+    with pytest.raises(ValueError, match="weights"):
+        shards.shard_of(F.col("doc_id"), [1.0, 0.0])
+
+
+def test_placed_rows(clashing, none):
+    placed = shards.placed_rows(clashing, 4)
+    assert placed.columns == [*clashing.columns, "shard_", "slot_"] and placed.count() == clashing.count()
+    assert shards.placed_rows(none, 4).collect() == []
