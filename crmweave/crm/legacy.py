@@ -229,6 +229,9 @@ DEPENDENCY_ORDER = (
 RELATIONSHIPS = (
     Relationship("address", "Addr_CompanyId", "company", "Comp_CompanyId"),
     Relationship("address", "Addr_PersonId", "person", "Pers_PersonId"),
+    Relationship("company", "Comp_PrimaryAddressId", "address", "Addr_AddressId"),
+    Relationship("person", "Pers_PrimaryAddressId", "address", "Addr_AddressId"),
+    Relationship("communication", "Comm_CaseId", "case", "Case_CaseId"),
     Relationship("person", "Pers_CompanyId", "company", "Comp_CompanyId"),
     Relationship("opportunity", "Oppo_PrimaryCompanyId", "company", "Comp_CompanyId"),
     Relationship("opportunity", "Oppo_PrimaryPersonId", "person", "Pers_PersonId"),

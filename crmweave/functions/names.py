@@ -10,13 +10,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+# A word is a run of capitals before another word, a word with or without a first capital, or a number.
+WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[^\W\dA-Z_]+|\d+")
+
+
 def snake_name(name: str) -> str:
-    """``[Case_CaseId]`` -> ``case_id``: no brackets, no repeated prefix, snake case."""
-    name = re.sub(r"[\[\]]", "", name)
-    prefix, _, rest = name.partition("_")
-    if rest.startswith(prefix) and rest:
-        name = rest
-    return re.sub(r"([a-z])([A-Z])", r"\1_\2", name).lower()
+    """``[Case_CaseId]`` -> ``case_id``: the words of a name, without a table prefix that the next word repeats.
+
+    A number stays with the word before it.
+    """
+    words: list[str] = []
+    for part in re.split(r"[^\w]+|_", name):
+        own: list[str] = []
+        for word in WORD.findall(part):
+            if own and word.isdigit():
+                own[-1] += word
+            else:
+                own.append(word.lower())
+        words += own
+    return "_".join(words[1:] if len(words) > 1 and words[0] == words[1] else words)
 
 
 def with_snake_names(df: DataFrame) -> DataFrame:

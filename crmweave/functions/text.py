@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -55,3 +57,26 @@ def contains_ci(value: Column | str, text: str) -> Column:
 
 def email_valid(value: Column | str) -> Column:
     return F.coalesce(as_column(value).rlike(EMAIL_PATTERN), F.lit(False))
+
+
+def escaped(df: DataFrame) -> DataFrame:
+    """Text columns with backslashes doubled and line breaks as ``\\n`` and ``\\r``, so that a value has one line."""
+    return _text_columns(df, lambda c: F.replace(F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r")))
+
+
+def unescaped(df: DataFrame) -> DataFrame:
+    """The values that ``escaped`` was given."""
+    # A doubled backslash is set aside as a character that no text holds (U+FFFF is not one).
+    aside = F.lit("\uffff")
+
+    def undo(c: Column) -> Column:
+        c = F.replace(c, F.lit("\\\\"), aside)
+        c = F.replace(F.replace(c, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+        return F.replace(c, aside, F.lit("\\"))
+
+    return _text_columns(df, undo)
+
+
+def _text_columns(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
+    text = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    return df.select(*(change(F.col(f"`{c}`")).alias(c) if c in text else F.col(f"`{c}`") for c in df.columns))

@@ -89,14 +89,13 @@ def upsert(
     A known key takes only ``update_columns`` from the incoming row and keeps its
     other values; a new key takes everything.  ``arrival`` orders several incoming
     rows of one key, applied as if one after the other: head values from the first,
-    updated columns from the last.  Without it incoming keys must be unique.  Rows
-    without a key are not stored.
+    updated columns from the last.  Without it one of the incoming rows of a key, the same in
+    every run, is taken whole.  Rows without a key are not stored.
     """
     keys = _checked(keys)
     for key in keys:
         incoming = incoming.where(F.col(key).isNotNull())
-    if arrival is not None:
-        incoming = fold(incoming, keys, update_columns, arrival)
+    incoming = one_of_each(incoming, keys) if arrival is None else fold(incoming, keys, update_columns, arrival)
 
     left = current.select(*(F.col(c).alias(f"cur_{c}") for c in current.columns), F.lit(True).alias("cur__"))
     right = incoming.select(*(F.col(c).alias(f"inc_{c}") for c in incoming.columns), F.lit(True).alias("inc__"))
@@ -118,6 +117,13 @@ def upsert(
     )
 
 
+def one_of_each(incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One whole row of each key, by a hash of content, so that it does not depend on their order."""
+    hashed = [f.name for f in incoming.schema.fields if "map<" not in f.dataType.simpleString()]
+    maps = [F.to_json(c) for c in incoming.columns if c not in hashed]
+    return fold(incoming, list(keys), (), F.struct(F.xxhash64(*hashed, *maps), *hashed, *maps))
+
+
 def fold(
     incoming: DataFrame, keys: list[str], update_columns: Sequence[str], arrival: Arrival
 ) -> DataFrame:

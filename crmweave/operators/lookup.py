@@ -1,16 +1,8 @@
 """Equi joins of a large table with a lookup, safe against hot keys.
 
-Who keeps a hot key from gathering in one task:
-
-* Adaptive execution, where the session lets it split skewed joins.  It sees the real
-  shuffle sizes, splits the rows of a hot partition over tasks and needs no pass of
-  its own.  ``crmweave.session.configure`` turns this on.
-* Nobody, where it cannot matter: the large side reads so little that one task could
-  take all of it, or Catalyst estimates the lookup below its broadcast threshold, so
-  that the large side does not shuffle.
-* Salting, in every other case: the large side gets a salt for rows of hot keys, and
-  the lookup rows of exactly those keys are repeated once per salt.  Rows with a NULL
-  key, which match nothing, are spread as well.
+Adaptive execution sees the real shuffle sizes and splits the rows of a hot partition
+over tasks, which needs settings that ``crmweave.session.configure`` applies.  A join
+without them would let a hot key gather in one task, so it is refused.
 """
 
 from __future__ import annotations
@@ -20,187 +12,53 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crmweave.session import input_bytes
-
-# A key is hot from this many rows on; each salt then takes about as many rows.
-ROWS_PER_TASK = 1_000_000
-# So many keys at most are treated as hot, the largest first.  This bounds the
-# broadcast table of hot keys; a key beyond it holds less than 1/100,000 of all rows
-# and is joined like any other.
-MAX_HOT_KEYS = 100_000
-# Below this much input no key can overload a task, so none is looked for.
-SMALL_INPUT_BYTES = 1 << 30
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the optimised plan (no job is run)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Catalyst would broadcast the frame by its own threshold."""
-    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return 0 <= estimated_bytes(df) <= threshold
-
-
-def splits_skew(spark: SparkSession) -> bool:
-    """Whether adaptive execution splits skewed joins, also before a further operator."""
-    settings = (
-        "spark.sql.adaptive.enabled",
-        "spark.sql.adaptive.skewJoin.enabled",
-        "spark.sql.adaptive.forceOptimizeSkewedJoin",
-    )
-    return all(spark.conf.get(name) == "true" for name in settings)
-
-
-def reads_little(df: DataFrame) -> bool:
-    """Whether all the sources below a frame together are small.
-
-    The estimate of a joined plan is the product of its sides and says nothing about
-    its rows; the sum over the leaves does, as lookups do not add rows.
-    """
-    return input_bytes(df) < SMALL_INPUT_BYTES
-
-
-def hot_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    rows_per_task: int = ROWS_PER_TASK,
-    max_keys: int = MAX_HOT_KEYS,
-) -> DataFrame:
-    """Keys holding many rows, with the number of salts each deserves.
-
-    Reads the key columns only and combines counts before the shuffle.  Which keys
-    are taken is fully determined by the data, as both sides of a join rely on it.
-    """
-    rows = F.col("__rows")
-    counts = df.select(*keys).where(_all_present(keys)).groupBy(*keys).agg(F.count("*").alias("__rows"))
-    largest = counts.where(rows >= rows_per_task).orderBy(rows.desc(), *keys).limit(max_keys)
-    return largest.select(*keys, F.ceil(rows / F.lit(rows_per_task)).cast("int").alias("__salts"))
-
+SKEW_SETTINGS = (
+    "spark.sql.adaptive.enabled",
+    "spark.sql.adaptive.skewJoin.enabled",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin",
+)
 
-def _all_present(keys: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & F.col(key).isNotNull()
-    return condition
-
-
-def _salted(
-    df: DataFrame,
-    keys: Sequence[str],
-    own: DataFrame | None,
-    other: DataFrame | None,
-    own_salt: str,
-    other_salt: str,
-    null_salts: int = 1,
-) -> DataFrame:
-    """Spread a side over its own hot keys, and repeat it over the other side's."""
-    if own is None:
-        df = df.withColumn(own_salt, F.lit(0))
-    else:
-        # The salt depends on the row and on the task that holds it, both of which are
-        # the same when a lost task runs again; exact copies still spread over tasks.
-        hashed = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-        spread = F.xxhash64(F.spark_partition_id(), *(F.col(f"`{c}`") for c in hashed))
-        salts = F.when(_all_present(keys), F.coalesce("__salts", F.lit(1))).otherwise(F.lit(null_salts))
-        df = (
-            df.withColumn("__spread", spread)
-            .join(F.broadcast(own), list(keys), "left")
-            .withColumn(own_salt, F.pmod(F.col("__spread"), salts.cast("bigint")).cast("int"))
-            .drop("__salts", "__spread")
-        )
-    if other is None:
-        return df.withColumn(other_salt, F.lit(0))
-    every = F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1)
-    return (
-        df.join(F.broadcast(other), list(keys), "left")
-        .withColumn(other_salt, F.explode(every))
-        .drop("__salts")
-    )
 
+def need_skew_splitting(spark: SparkSession) -> None:
+    """Raise where adaptive execution may not split skewed joins, also before a further operator."""
+    if off := [name for name in SKEW_SETTINGS if spark.conf.get(name) != "true"]:
+        raise ValueError(f"{', '.join(off)} must be true; crmweave.session.configure sets them")
 
-def _harmless(large: DataFrame, lookup: DataFrame, how: str) -> bool:
-    """Whether a plain join leaves no key to gather in one task."""
-    if splits_skew(large.sparkSession) or large.isStreaming:
-        return True
-    if reads_little(large) and (how != "inner" or reads_little(lookup)):
-        return True
-    return fits_broadcast(lookup) or (how == "inner" and fits_broadcast(large))
 
-
-def lookup_join(
-    large: DataFrame,
-    lookup: DataFrame,
-    keys: Sequence[str],
-    how: str = "left",
-    rows_per_task: int | None = None,
-    null_salts: int = 1024,
-    force_salt: bool = False,
-    hot_from: DataFrame | None = None,
-) -> DataFrame:
-    """Join on equally named key columns; ``how`` is left, inner, left_semi or left_anti.
-
-    The large side may repeat keys without limit.  For an inner join the lookup may
-    do so too: a pair of hot groups is then cut into a grid of tasks.  ``hot_from``
-    is a frame with the same distribution of keys that is cheaper to read than the
-    large side, usually the table a chain of lookups started from.
-    """
+def lookup_join(large: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join on equally named key columns; ``how`` is left, inner, left_semi or left_anti."""
+    need_skew_splitting(large.sparkSession)
     keys = list(keys)
     if how in ("left_semi", "left_anti"):
         lookup = lookup.select(*keys).distinct()
-    source = large if hot_from is None else hot_from
-    if not force_salt and _harmless(source, lookup, how):
-        return large.join(lookup, keys, how)
-
-    rows_per_task = rows_per_task or ROWS_PER_TASK
-    hot = hot_keys(source, keys, rows_per_task)
-    hot_lookup = hot_keys(lookup, keys, rows_per_task) if how == "inner" else None
-    left = _salted(large, keys, hot, hot_lookup, "__salt", "__salt2", null_salts)
-    right = _salted(lookup, keys, hot_lookup, hot, "__salt2", "__salt")
-    return left.join(right, [*keys, "__salt", "__salt2"], how).drop("__salt", "__salt2")
+    return large.join(lookup, keys, how)
 
 
 def left_lookup(
-    large: DataFrame,
-    lookup: DataFrame,
-    on: Sequence[tuple[str, str]],
-    columns: dict[str, Column | str],
-    hot_from: DataFrame | None = None,
-    **options: object,
+    large: DataFrame, lookup: DataFrame, on: Sequence[tuple[str, str]], columns: dict[str, Column | str]
 ) -> DataFrame:
     """Left join that adds ``columns`` (output name -> lookup column or expression).
 
-    In a chain of lookups, give the first table as ``hot_from``; otherwise the search
-    for hot keys would repeat the joins made so far.
+    The condition is on the large side's own columns, so Spark knows how its rows lie
+    and a further lookup by the same key needs no shuffle of them.
     """
+    need_skew_splitting(large.sparkSession)
     keys = [f"__key{i}" for i in range(len(on))]
     right = lookup.select(
         *(F.col(k).alias(key) for key, (_, k) in zip(keys, on)),
         *((F.col(c) if isinstance(c, str) else c).alias(name) for name, c in columns.items()),
     )
-
-    def keyed(df: DataFrame) -> DataFrame:
-        return df.withColumns({key: F.col(c) for key, (c, _) in zip(keys, on)})
-
-    # The size is looked at on the frame as given: in a chain that is one and the same
-    # frame, which is then optimised once.
-    source = large if hot_from is None else hot_from
-    if not options.get("force_salt") and _harmless(source, right, "left"):
-        return keyed(large).join(right, keys, "left").drop(*keys)
-    options["force_salt"] = True
-    joined = lookup_join(keyed(large), right, keys, "left", hot_from=keyed(source).select(*keys), **options)
-    return joined.drop(*keys)
+    joined = large.alias("__large").join(right.alias("__right"), [F.col(f"__large.{c}") == F.col(key) for key, (c, _) in zip(keys, on)], "left")
+    return joined.select(*(F.col(f"__large.`{c}`") for c in large.columns), *(F.col(f"__right.`{name}`") for name in columns))
 
 
-def with_group_count(df: DataFrame, key: str, name: str, **options: object) -> DataFrame:
+def with_group_count(df: DataFrame, key: str, name: str) -> DataFrame:
     """Attach the size of its group to every row.
 
     A window would gather each group in one task.  Here the counts are combined
     before the shuffle and joined back, and a join can split a hot group.  Rows with
     a NULL key form one group, as in SQL.
     """
-    null, text = F.col(key).isNull(), F.coalesce(F.col(key).cast("string"), F.lit(""))
-    keyed = df.withColumns({"__null": null, "__text": text})
-    counts = keyed.groupBy("__null", "__text").agg(F.count("*").alias(name))
-    return lookup_join(keyed, counts, ["__null", "__text"], "left", **options).drop("__null", "__text")
+    need_skew_splitting(df.sparkSession)
+    counts = df.groupBy(F.col(key).alias("__group")).agg(F.count("*").alias(name))
+    return df.join(counts, F.col(key).eqNullSafe(F.col("__group")), "left").drop("__group")

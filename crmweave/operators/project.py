@@ -12,6 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crmweave.functions.keys import canonical_key
 from crmweave.functions.columns import is_filled
 from crmweave.functions.dates import literal_time
 from crmweave.functions.payload import legacy_column
@@ -59,7 +60,6 @@ def add_lookup(
     tables: Tables,
     lookup: Lookup,
     fan_out: bool = False,
-    hot_from: DataFrame | None = None,
     aliases: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """Join one lookup; with ``pick`` it is reduced to one row per key beforehand."""
@@ -74,7 +74,7 @@ def add_lookup(
         if found is not None:
             columns[out] = found
     on = [(find_column(b, df.columns, aliases) or b, key) for b, key in lookup.on]
-    return left_lookup(df, right, on, columns, hot_from)
+    return left_lookup(df, right, on, columns)
 
 
 def project_entity(
@@ -112,9 +112,8 @@ def project_entity(
 
     looked_up: list[str] = []
     df, lookups = _make_room(df, spec, {c for c in found.values() if c})
-    start = df
     for lookup in lookups:
-        df = add_lookup(df, tables, lookup, fan_out, start, spec.aliases)
+        df = add_lookup(df, tables, lookup, fan_out, spec.aliases)
         looked_up += [c for c in lookup.columns if c in df.columns]
     if not early:
         df = filter_rows(df, condition)
@@ -246,7 +245,7 @@ def party_lookup(company: DataFrame, person: DataFrame) -> DataFrame:
             for n in names
         ]
         return df.select(
-            F.lit(kind).alias("Party_Kind"), F.col(key).cast("bigint").alias("Party_Id"), *columns
+            F.lit(kind).alias("Party_Kind"), canonical_key(key).try_cast("bigint").alias("Party_Id"), *columns
         )
 
     return party(company, COMPANY_KIND, "Comp_CompanyId").unionByName(
@@ -284,6 +283,5 @@ def auto_join(
             tables[parent],
             [("__link", link.key)],
             {f"{parent}_{c}": c for c in names},
-            tables[base].withColumn("__link", child_key),
         ).drop("__link")
     return df.select(*(F.col(c.replace(".", "_")) for c in columns))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, MapType
 
+from crmweave.functions.keys import canonical_key
 from crmweave.functions.columns import share
 from crmweave.functions.payload import legacy_column
 from crmweave.specs import ObjectMap, Relationship
@@ -145,39 +146,42 @@ def find_columns(df: DataFrame, pattern: str = CONTACT_NAMES) -> DataFrame:
 def check_relationships(tables: Mapping[str, DataFrame], links: Sequence[Relationship]) -> DataFrame:
     """Per foreign key: rows, missing keys, orphans and cardinality.
 
-    Each child table is read once for all its keys, and each parent once for all
-    links to it; one join then answers for every link.  Children are counted per key
-    before the join, so a parent with very many children costs one row.
+    Each child table is read once for all its keys, and each parent once for each of its
+    key columns, whatever number of links lead to it; one join then answers for every
+    link.  Children are counted per key before the join, so a parent with very many
+    children costs one row.  Keys are compared in their canonical form, text or number.
     """
     known = [(n, link) for n, link in enumerate(links) if link.child in tables and link.parent in tables]
     if not known:
         raise ValueError("none of the links has both its tables")
 
-    def keys(table: str, side: str) -> DataFrame:
+    ends = list(dict.fromkeys((link.parent, link.key) for _, link in known))
+
+    def children(table: str) -> DataFrame:
         entries = []
         for n, link in known:
-            if getattr(link, side) != table:
-                continue
-            key = F.col(link.column if side == "child" else link.key).cast("bigint")
-            entry = F.struct(F.lit(n).alias("link"), key.alias("key"))
-            if side == "child" and link.kind:
-                entry = F.when(F.col(link.kind[0]) == F.lit(link.kind[1]), entry)
-            entries.append(entry)
+            if link.child == table:
+                entry = F.struct(
+                    F.lit(n).alias("link"), F.lit(ends.index((link.parent, link.key))).alias("end"),
+                    canonical_key(link.column).alias("key"),
+                )
+                entries.append(F.when(F.col(link.kind[0]) == F.lit(link.kind[1]), entry) if link.kind else entry)
         # Entries of another kind are NULL and dropped.
         return tables[table].select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
 
-    def everywhere(side: str) -> DataFrame:
-        frames = [keys(t, side) for t in dict.fromkeys(getattr(link, side) for _, link in known)]
-        return reduce(DataFrame.unionByName, frames)
-
-    counts = everywhere("child").groupBy("link", "key").agg(F.count("*").alias("n"))
-    parents = everywhere("parent").distinct().withColumn("known", F.lit(True))
+    counts = reduce(DataFrame.unionByName, map(children, dict.fromkeys(link.child for _, link in known)))
+    counts = counts.groupBy("end", "key", "link").agg(F.count("*").alias("n"))
+    parents = reduce(
+        DataFrame.unionByName,
+        (tables[t].select(F.lit(i).alias("end"), canonical_key(k).alias("key")) for i, (t, k) in enumerate(ends)),
+    )
+    parents = parents.distinct().withColumn("known", F.lit(True))
     present = F.col("key").isNotNull()
 
     def total(condition: Column) -> Column:
         return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
 
-    found = counts.join(parents, ["link", "key"], "left").groupBy("link").agg(
+    found = counts.join(parents, ["end", "key"], "left").groupBy("link").agg(
         total(F.lit(True)).alias("rows"),
         total(~present).alias("null_keys"),
         total(present & F.col("known").isNull()).alias("orphans"),
@@ -220,17 +224,23 @@ def linkage_report(
     nothing.
     """
     result = None
-    for entity, key, looked_up in links:
-        row = entities[entity].agg(
-            F.count("*").alias("rows"),
-            F.count(key).alias("with_key"),
-            F.count(looked_up).alias("resolved"),
-            F.count(F.when(F.col(key).isNotNull() & F.col(looked_up).isNull(), 1)).alias("orphans"),
-        ).select(
-            F.lit(entity).alias("entity"), F.lit(key).alias("key_column"),
-            F.lit(looked_up).alias("looked_up"), "rows", "with_key", "resolved", "orphans",
-        )
-        result = row if result is None else result.unionByName(row)
+    for entity in dict.fromkeys(e for e, _, _ in links):
+        totals, entries = [F.count("*").alias("rows")], []
+        for i, (key, looked_up) in enumerate((k, c) for e, k, c in links if e == entity):
+            totals += [
+                F.count(key).alias(f"k{i}"), F.count(looked_up).alias(f"r{i}"),
+                F.count(F.when(F.col(key).isNotNull() & F.col(looked_up).isNull(), 1)).alias(f"o{i}"),
+            ]
+            entries.append(
+                F.struct(
+                    F.lit(entity).alias("entity"), F.lit(key).alias("key_column"), F.lit(looked_up).alias("looked_up"),
+                    F.col("rows"), F.col(f"k{i}").alias("with_key"), F.col(f"r{i}").alias("resolved"),
+                    F.col(f"o{i}").alias("orphans"),
+                )
+            )
+        # One pass over an entity for all its links.
+        part = entities[entity].agg(*totals).select(F.inline(F.array(*entries)))
+        result = part if result is None else result.unionByName(part)
     return result
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, FractionalType, LongType, NumericType, StructField, StructType
+from pyspark.sql.types import (
+    DataType, DatetimeType, FractionalType, LongType, NumericType, StringType, StructField, StructType,
+)
 
 from crmweave.crm.staging import head_columns, staging_schema
 from crmweave.functions.dates import literal_time
@@ -63,7 +65,7 @@ def match(legacy: DataFrame, target: DataFrame, mapping: ObjectMap, limit: int |
 def match_direct(target: DataFrame, mapping: ObjectMap) -> DataFrame:
     """Ids of target rows that already carry a crosswalk id; no legacy rows are needed."""
     return target.where(F.col(mapping.crosswalk).isNotNull()).select(
-        F.col(mapping.crosswalk).alias("legacy_id"), F.col(mapping.target_id).alias("target_id")
+        canonical_key(mapping.crosswalk).alias("legacy_id"), F.col(mapping.target_id).alias("target_id")
     )
 
 
@@ -73,15 +75,27 @@ def unmatched(legacy: DataFrame, target: DataFrame, mapping: ObjectMap) -> DataF
     return lookup_join(legacy_side(legacy, mapping), keys, [KEY], "left_anti").drop(KEY)
 
 
-def _normal(value: Column, own: DataType, other: DataType) -> Column:
-    """Value in the form in which both sides are compared; blank text is NULL."""
-    if isinstance(own, NumericType) and isinstance(other, NumericType):
-        if isinstance(own, FractionalType) or isinstance(other, FractionalType):
-            return value.cast("decimal(38,6)")
-        return value.cast("bigint")
+def _text(value: Column) -> Column:
     return F.nullif(F.trim(value.cast("string")), F.lit(""))
 
 
+def _same(left: Column, lt: DataType, right: Column, rt: DataType) -> Column:
+    """Whether both sides hold the same value; blank text is NULL.
+
+    Against a number, text counts as the number it spells; against a time, as the time it spells. Text that spells
+    none is compared as text.
+    """
+    kinds = (lt, rt)
+    if all(isinstance(t, NumericType) for t in kinds):
+        form = "decimal(38,6)" if any(isinstance(t, FractionalType) for t in kinds) else "bigint"
+        return left.cast(form).eqNullSafe(right.cast(form))
+    as_text = _text(left).eqNullSafe(_text(right))
+    for kind, form in ((NumericType, "decimal(38,6)"), (DatetimeType, "timestamp")):
+        if any(isinstance(t, kind) for t in kinds) and any(isinstance(t, StringType) for t in kinds):
+            return F.coalesce(_text(left).try_cast(form) == _text(right).try_cast(form), as_text)
+    return as_text
+
+
 def _comparable(schema: StructType, field: FieldMap) -> bool:
     return f"leg_{field.legacy}" in schema.names and f"tgt_{field.target}" in schema.names
 
@@ -93,8 +107,7 @@ def differing_fields(schema: StructType, mapping: ObjectMap) -> Column:
         if _comparable(schema, field):
             left, right = f"leg_{field.legacy}", f"tgt_{field.target}"
             lt, rt = schema[left].dataType, schema[right].dataType
-            same = _normal(F.col(left), lt, rt).eqNullSafe(_normal(F.col(right), rt, lt))
-            tests.append(F.when(~same, F.lit(field.target)))
+            tests.append(F.when(~_same(F.col(left), lt, F.col(right), rt), F.lit(field.target)))
     if not tests:
         return F.array().cast("array<string>")
     return F.array_compact(F.array(*tests))
@@ -124,6 +137,7 @@ def reconcile(
     numeric_id = F.col(KEY).try_cast("bigint")
     return joined.withColumn("conflict_fields", conflicts).select(
         numeric_id.alias("legacy_id"),
+        F.col(KEY).alias("legacy_key"),
         F.col("target_id"),
         *(F.col(c) for c in joined.columns if c.startswith(("leg_", "tgt_"))),
         update_map(joined.schema, mapping, transforms, prefix="leg_").alias("properties_to_update"),
@@ -196,6 +210,13 @@ def _stored(value: Column, field: StructField) -> Column:
     return value.cast(field.dataType)
 
 
+def rejected(reconciled: DataFrame) -> DataFrame:
+    """Rows that cannot be staged, as their id is no number: the legacy properties as JSON."""
+    return reconciled.where(F.col("reconciliation_status") == "error").select(
+        "legacy_key", F.to_json(_legacy_properties(reconciled.schema)).alias("legacy_properties")
+    )
+
+
 def run_stats(reconciled: DataFrame, object_type: str) -> DataFrame:
     """One row: how many legacy rows there were and what became of them."""
     status = F.col("reconciliation_status")
@@ -215,10 +236,12 @@ def run_stats(reconciled: DataFrame, object_type: str) -> DataFrame:
     )
 
 
-def update_export(staged: DataFrame, target_key: str) -> DataFrame:
-    """Rows to update in the target, with the payload as JSON."""
+def update_export(
+    staged: DataFrame, target_key: str, statuses: Sequence[str] = ("matched", "conflict")
+) -> DataFrame:
+    """Rows to update in the target, with the payload as JSON; those that differ are the ones that need it."""
     return staged.where(
-        (F.col("reconciliation_status") == "matched") & F.col(target_key).isNotNull()
+        F.col("reconciliation_status").isin(*statuses) & F.col(target_key).isNotNull()
     ).select(target_key, F.to_json("properties_to_update").alias("properties_to_update"))
 
 

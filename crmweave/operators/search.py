@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crmweave.crm.target import crosswalk_column, object_type_of
+from crmweave.functions.keys import canonical_key
+from crmweave.functions.names import resolve_column
 from crmweave.functions.text import contains_ci
 from crmweave.operators.lookup import left_lookup
 
@@ -78,10 +80,13 @@ def search(
     table: DataFrame,
     object_type: str,
     crosswalk: str | None = None,
-    limit: int = DEFAULT_LIMIT,
+    limit: int | None = DEFAULT_LIMIT,
     **parameters: object,
 ) -> DataFrame:
-    """Rows with a crosswalk id that satisfy any of the given parameters."""
+    """Rows with a crosswalk id that satisfy any of the given parameters; all of them with ``limit=None``.
+
+    A returned column that the table has under a like name keeps the name given in ``SEARCHES``.
+    """
     kind = object_type_of(object_type)
     spec = SEARCHES[kind]
     crosswalk = crosswalk or crosswalk_column(kind)
@@ -102,17 +107,17 @@ def search(
     found = table.where(F.col(crosswalk).isNotNull())
     if clauses:
         found = found.where(reduce(lambda a, b: a | b, clauses))
-    wanted = [c for c in (*spec.columns, crosswalk) if c in table.columns]
-    return found.select(*wanted).orderBy(KEY).limit(limit)
+    known_as = {c: resolve_column(c, table.columns) for c in (*spec.columns, crosswalk)}
+    found = found.select(*(F.col(actual).alias(c) for c, actual in known_as.items() if actual)).orderBy(KEY)
+    return found if limit is None else found.limit(limit)
 
 
 def _carries(crosswalk: str, legacy_id: object) -> Column:
-    """Whether a row carries an id, as written or with the ``.0`` of a float.
+    """Whether a row carries an id, padded or through a float as it may be.
 
-    Plain equality reaches the scan; normalising the column would read every row.
+    This reads the column of every row. Where point lookups matter, store ``canonical_key`` as a column and name that.
     """
-    text = str(legacy_id).strip().removesuffix(".0")
-    return F.col(crosswalk).isin(text, f"{text}.0")
+    return canonical_key(crosswalk) == F.lit(str(legacy_id).strip().removesuffix(".0"))
 
 
 def lookup_by_legacy_id(

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from crmweave.crm.legacy import DEPENDENCY_ORDER, ENTITIES
 from crmweave.operators.contact import with_contact
 from crmweave.operators.keyed import first_wins
-from crmweave.operators.project import project_entity, scan_target, stamp_provenance
+from crmweave.operators.project import party_lookup, project_entity, scan_target, stamp_provenance
 from crmweave.operators.quality import compare_columns
 from crmweave.sources.writers import write_bronze, write_snapshot
 from crmweave.specs import EntitySpec
@@ -44,7 +44,7 @@ def extract_entities(
     names: Sequence[str] | None = None,
     conditions: Mapping[str, Column | str] | None = None,
     limit: int | None = None,
-    unique: bool = False,
+    unique: bool = True,
     fmt: str = "parquet",
     specs: Mapping[str, EntitySpec] = ENTITIES,
     parallel: int = 1,
@@ -52,12 +52,15 @@ def extract_entities(
     """Extract entities in dependency order; a failing one does not stop the rest.
 
     ``unique`` keeps one row per key, which costs a shuffle, and counts what it
-    dropped.  ``parallel`` jobs are submitted at a time, so that one entity can use
+    dropped.  Where the sources hold companies and persons but no ``party``, which the
+    polymorphic links look up, it is made of them.  ``parallel`` jobs are submitted at a time, so that one entity can use
     the executors another one's last tasks leave idle.
     """
     chosen = set(names or specs)
     if unknown := chosen - set(specs):
         raise ValueError(f"unknown entities {sorted(unknown)}; known: {sorted(specs)}")
+    if "party" not in tables and {"company", "person"} <= set(tables):
+        tables = {**tables, "party": party_lookup(tables["company"], tables["person"])}
     order = [n for n in DEPENDENCY_ORDER if n in chosen] + sorted(chosen - set(DEPENDENCY_ORDER))
 
     def extract(name: str) -> EntityResult:
@@ -81,6 +84,8 @@ def _extract_entity(
 ) -> EntityResult:
     """One job: rows are counted while they are written."""
     seen, kept = Observation(), Observation()
+    if missing := sorted({spec.source, *(x.source for x in spec.lookups)} - set(tables)):
+        return EntityResult(spec.name, "error", error=f"lacks table {', '.join(missing)}")
     try:
         df = project_entity(tables, spec, condition, limit)
         df = df.observe(seen, F.count(F.lit(1)).alias("n"))
@@ -90,49 +95,39 @@ def _extract_entity(
         df = df.observe(kept, F.count(F.lit(1)).alias("n"))
         write_bronze(stamp_provenance(df, extracted_at, spec.source), path, fmt)
         return EntityResult(spec.name, "success", seen.get["n"], kept.get["n"], path)
-    except (PySparkException, KeyError, ValueError) as error:
+    except (PySparkException, ValueError) as error:
         log.warning("extraction of %s failed: %s", spec.name, error)
         return EntityResult(spec.name, "error", error=str(error).splitlines()[0])
 
 
+@dataclass(frozen=True)
+class SnapshotResult(EntityResult):
+    """``status`` is success, no_data or error; ``columns`` compares the table with its specification."""
+
+    columns: Mapping[str, object] | None = None
+
+
 def extract_and_save(
-    table: DataFrame,
-    spec: EntitySpec,
-    out_dir: str,
-    taken_at: datetime,
-    limit: int | None = None,
-    validate: bool = True,
-    fmt: str = "parquet",
-) -> dict[str, object]:
-    """Scan a target object, compare its columns with the spec, save a snapshot."""
-    result: dict[str, object] = {
-        "entity": spec.name, "status": "started", "records_extracted": 0, "path": None,
-        "validation": None, "error": None,
-    }
+    table: DataFrame, spec: EntitySpec, out_dir: str, taken_at: datetime, limit: int | None = None,
+    validate: bool = True, fmt: str = "parquet",
+) -> SnapshotResult:
+    """Scan a target object and save a snapshot of it, in one job."""
+    columns = compare_columns(table.columns, spec.base) if validate else None
+    seen = Observation()
     try:
-        seen = Observation()
-        rows = scan_target(table, spec, limit)
-        path = write_snapshot(rows, f"{out_dir}/{spec.name}", taken_at, fmt, seen)
-        if path is None:
-            result["status"] = "no_data"
-        else:
-            result |= {"status": "success", "records_extracted": seen.get["n"], "path": path}
-        if validate:
-            found = compare_columns(table.columns, spec.base)
-            result["validation"] = found | {"row_count": result["records_extracted"]}
-    except PySparkException as error:
-        result |= {"status": "error", "error": str(error).splitlines()[0]}
-    return result
+        path = write_snapshot(scan_target(table, spec, limit), f"{out_dir}/{spec.name}", taken_at, fmt, seen)
+    except PySparkException as failure:
+        return SnapshotResult(spec.name, "error", error=str(failure).splitlines()[0], columns=columns)
+    rows = seen.get["n"]
+    return SnapshotResult(spec.name, "success" if path else "no_data", rows, rows, path, columns=columns)
 
 
 def extract_all(
     tables: Mapping[str, DataFrame], specs: Sequence[EntitySpec], out_dir: str, taken_at: datetime,
     limit: int | None = None, validate: bool = True,
-) -> list[dict[str, object]]:
+) -> list[SnapshotResult]:
     """``extract_and_save`` for several target objects, one after the other."""
-    return [
-        extract_and_save(tables[s.source], s, out_dir, taken_at, limit, validate) for s in specs
-    ]
+    return [extract_and_save(tables[s.source], s, out_dir, taken_at, limit, validate) for s in specs]
 
 
 def companies_with_contacts(
@@ -145,7 +140,7 @@ def companies_with_contacts(
     )
     return with_contact(
         df, emails, "Comp_CompanyId", "ELink_RecordID", ("ELink_Type", "Business"), "Emai_EmailId",
-        {"Company_Email": "Emai_EmailAddress", "Email_Id": "Emai_EmailId"}, fan_out, company,
+        {"Company_Email": "Emai_EmailAddress", "Email_Id": "Emai_EmailId"}, fan_out,
     )
 
 
@@ -159,5 +154,5 @@ def persons_with_contacts(
     )
     return with_contact(
         df, emails, "Pers_PersonId", "ELink_RecordID", ("ELink_Type", "Business"), "Emai_EmailId",
-        {"Person_Email": "Emai_EmailAddress", "Email_Id": "Emai_EmailId"}, fan_out, person,
+        {"Person_Email": "Emai_EmailAddress", "Email_Id": "Emai_EmailId"}, fan_out,
     )

@@ -53,7 +53,6 @@ def layered_opportunities(
     df = left_lookup(
         df, person, [("Oppo_PrimaryPersonId", "Pers_PersonId")],
         {c: c for c in ("Pers_FirstName", "Pers_LastName", "Pers_EmailAddress")},
-        hot_from=opportunity,
     )
     net = net_amount("Oppo_Forecast", "oppo_cout")
     return df.withColumns(

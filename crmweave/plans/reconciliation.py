@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from crmweave.crm.staging import default_update_columns, staging_key
 from crmweave.crm.target import OBJECT_ORDER, object_map, object_type_of
-from crmweave.operators.reconcile import reconcile, run_stats, to_staging
+from crmweave.operators.reconcile import reconcile, rejected, run_stats, to_staging
 from crmweave.sources.tables import upsert_table
 from crmweave.sources.writers import append_run_log
 from crmweave.specs import ObjectMap
@@ -63,15 +63,12 @@ def reconcile_object(
         )
         staged = to_staging(counted, kind, as_of, target=target_name)
         key = staging_key(kind)
-        # Bronze rows have no order of arrival.  A hash of their content gives equal
-        # legacy ids an order that is the same in every run.
-        arrival = F.xxhash64(
-            *(c for c in staged.columns if c not in ("legacy_properties", "properties_to_update"))
-        )
+        # Bronze rows have no order of arrival: of equal legacy ids one row is staged whole.
         upsert_table(
-            spark, staging_path(staging_dir, kind), staged, [key],
-            default_update_columns(kind, target_name), arrival,
+            spark, staging_path(staging_dir, kind), staged, [key], default_update_columns(kind, target_name)
         )
+        if seen.get["errors"]:
+            rejected(rows).write.mode("overwrite").parquet(f"{staging_path(staging_dir, kind)}_rejected")
         stats |= seen.get
     except (PySparkException, ValueError) as failure:
         log.warning("reconciliation of %s failed: %s", kind, failure)

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
-from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,27 +18,15 @@ SETTINGS = {
 }
 
 
-# Input that one shuffle partition should stand for.
-BYTES_PER_PARTITION = 128 << 20
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Size of all the sources below a frame, as Catalyst knows it (no job is run)."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
-def configure(spark: SparkSession, inputs: Iterable[DataFrame] = ()) -> SparkSession:
-    """Apply the settings; with ``inputs``, also size shuffles for these tables.
+def configure(spark: SparkSession, partitions: int | None = None) -> SparkSession:
+    """Apply the settings, and the number of shuffle partitions where one is given.
 
     Adaptive execution merges small shuffle partitions but does not split all of
-    them, so it must start from enough.
+    them, so it must start from enough; the caller knows the cluster and the data.
     """
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
-    if size := sum(input_bytes(df) for df in inputs):
-        least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        partitions = max(least, -(-size // BYTES_PER_PARTITION))
+    if partitions is not None:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
     return spark
 
@@ -46,10 +34,14 @@ def configure(spark: SparkSession, inputs: Iterable[DataFrame] = ()) -> SparkSes
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: the one ``spark.checkpoint.dir`` names.
 
-    Only where it is unset, as in local tests, a temporary folder is used.
+    Where it is unset, a local session gets a temporary folder; on a cluster each
+    executor would write to its own disk, so there it is an error.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return (shared or tempfile.mkdtemp(prefix="crmweave-")).rstrip("/")
+    if shared := spark.conf.get("spark.checkpoint.dir", None):
+        return shared.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="crmweave-")
 
 
 def checkpoint(df: DataFrame) -> DataFrame:

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from crmweave.functions.text import unescaped
 from crmweave.specs import EntitySpec
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: StructType | None = None, multi_line: bool = False
+    spark: SparkSession, path: str, schema: StructType | None = None, multi_line: bool = False, escaped: bool = False
 ) -> DataFrame:
     """CSV with a header and doubled quotes.
 
@@ -17,11 +18,14 @@ def read_csv(
     files.  ``multi_line`` allows line breaks in values, but files then do not split.
     Nothing between two separators is NULL, a pair of quotes is empty text: a NULL
     marker other than the empty string keeps Spark from reading both as NULL.
+    ``escaped`` undoes the escapes of ``write_bronze``, whose files have a record on each
+    line and split whatever the values hold.
     """
     reader = spark.read.option("header", True).option("escape", '"').option("nullValue", "\\N")
     reader = reader.option("multiLine", multi_line)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return reader.csv(path)
+    df = reader.csv(path)
+    return unescaped(df) if escaped else df
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -55,10 +59,12 @@ def read_jdbc(
     return reader.load()
 
 
-def read_entity(spark: SparkSession, location: str, spec: EntitySpec | None = None) -> DataFrame:
+def read_entity(
+    spark: SparkSession, location: str, spec: EntitySpec | None = None, multi_line: bool = False, escaped: bool = False
+) -> DataFrame:
     """An entity from a ``.csv`` path (typed by its spec), a parquet path or a table name."""
     if location.endswith(".csv"):
-        return read_csv(spark, location, spec.schema if spec else None)
+        return read_csv(spark, location, spec.schema if spec else None, multi_line, escaped)
     if "/" in location:
         return read_parquet(spark, location)
     return spark.table(location)

@@ -81,6 +81,7 @@ def upsert_table(
     ``touched`` names the buckets that incoming rows can fall into; without it every
     bucket is rewritten.  The number of buckets is fixed by the first upsert.
     """
+    _fix_number(spark, path, buckets)
     current = _current_buckets(spark, path)
     folders = [f for b, f in current.items() if touched is None or b in set(touched)]
     stored = _read(spark, folders)
@@ -101,6 +102,18 @@ def upsert_table(
     return number
 
 
+def _fix_number(spark: SparkSession, path: str, buckets: int) -> None:
+    """Note the number of buckets beside a new table; another number for an existing one is an error."""
+    known = set(_children(spark, path, "buckets="))
+    if known - {buckets}:
+        raise ValueError(f"{path} has {min(known - {buckets})} buckets, not {buckets}")
+    if not known:
+        if versions(spark, path):
+            raise ValueError(f"{path} does not say how many buckets it has")
+        folder, fs = _path(spark, f"{path}/buckets={buckets}")
+        fs.mkdirs(folder)
+
+
 def touched_buckets(incoming: DataFrame, keys: Sequence[str], buckets: int = BUCKETS) -> list[int]:
     """Buckets that rows of a frame fall into: at most ``buckets`` numbers."""
     return [r[0] for r in incoming.select(bucket_of(keys, buckets)).distinct().collect()]

@@ -9,13 +9,18 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from crmweave.crm.staging import run_log_schema
-from crmweave.functions.text import sanitize
+from crmweave.functions.text import escaped, sanitize
 from crmweave.operators.keyed import new_only
 
 
 def write_bronze(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Replace an entity's Bronze dataset; text is cleaned of symbol characters."""
-    writer = sanitize(df).write.mode("overwrite")
+    """Replace an entity's Bronze dataset; text is cleaned of symbol characters.
+
+    In CSV, line breaks in values are written as ``\\n`` and ``\\r`` and backslashes doubled, so each record is one line;
+    ``read_csv(escaped=True)`` gives the values back.
+    """
+    clean = sanitize(df)
+    writer = (escaped(clean) if fmt == "csv" else clean).write.mode("overwrite")
     if fmt == "csv":
         # Quotes are doubled, as other CSV readers expect, and blanks are kept.
         writer.options(
@@ -32,17 +37,20 @@ def write_snapshot(
     fmt: str = "parquet",
     observation: Observation | None = None,
 ) -> str | None:
-    """Write a time-stamped snapshot and return its path; None when there are no rows.
+    """Write a time-stamped snapshot and return its path; None, and nothing is left, when there are no rows.
+
+    The plan runs once: the rows are counted while they are written.
 
     An observation receives the number of rows written, as ``n``.
     """
-    if df.isEmpty():
-        return None
     target = f"{path}/snapshot_ts={taken_at:%Y%m%d_%H%M%S}"
-    if observation is not None:
-        df = df.observe(observation, F.count(F.lit(1)).alias("n"))
-    write_bronze(df, target, fmt)
-    return target
+    seen = observation or Observation()
+    write_bronze(df.observe(seen, F.count(F.lit(1)).alias("n")), target, fmt)
+    if seen.get["n"]:
+        return target
+    folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(target)
+    folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+    return None
 
 
 def replace_table(df: DataFrame, table: str) -> None:

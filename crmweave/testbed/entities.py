@@ -164,16 +164,19 @@ def _(spark, d):
 
 @query(
     "q_bronze_roundtrip",
-    """SELECT Comp_CompanyId, Comp_Name, Comp_Type, Comp_WebSite, Comp_PhoneNumber, Comp_Revenue
+    # A note with line breaks, quotes, commas and backslashes, as CRM notes have them.
+    """SELECT Comp_CompanyId, Comp_Name, Comp_Type, Comp_WebSite, Comp_PhoneNumber, Comp_Revenue,
+              'Says "' || Comp_Name || '",' || chr(10) || 'C:\\new' || chr(13) || chr(10) || ' end' AS Comp_Note
        FROM company""",
     "company",
 )
 def _(spark, d):
     columns = ["Comp_CompanyId", "Comp_Name", "Comp_Type", "Comp_WebSite", "Comp_PhoneNumber", "Comp_Revenue"]
-    company = role(spark, d, "company").select(*columns)
+    note = F.concat(F.lit('Says "'), "Comp_Name", F.lit('",\nC:\\new\r\n end'))
+    company = role(spark, d, "company").select(*columns, note.alias("Comp_Note"))
     path = f"{shared_folder(spark)}/bronze-{uuid.uuid4().hex}"
     write_bronze(company, path, "csv")
-    return read_csv(spark, path, company.schema)
+    return read_csv(spark, path, company.schema, escaped=True)
 
 
 @query(
@@ -378,14 +381,15 @@ def _(spark, d):
 
 @query(
     "q_lookup_by_legacy_id",
+    # An id that is padded and went through a float, and one that did not.
     """SELECT hs_object_id, name, city FROM companies
-       WHERE legacy_company_id IN ('6', '6.0') ORDER BY hs_object_id LIMIT 1""",
+       WHERE nullif(regexp_replace(trim(legacy_company_id), '\\.0$', ''), '') IN ('3', '6')""",
     "companies",
 )
 def _(spark, d):
-    return search.lookup_by_legacy_id(role(spark, d, "companies"), "companies", 6).select(
-        "hs_object_id", "name", "city"
-    )
+    companies = role(spark, d, "companies")
+    found = [search.lookup_by_legacy_id(companies, "companies", i).select("hs_object_id", "name", "city") for i in (3, " 6.0")]
+    return found[0].unionByName(found[1])
 
 
 @query(
@@ -717,7 +721,6 @@ def _(spark, d):
     counted = with_group_count(t["case"], "Case_PrimaryCompanyId", "total_cases")
     return left_lookup(
         counted, t["company"], [("Case_PrimaryCompanyId", "Comp_CompanyId")], {"Comp_Name": "Comp_Name"},
-        hot_from=t["case"],
     )
 
 

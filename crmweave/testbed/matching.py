@@ -205,8 +205,8 @@ def _(spark, d):
 
 @query(
     "q_match_direct",
-    """SELECT legacy_company_id AS legacy_id, hs_object_id AS target_id FROM companies
-       WHERE legacy_company_id IS NOT NULL""",
+    f"""SELECT {canon("legacy_company_id")} AS legacy_id, hs_object_id AS target_id FROM companies
+        WHERE legacy_company_id IS NOT NULL""",
     "companies",
 )
 def _(spark, d):
@@ -370,7 +370,7 @@ def _(spark, d):
     *OBJECTS["companies"]["roles"],
 )
 def _(spark, d):
-    ready = reconcile.update_export(staged(spark, d, "companies", mark_conflicts=False), "target_company_id")
+    ready = reconcile.update_export(staged(spark, d, "companies"), "target_company_id")
     return payload_rows(ready, "target_company_id", "properties_to_update")
 
 

@@ -9,7 +9,7 @@ from crmweave.crm.target import object_map, target_entity
 from crmweave.functions.money import net_amount, weighted_forecast
 from crmweave.operators import metrics, quality
 from crmweave.operators.lookup import left_lookup
-from crmweave.testbed.entities import OPPORTUNITY_SQL, PERSON_SQL, entity
+from crmweave.testbed.entities import CASE_SQL, COMPANY_SQL, OPPORTUNITY_SQL, PERSON_SQL, entity
 from crmweave.testbed.registry import query
 from crmweave.testbed.roles import base, role, roles
 
@@ -280,7 +280,7 @@ def _fk_sql(child, column, parent, key, where="TRUE"):
                (SELECT count(*) FROM {quoted} WHERE {where}) AS rows,
                (SELECT count(*) FROM {quoted} WHERE {where} AND {column} IS NULL) AS null_keys,
                (SELECT count(*) FROM {quoted} WHERE {where} AND {column} IS NOT NULL
-                    AND NOT EXISTS (SELECT 1 FROM {parent} WHERE {key} = {column})) AS orphans,
+                    AND NOT EXISTS (SELECT 1 FROM {'"case"' if parent == "case" else parent} WHERE {key} = {column})) AS orphans,
                CASE WHEN (SELECT max(n) FROM (SELECT count(*) AS n FROM {quoted}
                     WHERE {where} AND {column} IS NOT NULL GROUP BY {column}) AS g) > 1
                     THEN 'many:1' ELSE '1:1' END AS cardinality"""
@@ -322,7 +322,7 @@ def _(spark, d):
 
 @query(
     "q_linkage_report",
-    f"""WITH p AS ({PERSON_SQL}), o AS ({OPPORTUNITY_SQL})
+    f"""WITH p AS ({PERSON_SQL}), o AS ({OPPORTUNITY_SQL}), c AS ({COMPANY_SQL}), k AS ({CASE_SQL})
         SELECT 'Person' AS entity, 'Pers_CompanyId' AS key_column, 'Company_Name' AS looked_up, count(*) AS rows,
                count(Pers_CompanyId) AS with_key, count(Company_Name) AS resolved,
                count(CASE WHEN Pers_CompanyId IS NOT NULL AND Company_Name IS NULL THEN 1 END) AS orphans FROM p
@@ -335,13 +335,38 @@ def _(spark, d):
         SELECT 'Opportunity', 'Oppo_PrimaryPersonId', 'Person_FirstName', count(*), count(Oppo_PrimaryPersonId),
                count(Person_FirstName),
                count(CASE WHEN Oppo_PrimaryPersonId IS NOT NULL AND Person_FirstName IS NULL THEN 1 END)
-        FROM o""",
-    "person", "company", "address", "opportunity",
+        FROM o
+        UNION ALL
+        SELECT 'Company', 'Comp_PrimaryAddressId', 'Address_City', count(*), count(Comp_PrimaryAddressId),
+               count(Address_City),
+               count(CASE WHEN Comp_PrimaryAddressId IS NOT NULL AND Address_City IS NULL THEN 1 END)
+        FROM c
+        UNION ALL
+        SELECT 'Case', 'Case_PrimaryCompanyId', 'Company_Name', count(*), count(Case_PrimaryCompanyId),
+               count(Company_Name),
+               count(CASE WHEN Case_PrimaryCompanyId IS NOT NULL AND Company_Name IS NULL THEN 1 END)
+        FROM k
+        UNION ALL
+        SELECT 'Case', 'Case_PrimaryPersonId', 'Person_FirstName', count(*), count(Case_PrimaryPersonId),
+               count(Person_FirstName),
+               count(CASE WHEN Case_PrimaryPersonId IS NOT NULL AND Person_FirstName IS NULL THEN 1 END)
+        FROM k
+        UNION ALL
+        SELECT 'Communication', 'Comm_CaseId', 'Case_Description', count(*), count(Comm_CaseId), count(Case_Description),
+               count(CASE WHEN Comm_CaseId IS NOT NULL AND Case_Description IS NULL THEN 1 END)
+        FROM (SELECT Comm_CaseId, Case_Description FROM communication LEFT JOIN "case" ON Comm_CaseId = Case_CaseId) AS m""",
+    "person", "company", "address", "opportunity", "case", "email_link", "communication",
 )
 def _(spark, d):
     entities = {
         "Person": entity("Person", "person", "company", "address")(spark, d),
         "Opportunity": entity("Opportunity", "opportunity", "company", "person")(spark, d),
+        "Company": entity("Company", "company", "address")(spark, d),
+        "Case": entity("Case", "case", "company", "person", "email_link")(spark, d),
+        "Communication": left_lookup(
+            role(spark, d, "communication"), role(spark, d, "case"), [("Comm_CaseId", "Case_CaseId")],
+            {"Case_Description": "Case_Description"},
+        ),
     }
     return quality.linkage_report(
         entities,
@@ -349,6 +374,10 @@ def _(spark, d):
             ("Person", "Pers_CompanyId", "Company_Name"),
             ("Person", "Pers_PrimaryAddressId", "Address_City"),
             ("Opportunity", "Oppo_PrimaryPersonId", "Person_FirstName"),
+            ("Company", "Comp_PrimaryAddressId", "Address_City"),
+            ("Case", "Case_PrimaryCompanyId", "Company_Name"),
+            ("Case", "Case_PrimaryPersonId", "Person_FirstName"),
+            ("Communication", "Comm_CaseId", "Case_Description"),
         ],
     )
 

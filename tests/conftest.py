@@ -6,6 +6,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+from crmweave.session import configure
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -22,7 +24,7 @@ def spark(tmp_path_factory):
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    yield session
+    yield configure(session)
     session.stop()
 
 

@@ -143,6 +143,8 @@ def test_snake_names():
     assert snake_name("[Case_CaseId]") == "case_id"
     assert snake_name("Company_Name") == "company_name"
     assert snake_name("Addr_PostCode") == "addr_post_code"
+    assert snake_name("Case_SLAStatus") == "case_sla_status"
+    assert snake_name("Addr_Address1") == "addr_address1"
 
 
 def test_snake_names_must_stay_distinct(spark):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from crmweave.crm.legacy import ENTITIES, RELATIONSHIPS
 from crmweave.crm.target import object_map, target_entity
+from crmweave.functions.keys import canonical_key
 from crmweave.operators import contact, keyed, lookup, metrics, project, quality, reconcile, search
 from crmweave.plans.processed import processed_view
 from crmweave.specs import Relationship
@@ -26,59 +27,34 @@ def dim(spark):
     return spark.range(40).selectExpr("id AS k", "concat('n', id) AS name")
 
 
-@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-def test_salted_join_equals_plain_join(skewed, dim, rows, how):
-    plain = skewed.join(dim, "k", how)
-    salted = lookup.lookup_join(skewed, dim, ["k"], how, rows_per_task=100, null_salts=8, force_salt=True)
-    assert rows(salted, *plain.columns) == rows(plain)
-
-
-def test_inner_join_of_two_hot_sides(spark, rows):
-    left = spark.range(600).selectExpr("CASE WHEN id % 3 = 0 THEN 1 ELSE id END AS k", "id AS a")
-    right = spark.range(300).selectExpr("CASE WHEN id % 3 = 0 THEN 1 ELSE id END AS k", "id AS b")
-    salted = lookup.lookup_join(left, right, ["k"], "inner", rows_per_task=20, force_salt=True)
-    assert rows(salted, "k", "a", "b") == rows(left.join(right, "k"), "k", "a", "b")
-
-
-def test_hot_group_is_spread_over_tasks(skewed, dim):
-    salted = lookup.lookup_join(skewed, dim, ["k"], "left", rows_per_task=100, force_salt=True)
-    plan = salted._jdf.queryExecution().executedPlan().toString()
-    assert "__salt" in plan
-    hot = {r["k"]: r["__salts"] for r in lookup.hot_keys(skewed, ["k"], rows_per_task=100).collect()}
-    assert hot[7] >= 30
-
-
-def test_hot_keys_are_bounded(skewed):
-    assert [r["k"] for r in lookup.hot_keys(skewed, ["k"], rows_per_task=1, max_keys=1).collect()] == [7]
-
-
-def test_small_input_is_joined_plainly(skewed, dim):
-    plan = lookup.lookup_join(skewed, dim, ["k"])._jdf.queryExecution().executedPlan().toString()
-    assert "__salt" not in plan
-
-
-def test_large_input_is_salted_without_being_asked(skewed, dim, monkeypatch, spark, rows):
-    monkeypatch.setattr(lookup, "splits_skew", lambda spark: False)
-    monkeypatch.setattr(lookup, "SMALL_INPUT_BYTES", 0)
-    monkeypatch.setattr(lookup, "ROWS_PER_TASK", 100)
-    monkeypatch.setattr(lookup, "fits_broadcast", lambda df: False)
-    joined = lookup.lookup_join(skewed, dim, ["k"])
-    assert "__salt" in joined._jdf.queryExecution().executedPlan().toString()
-    assert rows(joined, "k", "v", "name") == rows(skewed.join(dim, "k", "left"), "k", "v", "name")
+@pytest.mark.parametrize("setting", lookup.SKEW_SETTINGS)
+def test_joins_need_skew_splitting(spark, skewed, dim, setting):
+    previous = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        for join in (
+            lambda: lookup.lookup_join(skewed, dim, ["k"]), lambda: lookup.with_group_count(skewed, "k", "n"),
+            lambda: lookup.left_lookup(skewed, dim, [("k", "k")], {"name": "name"}),
+        ):
+            with pytest.raises(ValueError, match=setting):
+                join()
+    finally:
+        spark.conf.set(setting, previous)
 
 
-def test_skew_is_left_to_adaptive_execution_where_it_splits(spark, skewed, dim, monkeypatch):
-    monkeypatch.setattr(lookup, "SMALL_INPUT_BYTES", 0)
-    monkeypatch.setattr(lookup, "fits_broadcast", lambda df: False)
-    force = "spark.sql.adaptive.forceOptimizeSkewedJoin"
-    previous = spark.conf.get(force)
+def test_one_key_needs_one_shuffle(spark):
+    previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for setting, salted in (("true", False), ("false", True)):
-            spark.conf.set(force, setting)
-            plan = lookup.lookup_join(skewed, dim, ["k"])._jdf.queryExecution().toString()
-            assert ("__salt" in plan) == salted
+        base = spark.range(100).selectExpr("id AS k", "id AS v")
+        one, two = (spark.range(50).selectExpr("id AS k", f"id AS {c}") for c in ("a", "b"))
+        both = lookup.left_lookup(lookup.left_lookup(base, one, [("k", "k")], {"a": "a"}), two, [("k", "k")], {"b": "b"})
+        plan = both._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 3  # the base once, each lookup once
+        counted = lookup.with_group_count(base, "k", "n")._jdf.queryExecution().executedPlan().toString()
+        assert counted.count("Exchange hashpartitioning") <= 3
     finally:
-        spark.conf.set(force, previous)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
 
 
 def test_adaptive_execution_splits_a_hot_key(spark, dim):
@@ -105,19 +81,8 @@ def test_adaptive_execution_splits_a_hot_key(spark, dim):
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-def test_broadcast_is_decided_by_size(spark, dim):
-    assert lookup.fits_broadcast(dim)
-    previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert not lookup.fits_broadcast(dim)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
-
-
-@pytest.mark.parametrize("forced", [False, True])
-def test_group_count_includes_the_null_group(skewed, forced):
-    counted = lookup.with_group_count(skewed, "k", "n", force_salt=forced, rows_per_task=100)
+def test_group_count_includes_the_null_group(skewed):
+    counted = lookup.with_group_count(skewed, "k", "n")
     want = Counter(r["k"] for r in skewed.collect())
     got = counted.collect()
     assert len(got) == 9000
@@ -317,7 +282,7 @@ def test_match_joins_on_the_canonical_key(sides, rows):
 def test_unmatched_and_direct(sides, rows):
     legacy, target = sides
     assert rows(reconcile.unmatched(legacy, target, object_map("companies")), "legacy_id") == [("3",), ("x",)]
-    assert rows(reconcile.match_direct(target, object_map("companies"))) == [(" 2", 90), ("1", 100), ("2.0", 91)]
+    assert rows(reconcile.match_direct(target, object_map("companies"))) == [("1", 100), ("2", 90), ("2", 91)]
 
 
 def test_every_legacy_row_gets_one_status(sides, rows):
@@ -462,11 +427,16 @@ def test_profile_of_maps(spark):
     assert got == {"m": (0, 1), "xs": (0, 1)}
 
 
-def test_point_lookup_reaches_the_scan(spark, tmp_path):
-    spark.sql("SELECT 1 AS hs_object_id, '6.0' AS legacy_company_id").write.parquet(str(tmp_path / "t"))
-    found = search.lookup_by_legacy_id(spark.read.parquet(str(tmp_path / "t")), "companies", 6)
-    assert found.count() == 1
-    assert "In(legacy_company_id, [6,6.0])" in found._jdf.queryExecution().executedPlan().toString()
+def test_point_lookup_finds_padded_ids(spark):
+    table = spark.sql("SELECT * FROM VALUES (1, ' 6.0'), (2, '66'), (3, NULL) AS t(hs_object_id, legacy_company_id)")
+    for wanted in (6, "6", " 6.0 "):
+        assert [r[0] for r in search.lookup_by_legacy_id(table, "companies", wanted).collect()] == [1]
+
+
+def test_search_without_a_limit_and_by_like_names(spark):
+    deals = spark.range(150).selectExpr("id AS hs_object_id", "'d' AS dealname", "'new' AS dealtype", "'x' AS legacy_deal_id")
+    found = search.search(deals, "deals", "legacy_deal_id", limit=None)
+    assert found.count() == 150 and "deal_type" in found.columns
 
 
 def test_type_suggestions(spark):
@@ -497,3 +467,27 @@ def test_target_scan_order(spark):
     )
     got = project.scan_target(df, target_entity("engagements"), limit=2)
     assert [r["hs_object_id"] for r in got.collect()] == [3, 2]
+
+
+def test_numbers_and_text_compare_by_value(spark):
+    kinds = spark.sql("SELECT 80.00BD AS n, '80' AS t, 'eighty' AS w, TIMESTAMP '2024-01-02 00:00:00' AS at, '2024-01-02' AS day")
+    types = {f.name: f.dataType for f in kinds.schema.fields}
+
+    def same(a, b):
+        return kinds.select(reconcile._same(F.col(a), types[a], F.col(b), types[b])).first()[0]
+
+    assert same("n", "t") and same("t", "n") and same("at", "day") and same("day", "at")
+    assert not same("n", "w") and not same("w", "at")
+
+
+def test_float_ids_are_written_out(spark, rows):
+    df = spark.sql("SELECT * FROM VALUES (12345678.0D), (1.5D), (12345678.5D), (100D), (0D), (-3D), (NULL) AS t(k)")
+    assert [r[0] for r in df.select(canonical_key("k")).collect()] == ["12345678", "1.5", "12345678.5", "100", "0", "-3", None]
+    text = spark.sql("SELECT * FROM VALUES (' 7.0 '), ('1E5'), (''), ('a.0') AS t(k)")
+    assert [r[0] for r in text.select(canonical_key("k")).collect()] == ["7", "1E5", None, "a"]
+
+
+def test_one_incoming_row_of_a_key_is_stored_whole(spark, rows):
+    current = spark.createDataFrame([], "id long, a string, b string")
+    incoming = spark.createDataFrame([(2, "x", "1"), (2, "y", "2"), (2, "x", "1")], current.schema)
+    assert rows(keyed.upsert(current, incoming, ["id"], ["b"])) in ([(2, "x", "1")], [(2, "y", "2")])

@@ -44,9 +44,14 @@ def test_csv_with_byte_order_mark_and_inferred_types(spark, tmp_path):
 
 
 def test_csv_text_over_several_lines(spark, tmp_path, rows):
-    df = spark.createDataFrame([(1, "a\nb")], "id INT, t STRING")
+    texts = ["a\nb", "\\n", "\\\n\r\\\\", 'q"u,o\r\nte', "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id INT, t STRING")
     writers.write_bronze(df, str(tmp_path / "m"), "csv")
-    assert rows(readers.read_csv(spark, str(tmp_path / "m"), df.schema, multi_line=True)) == [(1, "a\nb")]
+    assert rows(readers.read_csv(spark, str(tmp_path / "m"), df.schema, escaped=True)) == list(enumerate(texts))
+    assert spark.read.text(str(tmp_path / "m")).where("value <> 'id,t'").count() == len(texts)
+    foreign = tmp_path / "f.csv"
+    foreign.write_text('Comp_CompanyId,Comp_Name\n5,"two\nlines"\n')
+    assert readers.read_entity(spark, str(foreign), COMPANY, multi_line=True).count() == 1
 
 
 def test_entity_csv_is_typed_by_its_spec(spark, tmp_path):
@@ -157,12 +162,11 @@ def test_entities_are_extracted_side_by_side(spark, crm, tmp_path):
     ]
 
 
-def test_shuffles_are_sized_for_the_input(spark, company, monkeypatch):
+def test_shuffles_are_sized_by_the_caller(spark):
     setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    monkeypatch.setattr(session, "input_bytes", lambda df: 10 << 40)
     try:
-        session.configure(spark, [company])
-        assert spark.conf.get(setting) == str(10 << 13)
+        session.configure(spark, partitions=777)
+        assert spark.conf.get(setting) == "777"
     finally:
         spark.conf.unset(setting)
 
@@ -176,12 +180,12 @@ def test_target_extraction_reports_what_it_did(spark, tmp_path):
     deals = spark.sql("SELECT 1L AS hs_object_id, 'd' AS dealname, '7' AS legacy_deal_id, 5 AS score")
     spec = target_entity("deals")
     result = extract_and_save(deals, spec, str(tmp_path), NOW)
-    assert (result["status"], result["records_extracted"]) == ("success", 1)
-    assert result["validation"]["extra_columns"] == "score" and not result["validation"]["is_valid"]
-    assert extract_and_save(deals.limit(0), spec, str(tmp_path), NOW)["status"] == "no_data"
+    assert (result.status, result.extracted) == ("success", 1)
+    assert result.columns["extra_columns"] == "score" and not result.columns["is_valid"]
+    assert extract_and_save(deals.limit(0), spec, f"{tmp_path}/none", NOW).status == "no_data"
     unlinked = spark.sql("SELECT 1L AS hs_object_id, 'd' AS dealname")
-    assert extract_and_save(unlinked, spec, str(tmp_path), NOW)["status"] == "error"
-    assert [r["status"] for r in extract_all({"deals": deals}, [spec], str(tmp_path), NOW)] == ["success"]
+    assert extract_and_save(unlinked, spec, str(tmp_path), NOW).status == "error"
+    assert [r.status for r in extract_all({"deals": deals}, [spec], str(tmp_path), NOW)] == ["success"]
 
 
 def test_views_are_registered_where_their_sources_exist(spark, crm):
@@ -273,3 +277,25 @@ def test_from_bronze_to_gold(spark, tmp_path):
     assert (rate["total_cases"], rate["closed_cases"], float(rate["closure_rate"])) == (4, 3, 75.0)
     mean = mean_days_by(silver, "Case_Status", "Case_OpenedDate", "Case_ClosedDate")
     assert {r["Case_Status"]: r["avg_days_to_close"] for r in mean.collect()} == {"Closed": 2.0, "Open": None}
+
+
+def test_a_shared_folder_must_be_named_on_a_cluster(spark):
+    class Elsewhere:
+        conf = type("Conf", (), {"get": staticmethod(lambda name, default=None: default)})
+        sparkContext = type("Context", (), {"master": "spark://host:7077"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Elsewhere)
+
+
+def test_another_number_of_buckets_is_refused(spark, tmp_path):
+    rows = spark.range(20).selectExpr("id", "'a' AS v")
+    tables.upsert_table(spark, str(tmp_path / "t"), rows, ["id"], ["v"], buckets=8)
+    with pytest.raises(ValueError, match="8 buckets"):
+        tables.upsert_table(spark, str(tmp_path / "t"), rows, ["id"], ["v"], buckets=4)
+
+
+def test_a_missing_table_is_named(spark, crm, tmp_path):
+    few = {k: v for k, v in crm.items() if k != "address"}
+    found = {r.entity: r.error for r in extract_entities(few, str(tmp_path), NOW, ["Person"])}
+    assert found["Person"] == "lacks table address"
