@@ -53,9 +53,10 @@ def write_snapshot(
     return None
 
 
-def replace_table(df: DataFrame, table: str) -> None:
-    """Replace-load a catalog table."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(table)
+def replace_table(df: DataFrame, table: str, path: str | None = None) -> None:
+    """Replace-load a catalog table, its rows and its columns; with ``path``, one whose files lie there."""
+    writer = df.write.mode("overwrite").format("parquet")
+    (writer if path is None else writer.option("path", path)).saveAsTable(table)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, batch_size: int = 10_000, **options: str) -> None:
