@@ -18,8 +18,9 @@ NONE = IDS - 1  # no id yet; a vocabulary must not have it
 ONE_BITS, TWO_BITS = 11, 12
 SLOT_BITS = 12
 SLOTS = 1 << SLOT_BITS
-RUNS = 4  # a run of hits counts up to RUNS - 1
+RUNS = 4  # a run of hits counts up to RUNS - 1; ids are kept times RUNS, so shifts by 2 below
 START, LOW, HIGH, RATE = 4096, 64, 40960, 4
+GAIN = np.int32(HIGH - LOW)
 RENEW = (64, 128, 256, 512, 1024, 2048)
 
 WHOLE = np.uint64((1 << 48) - 1)
@@ -38,7 +39,7 @@ class Coder:
 
     def step(self, which: np.ndarray | slice, low: np.ndarray, width: np.ndarray) -> None:
         unit = self.range[which] >> SIXTEEN
-        now = (self.low[which] + unit * low.astype(np.uint64))
+        now = self.low[which] + unit * low.astype(np.uint64)
         size = unit * width.astype(np.uint64)
         self.low[which], self.range[which] = now, size
         out = settled(now, size)
@@ -113,30 +114,33 @@ class Contexts:
     def __init__(self, blocks: int):
         self.lane1, self.lane2 = np.arange(blocks) << ONE_BITS, np.arange(blocks) << TWO_BITS
         self.runs = np.arange(blocks) * RUNS
-        self.next1, self.next2 = np.full(blocks << ONE_BITS, NONE, np.int32), np.full(blocks << TWO_BITS, NONE, np.int32)
-        self.run1, self.run2 = np.zeros(blocks << ONE_BITS, np.int8), np.zeros(blocks << TWO_BITS, np.int8)
+        # An id and its run of hits in one number: id * RUNS + run.
+        self.next1 = np.full(blocks << ONE_BITS, NONE * RUNS, np.int32)
+        self.next2 = np.full(blocks << TWO_BITS, NONE * RUNS, np.int32)
         self.trust1, self.trust2 = np.full(blocks * RUNS, START, np.int32), np.full(blocks * RUNS, START, np.int32)
         self.one = np.zeros(blocks, np.int64)
         self.two = np.zeros(blocks, np.int64)
 
     def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """What orders 2 and 1 expect, and their shares of 2**16."""
-        self.h1 = self.lane1 + self.ONE[self.one]
+        self.h1 = self.lane1 + self.ONE.take(self.one)
         self.h2 = self.lane2 + (((self.one * 40503 + self.two * 60493) >> 4) & ((1 << TWO_BITS) - 1))
-        self.c1, self.c2 = self.run1[self.h1], self.run2[self.h2]
-        self.t1, self.t2 = self.runs + self.c1, self.runs + self.c2
-        self.q1, self.q2 = self.trust1[self.t1], self.trust2[self.t2]
-        self.g1, self.g2 = self.next1[self.h1], self.next2[self.h2]
-        share2 = self.q2
-        return self.g2, self.g1, share2, ((IDS - share2) * self.q1.astype(np.int64) >> 16).astype(np.int32)
+        self.n1, self.n2 = self.next1.take(self.h1), self.next2.take(self.h2)
+        self.g1, self.g2 = self.n1 >> 2, self.n2 >> 2
+        self.t1, self.t2 = self.runs + (self.n1 & 3), self.runs + (self.n2 & 3)
+        self.q1, self.q2 = self.trust1.take(self.t1), self.trust2.take(self.t2)
+        # Halved, so that the product stays within 32 bits.
+        return self.g2, self.g1, self.q2, ((IDS - self.q2) >> 1) * (self.q1 >> 1) >> 14
 
     def learn(self, ids: np.ndarray) -> None:
-        hit1, hit2 = self.g1 == ids, self.g2 == ids
-        self.trust1[self.t1] = self.q1 + ((np.where(hit1, HIGH, LOW) - self.q1) >> RATE)
-        self.trust2[self.t2] = self.q2 + ((np.where(hit2, HIGH, LOW) - self.q2) >> RATE)
-        self.run1[self.h1] = np.where(hit1, np.minimum(self.c1 + 1, RUNS - 1), 0)
-        self.run2[self.h2] = np.where(hit2, np.minimum(self.c2 + 1, RUNS - 1), 0)
-        self.next1[self.h1] = self.next2[self.h2] = ids
+        fresh = ids.astype(np.int32, copy=False) << 2
+        for trust, at, q, next_, h, n in (
+            (self.trust1, self.t1, self.q1, self.next1, self.h1, self.n1), (self.trust2, self.t2, self.q2, self.next2, self.h2, self.n2)
+        ):
+            gap = n - fresh  # 0 to RUNS - 1 where it was right, and then the run
+            hit = gap.view(np.uint32) < RUNS
+            trust[at] = q + ((hit * GAIN + LOW - q) >> RATE)
+            next_[h] = fresh + np.minimum(gap + 1, RUNS - 1) * hit
         self.two, self.one = self.one, ids.astype(np.int64)
 
 
@@ -219,7 +223,7 @@ def decode(payloads: list[bytes], length: int) -> np.ndarray:
             upto = np.cumsum(got)
             before = np.concatenate([[0], upto])[cuts]
             escape = SLOTS - np.diff(before)
-            names = np.concatenate([np.full(blocks, NONE), seen.ravel()[begins].astype(np.int32)])
+            names = np.concatenate([np.full(blocks, NONE, np.int32), seen.ravel()[begins].astype(np.int32)])
             first = np.concatenate([np.zeros(blocks, np.int64), upto - got - before[owner] + escape[owner]]).astype(np.int32)
             size = np.concatenate([escape, got]).astype(np.int32)
             # A block's slots: its escape, then its ids in order.
