@@ -85,12 +85,12 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def column_profile(
-    df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False
+    df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = True
 ) -> DataFrame:
     """Name, type, nullability and position, with missing and distinct counts, min, max.
 
-    Exact distinct counts take a second pass and shuffle each column's distinct
-    values; ``approximate`` replaces them by sketches made in the first pass.
+    Distinct counts come from sketches made in the one pass.  ``approximate=False``
+    counts exactly, in a second pass that shuffles each column's distinct values.
     """
     names = list(columns or df.columns)
     aggregates = [F.count("*").alias("rows")]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -100,17 +102,23 @@ def _comparable(schema: StructType, field: FieldMap) -> bool:
     return f"leg_{field.legacy}" in schema.names and f"tgt_{field.target}" in schema.names
 
 
-def differing_fields(schema: StructType, mapping: ObjectMap) -> Column:
-    """Names of target properties whose value differs from the legacy value."""
-    tests = []
+def _differences(schema: StructType, mapping: ObjectMap) -> dict[str, Column]:
+    """For each compared target property, whether its value differs from the legacy value."""
+    tests = {}
     for field in mapping.fields:
         if _comparable(schema, field):
             left, right = f"leg_{field.legacy}", f"tgt_{field.target}"
             lt, rt = schema[left].dataType, schema[right].dataType
-            tests.append(F.when(~_same(F.col(left), lt, F.col(right), rt), F.lit(field.target)))
+            tests[field.target] = ~_same(F.col(left), lt, F.col(right), rt)
+    return tests
+
+
+def differing_fields(schema: StructType, mapping: ObjectMap) -> Column:
+    """Names of target properties whose value differs from the legacy value."""
+    tests = _differences(schema, mapping)
     if not tests:
         return F.array().cast("array<string>")
-    return F.array_compact(F.array(*tests))
+    return F.array_compact(F.array(*(F.when(differs, F.lit(name)) for name, differs in tests.items())))
 
 
 def reconcile(
@@ -133,7 +141,9 @@ def reconcile(
     )
     status = F.when(~found, F.lit("new"))
     if mark_conflicts:
-        status = status.when(F.size("conflict_fields") > 0, F.lit("conflict"))
+        # Not by the list of names: counts of statuses then need no list.
+        differs = reduce(or_, _differences(joined.schema, mapping).values(), F.lit(False))
+        status = status.when(differs, F.lit("conflict"))
     numeric_id = F.col(KEY).try_cast("bigint")
     return joined.withColumn("conflict_fields", conflicts).select(
         numeric_id.alias("legacy_id"),

@@ -257,7 +257,7 @@ COMPANY_COLUMNS = (
     "company",
 )
 def _(spark, d):
-    return quality.column_profile(role(spark, d, "company")).drop("data_type", "nullable")
+    return quality.column_profile(role(spark, d, "company"), approximate=False).drop("data_type", "nullable")
 
 
 @query(
