@@ -6,10 +6,12 @@ borrow from others in an order that the bucket alone decides, so equal sets have
 band, as one 64-bit number; 32 bands find a pair of similarity 0.8 but for a chance of 5e-8.
 
 Steps: documents of equal sets become one class, before anything else. Representatives that share a band are candidates:
-each is paired with the least id of its band's group, pairs whose corrected estimate is far below the threshold are
-dropped, and the rest is confirmed on full sets. Confirmed links are joined to components. Groups that still hold
-several components are then compared in full, in blocks of registers and only across components, and what they yield is
-confirmed and joined as well; so no group is cut, and none is expanded into rows of pairs.
+each is paired with the least of the ids that come first in its bands' groups, pairs whose corrected estimate is far
+below the threshold are dropped, and the rest is confirmed on full sets. Confirmed links are joined to components. Then
+the pairs with the other groups' first ids follow, where these are in other components. Groups that still hold several
+components are then compared in full, in blocks of registers and only across components, and what they yield is
+confirmed and joined as well; so no group is cut, and none is expanded into rows of pairs. Links within a component
+would change nothing, so they are not looked for.
 
 Nulls, empty texts and texts without words have no set and are linked with nothing. A null key is linked with nothing
 and gets a null component. Rows that repeat a key count as one document of that id for linking; all of them are
@@ -129,13 +131,10 @@ def promising(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
     return both.mapInArrow(over, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union on full sets. ``docs``: id, text."""
-    # Texts of the documents in question only, so that each pair's join moves few texts.
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = stored(docs.join(wanted, "id").groupBy("id").agg(F.first("text").alias("text")), "pair-texts")
-    both = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b").join(
-        texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a"
+def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) with 100 * intersection >= percent * union on full sets. ``texts``: id (once each), text."""
+    both = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b").join(
+        texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a"
     )
 
     def sets(column: pa.Array) -> list[np.ndarray]:
@@ -200,6 +199,27 @@ def across(groups: DataFrame, least: float) -> DataFrame:
     return met.mapInArrow(over, "a long, b long").distinct()
 
 
+def _placed(df: DataFrame, joined: DataFrame, id_: str, name: str) -> DataFrame:
+    """The frame with the component of its ids; an id without links is its own."""
+    own = joined.select(F.col("id").alias(id_), F.col("component").alias(name))
+    return df.join(own, id_, "left").withColumn(name, F.coalesce(name, id_))
+
+
+def apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components; a link between others would join nothing."""
+    return _placed(_placed(pairs, joined, "a", "ca"), joined, "b", "cb").filter("ca <> cb").select("a", "b")
+
+
+def _extended(
+    links: DataFrame, joined: DataFrame, candidates: DataFrame, texts: DataFrame, width: int, percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """Links and components with what the stored candidates yield."""
+    if candidates.isEmpty():
+        return links, joined
+    links = links.unionByName(stored(confirmed(candidates, texts, width, percent), "confirmed"))
+    return links, stored(components(links), "components")
+
+
 def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 4, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row; the key is an integer."""
     least = percent / 100
@@ -218,14 +238,19 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
         bands.groupBy("band", "key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("size")).filter("size > 1"), "groups"
     )
     members = stored(bands.join(groups, ["band", "key"]), "members")
-    stars = members.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-    links = stored(confirmed(stored(promising(stars, sketches, least), "stars"), given, width, percent), "confirmed")
+    # Texts of the documents in question; the ids grow with the documents, so they are not to be broadcast.
+    wanted = members.select("id").distinct()
+    texts = stored(given.join(wanted.hint("merge"), "id").groupBy("id").agg(F.first("text").alias("text")), "texts")
+    stars = members.filter("id <> first").groupBy(F.col("id").alias("b"), F.col("first").alias("a")).count()
+    # Each with the least of its firsts; the others only where that leaves two components.
+    least_first = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    links = stored(confirmed(stored(promising(least_first, sketches, least), "stars"), texts, width, percent), "confirmed")
     joined = stored(components(links), "components")
+    rest_of_stars = apart(stars.select("a", "b").join(least_first, ["a", "b"], "left_anti"), joined)
+    links, joined = _extended(links, joined, stored(promising(rest_of_stars, sketches, least), "stars"), texts, width, percent)
     # Groups with more than one component left: the rest of their pairs.
-    placed = members.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    firsts = groups.join(joined.withColumnRenamed("id", "first"), "first", "left").select(
-        "band", "key", F.coalesce("component", "first").alias("main")
-    )
+    placed = _placed(members, joined, "id", "component")
+    firsts = _placed(groups, joined, "first", "main").select("band", "key", "main")
     open_ = placed.join(firsts, ["band", "key"]).withColumn("outer", F.expr("component <> main"))
     outer = open_.filter("outer").select("band", "key").distinct()
     rest = open_.join(outer, ["band", "key"]).join(sketches, "id").select(
@@ -233,9 +258,7 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
     )
     tested = stars.select("a", "b")
     more = stored(across(rest, least).join(tested, ["a", "b"], "left_anti"), "across")
-    if not more.isEmpty():
-        links = links.unionByName(stored(confirmed(more, given, width, percent), "confirmed"))
-        joined = stored(components(links), "components")
+    links, joined = _extended(links, joined, more, texts, width, percent)
     found = (
         profile.join(classes.select("s1", "s2", "n", "rep"), ["s1", "s2", "n"], "left")
         .join(joined.withColumnRenamed("id", "rep"), "rep", "left")
@@ -250,6 +273,7 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
 def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of one document of each group, without more columns; rows that repeat a kept key are one row."""
     dropped = linked(docs, key, text, width, percent).filter("not kept").select(F.col("doc_id").alias(name := free_name(docs, "dropped")))
-    left = docs.join(dropped.distinct(), F.col(key) == F.col(name), "left_anti")
+    # The dropped ids grow with the documents, so they are not to be broadcast.
+    left = docs.join(dropped.distinct().hint("merge"), F.col(key) == F.col(name), "left_anti")
     known = left.filter(F.col(key).isNotNull()).dropDuplicates([key])
     return known.unionByName(left.filter(F.col(key).isNull()))
