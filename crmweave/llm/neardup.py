@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from crmweave.llm.components import components
-from crmweave.llm.frames import free_name, stored
+from crmweave.llm.frames import arrow_rows, free_name, stored
 from crmweave.llm.text import LOWER, NOT_SPACE, Piece, annotated, lists_of, mixed, pieces, runs_of, struct_of
 
 REGISTERS, BAND_ROWS = 128, 4
@@ -36,7 +36,7 @@ MANTISSA = 10
 HASH_BITS = 57  # those below the seven that choose the bucket
 BORROW_TRIES = 24
 SLACK = 0.16  # four and a half standard errors of an estimate of 0.8 from 128 registers
-BLOCK = 64
+BLOCK, BLOCKS_A_BATCH = 32, 64
 
 PROFILE = StructType(
     [StructField("n", LongType()), StructField("s1", LongType()), StructField("s2", LongType()), StructField("bands", ArrayType(LongType()))]
@@ -157,48 +157,70 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     return both.select("a", "b", "text_a", "text_b").mapInArrow(over, "a long, b long")
 
 
-def across(groups: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) of one band group that lie in different components and whose estimate may still be a link.
+def across(groups: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b) between members of one band group that lie in different components.
 
-    ``groups``: band, key, id, component, outer (not in the component of the group's first), n, bands, size. Members are
-    packed into blocks of about BLOCK; block meets block, and numpy compares their registers. A pair that shares an
-    earlier band is left to that band.
+    ``groups``: band, key, id, component, outer (not in the component of the group's first), n, bands, size, text.
+    Members are packed into blocks of about BLOCK; every block meets every block of outer members. Registers are
+    compared first; where they leave pairs, the shingles of both blocks are joined at once. No rows of pairs are made. A
+    pair that shares an earlier band is left to that band.
     """
-    packed = F.struct("id", "component", "n", "bands")
+    least = percent / 100
+    packed = F.struct("id", "component", "n", "bands", "text")
     block = F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / BLOCK))
     gathered = lambda df, name: df.groupBy("band", "key", block.alias(f"part_{name}")).agg(F.collect_list(packed).alias(name))
     met = gathered(groups, "x").join(gathered(groups.filter("outer"), "y"), ["band", "key"]).select("band", "x", "y")
 
     def opened(cell: pa.Array) -> tuple[np.ndarray, ...]:
-        fields = cell.field("bands")
-        return (*(cell.field(k).to_numpy(zero_copy_only=False) for k in ("id", "component", "n")), as_registers(fields))
+        return (*(cell.field(k).to_numpy(zero_copy_only=False) for k in ("id", "component", "n")), as_registers(cell.field("bands")))
+
+    def sets(texts: pa.Array, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Shingles of some of the texts, and which of them each is of."""
+        hashes, owner, at = [], [], 0
+        for piece in pieces(texts.take(pa.array(some))):
+            own, bounds = shingle_sets(piece, width)
+            hashes.append(own)
+            owner.append(np.repeat(np.arange(len(piece)) + at, np.diff(bounds)))
+            at += len(piece)
+        return np.concatenate(hashes), np.concatenate(owner)
 
     def over(batches):
         for batch in batches:
+            found: list[np.ndarray] = []
             for i in range(len(batch)):
-                band = batch.column(0)[i].as_py()
-                xs, xc, xn, xr = opened(batch.column(1)[i].values)
-                ys, yc, yn, yr = opened(batch.column(2)[i].values)
-                found_a, found_b = [], []
-                for k in range(len(ys)):
-                    other = np.flatnonzero(xc != yc[k])
-                    if band and len(other):
-                        earlier = (xr[other, : band * BAND_ROWS] == yr[k, : band * BAND_ROWS]).reshape(len(other), band, BAND_ROWS)
-                        other = other[~earlier.all(axis=2).any(axis=1)]
-                    if len(other):
-                        n_y = np.full(len(other), float(yn[k]))
-                        n_x = xn[other].astype(float)
-                        ok = estimates(xr[other], yr[k][None, :], n_x, n_y) >= least - SLACK
-                        ok &= np.minimum(n_x, n_y) >= least * np.maximum(n_x, n_y)
-                        found_a.append(xs[other[ok]])
-                        found_b.append(np.full(int(ok.sum()), ys[k]))
-                if found_a:
-                    a, b = np.concatenate(found_a), np.concatenate(found_b)
-                    yield pa.RecordBatch.from_pydict({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+                band, x, y = batch.column(0)[i].as_py(), batch.column(1)[i].values, batch.column(2)[i].values
+                (xs, xc, xn, xr), (ys, yc, yn, yr) = opened(x), opened(y)
+                maybe = (xc[:, None] != yc[None, :]) & (np.minimum(xn[:, None], yn) >= least * np.maximum(xn[:, None], yn))
+                if band:
+                    earlier = xr[:, None, : band * BAND_ROWS] == yr[None, :, : band * BAND_ROWS]
+                    maybe &= ~earlier.reshape(len(xs), len(ys), band, BAND_ROWS).all(axis=3).any(axis=2)
+                a, b = np.nonzero(maybe)
+                likely = estimates(xr[a], yr[b], xn[a].astype(float), yn[b].astype(float)) >= least - SLACK
+                a, b = a[likely], b[likely]
+                if not len(a):
+                    continue
+                (left, a), (right, b) = np.unique(a, return_inverse=True), np.unique(b, return_inverse=True)
+                common = shared(*sets(x.field("text"), left), *sets(y.field("text"), right), len(left), len(right))[a, b]
+                linked = (common > 0) & (100 * common >= percent * (xn[left[a]] + yn[right[b]] - common))
+                pair = np.stack([xs[left[a]], ys[right[b]]], axis=1)[linked]
+                found.append(np.sort(pair, axis=1))
+            if found:
+                pairs = np.unique(np.concatenate(found), axis=0)
+                yield pa.RecordBatch.from_pydict({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     return met.mapInArrow(over, "a long, b long").distinct()
 
 
+def shared(xh: np.ndarray, xo: np.ndarray, yh: np.ndarray, yo: np.ndarray, nx: int, ny: int) -> np.ndarray:
+    """Sizes of the intersections of nx sets with ny sets, given as values and the set that each is of."""
+    order = np.argsort(xh, kind="stable")
+    xh, xo = xh[order], xo[order]
+    low, high = np.searchsorted(xh, yh, "left"), np.searchsorted(xh, yh, "right")
+    many = high - low
+    at = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+    return np.bincount(xo[at] * ny + np.repeat(yo, many), minlength=nx * ny).reshape(nx, ny)
+
+
 def _placed(df: DataFrame, joined: DataFrame, id_: str, name: str) -> DataFrame:
     """The frame with the component of its ids; an id without links is its own."""
     own = joined.select(F.col("id").alias(id_), F.col("component").alias(name))
@@ -253,12 +275,13 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
     firsts = _placed(groups, joined, "first", "main").select("band", "key", "main")
     open_ = placed.join(firsts, ["band", "key"]).withColumn("outer", F.expr("component <> main"))
     outer = open_.filter("outer").select("band", "key").distinct()
-    rest = open_.join(outer, ["band", "key"]).join(sketches, "id").select(
-        "band", "key", "id", "component", "outer", "n", "bands", "size"
+    rest = open_.join(outer, ["band", "key"]).join(sketches, "id").join(texts.hint("merge"), "id").select(
+        "band", "key", "id", "component", "outer", "n", "bands", "size", "text"
     )
-    tested = stars.select("a", "b")
-    more = stored(across(rest, least).join(tested, ["a", "b"], "left_anti"), "across")
-    links, joined = _extended(links, joined, more, texts, width, percent)
+    with arrow_rows(docs.sparkSession, BLOCKS_A_BATCH):
+        more = stored(across(rest, width, percent), "across")
+    if not more.isEmpty():
+        joined = stored(components(links.unionByName(more)), "components")
     found = (
         profile.join(classes.select("s1", "s2", "n", "rep"), ["s1", "s2", "n"], "left")
         .join(joined.withColumnRenamed("id", "rep"), "rep", "left")
