@@ -18,6 +18,8 @@ NONE = IDS - 1  # no id yet; a vocabulary must not have it
 ONE_BITS, TWO_BITS = 11, 12
 SLOT_BITS = 12
 SLOTS = 1 << SLOT_BITS
+SIZE_BITS = SLOT_BITS + 1
+SIZE_MASK = (1 << SIZE_BITS) - 1
 RUNS = 4  # a run of hits counts up to RUNS - 1; ids are kept times RUNS, so shifts by 2 below
 START, LOW, HIGH, RATE = 4096, 64, 40960, 4
 GAIN = np.int32(HIGH - LOW)
@@ -28,82 +30,112 @@ TOP, SMALL = np.uint64(32), np.uint64(1 << 24)
 SIXTEEN = np.uint64(16)
 
 
-class Coder:
-    """Range coder states of all blocks; ``step`` narrows the interval of some to (low, width) of 2**16."""
+class Interval:
+    """Low end and size of the interval of every block, narrowed step by step; words leave when they are decided."""
 
-    def __init__(self, blocks: int, length: int):
+    def __init__(self, blocks: int):
         self.low = np.zeros(blocks, np.uint64)
         self.range = np.full(blocks, WHOLE)
-        self.words = np.zeros((blocks, 2 * length + 8), np.uint16)
-        self.at = np.zeros(blocks, np.int64)
 
-    def step(self, which: np.ndarray | slice, low: np.ndarray, width: np.ndarray) -> None:
+    def shift(self, which: np.ndarray | None, out: np.ndarray) -> None:
+        """Put out or take in a word, where ``out``, in all blocks or in some."""
+        raise NotImplementedError
+
+    def step(self, low: np.ndarray, width: np.ndarray) -> None:
+        """Narrow every block's interval to (low, width) of 2**16."""
+        unit = self.range >> SIXTEEN
+        self.low += unit * low.astype(np.uint64)
+        self.range = unit * width.astype(np.uint64)
+        out, size = settled(self.low, self.range)
+        # All blocks at once: most put out a word, and whole arrays are faster than a choice of them.
+        self.shift(None, out)
+        by = out.astype(np.uint64) << np.uint64(4)
+        self.low = (self.low << by) & WHOLE
+        self.range = size << by
+        self.settle(np.flatnonzero(settled(self.low, self.range)[0]))
+
+    def step_some(self, which: np.ndarray, low: np.ndarray, width: np.ndarray) -> None:
         unit = self.range[which] >> SIXTEEN
-        now = self.low[which] + unit * low.astype(np.uint64)
-        size = unit * width.astype(np.uint64)
-        self.low[which], self.range[which] = now, size
-        out = settled(now, size)
-        out = out if isinstance(which, slice) else which[out]
-        while len(out):
-            now, size = self.low[out], self.range[out]
-            size = np.where(same_top(now, size), size, (~now + np.uint64(1)) & (SMALL - np.uint64(1)))
-            self.words[out, self.at[out]] = (now >> TOP).astype(np.uint16)
-            self.at[out] += 1
-            now, size = (now << SIXTEEN) & WHOLE, size << SIXTEEN
-            self.low[out], self.range[out] = now, size
-            out = out[settled(now, size)]
+        self.low[which] += unit * low.astype(np.uint64)
+        self.range[which] = unit * width.astype(np.uint64)
+        self.settle(which)
 
-    def finish(self) -> list[bytes]:
-        rows = np.arange(len(self.low))
-        for shift in (TOP, SIXTEEN, np.uint64(0)):
-            self.words[rows, self.at] = (self.low >> shift).astype(np.uint16)
-            self.at += 1
-        return [self.words[i, :n].tobytes() for i, n in enumerate(self.at)]
+    def settle(self, which: np.ndarray) -> None:
+        while len(which):
+            out, size = settled(self.low[which], self.range[which])
+            which, size = which[out], size[out]
+            self.shift(which, out)
+            self.low[which] = (self.low[which] << SIXTEEN) & WHOLE
+            self.range[which] = size << SIXTEEN
+
+
+def settled(low: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the top word is decided, or the range is so small that it is made so; and the sizes, cut where it is."""
+    same = ((low ^ (low + size)) >> TOP) == 0
+    small = size < SMALL
+    if small.any():
+        small &= ~same
+        size = np.where(small, (~low + np.uint64(1)) & (SMALL - np.uint64(1)), size)
+        return same | small, size
+    return same, size
 
 
-def same_top(low: np.ndarray, size: np.ndarray) -> np.ndarray:
-    return ((low ^ (low + size)) >> TOP) == 0
+class Coder(Interval):
+    def __init__(self, blocks: int, length: int):
+        super().__init__(blocks)
+        self.room = 2 * length + 8
+        self.words = np.zeros(blocks * self.room, np.uint16)
+        self.begin = np.arange(blocks) * self.room
+        self.at = self.begin.copy()
 
+    def shift(self, which: np.ndarray | None, out: np.ndarray) -> None:
+        if which is None:
+            # A block that puts out none is overwritten by its next word.
+            self.words[self.at] = (self.low >> TOP).astype(np.uint16)
+            self.at += out
+        else:
+            self.words[self.at[which]] = (self.low[which] >> TOP).astype(np.uint16)
+            self.at[which] += 1
 
-def settled(low: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Where the top word is decided, or the range is so small that it is made so."""
-    return np.flatnonzero((((low ^ (low + size)) >> TOP) == 0) | (size < SMALL))
+    def finish(self) -> list[bytes]:
+        for shift in (TOP, SIXTEEN, np.uint64(0)):
+            self.words[self.at] = (self.low >> shift).astype(np.uint16)
+            self.at += 1
+        return [self.words[a:b].tobytes() for a, b in zip(self.begin.tolist(), self.at.tolist(), strict=True)]
 
 
-class Reader:
-    """The same states while decoding; ``code`` is what the words say within the interval."""
+class Reader(Interval):
+    """The same intervals while decoding; ``code`` is what the words say."""
 
     def __init__(self, payloads: list[bytes]):
-        size = max(map(len, payloads)) // 2 + 8
-        self.words = np.zeros((len(payloads), size), np.uint16)
+        super().__init__(len(payloads))
+        room = max(map(len, payloads)) // 2 + 8
+        self.words = np.zeros(len(payloads) * room + 1, np.uint16)
         for i, p in enumerate(payloads):
-            self.words[i, : len(p) // 2] = np.frombuffer(p, np.uint16)
-        self.low = np.zeros(len(payloads), np.uint64)
-        self.range = np.full(len(payloads), WHOLE)
-        w = self.words.astype(np.uint64)
-        self.code = (w[:, 0] << TOP) | (w[:, 1] << SIXTEEN) | w[:, 2]
-        self.at = np.full(len(payloads), 3)
-        self.last = size - 1
-
-    def value(self, which: np.ndarray | slice) -> np.ndarray:
-        unit = self.range[which] >> SIXTEEN
-        return np.minimum((self.code[which] - self.low[which]) // unit, np.uint64(IDS - 1)).astype(np.int64)
+            self.words[i * room : i * room + len(p) // 2] = np.frombuffer(p, np.uint16)
+        self.at = np.arange(len(payloads)) * room
+        self.code = np.zeros(len(payloads), np.uint64)
+        for _ in range(3):
+            self.shift(None, np.ones(len(payloads), bool))
+
+    def shift(self, which: np.ndarray | None, out: np.ndarray) -> None:
+        if which is None:
+            by = out.astype(np.uint64) << np.uint64(4)
+            word = self.words.take(self.at) * out
+            self.code = ((self.code << by) & WHOLE) | word
+            self.at += out
+        else:
+            self.code[which] = ((self.code[which] << SIXTEEN) & WHOLE) | self.words[self.at[which]]
+            self.at[which] += 1
 
-    def step(self, which: np.ndarray | slice, low: np.ndarray, width: np.ndarray) -> None:
+    def value(self) -> np.ndarray:
+        # Exact in doubles: 48 bits over at most 32, and a quotient of 16 bits.
+        gone = (self.code - self.low).view(np.int64).astype(np.float64)
+        return np.minimum(gone / (self.range >> SIXTEEN).view(np.int64), IDS - 1).astype(np.int32)
+
+    def value_of(self, which: np.ndarray) -> np.ndarray:
         unit = self.range[which] >> SIXTEEN
-        now = self.low[which] + unit * low.astype(np.uint64)
-        size = unit * width.astype(np.uint64)
-        self.low[which], self.range[which] = now, size
-        out = settled(now, size)
-        out = out if isinstance(which, slice) else which[out]
-        while len(out):
-            now, size = self.low[out], self.range[out]
-            size = np.where(same_top(now, size), size, (~now + np.uint64(1)) & (SMALL - np.uint64(1)))
-            self.code[out] = ((self.code[out] << SIXTEEN) & WHOLE) | self.words[out, np.minimum(self.at[out], self.last)]
-            self.at[out] += 1
-            now, size = (now << SIXTEEN) & WHOLE, size << SIXTEEN
-            self.low[out], self.range[out] = now, size
-            out = out[settled(now, size)]
+        return np.minimum((self.code[which] - self.low[which]) // unit, np.uint64(IDS - 1)).astype(np.int64)
 
 
 class Contexts:
@@ -155,7 +187,6 @@ def encode(ids: np.ndarray) -> list[bytes]:
     blocks, length = ids.shape
     coder, contexts = Coder(blocks, length), Contexts(blocks)
     lanes = np.arange(blocks)
-    every = slice(None)
     # Order 0 by the rank of an id among those of its block, found at once.
     order = np.argsort(ids.astype(np.uint16), axis=1, kind="stable")
     ordered = np.take_along_axis(ids, order, axis=1)
@@ -167,7 +198,8 @@ def encode(ids: np.ndarray) -> list[bytes]:
     del order, ordered, rank
     by_step, place = np.ascontiguousarray(ids.T.astype(np.int32)), np.ascontiguousarray(place.T + (lanes * width).astype(np.int32))
     counts = np.zeros(blocks * width, np.int32)
-    first, size = np.zeros(blocks * width, np.int32), np.zeros(blocks * width, np.int32)
+    # First slot and number of slots in one number; the escape has the slots before all ids.
+    share = np.zeros(blocks * width, np.int32)
     escape = np.full(blocks, SLOTS, np.int32)
     renewed = 0
     for t in range(length):
@@ -178,23 +210,24 @@ def encode(ids: np.ndarray) -> list[bytes]:
             got = np.where(table > 0, slots_of(table, distinct[:, None], t), 0)
             upto = np.cumsum(got, axis=1)
             escape = (SLOTS - upto[:, -1]).astype(np.int32)
-            first, size = (upto - got + escape[:, None]).astype(np.int32).ravel(), got.astype(np.int32).ravel()
+            share = (((upto - got + escape[:, None]) << SIZE_BITS) | got).astype(np.int32).ravel()
+            share[got.ravel() == 0] = 0
         x = by_step[t]
         g2, g1, share2, share1 = contexts.predict()
         base = share2 + share1
         rest = IDS - base
-        a, n = first[place[t]], size[place[t]]
-        new = n == 0
-        a, n = np.where(new, 0, a), np.where(new, escape, n)
+        both = share.take(place[t])
+        new = both == 0
+        a, n = both >> SIZE_BITS, np.where(new, escape, both & SIZE_MASK)
         start = (a * rest) >> SLOT_BITS
         low, wide = base + start, (((a + n) * rest) >> SLOT_BITS) - start
         hit2, hit1 = g2 == x, g1 == x
         low, wide = np.where(hit1, share2, low), np.where(hit1, share1, wide)
         low, wide = np.where(hit2, 0, low), np.where(hit2, share2, wide)
-        coder.step(every, low, wide)
+        coder.step(low, wide)
         out = np.flatnonzero(new & ~hit1 & ~hit2)
         if len(out):
-            coder.step(out, x[out], np.ones(len(out), np.int64))
+            coder.step_some(out, x[out], np.ones(len(out), np.int64))
         contexts.learn(x)
     return coder.finish()
 
@@ -204,12 +237,11 @@ def decode(payloads: list[bytes], length: int) -> np.ndarray:
     blocks = len(payloads)
     reader, contexts = Reader(payloads), Contexts(blocks)
     lanes = np.arange(blocks)
-    every = slice(None)
     out = np.zeros((length, blocks), np.int32)
-    slot = np.zeros(blocks * SLOTS, np.int32)  # row in the lists below; row i < blocks is the escape of block i
-    names, first, size = np.full(blocks, NONE, np.int32), np.zeros(blocks, np.int32), np.full(blocks, SLOTS, np.int32)
-    slot = np.repeat(lanes, SLOTS)
-    lane_slots = lanes * SLOTS
+    # Row of each slot in the lists below; row i < blocks is the escape of block i
+    names, share = np.full(blocks, NONE, np.int32), np.full(blocks, SLOTS, np.int32)
+    slot = np.repeat(lanes.astype(np.int32), SLOTS)
+    lane_slots = lanes.astype(np.int32) * SLOTS
     for t in range(length):
         if t in RENEW:
             seen = np.sort(out[:t].T.astype(np.uint16), axis=1, kind="stable")
@@ -224,30 +256,33 @@ def decode(payloads: list[bytes], length: int) -> np.ndarray:
             before = np.concatenate([[0], upto])[cuts]
             escape = SLOTS - np.diff(before)
             names = np.concatenate([np.full(blocks, NONE, np.int32), seen.ravel()[begins].astype(np.int32)])
-            first = np.concatenate([np.zeros(blocks, np.int64), upto - got - before[owner] + escape[owner]]).astype(np.int32)
-            size = np.concatenate([escape, got]).astype(np.int32)
+            size = np.concatenate([escape, got])
+            first = np.concatenate([np.zeros(blocks, np.int64), upto - got - before[owner] + escape[owner]])
+            share = ((first << SIZE_BITS) | size).astype(np.int32)
             # A block's slots: its escape, then its ids in order.
             rows = np.insert(np.arange(blocks, blocks + len(got)), cuts[:-1], lanes)
-            slot = np.repeat(rows, size[rows])
+            slot = np.repeat(rows.astype(np.int32), size[rows])
         g2, g1, share2, share1 = contexts.predict()
         base = share2 + share1
         rest = IDS - base
-        value = reader.value(every)
+        value = reader.value()
         inner = np.maximum(value - base, 0)
-        row = slot[lane_slots + np.minimum((((inner + 1) << SLOT_BITS) - 1) // rest, SLOTS - 1)]
-        a, n = first[row], size[row]
+        place = (((inner + 1) << SLOT_BITS) - 1) / rest  # in doubles, exact as above
+        row = slot.take(lane_slots + np.minimum(place, SLOTS - 1).astype(np.int32))
+        both = share.take(row)
+        a, n = both >> SIZE_BITS, both & SIZE_MASK
         start = (a * rest) >> SLOT_BITS
         low, wide = base + start, (((a + n) * rest) >> SLOT_BITS) - start
-        x = names[row]
+        x = names.take(row)
         hit1, hit2 = value < base, value < share2
         low, wide, x = np.where(hit1, share2, low), np.where(hit1, share1, wide), np.where(hit1, g1, x)
         low, wide, x = np.where(hit2, 0, low), np.where(hit2, share2, wide), np.where(hit2, g2, x)
-        reader.step(every, low, wide)
+        reader.step(low, wide)
         free = np.flatnonzero((row < blocks) & ~hit1)
         if len(free):
-            got = reader.value(free)
+            got = reader.value_of(free)
             x[free] = got
-            reader.step(free, got, np.ones(len(free), np.int64))
+            reader.step_some(free, got, np.ones(len(free), np.int64))
         contexts.learn(x)
         out[t] = x
     return np.ascontiguousarray(out.T)

@@ -9,8 +9,8 @@ Tokenizing: the pre-tokenizer never joins what stands on both sides of a place w
 character, so texts are cut there and each distinct piece is encoded once by the tokenizer; a worker keeps the last
 CACHE_WORDS pieces' ids. Cuts are made only after ASCII and two-byte characters, of which no white space is in question.
 
-Nulls: a null text is empty and has the end id alone; null keys come first. Equal keys are ordered by text; each row has
-an entry of its own. Extra columns do not matter. An empty table gives no rows.
+Nulls: a null text is empty and has the end id alone; null keys come first. Equal keys are ordered by a hash of the text;
+each row has an entry of its own. Extra columns do not matter. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -201,8 +201,11 @@ class Writer:
 
 def write(docs: DataFrame, path: str, vocabulary: str, key: str = "doc_id", text: str = "text") -> None:
     """Write the ids of all documents, in ascending order of the key, to a folder that all executors reach."""
-    given = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    dealt = given.repartitionByRange("key", "text").sortWithinPartitions("key", "text")
+    given = docs.select(
+        F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.xxhash64(text).alias("hash")
+    )
+    # The bounds of ranges come from a sample in the driver: of keys and hashes, not of texts.
+    dealt = given.repartitionByRange("key", "hash").sortWithinPartitions("key", "hash", "text")
 
     def coded(batches):
         model, writer = encoder(vocabulary), Writer(TaskContext.get().partitionId())
