@@ -8,7 +8,6 @@ longer text is a piece of its own.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,17 +44,17 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=1)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    back = pow(int(ODD), -1, 1 << 64)
-    up, down = np.full(n, ODD), np.full(n, np.uint64(back))
-    up[0] = down[0] = np.uint64(1)
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+_POWERS: list[tuple[np.ndarray, np.ndarray]] = []
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of ODD and of its inverse modulo 2**64, at least n + 1 of them."""
-    return _powers(1 << max(20, (n + 1).bit_length()))
+    """Powers of ODD and of its inverse modulo 2**64, at least n + 1 of them; the worker keeps the most it has needed."""
+    if not _POWERS or len(_POWERS[0][0]) <= n:
+        size = 1 << max(20, (n + 1).bit_length())
+        up, down = np.full(size, ODD), np.full(size, np.uint64(pow(int(ODD), -1, 1 << 64)))
+        up[0] = down[0] = np.uint64(1)
+        _POWERS[:] = [(np.multiply.accumulate(up), np.multiply.accumulate(down))]
+    return _POWERS[0]
 
 
 def prefix_sums(data: np.ndarray) -> np.ndarray:
