@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
@@ -131,15 +132,31 @@ def promising(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
     return both.mapInArrow(over, "a long, b long")
 
 
+def zipped(docs: DataFrame) -> DataFrame:
+    """(id, text) with the texts compressed: they are moved more often than they are read."""
+
+    def over(batches):
+        press = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            texts = batch.column(1).cast(pa.binary()).fill_null(b"").to_pylist()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(press.compress, texts), pa.binary())], names=["id", "text"])
+
+    return docs.mapInArrow(over, "id long, text binary")
+
+
+def unzipped(texts: pa.Array) -> pa.Array:
+    return pa.array(map(zstandard.ZstdDecompressor().decompress, texts.to_pylist()), pa.binary())
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union on full sets. ``texts``: id (once each), text."""
+    """The pairs (a, b) with 100 * intersection >= percent * union on full sets. ``texts``: id (once each), zipped text."""
     both = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b").join(
         texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a"
     )
 
     def sets(column: pa.Array) -> list[np.ndarray]:
         out = []
-        for piece in pieces(column):
+        for piece in pieces(unzipped(column)):
             hashes, bounds = shingle_sets(piece, width)
             out.extend(hashes[x:y] for x, y in zip(bounds, bounds[1:], strict=False))
         return out
@@ -160,7 +177,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
 def across(groups: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (a, b) between members of one band group that lie in different components.
 
-    ``groups``: band, key, id, component, outer (not in the component of the group's first), n, bands, size, text.
+    ``groups``: band, key, id, component, outer (not in the component of the group's first), n, bands, size, zipped text.
     Members are packed into blocks of about BLOCK; every block meets every block of outer members. Registers are
     compared first; where they leave pairs, the shingles of both blocks are joined at once. No rows of pairs are made. A
     pair that shares an earlier band is left to that band.
@@ -177,7 +194,7 @@ def across(groups: DataFrame, width: int, percent: int) -> DataFrame:
     def sets(texts: pa.Array, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Shingles of some of the texts, and which of them each is of."""
         hashes, owner, at = [], [], 0
-        for piece in pieces(texts.take(pa.array(some))):
+        for piece in pieces(unzipped(texts.take(pa.array(some)))):
             own, bounds = shingle_sets(piece, width)
             hashes.append(own)
             owner.append(np.repeat(np.arange(len(piece)) + at, np.diff(bounds)))
@@ -202,8 +219,10 @@ def across(groups: DataFrame, width: int, percent: int) -> DataFrame:
                 (left, a), (right, b) = np.unique(a, return_inverse=True), np.unique(b, return_inverse=True)
                 common = shared(*sets(x.field("text"), left), *sets(y.field("text"), right), len(left), len(right))[a, b]
                 linked = (common > 0) & (100 * common >= percent * (xn[left[a]] + yn[right[b]] - common))
-                pair = np.stack([xs[left[a]], ys[right[b]]], axis=1)[linked]
-                found.append(np.sort(pair, axis=1))
+                a, b = left[a[linked]], right[b[linked]]
+                # One link between two components joins them; more would change nothing.
+                _, one = np.unique(np.stack([xc[a], yc[b]], axis=1), axis=0, return_index=True)
+                found.append(np.sort(np.stack([xs[a[one]], ys[b[one]]], axis=1), axis=1))
             if found:
                 pairs = np.unique(np.concatenate(found), axis=0)
                 yield pa.RecordBatch.from_pydict({"a": pairs[:, 0], "b": pairs[:, 1]})
@@ -262,7 +281,7 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
     members = stored(bands.join(groups, ["band", "key"]), "members")
     # Texts of the documents in question; the ids grow with the documents, so they are not to be broadcast.
     wanted = members.select("id").distinct()
-    texts = stored(given.join(wanted.hint("merge"), "id").groupBy("id").agg(F.first("text").alias("text")), "texts")
+    texts = stored(zipped(given).join(wanted.hint("merge"), "id").groupBy("id").agg(F.first("text").alias("text")), "texts")
     stars = members.filter("id <> first").groupBy(F.col("id").alias("b"), F.col("first").alias("a")).count()
     # Each with the least of its firsts; the others only where that leaves two components.
     least_first = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
