@@ -200,6 +200,21 @@ def test_fuzzy_lines_in_large_groups(llm):
     assert by_id(lines.deduplicated(df), "n_lines", "n_removed", "removed_lines") == brute.fuzzy_lines(rows)
 
 
+def test_fuzzy_lines_query_links_lines_that_differ_in_one_character(llm, tmp_path):
+    filler = "this page was printed on the evening of day {} by the desk"
+    assert 49 <= len(filler.format(1)) < 99
+    rows = [(k, f"{filler.format(k)}\nown line number {k * 7919}") for k in range(1, 9)]
+    llm.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = by_id(queries.QUERIES["op5_fuzzy_lines"](llm, str(tmp_path)), "n_lines", "n_removed", "removed_lines")
+    assert got == brute.fuzzy_lines(rows, width=queries.LINE_SHINGLE)
+    assert [k for k, (_, _, gone) in got.items() if 0 in gone] == [k for k in got if k != 1]
+
+
+def test_fuzzy_lines_query_over_the_small_table(llm, documents):
+    got = by_id(queries.QUERIES["op5_fuzzy_lines"](llm, SMALL), "n_lines", "n_removed", "removed_lines")
+    assert got == brute.fuzzy_lines(texts(documents), width=queries.LINE_SHINGLE)
+
+
 def test_fuzzy_lines_of_nothing(none, clashing):
     assert lines.deduplicated(none).collect() == []
     kept = lines.without_lines(clashing)
