@@ -6,8 +6,9 @@ borrow from others in an order that the bucket alone decides, so equal sets have
 band, as one 64-bit number; 32 bands find a pair of similarity 0.8 but for a chance of 5e-8.
 
 Steps: documents of equal sets become one class, before anything else. Representatives that share a band are candidates:
-each is paired with the least of the ids that come first in its bands' groups, pairs whose corrected estimate is far
-below the threshold are dropped, and the rest is confirmed on full sets. Confirmed links are joined to components. Then
+each is paired with the least of the ids that come first in its bands' groups, pairs of larger sets whose corrected
+estimate is far below the threshold are dropped, and the rest is confirmed on full sets. Sets of fewer than ESTIMATED
+shingles borrow most registers, so few shingles decide the estimate; their pairs are all confirmed. Confirmed links are joined to components. Then
 the pairs with the other groups' first ids follow, where these are in other components. Groups that still hold several
 components are then compared in full, in blocks of registers and only across components, and what they yield is
 confirmed and joined as well; so no group is cut, and none is expanded into rows of pairs. Links within a component
@@ -37,6 +38,7 @@ MANTISSA = 10
 HASH_BITS = 57  # those below the seven that choose the bucket
 BORROW_TRIES = 24
 SLACK = 0.16  # four and a half standard errors of an estimate of 0.8 from 128 registers
+ESTIMATED = 128  # shingles of both sets from which on an estimate may drop a pair
 BLOCK, BLOCKS_A_BATCH = 32, 64
 
 PROFILE = StructType(
@@ -112,6 +114,12 @@ def estimates(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
     return (same - chance) / (1 - chance)
 
 
+def maybe_linked(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, least: float) -> np.ndarray:
+    """Pairs (registers and sizes) that the estimate does not rule out; it is not asked where a set is small."""
+    n_a, n_b = n_a.astype(float), n_b.astype(float)
+    return (np.minimum(n_a, n_b) < ESTIMATED) | (estimates(a, b, n_a, n_b) >= least - SLACK)
+
+
 def as_registers(column: pa.Array) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return np.ascontiguousarray(flat).view(np.uint16).reshape(len(column), -1)
@@ -124,8 +132,8 @@ def promising(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
 
     def over(batches):
         for batch in batches:
-            n_a, n_b = (batch.column(i).to_numpy(zero_copy_only=False).astype(float) for i in (2, 3))
-            likely = estimates(as_registers(batch.column(4)), as_registers(batch.column(5)), n_a, n_b) >= least - SLACK
+            n_a, n_b = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
+            likely = maybe_linked(as_registers(batch.column(4)), as_registers(batch.column(5)), n_a, n_b, least)
             likely &= np.minimum(n_a, n_b) >= least * np.maximum(n_a, n_b)
             yield batch.select([0, 1]).filter(pa.array(likely))
 
@@ -212,7 +220,7 @@ def across(groups: DataFrame, width: int, percent: int) -> DataFrame:
                     earlier = xr[:, None, : band * BAND_ROWS] == yr[None, :, : band * BAND_ROWS]
                     maybe &= ~earlier.reshape(len(xs), len(ys), band, BAND_ROWS).all(axis=3).any(axis=2)
                 a, b = np.nonzero(maybe)
-                likely = estimates(xr[a], yr[b], xn[a].astype(float), yn[b].astype(float)) >= least - SLACK
+                likely = maybe_linked(xr[a], yr[b], xn[a], yn[b], least)
                 a, b = a[likely], b[likely]
                 if not len(a):
                     continue

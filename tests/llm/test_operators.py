@@ -324,6 +324,35 @@ def test_near_duplicates_that_miss_the_first_of_their_group(llm):
     assert by_id(neardup.linked(df), "n_shingles", "component_id", "kept") == brute.near(rows)
 
 
+def test_near_duplicates_of_short_texts(llm):
+    # Sets of 5 and 4 shingles, similarity 0.8 exactly: four of them decide the registers of the other.
+    rows = [(2 * k + j, " ".join(f"k{k}w{i}" for i in range(8 - j))) for k in range(1500) for j in range(2)]
+    df = llm.createDataFrame(rows, "doc_id long, text string")
+    assert by_id(neardup.linked(df), "n_shingles", "component_id", "kept") == brute.near(rows)
+
+
+def test_near_duplicates_of_short_texts_across_a_group(llm):
+    import numpy as np
+    import pyarrow as pa
+
+    from crmweave.llm.text import pieces
+
+    pairs = [[" ".join(f"k{k}w{i}" for i in range(8 - j)) for j in range(2)] for k in range(400)]
+    for a, b in pairs:
+        made = neardup.profiled(next(pieces(pa.array([a, b]))), 4)
+        bands, n = neardup.as_registers(made.field("bands")), made.field("n").to_numpy()
+        if neardup.estimates(bands[:1], bands[1:], n[:1].astype(float), n[1:].astype(float))[0] < 0.8 - neardup.SLACK:
+            break
+    else:
+        raise AssertionError("no pair with a low estimate")
+    band = int(np.flatnonzero((bands[0] == bands[1]).reshape(-1, neardup.BAND_ROWS).all(axis=1))[0])
+    rows = [(band, 1, i, i, i == 2, int(n[i - 1]), made.field("bands")[i - 1].as_py(), 2, t) for i, t in ((1, a), (2, b))]
+    df = llm.createDataFrame(rows, "band int, key long, id long, component long, outer boolean, n long, bands array<long>, size long, text string")
+    packed = neardup.zipped(df.select("id", "text")).withColumnRenamed("text", "zip")
+    groups = df.join(packed, "id").select("band", "key", "id", "component", "outer", "n", "bands", "size", F.col("zip").alias("text"))
+    assert [tuple(r) for r in neardup.across(groups, 4, 80).collect()] == [(1, 2)]
+
+
 def test_one_of_each_group_stays(clashing, none):
     left = neardup.without_near_copies(clashing)
     ids = [r["doc_id"] for r in left.collect()]
