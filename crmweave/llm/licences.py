@@ -2,8 +2,8 @@
 
 Each text streams through the automaton of all templates. Matches that cannot be extended and have MIN_MATCH words or
 more are chained where they stand in the same order and near each other (GAP) in the text and in one template. The
-share of the template's words that the best chain covers is its coverage; from COVERAGE on, the template's label is
-given. Base phrases are found at all places, with their own labels.
+share of the template's words that a chain covers is its coverage; from COVERAGE on, the template's label is given. A
+template's best chain is taken, then the best one of the words left, and so on, so each place of a notice has its span. Base phrases are found at all places, with their own labels.
 
 Nulls and empty texts have no words, no labels and score 0. Repeated rows are rows of their own. Extra columns pass
 through; the added column gets a free name. Of chains of equal cover the first is taken. An empty table gives no rows.
@@ -11,6 +11,7 @@ through; the added column gets a free name. Of chains of equal cover the first i
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Mapping, Sequence
 
 import numpy as np
@@ -102,25 +103,55 @@ class Templates:
                     base.append((shift + i - size, label))
             before = now
 
+    def best_chains(self, own: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+        """The chains of most cover among sorted matches (start in text, in template, words) of one template, apart from
+        each other: (covered, first word, end)."""
+        best: list[tuple[int, int, int, int]] = []  # covered, first word, end in text, end in template
+        for d, s, n in own:
+            covered, start = n, d
+            for c, first, d_end, s_end in reversed(best):
+                if d - d_end > GAP + max(self.sizes):
+                    break
+                if 0 <= d - d_end <= GAP and 0 <= s - s_end <= GAP and c + n > covered:
+                    covered, start = c + n, first
+            best.append((covered, start, d + n, s + n))
+        most = max(c for c, *_ in best)
+        out: list[tuple[int, int, int]] = []
+        for start, end in sorted((start, end) for c, start, end, _ in best if c == most):
+            if not out or start >= out[-1][2]:
+                out.append((most, start, end))
+        return out
+
     def chains(self, matches: list) -> list[tuple[int, int, int, float]]:
-        """The best chain of each template: (template, first word, end, coverage)."""
+        """Chains of each template that reach COVERAGE, apart from each other: (template, first word, end, coverage)."""
         out = []
         for template in sorted({m[0] for m in matches}):
+            size, found = self.sizes[template], []
             own = sorted((d, s, n) for t, s, d, n in set(matches) if t == template)
-            best: list[tuple[int, int, int, int]] = []  # covered, first word, end in text, end in template
-            for d, s, n in own:
-                covered, start = n, d
-                for c, first, d_end, s_end in reversed(best):
-                    if d - d_end > GAP + max(self.sizes):
-                        break
-                    if 0 <= d - d_end <= GAP and 0 <= s - s_end <= GAP and c + n > covered:
-                        covered, start = c + n, first
-                best.append((covered, start, d + n, s + n))
-            covered, start, end, _ = max(best, key=lambda x: (x[0], -x[1]))
-            out.append((template, start, end, covered / self.sizes[template]))
+            while own and (best := self.best_chains(own))[0][0] / size >= COVERAGE:
+                found.extend((template, start, end, covered / size) for covered, start, end in best)
+                own = without(own, [(start, end) for _, start, end in best])
+            out.extend(sorted(found))
         return out
 
 
+def without(own: list[tuple[int, int, int]], taken: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """The sorted matches less the words of the taken spans, which ascend; what stays of a match has MIN_MATCH words or more."""
+    ends, out = [end for _, end in taken], set()
+    for d, s, n in own:
+        at, to = d, d + n
+        k = bisect_right(ends, d)
+        while k < len(taken) and taken[k][0] < to:
+            a, b = taken[k]
+            k += 1
+            if a - at >= MIN_MATCH:
+                out.add((at, s + at - d, a - at))
+            at = b
+        if to - at >= MIN_MATCH:
+            out.add((at, s + at - d, to - at))
+    return sorted(out)
+
+
 def scanned_in(piece: Piece, templates: Templates) -> pa.Array:
     words = piece.words(ALNUM, LOWER)
     n = len(piece)
@@ -141,7 +172,7 @@ def scanned_in(piece: Piece, templates: Templates) -> pa.Array:
             n_base[i], score[i] = len(found), 1.0
             first[i], last[i] = min(x for x, _ in found), max(x for x, _ in found)
             base_labels[i] = ",".join(sorted({x for _, x in found}))
-        good = [c for c in templates.chains(matches[i]) if c[3] >= COVERAGE] if matches[i] else []
+        good = templates.chains(matches[i])
         spans[i] = [(start, end, templates.labels[t]) for t, start, end, _ in good]
         score[i] = max([score[i], *(c[3] for c in good)])
         labels[i] = ",".join(sorted({x for _, x in found} | {x for _, _, x in spans[i]}))

@@ -245,6 +245,22 @@ def test_licence_templates_are_found_with_changes(llm):
     assert got[3][0] == got[4][0] == ""
 
 
+def test_each_place_of_a_notice_has_its_span(llm):
+    text = licences.TEMPLATES[2][1]
+    n, cut = len(brute.alnum(text)), text.replace("publish, distribute, ", "")
+    m = len(brute.alnum(cut))
+    far, back = f"{text} " + "own words " * 50 + cut, f"{text} {text} {text}"
+    df = llm.createDataFrame([(1, far), (2, back), (3, f"{text[:90]} other {text}")], "doc_id long, text string")
+    got = by_id(licences.findings(df), "labels", "score", "span_from", "span_to", "span_label")
+    assert got[1] == ("mit", 1.0, [0, n + 100], [n, n + 100 + m], ["mit", "mit"])
+    assert got[2] == ("mit", 1.0, [0, n, 2 * n], [n, 2 * n, 3 * n], ["mit"] * 3)
+    assert len(got[3][2]) == 1 and got[3][1] == 1.0
+
+
+def test_words_of_a_taken_chain_are_left_out():
+    assert licences.without([(0, 3, 20), (30, 0, 5)], [(4, 8), (15, 18), (31, 40)]) == [(0, 3, 4), (8, 11, 7)]
+
+
 def test_licences_of_nothing(none, clashing):
     assert licences.findings(none).collect() == []
     assert licences.findings(clashing).count() == clashing.count()
