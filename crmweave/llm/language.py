@@ -6,8 +6,9 @@ language, whatever the corpus.
 
 A word's score for a language is the log-likelihood of its trigrams. Languages that hardly ever use the script of a word
 are no candidates for it; a word in a script that no language uses counts for none. The best path through a text, with
-SWITCH paid for each change of language, labels its spans. Where no other language gains more than SWITCH on any stretch
-against the best single one, the path stays on that one, and no step through the words is needed.
+SWITCH paid for each change of language, labels its spans. Where every other language gains less than half of SWITCH on
+any stretch against the best single one, the path stays on that one, and no step through the words is needed: k spans gain
+less than k / 2 times SWITCH and pay k - 1 times.
 
 The prediction is the language with the most words; ``und`` where the text is null or has no letter (or nothing was
 learned). The score is the share of the words in that language times the certainty 1 - exp(-m), m being its mean lead
@@ -147,7 +148,10 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
 
 
 def single(scores: np.ndarray, of: np.ndarray, best: np.ndarray) -> np.ndarray:
-    """Texts whose best path is one language: nowhere does another gain more than SWITCH over the best single one."""
+    """Texts whose best path is surely one language: nowhere does another gain SWITCH / 2 or more over the best single one.
+
+    A path of k >= 2 spans gains less than k * SWITCH / 2 <= (k - 1) * SWITCH, so it loses, also where it avoids that language.
+    """
     counts = np.diff(of)
     owner = np.repeat(np.arange(len(counts)), counts)
     ok = np.ones(len(counts), bool)
@@ -161,7 +165,7 @@ def single(scores: np.ndarray, of: np.ndarray, best: np.ndarray) -> np.ndarray:
         down = owner * (2 * np.abs(gain).sum() + 1)
         low = np.minimum.accumulate(run - gain - down)
         most = np.maximum.reduceat(run - down - low, of[:-1][counts > 0])
-        ok[counts > 0] &= most <= SWITCH
+        ok[counts > 0] &= most < SWITCH / 2
     return ok
 
 

@@ -101,6 +101,32 @@ def test_language_steps_and_short_cut_agree(documents):
             assert (language.viterbi(scores, of, np.array([i]))[0] == best[i]).all()
 
 
+def test_language_short_cut_leaves_paths_that_avoid_the_best_language():
+    import numpy as np
+
+    # 0 leads overall; 1 gains 10 over it in the first half and 2 in the second, so 1, 2 gain 20 for one switch.
+    half = np.array([[0, 1, -3], [0, -3, 1]], np.float32)
+    scores = np.repeat(half, 10, axis=0)
+    of = np.array([0, 20])
+    assert scores.sum(axis=0).argmax() == 0
+    assert language.viterbi(scores, of, np.array([0]))[0].tolist() == [1] * 10 + [2] * 10
+    assert not language.single(scores, of, np.array([0]))[0]
+
+
+@pytest.mark.parametrize("wide", [0.5, 1, 2, 4])
+def test_language_short_cut_is_exact_on_narrow_scores(wide):
+    import numpy as np
+
+    draw = np.random.default_rng(4)
+    of = np.arange(0, 20_001, 20)
+    level = draw.normal(0, wide, (1000, 4, 3)).repeat(5, axis=1).reshape(20_000, 3)
+    scores = (level + draw.normal(0, wide / 4, (20_000, 3))).astype(np.float32)
+    best = np.add.reduceat(scores.astype(np.float64), of[:-1]).argmax(axis=1)
+    alone = np.flatnonzero(language.single(scores, of, best))
+    for i, path in zip(alone, language.viterbi(scores, of, alone), strict=True):
+        assert (path == best[i]).all()
+
+
 def test_language_of_nothing(none, clashing, odd):
     assert language.predictions(none).collect() == []
     assert language.predictions(clashing).count() == clashing.count()
