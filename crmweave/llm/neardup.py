@@ -15,8 +15,8 @@ confirmed and joined as well; so no group is cut, and none is expanded into rows
 would change nothing, so they are not looked for.
 
 Nulls, empty texts and texts without words have no set and are linked with nothing. A null key is linked with nothing
-and gets a null component. Rows that repeat a key count as one document of that id for linking; all of them are
-returned. Ties between equal documents go to the least id. Extra columns do not matter. An empty table gives no rows.
+and gets a null component. In ``linked``, rows that repeat a key count as one document of that id; all of them are
+returned. ``without_near_copies`` judges every row on its own text. Ties between equal documents go to the least id. Extra columns do not matter. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -321,9 +321,16 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
 
 
 def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of one document of each group, without more columns; rows that repeat a kept key are one row."""
-    dropped = linked(docs, key, text, width, percent).filter("not kept").select(F.col("doc_id").alias(name := free_name(docs, "dropped")))
-    # The dropped ids grow with the documents, so they are not to be broadcast.
-    left = docs.join(dropped.distinct().hint("merge"), F.col(key) == F.col(name), "left_anti")
-    known = left.filter(F.col(key).isNotNull()).dropDuplicates([key])
-    return known.unionByName(left.filter(F.col(key).isNull()))
+    """One row of each group of near copies, without more columns: the one of the least key.
+
+    Every row is judged on its own text, also where rows share a key; rows of a null key stay.
+    """
+    row = free_name(docs, "row")
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    named = rows.filter(F.col(key).isNotNull()).select(F.col(row).alias("doc_id"), F.col(key).alias("key"), F.col(text).alias("text"))
+    groups = stored(linked(named, width=width, percent=percent).select("doc_id", "component_id"), "groups")
+    members = groups.join(named.select("doc_id", "key").hint("merge"), "doc_id")
+    kept = members.groupBy("component_id").agg(F.min(F.struct("key", "doc_id"))["doc_id"].alias("first")).select("first")
+    # The ids grow with the documents, so they are not to be broadcast.
+    left = rows.filter(F.col(key).isNotNull()).join(kept.hint("merge"), F.col(row) == F.col("first"), "left_semi")
+    return left.unionByName(rows.filter(F.col(key).isNull())).drop(row)

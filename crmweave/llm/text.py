@@ -7,6 +7,7 @@ longer text is a piece of its own.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -17,7 +18,7 @@ from pyspark.sql.types import DataType, StructType
 
 from crmweave.llm.frames import free_name
 
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 512 << 10
 
 
 def table_of(keep: Callable[[int], bool]) -> np.ndarray:
@@ -58,18 +59,81 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefix_sums(data: np.ndarray) -> np.ndarray:
-    """Running polynomial over bytes; a span's hash is (sums[end] - sums[start]) * inverse power of its start."""
+    """Running polynomial over bytes; a span's value is (sums[end] - sums[start]) * inverse power of its start."""
     up, _ = powers(len(data))
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(BYTE_VALUE[data] * up[: len(data)], out=sums[1:])
     return sums
 
 
-def span_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def short_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of spans of a few dozen bytes. Longer ones can be made to agree modulo 2**64: see ``Spans``."""
     _, down = powers(len(sums))
     return mixed((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
 
 
+PRIME = (1 << 61) - 1
+BASE = int(SEED.integers(1 << 60, PRIME))
+LONGEST = 1 << 23  # bytes of a span whose sums stay below 2**64
+_FIELD_POWERS: list[np.ndarray] = []
+
+
+def reduced(x: np.ndarray) -> np.ndarray:
+    """Any 64-bit number modulo PRIME."""
+    x = (x & np.uint64(PRIME)) + (x >> np.uint64(61))
+    return np.where(x >= PRIME, x - np.uint64(PRIME), x)
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo PRIME of numbers below it, from limbs of 31 bits; 2**61 counts as 1."""
+    low, half = np.uint64((1 << 31) - 1), np.uint64(31)
+    a_low, a_high, b_low, b_high = a & low, a >> half, b & low, b >> half
+    middle = a_low * b_high + a_high * b_low
+    carried = (middle >> np.uint64(30)) + ((middle & np.uint64((1 << 30) - 1)) << half)
+    return reduced(np.uint64(2) * a_high * b_high + carried + a_low * b_low)
+
+
+def field_powers(n: int) -> list[np.ndarray]:
+    """Lower 32 and upper bits of the powers of BASE modulo PRIME, and the powers of its inverse; n + 1 at least."""
+    if not _FIELD_POWERS or len(_FIELD_POWERS[0]) <= n:
+        size = 1 << max(16, (n + 1).bit_length())
+        made = []
+        for base in (BASE, pow(BASE, -1, PRIME)):
+            row = np.ones(1, np.uint64)
+            while len(row) < size:
+                row = np.concatenate([row, times(row, np.uint64(pow(base, len(row), PRIME)))])
+            made.append(row)
+        _FIELD_POWERS[:] = [made[0] & np.uint64(0xFFFFFFFF), made[0] >> np.uint64(32), made[1]]
+    return _FIELD_POWERS
+
+
+class Spans:
+    """Hashes of spans of some bytes: a polynomial over them modulo 2**61 - 1 at a drawn base, then mixed to 64 bits.
+
+    Texts that agree for another base, such as long words over two letters, do not agree here but by chance. The sums run
+    over both limbs of the powers apart, so only the ends of spans are reduced. Spans of LONGEST bytes or more, whose sums
+    could pass 2**64, are hashed one by one.
+    """
+
+    def __init__(self, data: np.ndarray):
+        self.data = data
+        low, high, self.down = field_powers(len(data))
+        value = data.astype(np.uint64) + np.uint64(1)
+        self.low, self.high = np.zeros(len(data) + 1, np.uint64), np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(value * low[: len(data)], out=self.low[1:])
+        np.cumsum(value * high[: len(data)], out=self.high[1:])
+
+    def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        size = end - start
+        upper = times(reduced(self.high[end] - self.high[start]), np.uint64(1 << 32))
+        whole = reduced(reduced(self.low[end] - self.low[start]) + upper)
+        found = mixed(times(whole, self.down[start]) + (size.astype(np.uint64) << np.uint64(40)))
+        for i in np.flatnonzero(size >= LONGEST):
+            digest = hashlib.blake2b(self.data[start[i] : end[i]].tobytes(), digest_size=8).digest()
+            found[i] = np.frombuffer(digest, np.uint64)[0]
+        return found
+
+
 class Piece:
     """Some whole texts of a column: their bytes, and where each begins."""
 
@@ -108,7 +172,7 @@ class Words:
         return len(self.start)
 
     def hashes(self) -> np.ndarray:
-        return span_hashes(prefix_sums(self.data), self.start, self.end)
+        return Spans(self.data).hashes(self.start, self.end)
 
     def text_of(self) -> np.ndarray:
         """Index of each word's text in the piece."""

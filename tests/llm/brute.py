@@ -9,6 +9,12 @@ from itertools import combinations
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def two_letter_words(steps):
+    """Words of 2**steps letters in the Thue-Morse order and its complement; they agree for many polynomial hashes."""
+    order = "".join("ab"[bin(i).count("1") % 2] for i in range(1 << steps))
+    return order, order.translate(str.maketrans("ab", "ba"))
+
+
 def words(text):
     return re.findall(r"[^\x20\x09-\x0D]+", text or "")
 

@@ -5,6 +5,8 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from brute import two_letter_words
+
 from crmweave.llm.frames import workers_find_package
 from crmweave.session import configure
 
@@ -31,6 +33,8 @@ def odd(llm):
         (None, None, None, None, None), (12, "nul\0byte   \U0001F600 café déjà  vu　x", "fr", "c", 9),
         (-3, "the cc by license; CC-BY all rights reserved", "en", "a", 9), (13, "a" * 5000, "en", "a", 9), (14, "a\0" * 2600, "en", "a", 9),
     ]
+    for i, steps in enumerate((10, 12, 13)):
+        rows += [(20 + 2 * i + j, word, "en", "a", 1 << steps) for j, word in enumerate(two_letter_words(steps))]
     return llm.createDataFrame(rows, SCHEMA)
 
 

@@ -5,11 +5,11 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
-from brute import alnum, hits, words
+from brute import alnum, hits, two_letter_words, words
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from crmweave.llm import coder, repeats
+from crmweave.llm import coder, repeats, text
 from crmweave.llm.automaton import SuffixAutomaton
 from crmweave.llm.decontaminate import Items, packed, word_hashes_of
 from crmweave.llm.mixing import cheapest_flow, targets
@@ -134,3 +134,20 @@ def test_repeats_in_random_bytes():
     assert starts == [*range(251), *range(300, 751)]
     assert ((lo <= at) & (at <= hi + repeats.WIDTH)).all()
     assert (at - lo < repeats.STARTS).all() and (hi <= at).all()
+
+
+def test_hashes_of_spans_follow_their_bytes():
+    for steps in (10, 11, 12, 13):
+        words = [w.encode() for w in two_letter_words(steps)]
+        data = np.frombuffer(b"xy" + words[0] + words[1] + words[0], np.uint8)
+        n = 1 << steps
+        at = np.array([2, 2 + n, 2 + 2 * n])
+        first, second, again = text.Spans(data).hashes(at, at + n)
+        assert first == again != second
+    numbers = [1, 2, 5, text.PRIME - 1, text.PRIME - 7, 1 << 60]
+    got = text.times(np.array(numbers, np.uint64)[:, None], np.array(numbers, np.uint64))
+    assert got.tolist() == [[a * b % text.PRIME for b in numbers] for a in numbers]
+    low, high, down = text.field_powers(300)
+    for i in (0, 1, 77, 300):
+        up = int(low[i]) + (int(high[i]) << 32)
+        assert up == pow(text.BASE, i, text.PRIME) and up * int(down[i]) % text.PRIME == 1

@@ -403,6 +403,14 @@ def test_one_of_each_group_stays(clashing, none):
     assert neardup.linked(none).collect() == [] and neardup.without_near_copies(none).collect() == []
 
 
+def test_unlike_texts_of_one_id_all_stay(llm):
+    alike, other = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(1, alike), (1, other), (2, alike + " tail"), (3, other), (3, "short one"), (None, alike), (None, alike)]
+    left = neardup.without_near_copies(llm.createDataFrame(rows, "doc_id long, text string"))
+    want = [(1, alike), (1, other), (3, "short one"), (None, alike), (None, alike)]
+    assert sorted(map(tuple, left.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_components(llm):
     links = [(i, i + 1) for i in range(30)] + [(100, 50), (50, 70), (70, 100), (5, 5)]
     got = {tuple(r) for r in components(llm.createDataFrame(links, "a long, b long")).collect()}
