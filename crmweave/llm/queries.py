@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crmweave.llm import decontaminate, language, licences, lines, mixing, neardup, repeats, rules, shards, tokens
+from crmweave.llm import conversations, decontaminate, language, licences, lines, mixing, neardup, repeats, rules, shards, tokens
 from crmweave.llm.frames import table, workers_find_package
 from crmweave.session import configure
 
@@ -145,3 +145,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_rows(table(spark, sf_dir, "documents"), SHARDS).select(
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"
     )
+
+
+@query("op13_conversation_trie")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.shared_starts_trie(table(spark, sf_dir, "conversations"))
