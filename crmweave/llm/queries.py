@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crmweave.llm import conversations, decontaminate, language, licences, lines, mixing, neardup, repeats, rules, shards, tokens, whitening
+from crmweave.llm import conversations, decontaminate, language, licences, lines, mixing, neardup, repeats, rules, shards, tokens, vecdup, whitening
 from crmweave.llm.frames import table, workers_find_package
 from crmweave.session import configure
 
@@ -152,6 +152,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
 
 
+@query("op12_embedding_duplicates")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vecdup.linked(table(spark, sf_dir, "embeddings"))
+
+
 @query("op13_conversation_trie")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.shared_starts_trie(table(spark, sf_dir, "conversations"))
