@@ -102,7 +102,7 @@ _CONTACT_FIELDS = (
     FieldMap("Pers_Title", "jobtitle"),
     FieldMap("Pers_Department", "department"),
     FieldMap("Pers_Salutation", "salutation"),
-    FieldMap("Pers_CompanyId", "associatedcompanyid"),
+    FieldMap("Pers_CompanyId", "associatedcompanyid", refers="companies"),
     FieldMap("Comp_Name", "company", aliases=("Company_Name",)),
     FieldMap("Addr_City", "city", aliases=("Address_City",)),
     FieldMap("Addr_State", "state", aliases=("Address_State",)),
@@ -124,9 +124,9 @@ _DEAL_FIELDS = (
     FieldMap("Oppo_Priority", "deal_priority"),
     FieldMap("Oppo_Product", "deal_brand"),
     FieldMap("Oppo_Note", "deal_notes"),
-    FieldMap("Oppo_PrimaryCompanyId", "associatedcompanyid"),
+    FieldMap("Oppo_PrimaryCompanyId", "associatedcompanyid", refers="companies"),
     FieldMap("Comp_Name", "company", aliases=("Company_Name",)),
-    FieldMap("Pers_PersonId", "primary_contact_id", aliases=("Oppo_PrimaryPersonId",)),
+    FieldMap("Pers_PersonId", "primary_contact_id", aliases=("Oppo_PrimaryPersonId",), refers="contacts"),
     FieldMap("Oppo_CreatedDate", "createdate"),
 )
 _ENGAGEMENT_FIELDS = (
@@ -137,10 +137,10 @@ _ENGAGEMENT_FIELDS = (
     FieldMap("Comm_Action", "hs_call_direction"),
     FieldMap("Comm_Status", "hs_engagement_status"),
     FieldMap("Comm_OriginalDateTime", "hs_original_datetime"),
-    FieldMap("Comm_OpportunityId", "associated_deal_id"),
+    FieldMap("Comm_OpportunityId", "associated_deal_id", refers="deals"),
     FieldMap("Comm_CaseId", "associated_ticket_id"),
-    FieldMap("Comp_CompanyId", "associated_company_id", aliases=("Company_Id", "Comm_CompanyId")),
-    FieldMap("Pers_PersonId", "associated_contact_id", aliases=("Person_Id", "Comm_PersonId")),
+    FieldMap("Comp_CompanyId", "associated_company_id", aliases=("Company_Id", "Comm_CompanyId"), refers="companies"),
+    FieldMap("Pers_PersonId", "associated_contact_id", aliases=("Person_Id", "Comm_PersonId"), refers="contacts"),
 )
 
 # Per object the legacy entity, its id, the fields and the target

@@ -50,11 +50,17 @@ def update_map(
     mapping: ObjectMap,
     transforms: Mapping[str, Transform] = TRANSFORMS,
     prefix: str = "",
+    replaced: Mapping[str, Column] | None = None,
 ) -> Column:
-    """map<string,string> of target property -> legacy value; empty values are left out."""
+    """map<string,string> of target property -> legacy value; empty values are left out.
+
+    ``replaced`` gives properties a value of their own instead of the legacy one.
+    """
     entries = []
     for field in mapping.fields:
-        value = legacy_value(field, schema, transforms, prefix)
+        value = (replaced or {}).get(field.target)
+        if value is None:
+            value = legacy_value(field, schema, transforms, prefix)
         if value is not None:
             entries.append((field.target, value.cast("string")))
     if not entries:

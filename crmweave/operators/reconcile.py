@@ -18,6 +18,7 @@ from crmweave.functions.dates import literal_time
 from crmweave.functions.keys import canonical_key
 from crmweave.functions.payload import TRANSFORMS, Transform, legacy_column, update_map
 from crmweave.operators.contact import pick_primary
+from crmweave.operators.crosswalk import LINK, link_names, translate_links
 from crmweave.operators.lookup import lookup_join
 from crmweave.specs import FieldMap, ObjectMap
 
@@ -109,7 +110,12 @@ def _differences(schema: StructType, mapping: ObjectMap) -> dict[str, Column]:
         if _comparable(schema, field):
             left, right = f"leg_{field.legacy}", f"tgt_{field.target}"
             lt, rt = schema[left].dataType, schema[right].dataType
-            tests[field.target] = ~_same(F.col(left), lt, F.col(right), rt)
+            if (link := LINK + field.target) in schema.names:
+                # A link that could not be translated is reported, not compared.
+                known = F.col(link).isNotNull() | canonical_key(left).isNull()
+                tests[field.target] = known & ~_same(F.col(link), schema[link].dataType, F.col(right), rt)
+            else:
+                tests[field.target] = ~_same(F.col(left), lt, F.col(right), rt)
     return tests
 
 
@@ -127,14 +133,18 @@ def reconcile(
     mapping: ObjectMap,
     mark_conflicts: bool = True,
     transforms: Mapping[str, Transform] = TRANSFORMS,
+    crosswalks: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """One row per legacy row: status, confidence, conflicts, update payload.
 
     Where several target rows carry one crosswalk id, the lowest target id counts.
     With ``mark_conflicts=False`` every row found in the target is ``matched``.
+    ``crosswalks`` (object type -> ``crosswalk_of``) translate links to other objects, which are then compared and
+    written as target ids; without a crosswalk of its type, a link is taken as it stands.
     """
     right = pick_primary(target_side(target, mapping).where(F.col(KEY).isNotNull()), [KEY], "target_id")
-    joined = lookup_join(legacy_side(legacy, mapping), right, [KEY], "left")
+    joined = lookup_join(translate_links(legacy_side(legacy, mapping), mapping, crosswalks or {}), right, [KEY], "left")
+    translated = {name: F.col(LINK + name) for name in link_names(joined.columns, mapping, crosswalks or {})}
     found = F.col("target_id").isNotNull()
     conflicts = F.when(found, differing_fields(joined.schema, mapping)).otherwise(
         F.array().cast("array<string>")
@@ -149,8 +159,8 @@ def reconcile(
         numeric_id.alias("legacy_id"),
         F.col(KEY).alias("legacy_key"),
         F.col("target_id"),
-        *(F.col(c) for c in joined.columns if c.startswith(("leg_", "tgt_"))),
-        update_map(joined.schema, mapping, transforms, prefix="leg_").alias("properties_to_update"),
+        *(F.col(c) for c in joined.columns if c.startswith(("leg_", "tgt_", LINK))),
+        update_map(joined.schema, mapping, transforms, prefix="leg_", replaced=translated).alias("properties_to_update"),
         F.col("conflict_fields"),
         # An id that is no number cannot be staged; the row is kept and reported.
         F.when(numeric_id.isNull(), F.lit("error"))

@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from crmweave.crm.staging import default_update_columns, staging_key
 from crmweave.crm.target import OBJECT_ORDER, object_map, object_type_of
+from crmweave.functions.keys import canonical_key
+from crmweave.operators.crosswalk import LINK, crosswalk_of, unresolved_links
 from crmweave.operators.reconcile import reconcile, rejected, run_stats, to_staging
-from crmweave.sources.tables import upsert_table
+from crmweave.sources.tables import touched_buckets, upsert_table
 from crmweave.sources.writers import append_run_log
 from crmweave.specs import ObjectMap
 
@@ -35,10 +37,12 @@ def reconcile_object(
     limit: int | None = None,
     mark_conflicts: bool = True,
     target_name: str = "target",
+    crosswalks: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, object]:
     """Reconcile one object type, upsert its staging table, log the run, return counts.
 
-    The rows are counted while they are staged: one job reads, joins and writes.
+    The rows are counted while they are staged: one job reads, joins and writes. Only the buckets of the staging table
+    that these ids fall into are rewritten. Links without a translation are stored beside the table.
     """
     kind = mapping.object_type
     started = time.monotonic()
@@ -47,7 +51,9 @@ def reconcile_object(
     try:
         if limit is not None:
             legacy = legacy.orderBy(mapping.legacy_id).limit(limit)
-        rows = reconcile(legacy, target, mapping, mark_conflicts)
+        rows = reconcile(legacy, target, mapping, mark_conflicts, crosswalks=crosswalks)
+        links = [f for f in mapping.links if LINK + f.target in rows.columns]
+        lost = [F.col(LINK + f.target).isNull() & canonical_key(f"leg_{f.legacy}").isNotNull() for f in links]
         seen = Observation()
         status = F.col("reconciliation_status")
         counted = rows.observe(
@@ -60,15 +66,20 @@ def reconcile_object(
                     ("conflicts", "conflict"), ("errors", "error"),
                 )
             ),
+            *([F.coalesce(F.sum(sum(x.cast("long") for x in lost)), F.lit(0)).alias("unresolved_links")] if lost else []),
         )
         staged = to_staging(counted, kind, as_of, target=target_name)
         key = staging_key(kind)
         # Bronze rows have no order of arrival: of equal legacy ids one row is staged whole.
+        ids = legacy.select(canonical_key(mapping.legacy_id).try_cast("bigint").alias(key))
         upsert_table(
-            spark, staging_path(staging_dir, kind), staged, [key], default_update_columns(kind, target_name)
+            spark, staging_path(staging_dir, kind), staged, [key], default_update_columns(kind, target_name),
+            touched=touched_buckets(ids, [key]),
         )
         if seen.get["errors"]:
             rejected(rows).write.mode("overwrite").parquet(f"{staging_path(staging_dir, kind)}_rejected")
+        if links:
+            unresolved_links(rows, mapping).write.mode("overwrite").parquet(f"{staging_path(staging_dir, kind)}_unresolved")
         stats |= seen.get
     except (PySparkException, ValueError) as failure:
         log.warning("reconciliation of %s failed: %s", kind, failure)
@@ -93,14 +104,23 @@ def reconcile_all(
     mappings: Mapping[str, ObjectMap] | None = None,
     **options: object,
 ) -> dict[str, dict[str, object]]:
-    """Every object type in dependency order.  ``legacy`` and ``target`` are keyed by type."""
-    results = {}
+    """Every object type in dependency order.  ``legacy`` and ``target`` are keyed by type.
+
+    The crosswalk of each type is stored under ``crosswalk/`` and translates the links of the types after it.
+    """
+    results: dict[str, dict[str, object]] = {}
+    crosswalks: dict[str, DataFrame] = {}
     for kind in OBJECT_ORDER:
         mapping = (mappings or {}).get(kind) or object_map(kind)
         if kind in legacy and kind in target:
             results[kind] = reconcile_object(
-                spark, legacy[kind], target[kind], mapping, staging_dir, as_of, limit_per_object, **options
+                spark, legacy[kind], target[kind], mapping, staging_dir, as_of, limit_per_object,
+                crosswalks=dict(crosswalks), **options,
             )
+        if kind in target:
+            path = f"{staging_dir}/crosswalk/{kind}"
+            crosswalk_of(target[kind], mapping).write.mode("overwrite").parquet(path)
+            crosswalks[kind] = spark.read.parquet(path)
     return results
 
 

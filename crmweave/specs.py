@@ -88,7 +88,10 @@ def find_column(
 
 @dataclass(frozen=True)
 class FieldMap:
-    """One legacy column feeding one target property."""
+    """One legacy column feeding one target property.
+
+    ``refers`` names the object type whose legacy id the column holds: the target has its own id there.
+    """
 
     legacy: str
     target: str
@@ -96,6 +99,7 @@ class FieldMap:
     transform: str | None = None
     default: str | None = None
     aliases: tuple[str, ...] = ()
+    refers: str | None = None
 
 
 @dataclass(frozen=True)
@@ -121,6 +125,11 @@ class ObjectMap:
         """Distinct legacy columns in declaration order."""
         return tuple(dict.fromkeys(f.legacy for f in self.fields))
 
+    @property
+    def links(self) -> tuple[FieldMap, ...]:
+        """Fields that hold the id of another object."""
+        return tuple(f for f in self.fields if f.refers)
+
     def with_crosswalk(self, column: str) -> "ObjectMap":
         """The same mapping for a target that keeps legacy ids in ``column``."""
         required = tuple(column if c == self.crosswalk else c for c in self.required)

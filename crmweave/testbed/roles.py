@@ -170,9 +170,32 @@ ROLE_SQL = {
                CASE WHEN event_type = 'signup' THEN NULL ELSE CAST(event_id AS STRING) END
                    AS legacy_communication_id
         FROM events WHERE event_type <> 'error'""",
+    # The same objects linked to each other by ids of the target system; some links are wrong or missing.
+    "linked_contacts": """
+        SELECT hs_object_id, firstname, lastname, email, company,
+               CASE WHEN associatedcompanyid % 5 = 0 THEN 1000001 + associatedcompanyid
+                    ELSE 1000000 + associatedcompanyid END AS associatedcompanyid,
+               city, country, legacy_contact_id
+        FROM contacts""",
+    "linked_deals": """
+        SELECT hs_object_id, dealname, amount, dealstage, createdate,
+               CASE WHEN associatedcompanyid % 7 <> 0 THEN 1000000 + associatedcompanyid END AS associatedcompanyid,
+               CASE WHEN associatedcompanyid % 3 <> 0 THEN 2000000 + associatedcompanyid END AS primary_contact_id,
+               legacy_deal_id
+        FROM deals""",
+    "linked_engagements": """
+        SELECT hs_object_id, hs_engagement_type, hs_timestamp, hs_engagement_subject, hs_note_body,
+               1000000 + associated_company_id AS associated_company_id,
+               2000000 + associated_contact_id AS associated_contact_id,
+               CASE WHEN hs_object_id % 4 <> 0 THEN hs_object_id - 1000000 END AS associated_deal_id,
+               legacy_communication_id
+        FROM engagements""",
 }
 # Text that names base tables or roles; "case" is a keyword and quoted where used.
-_ROLE_INPUTS = {"calendar": ("communication", "person", "company")}
+_ROLE_INPUTS = {
+    "calendar": ("communication", "person", "company"), "linked_contacts": ("contacts",), "linked_deals": ("deals",),
+    "linked_engagements": ("engagements",),
+}
 _BASE_INPUTS = {
     "address": ("customer", "supplier", "nation", "region"),
     "company": ("customer",), "person": ("supplier",), "opportunity": ("orders",),
@@ -180,6 +203,7 @@ _BASE_INPUTS = {
     "social_link": ("events",), "social_network": ("events",), "phone_link": ("events",),
     "email_link": ("events",), "companies": ("customer", "nation", "region"),
     "contacts": ("supplier", "nation", "region"), "deals": ("orders",), "engagements": ("events",),
+    "linked_contacts": (), "linked_deals": (), "linked_engagements": (),
 }
 
 
