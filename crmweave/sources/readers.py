@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from crmweave.functions.text import unescaped
 from crmweave.specs import EntitySpec
@@ -28,6 +29,47 @@ def read_csv(
     return unescaped(df) if escaped else df
 
 
+RECORD, REASONS, RAGGED = "record", "reasons", "wrong number of fields"
+
+
+def read_csv_checked(
+    spark: SparkSession, path: str, schema: StructType, multi_line: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """CSV of a known schema as two frames: typed good rows, and records that do not fit, with the reasons.
+
+    Values are read as text and cast one by one, so each column whose value does not parse is named; a record with too
+    few or too many fields is whole in ``record``. Empty text in a column that is not text is a missing value. Both
+    frames read the files on their own.
+    """
+    text = StructType([StructField(f.name, StringType()) for f in schema.fields]).add("__corrupt", StringType())
+    raw = (
+        spark.read.schema(text).option("header", True).option("escape", '"').option("nullValue", "\\N").option("multiLine", multi_line)
+        # Without pruning, the number of fields is checked whatever columns are asked for.
+        .option("columnPruning", False).option("columnNameOfCorruptRecord", "__corrupt").csv(path)
+    )
+    columns = {f.name: F.col(f"`{f.name}`") for f in schema.fields}
+    filled = {
+        f.name: columns[f.name] if isinstance(f.dataType, StringType) else F.nullif(F.trim(columns[f.name]), F.lit("")) for f in schema.fields
+    }
+    cast = {f.name: filled[f.name].try_cast(f.dataType) for f in schema.fields}
+    wrong = [
+        F.when(filled[f.name].isNotNull() & cast[f.name].isNull(), F.lit(f"{f.name} is no {f.dataType.simpleString()}")) for f in schema.fields
+    ]
+    missing = [F.when(filled[f.name].isNull(), F.lit(f"{f.name} is missing")) for f in schema.fields if not f.nullable]
+    reasons = F.when(F.col("__corrupt").isNotNull(), F.array(F.lit(RAGGED))).otherwise(F.array_compact(F.array(*wrong, *missing)))
+    checked = raw.withColumn(REASONS, reasons)
+    good = checked.where(F.size(REASONS) == 0).select(*(cast[f.name].alias(f.name) for f in schema.fields))
+    as_read = F.coalesce("__corrupt", F.to_csv(F.struct(*columns.values())))
+    return good, checked.where(F.size(REASONS) > 0).select(as_read.alias(RECORD), REASONS)
+
+
+def quarantine(bad: DataFrame, path: str) -> DataFrame:
+    """Store records that do not fit, and count them by reason; one with several reasons counts under each."""
+    bad.write.mode("overwrite").parquet(path)
+    stored = bad.sparkSession.read.parquet(path)
+    return stored.select(F.explode(REASONS).alias("reason")).groupBy("reason").agg(F.count("*").alias("records"))
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -71,6 +71,26 @@ def append_run_log(spark: SparkSession, path: str, rows: Sequence[tuple]) -> Non
     spark.createDataFrame(list(rows), run_log_schema()).coalesce(1).write.mode("append").parquet(path)
 
 
+def log_run(
+    spark: SparkSession, path: str, run_id: str, at: datetime, entries: Sequence[tuple[str, str, int, int, str, str | None, int | None]]
+) -> None:
+    """Store a run's entries: (operation, entity, rows read, rows written, status, error, milliseconds).
+
+    A run is one folder below its day, written at once; a repeated run replaces its entries.
+    """
+    schema = "operation string, entity_type string, rows_read long, rows_written long, status string, error_message string, execution_time_ms long"
+    folder = f"{path}/day={at:%Y-%m-%d}/run={run_id}"
+    spark.createDataFrame(list(entries), schema).withColumn("logged_at", F.lit(at)).coalesce(1).write.mode("overwrite").parquet(folder)
+
+
+def read_run_log(spark: SparkSession, path: str) -> DataFrame:
+    """Entries of all runs, with their day and run; a filter on either reads only its folders."""
+    return spark.read.schema(
+        "operation string, entity_type string, rows_read long, rows_written long, status string, error_message string, "
+        "execution_time_ms long, logged_at timestamp, day date, run string"
+    ).parquet(path)
+
+
 def write_all(
     df: DataFrame,
     sinks: Sequence[Callable[[DataFrame], None]],

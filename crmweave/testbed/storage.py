@@ -4,14 +4,22 @@ from __future__ import annotations
 
 import uuid
 from datetime import datetime
+from weakref import WeakKeyDictionary
 
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from crmweave.crm.target import object_map, target_entity
 from crmweave.operators import reconcile
 from crmweave.plans.extraction import extract_and_save, extract_entities
+from crmweave.plans.increment import current_rows, extract_increment
+from crmweave.plans.reconciliation import reconcile_all, staging_path
 from crmweave.session import shared_folder
-from crmweave.sources.writers import append_run_log, replace_table, write_all
+from crmweave.sources.landed import land_for_lookup, lookup_landed
+from crmweave.sources.readers import quarantine, read_csv_checked
+from crmweave.sources.tables import read_table
+from crmweave.sources.writers import log_run, read_run_log, replace_table, write_all
 from crmweave.testbed.matching import OBJECTS, joined_sql, legacy_deals
 from crmweave.testbed.registry import query
 from crmweave.testbed.roles import role, roles
@@ -93,18 +101,137 @@ def _(spark, d):
 
 @query(
     "q_run_log",
-    """SELECT operation, entity_type, count(*) AS n FROM (VALUES ('reconcile', 'deals'), ('reconcile', 'deals'),
-       ('extract', 'companies')) AS v(operation, entity_type), (SELECT count(*) AS c FROM company) AS k
-       WHERE c > 0 GROUP BY 1, 2""",
+    """SELECT 'extract' AS operation, 'Company' AS entity_type, count(*) AS rows_read, count(*) AS rows_written, 'success' AS status FROM company
+       UNION ALL SELECT 'extract', 'Person', count(*), count(*), 'success' FROM person
+       UNION ALL SELECT 'extract', 'Address', count(*), count(*), 'success' FROM address
+       UNION ALL SELECT 'reconcile', 'companies', count(*), count(*), 'success' FROM company
+       UNION ALL SELECT 'reconcile', 'contacts', count(*), count(*), 'success' FROM person""",
+    "company", "person", "address",
+)
+def _(spark, d):
+    """The log of a run that extracts and reconciles; it is stored twice, as after a repeated run."""
+    path, work = folder(spark, "log"), folder(spark, "logged")
+    tables = roles(spark, d, "company", "person", "address")
+    entries = [
+        ("extract", r.entity, r.extracted, r.added, r.status, r.error, None)
+        for r in extract_entities(tables, work, WHEN, names=["Company", "Person", "Address"])
+    ]
+    kinds = ("companies", "contacts")
+    done = reconcile_all(spark, {k: OBJECTS[k]["legacy"](spark, d) for k in kinds}, roles(spark, d, *kinds), work, WHEN)
+    for kind, stats in done.items():
+        staged = read_table(spark, staging_path(work, kind)).count()
+        entries.append(("reconcile", kind, stats["total"], staged, stats.get("status", "success"), stats.get("error"), None))
+    for _ in range(2):
+        log_run(spark, path, "first", WHEN, entries)
+    return read_run_log(spark, path).where("day = DATE '2024-02-01' AND run = 'first'").select(
+        "operation", "entity_type", "rows_read", "rows_written", "status"
+    )
+
+
+# Rows that change: a third comes later, every tenth of the others is edited, every seventeenth goes.
+_BEFORE = "SELECT Comm_CommunicationId AS id, Comm_Subject AS subject, Comm_DateTime AS changed FROM communication WHERE Comm_CommunicationId % 3 <> 0"
+_AFTER = """SELECT Comm_CommunicationId AS id,
+           CASE WHEN Comm_CommunicationId % 3 <> 0 AND Comm_CommunicationId % 10 = 0 THEN 'edited' ELSE Comm_Subject END AS subject,
+           CASE WHEN Comm_CommunicationId % 3 = 0 OR Comm_CommunicationId % 10 = 0 THEN Comm_DateTime + INTERVAL 4000 DAY
+                ELSE Comm_DateTime END AS changed
+    FROM communication WHERE Comm_CommunicationId % 17 <> 3"""
+
+
+def _increments(spark, d):
+    """Three runs: the first state, the same again, the second state."""
+    path = folder(spark, "increment")
+    states = [spark.sql(sql.replace("FROM communication", "FROM {c}"), c=role(spark, d, "communication")) for sql in (_BEFORE, _BEFORE, _AFTER)]
+    return path, [extract_increment(state, path, ["id"], "changed") for state in states]
+
+
+@query(
+    "q_extract_increment",
+    f"SELECT id, subject, changed, CASE WHEN id % 3 = 0 OR id % 10 = 0 THEN 3 ELSE 1 END AS run FROM ({_AFTER}) AS s",
+    "communication",
+)
+def _(spark, d):
+    path, _ = _increments(spark, d)
+    return current_rows(spark, path, ["id"], "changed").withColumnRenamed("extract_run", "run").select("id", "subject", "changed", "run")
+
+
+@query(
+    "q_extract_increment_runs",
+    f"""SELECT 1 AS run, count(*) AS written, 0::BIGINT AS deleted FROM ({_BEFORE}) AS b
+        UNION ALL SELECT 2, 0, 0
+        UNION ALL SELECT 3, (SELECT count(*) FROM ({_AFTER}) AS a WHERE id % 3 = 0 OR id % 10 = 0),
+                         (SELECT count(*) FROM ({_BEFORE}) AS b WHERE id % 17 = 3)""",
+    "communication",
+)
+def _(spark, d):
+    path, runs = _increments(spark, d)
+    parts = []
+    for r in runs:
+        rows, gone = (spark.read.parquet(f"{path}/{kind}/run={r.run}") for kind in ("rows", "deleted"))
+        if (r.written, r.deleted) != (rows.count(), gone.count()):
+            raise RuntimeError(f"run {r.run} counted {r.written} and {r.deleted} rows otherwise than it stored them")
+        parts.append(
+            rows.agg(F.lit(r.run).alias("run"), F.count("*").alias("written")).withColumn("deleted", gone.agg(F.count("*")).scalar())
+        )
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+_FAULTS = """CASE WHEN Comp_CompanyId % 7 = 0 THEN 'x' ELSE '' END || CAST(Comp_CompanyId AS STRING) || ',' ||
+    '"' || Comp_Name || ', Ltd"' || CASE WHEN Comp_CompanyId % 13 = 0 THEN '' ELSE ',' ||
+    CASE WHEN Comp_CompanyId % 11 = 0 THEN 'n/a' WHEN Comp_CompanyId % 5 = 0 THEN '' ELSE Comp_Revenue END || ',2024-02-' ||
+    CASE WHEN Comp_CompanyId % 19 = 0 THEN '31' ELSE '01' END END AS line"""
+
+
+def _checked_csv(spark, d):
+    path = folder(spark, "faults")
+    lines = role(spark, d, "company").selectExpr(_FAULTS)
+    spark.createDataFrame([("id,name,revenue,day",)], "line string").unionByName(lines).coalesce(1).write.text(path)
+    return read_csv_checked(spark, path, StructType.fromDDL("id BIGINT, name STRING, revenue DECIMAL(15,2), day DATE"))
+
+
+@query(
+    "q_csv_quarantine",
+    """SELECT Comp_CompanyId AS id, Comp_Name || ', Ltd' AS name,
+              CASE WHEN Comp_CompanyId % 5 <> 0 THEN CAST(Comp_Revenue AS DOUBLE) END AS revenue, DATE '2024-02-01' AS day
+       FROM company WHERE Comp_CompanyId % 7 <> 0 AND Comp_CompanyId % 13 <> 0 AND Comp_CompanyId % 11 <> 0 AND Comp_CompanyId % 19 <> 0""",
+    "company",
+)
+def _(spark, d):
+    return _checked_csv(spark, d)[0]
+
+
+@query(
+    "q_csv_quarantine_reasons",
+    """SELECT reason, count(*) AS records FROM (
+           SELECT unnest(list_filter(CASE WHEN Comp_CompanyId % 13 = 0 THEN ['wrong number of fields'] ELSE [
+               CASE WHEN Comp_CompanyId % 7 = 0 THEN 'id is no bigint' END,
+               CASE WHEN Comp_CompanyId % 11 = 0 THEN 'revenue is no decimal(15,2)' END,
+               CASE WHEN Comp_CompanyId % 19 = 0 THEN 'day is no date' END] END, lambda x: x IS NOT NULL)) AS reason
+           FROM company) AS r GROUP BY reason""",
     "company",
 )
 def _(spark, d):
-    path = folder(spark, "log")
-    n = role(spark, d, "company").count()
-    for entry in (("reconcile", "deals"), ("reconcile", "deals"), ("extract", "companies")):
-        append_run_log(spark, path, [(*entry, None, None, "success", None, n, WHEN)])
-    log = spark.read.parquet(path)
-    return log.groupBy(*(F.col(c).alias(n) for c, n in zip(log.columns, ("operation", "entity_type")))).agg(F.count("*").alias("n"))
+    return quarantine(_checked_csv(spark, d)[1], folder(spark, "quarantine"))
+
+
+_LANDED: WeakKeyDictionary[SparkSession, dict[str, str]] = WeakKeyDictionary()
+
+
+def landed_deals(spark, d) -> str:
+    """Deals landed for lookups, once a session."""
+    known = _LANDED.setdefault(spark, {})
+    if d not in known:
+        known[d] = folder(spark, "landed")
+        land_for_lookup(role(spark, d, "deals"), known[d], "legacy_deal_id")
+    return known[d]
+
+
+@query(
+    "q_lookup_landed",
+    """SELECT hs_object_id, dealname, amount::DOUBLE AS amount FROM deals WHERE legacy_deal_id IN ('3', '70', '71', '1200')""",
+    "deals",
+)
+def _(spark, d):
+    return lookup_landed(spark, landed_deals(spark, d), [3, " 70.0 ", 71.0, "1200", "no such"]).select("hs_object_id", "dealname", "amount")
 
 
 @query(
