@@ -45,8 +45,15 @@ def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+ROWS_A_BATCH = 1000  # texts that go to Python at once; 10,000, the default, fill tens of MB on both sides
+
+
 def workers_find_package(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package from where the driver has it; a cluster gets it by ``--py-files``."""
+    """Let Python workers import this package from where the driver has it; a cluster gets it by ``--py-files``.
+
+    Rows go to them in batches of whole texts, so these are kept small.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_A_BATCH))
     root = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
     if root not in environment.get("PYTHONPATH", "").split(os.pathsep):

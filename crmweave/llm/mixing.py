@@ -201,8 +201,9 @@ def mixed_rows(
     plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
     place = {c: F.col(f"c{i}") for i, c in enumerate(docs.columns)}
     named = docs.select("*", members.alias(free_name(docs, "members"))).toDF(*plain.columns, "__m")
-    rows = prepared(named, F.col("__m"), f"c{docs.columns.index(key)}", f"c{docs.columns.index(text)}", seed)
-    numbers = stored(rows.select(*NUMBERS), "mix")
-    taken = decided(rows.drop("__m"), numbers, most, weights, share)
+    # Texts are counted once; what decides reads only the numbers stored beside them.
+    made = prepared(named, F.col("__m"), f"c{docs.columns.index(key)}", f"c{docs.columns.index(text)}", seed)
+    rows = stored(made.drop("__m"), "mix")
+    taken = decided(rows, rows.select(*NUMBERS), most, weights, share)
     again = taken.withColumn("__n", F.explode(F.expr("array_repeat(0, cast(__copies as int))")))
     return again.select(*(column.alias(c) for c, column in place.items()))

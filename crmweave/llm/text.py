@@ -18,7 +18,7 @@ from pyspark.sql.types import DataType, StructType
 
 from crmweave.llm.frames import free_name
 
-PIECE_BYTES = 512 << 10
+PIECE_BYTES = 1 << 20
 
 
 def table_of(keep: Callable[[int], bool]) -> np.ndarray:
@@ -51,7 +51,7 @@ _POWERS: list[tuple[np.ndarray, np.ndarray]] = []
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of ODD and of its inverse modulo 2**64, at least n + 1 of them; the worker keeps the most it has needed."""
     if not _POWERS or len(_POWERS[0][0]) <= n:
-        size = 1 << max(20, (n + 1).bit_length())
+        size = 1 << max(16, (n + 1).bit_length())
         up, down = np.full(size, ODD), np.full(size, np.uint64(pow(int(ODD), -1, 1 << 64)))
         up[0] = down[0] = np.uint64(1)
         _POWERS[:] = [(np.multiply.accumulate(up), np.multiply.accumulate(down))]
@@ -67,14 +67,14 @@ def prefix_sums(data: np.ndarray) -> np.ndarray:
 
 
 def short_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hashes of spans of a few dozen bytes. Longer ones can be made to agree modulo 2**64: see ``Spans``."""
+    """Hashes of spans of a few dozen bytes. Longer ones can be made to agree modulo 2**64: see ``span_hashes``."""
     _, down = powers(len(sums))
     return mixed((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
 
 
 PRIME = (1 << 61) - 1
 BASE = int(SEED.integers(1 << 60, PRIME))
-LONGEST = 1 << 23  # bytes of a span whose sums stay below 2**64
+BLOCK = 1 << 16  # bytes whose sums are made at once; the sums of twice as many stay below 2**64
 _FIELD_POWERS: list[np.ndarray] = []
 
 
@@ -93,45 +93,47 @@ def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return reduced(np.uint64(2) * a_high * b_high + carried + a_low * b_low)
 
 
-def field_powers(n: int) -> list[np.ndarray]:
-    """Lower 32 and upper bits of the powers of BASE modulo PRIME, and the powers of its inverse; n + 1 at least."""
-    if not _FIELD_POWERS or len(_FIELD_POWERS[0]) <= n:
-        size = 1 << max(16, (n + 1).bit_length())
+def field_powers() -> list[np.ndarray]:
+    """Lower 32 and upper bits of the powers of BASE modulo PRIME, and the powers of its inverse, for two blocks."""
+    if not _FIELD_POWERS:
         made = []
         for base in (BASE, pow(BASE, -1, PRIME)):
             row = np.ones(1, np.uint64)
-            while len(row) < size:
+            while len(row) < 2 * BLOCK:
                 row = np.concatenate([row, times(row, np.uint64(pow(base, len(row), PRIME)))])
             made.append(row)
         _FIELD_POWERS[:] = [made[0] & np.uint64(0xFFFFFFFF), made[0] >> np.uint64(32), made[1]]
     return _FIELD_POWERS
 
 
-class Spans:
-    """Hashes of spans of some bytes: a polynomial over them modulo 2**61 - 1 at a drawn base, then mixed to 64 bits.
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of spans of bytes, in ascending order of their starts: a polynomial modulo 2**61 - 1 at a drawn base, mixed.
 
-    Texts that agree for another base, such as long words over two letters, do not agree here but by chance. The sums run
-    over both limbs of the powers apart, so only the ends of spans are reduced. Spans of LONGEST bytes or more, whose sums
-    could pass 2**64, are hashed one by one.
+    Texts that agree for another modulus, such as long words over two letters modulo 2**64, do not agree here but by
+    chance. Sums run over both limbs of the powers apart, from the start of a block, so only the ends of spans are
+    reduced, and memory follows the block. A span as long as a block is hashed by itself.
     """
-
-    def __init__(self, data: np.ndarray):
-        self.data = data
-        low, high, self.down = field_powers(len(data))
-        value = data.astype(np.uint64) + np.uint64(1)
-        self.low, self.high = np.zeros(len(data) + 1, np.uint64), np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(value * low[: len(data)], out=self.low[1:])
-        np.cumsum(value * high[: len(data)], out=self.high[1:])
-
-    def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        size = end - start
-        upper = times(reduced(self.high[end] - self.high[start]), np.uint64(1 << 32))
-        whole = reduced(reduced(self.low[end] - self.low[start]) + upper)
-        found = mixed(times(whole, self.down[start]) + (size.astype(np.uint64) << np.uint64(40)))
-        for i in np.flatnonzero(size >= LONGEST):
-            digest = hashlib.blake2b(self.data[start[i] : end[i]].tobytes(), digest_size=8).digest()
-            found[i] = np.frombuffer(digest, np.uint64)[0]
-        return found
+    low, high, down = field_powers()
+    size = end - start
+    found = np.zeros(len(start), np.uint64)
+    for i in np.flatnonzero(size >= BLOCK):
+        found[i] = np.frombuffer(hashlib.blake2b(data[start[i] : end[i]], digest_size=8).digest(), np.uint64)[0]
+    short = np.flatnonzero(size < BLOCK)
+    first, last = start[short], end[short]
+    i = 0
+    while i < len(short):
+        base = first[i]
+        j = int(np.searchsorted(first, base + BLOCK))
+        a, b = first[i:j] - base, last[i:j] - base
+        value = data[base : base + b.max()].astype(np.uint64) + np.uint64(1)
+        sums_low, sums_high = np.zeros(len(value) + 1, np.uint64), np.zeros(len(value) + 1, np.uint64)
+        np.cumsum(value * low[: len(value)], out=sums_low[1:])
+        np.cumsum(value * high[: len(value)], out=sums_high[1:])
+        upper = times(reduced(sums_high[b] - sums_high[a]), np.uint64(1 << 32))
+        whole = reduced(reduced(sums_low[b] - sums_low[a]) + upper)
+        found[short[i:j]] = mixed(times(whole, down[a]) + ((b - a).astype(np.uint64) << np.uint64(40)))
+        i = j
+    return found
 
 
 class Piece:
@@ -172,7 +174,7 @@ class Words:
         return len(self.start)
 
     def hashes(self) -> np.ndarray:
-        return Spans(self.data).hashes(self.start, self.end)
+        return span_hashes(self.data, self.start, self.end)
 
     def text_of(self) -> np.ndarray:
         """Index of each word's text in the piece."""

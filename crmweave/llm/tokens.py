@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crmweave.llm.coder import BLOCK, decode, encode
-from crmweave.llm.text import NOT_SPACE, Piece, Spans, pieces
+from crmweave.llm.text import NOT_SPACE, Piece, pieces, span_hashes
 from crmweave.session import shared_folder
 
 END = 0
@@ -112,7 +112,7 @@ class Encoder:
         cut[piece.offsets] = True
         start = np.flatnonzero(cut[:-1])
         end = np.append(start[1:], len(data)) if len(start) else start
-        hashes = Spans(data).hashes(start, end)
+        hashes = span_hashes(data, start, end)
         entry = self.found(hashes)
         new = np.flatnonzero(entry < 0)
         if len(new):
