@@ -326,11 +326,22 @@ def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text"
     Every row is judged on its own text, also where rows share a key; rows of a null key stay.
     """
     row = free_name(docs, "row")
-    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
-    named = rows.filter(F.col(key).isNotNull()).select(F.col(row).alias("doc_id"), F.col(key).alias("key"), F.col(text).alias("text"))
-    groups = stored(linked(named, width=width, percent=percent).select("doc_id", "component_id"), "groups")
-    members = groups.join(named.select("doc_id", "key").hint("merge"), "doc_id")
-    kept = members.groupBy("component_id").agg(F.min(F.struct("key", "doc_id"))["doc_id"].alias("first")).select("first")
-    # The ids grow with the documents, so they are not to be broadcast.
-    left = rows.filter(F.col(key).isNotNull()).join(kept.hint("merge"), F.col(row) == F.col("first"), "left_semi")
-    return left.unionByName(rows.filter(F.col(key).isNull())).drop(row)
+    # Only rows of repeated keys need a number of their own, and are stored for that; it lies below all keys.
+    least = docs.agg(F.min(key).cast("long")).first()[0] or 0
+    repeated = stored(docs.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(key), "repeated")
+    same = repeated.select(F.col(key).alias(free_name(docs, "same")))
+    match = F.col(key) == F.col(same.columns[0])
+    once = docs.join(same, match, "left_anti")
+    odd = stored(docs.join(same, match, "left_semi").withColumn(row, F.lit(least - 1) - F.monotonically_increasing_id()), "odd")
+    named = lambda df, id_: df.select(F.col(id_).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    known = once.filter(F.col(key).isNotNull())
+    groups = stored(linked(named(known, key).unionByName(named(odd, row)), width=width, percent=percent).select("doc_id", "component_id"), "groups")
+    members = groups.join(odd.select(F.col(row).alias("doc_id"), F.col(key).alias("key")), "doc_id", "left").withColumn("key", F.coalesce("key", "doc_id"))
+    several = members.groupBy("component_id").agg(
+        F.min(F.struct("key", "doc_id"))["doc_id"].alias("first"), F.count(F.lit(1)).alias("n")
+    ).filter("n > 1")
+    dropped = stored(members.join(several, "component_id").filter("doc_id <> first").select(F.col("doc_id").alias(free_name(docs, "dropped"))), "dropped")
+    gone = F.col(dropped.columns[0])
+    # The dropped ids grow with the documents, so they are not to be broadcast.
+    left = once.join(dropped.hint("merge"), F.col(key) == gone, "left_anti")
+    return left.unionByName(odd.join(dropped.hint("merge"), F.col(row) == gone, "left_anti").drop(row))
