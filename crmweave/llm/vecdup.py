@@ -150,7 +150,8 @@ def _sides(placed: DataFrame) -> DataFrame:
     others = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1)).alias("other")
 
     entries = placed.select(*columns, F.explode("leaves").alias("key"))
-    sizes = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", blocks("n").alias("n"))
+    # Stored, so that its size is known before the vectors are moved: where it is small, they stay where they are.
+    sizes = stored(entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", blocks("n").alias("n")), "sizes")
     met = entries.join(sizes, "key").withColumn("part", part("n")).select("*", others("n"))
     leaf = met.select(
         "key", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), F.expr("if(part <= other, 0, 1)").alias("side"), *columns
@@ -158,7 +159,7 @@ def _sides(placed: DataFrame) -> DataFrame:
     core = placed.filter("hub >= 0").select(*columns, "hub")
     near = placed.select(*columns, F.explode("near").alias("hub"))
     count = lambda df, n: df.groupBy("hub").agg(F.count(F.lit(1)).alias(n)).select("hub", blocks(n).alias(n))
-    both = count(core, "n").join(count(near, "m"), "hub")
+    both = stored(count(core, "n").join(count(near, "m"), "hub"), "sizes")
     key = (-1 - F.col("hub")).cast("long").alias("key")
     one = core.join(both, "hub").withColumn("part", part("n")).select("*", others("m")).select(
         key, F.col("part").alias("x"), F.col("other").alias("y"), F.lit(0).alias("side"), *columns

@@ -70,7 +70,7 @@ def test_shards_hold_the_mix(stages):
 
 def test_queries_are_registered():
     names = contract.queries()
-    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14))
     assert ("pipeline" in contract.oracle_sql()) == (corpus_pipeline.ORACLE_SQL is not None)
 
 
