@@ -106,7 +106,8 @@ def reconcile_all(
 ) -> dict[str, dict[str, object]]:
     """Every object type in dependency order.  ``legacy`` and ``target`` are keyed by type.
 
-    The crosswalk of each type is stored under ``crosswalk/`` and translates the links of the types after it.
+    The crosswalk of each type is stored under ``crosswalk/`` and translates the links of the types after it. Links to a
+    type whose crosswalk cannot be made are all unresolved, so no legacy id is written as one of the target.
     """
     results: dict[str, dict[str, object]] = {}
     crosswalks: dict[str, DataFrame] = {}
@@ -119,8 +120,12 @@ def reconcile_all(
             )
         if kind in target:
             path = f"{staging_dir}/crosswalk/{kind}"
-            crosswalk_of(target[kind], mapping).write.mode("overwrite").parquet(path)
-            crosswalks[kind] = spark.read.parquet(path)
+            try:
+                crosswalk_of(target[kind], mapping).write.mode("overwrite").parquet(path)
+                crosswalks[kind] = spark.read.parquet(path)
+            except PySparkException as failure:
+                log.warning("%s have no crosswalk: %s", kind, failure)
+                crosswalks[kind] = spark.createDataFrame([], "legacy_key string, target_id long")
     return results
 
 
