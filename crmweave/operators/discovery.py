@@ -138,7 +138,7 @@ def discover_keys(df: DataFrame, table: str, most: int = 3, columns: Sequence[st
     first = df.agg(
         F.count("*").alias("rows"),
         *(F.count(quoted(c)).alias(f"n{i}") for i, c in enumerate(names)),
-        *(F.approx_count_distinct(quoted(c), DISTINCT_ERROR).alias(f"d{i}") for i, c in enumerate(names)),
+        *(_distinct([c]).alias(f"d{i}") for i, c in enumerate(names)),
     ).first()
     rows = first["rows"]
     distinct = {c: first[f"d{i}"] for i, c in enumerate(names) if first[f"n{i}"] == rows}
@@ -159,14 +159,14 @@ def _likely_keys(df: DataFrame, sets: list[tuple[str, ...]], enough: float) -> l
     found = []
     for at in range(0, len(sets), SETS_A_PASS):
         some = sets[at : at + SETS_A_PASS]
-        row = df.agg(*(F.approx_count_distinct(_together(s), DISTINCT_ERROR).alias(f"d{i}") for i, s in enumerate(some))).first()
+        row = df.agg(*(_distinct(s).alias(f"d{i}") for i, s in enumerate(some))).first()
         found += [s for s, n in zip(some, row, strict=True) if n >= enough]
     return found
 
 
-def _together(names: Sequence[str]) -> Column:
-    """One number for the values of several columns, for counting by sketch."""
-    return F.xxhash64(*(quoted(c) for c in names))
+def _distinct(names: Sequence[str]) -> Column:
+    """Number of distinct values of several columns together, by a sketch that is one field of the aggregate's buffer."""
+    return F.hll_sketch_estimate(F.hll_sketch_agg(F.xxhash64(*(quoted(c) for c in names)), SKETCH))
 
 
 def _is_key(df: DataFrame, names: Sequence[str]) -> bool:
