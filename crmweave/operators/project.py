@@ -19,7 +19,7 @@ from crmweave.functions.payload import legacy_column
 from crmweave.functions.stages import COMPANY_KIND, PERSON_KIND
 from crmweave.operators.contact import pick_primary
 from crmweave.operators.lookup import left_lookup
-from crmweave.specs import EntitySpec, Lookup, ObjectMap, Relationship, find_column
+from crmweave.specs import EntitySpec, Lookup, ObjectMap, find_column
 
 Tables = Mapping[str, DataFrame]
 
@@ -251,37 +251,3 @@ def party_lookup(company: DataFrame, person: DataFrame) -> DataFrame:
     return party(company, COMPANY_KIND, "Comp_CompanyId").unionByName(
         party(person, PERSON_KIND, "Pers_PersonId")
     )
-
-
-def auto_join(
-    tables: Tables,
-    base: str,
-    columns: Sequence[str],
-    relationships: Sequence[Relationship],
-) -> DataFrame:
-    """Project columns of the base table and, as ``parent.column``, of its parents.
-
-    The declared relationships decide which left joins are added; each parent is
-    joined once and only for the columns asked for.
-    """
-    df = tables[base]
-    wanted: dict[str, list[str]] = {}
-    for name in columns:
-        parent, dot, column = name.partition(".")
-        if dot:
-            wanted.setdefault(parent, []).append(column)
-    for parent, names in wanted.items():
-        links = [r for r in relationships if r.child == base and r.parent == parent]
-        if not links:
-            raise ValueError(f"no relationship from {base!r} to {parent!r}")
-        link = links[0]
-        child_key = F.col(link.column)
-        if link.kind:
-            child_key = F.when(F.col(link.kind[0]) == F.lit(link.kind[1]), child_key)
-        df = left_lookup(
-            df.withColumn("__link", child_key),
-            tables[parent],
-            [("__link", link.key)],
-            {f"{parent}_{c}": c for c in names},
-        ).drop("__link")
-    return df.select(*(F.col(c.replace(".", "_")) for c in columns))

@@ -17,6 +17,7 @@ from crmweave.functions.names import conform, with_snake_names
 from crmweave.functions.stages import final_stage, priority_score, stage_number, status_category
 from crmweave.functions.text import email_valid, joined, sanitize
 from crmweave.operators import contact, project, search
+from crmweave.operators.autojoin import auto_join
 from crmweave.operators.lookup import left_lookup, with_group_count
 from crmweave.plans.extraction import companies_with_contacts, persons_with_contacts
 from crmweave.plans.processed import layered_opportunities, processed_view, social_links
@@ -702,7 +703,7 @@ def _(spark, d):
     "opportunity", "company", "person",
 )
 def _(spark, d):
-    return project.auto_join(
+    return auto_join(
         roles(spark, d, "opportunity", "company", "person"), "opportunity",
         ["Oppo_OpportunityId", "Oppo_Stage", "company.Comp_Name", "company.Comp_Type", "person.Pers_LastName"],
         RELATIONSHIPS,

@@ -10,6 +10,7 @@ from crmweave.crm.legacy import ENTITIES, RELATIONSHIPS
 from crmweave.crm.target import object_map, target_entity
 from crmweave.functions.keys import canonical_key
 from crmweave.operators import contact, keyed, lookup, metrics, project, quality, reconcile, search
+from crmweave.operators.autojoin import auto_join
 from crmweave.plans.processed import processed_view
 from crmweave.specs import Relationship
 
@@ -202,10 +203,10 @@ def test_column_names_ignore_case_and_know_aliases(spark):
 
 
 def test_auto_join_needs_a_relationship(crm, rows):
-    got = project.auto_join(crm, "case", ["Case_CaseId", "company.Comp_Name"], RELATIONSHIPS)
+    got = auto_join(crm, "case", ["Case_CaseId", "company.Comp_Name"], RELATIONSHIPS)
     assert rows(got) == [(1, "Acme"), (2, "Beta"), (3, None)]
     with pytest.raises(ValueError):
-        project.auto_join(crm, "case", ["email_link.Emai_EmailId"], RELATIONSHIPS)
+        auto_join(crm, "case", ["email_link.Emai_EmailId"], RELATIONSHIPS)
 
 
 def test_order_of_nulls_is_stated(spark):
