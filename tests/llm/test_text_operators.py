@@ -200,7 +200,7 @@ def test_rules(both):
 def test_rules_order_changes_no_verdict(both):
     turned = rules.rules()[::-1]
     counted = rules.counted(both)
-    verdict = counted.select("doc_id", *(F.coalesce(r.fails, F.lit(True)).alias(r.name) for r in turned)).collect()
+    verdict = counted.select("doc_id", *(F.coalesce(r.fails(F.col, F.coalesce("text", F.lit(""))), F.lit(True)).alias(r.name) for r in turned)).collect()
     kept = by_id(rules.judged(both, turned), "kept")
     assert all(kept[r[0]][0] == (not any(r[1:])) for r in verdict if r[0] is not None)
 
@@ -210,6 +210,41 @@ def test_rules_of_nothing(none, clashing):
     assert rules.judged(clashing).count() == clashing.count()
 
 
+def test_rules_keep_columns_of_their_names(odd):
+    own = (*rules.COUNTS, "base_failed", "failed_rule", "kept", "__words", "__lines", "__windows", "__again")
+    named = odd.select("*", *(F.lit(f"{c}!").alias(c) for c in own))
+    got = rules.judged(named)
+    assert got.columns == [*named.columns, *(f"{c}_" for c in (*rules.COUNTS, "base_failed", "failed_rule", "kept"))]
+    assert all(r[c] == f"{c}!" for r in got.collect() for c in own)
+    plain = rules.judged(odd).select("doc_id", "n_words", "n_repeat_words", "kept").collect()
+    assert sorted(plain, key=repr) == sorted(got.select("doc_id", "n_words_", "n_repeat_words_", "kept_").collect(), key=repr)
+
+
+def test_rules_behind_a_failed_one_are_not_evaluated(llm):
+    trap = rules.Rule("trap", lambda c, body: F.raise_error(F.concat(F.lit("evaluated for "), body)).cast("boolean"))
+    cascade = [*rules.rules()[:2], trap]
+    few = llm.createDataFrame([(1, "too few"), (2, None), (3, "a b c d e " * 40)], "doc_id INT, text STRING")
+    assert by_id(rules.cascade(few, cascade), "failed_rule") == {1: ("few_words",), 2: ("few_words",), 3: ("repeats",)}
+    enough = llm.createDataFrame([(4, " ".join(f"w{i}" for i in range(20)))], "doc_id INT, text STRING")
+    with pytest.raises(Exception, match="evaluated for w0"):
+        rules.cascade(enough, cascade).collect()
+
+
+def test_rules_read_the_text_inside_their_branches(documents):
+    plan = rules.cascade(documents, rules.rules()).select("doc_id", "kept")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("P{Lu}+") == 1
+    line = next(x for x in plan.splitlines() if "P{Lu}+" in x)
+    assert line.index("CASE WHEN") < line.index("P{Lu}+") and "n_repeat_words" in line and "split(" not in line
+
+
+def test_rules_come_by_rejections_per_cost(documents):
+    slow = rules.Rule("slow", lambda c, body: F.aggregate(F.split(body, ""), F.lit(0), lambda a, x: a + F.length(x)) < 0)
+    most = rules.Rule("most", lambda c, _: c("n_words") > 20)
+    order = [r.name for r in rules.ordered(documents, [slow, *rules.rules(), most], share=1.0)]
+    assert order[-1] == "slow" and order.index("most") < min(order.index("capitals"), order.index("shouts"))
+
+
+
 # 5 lines
 
 
