@@ -4,8 +4,10 @@ Training texts stream through the automaton of all items; at each word it tells
 word is hit if it lies in an occurrence of a window: WINDOW consecutive words of one item, or the whole of an item that
 has fewer. Spans of hit words can be removed, or texts dropped, by limits on span length and on coverage.
 
-Items are taken in blocks of at most BLOCK_WORDS words (or one item), each with an automaton of its own, which bounds
-what a task holds; every block is run against every text, and the hits are united in the row itself.
+Items become word hashes in tasks and are stored in blocks of about BLOCK_WORDS words (or one item). Only one block at a
+time passes through the driver, as hashes; its automaton is built in the Python workers that use it. With one block the
+hits stand in the row at once. With more, each block is one pass over the texts whose hits are stored by row, and they are
+united by row in the end, so neither the driver nor a worker holds more for a larger benchmark.
 
 Nulls: a null text or item has no words; a null item_id counts as an item and is left out of the ids' digest. Items without words match nothing.
 Repeated items count each. Repeated texts are rows of their own. Extra columns pass through; the added column gets a
@@ -15,7 +17,8 @@ free name. Empty tables: without items nothing is hit; without texts there are n
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from functools import cached_property, reduce
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from crmweave.llm.automaton import SuffixAutomaton, Vocabulary, known_runs
+from crmweave.llm.frames import free_name, stored
 from crmweave.llm.text import ALNUM, LOWER, Piece, annotated, lists_of, pieces, struct_of
 
 WINDOW = 10
@@ -98,17 +102,34 @@ def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def blocks(items: DataFrame, key: str, text: str, window: int, most: int) -> Iterator[Items]:
-    """Items in blocks, streamed to the driver; only one block is there at a time, beside the automata made of them."""
-    rows, words = [], 0
-    for row in items.select(F.col(key).cast("string").alias("k"), F.col(text).alias("t")).orderBy("k", "t").toLocalIterator():
-        found = word_hashes_of(row["t"])
-        if rows and words + len(found) > most:
-            yield Items(rows, window)
-            rows, words = [], 0
-        rows.append((row["k"], found))
-        words += len(found)
-    yield Items(rows, window)
+class Block:
+    """The items of a block as hashes; their automaton is built where it is used, once a worker."""
+
+    def __init__(self, rows: list[tuple[str | None, bytes]], window: int):
+        self.rows, self.window = rows, window
+
+    @cached_property
+    def items(self) -> Items:
+        return Items([(k, np.frombuffer(words, np.uint64)) for k, words in self.rows], self.window)
+
+
+def in_blocks(items: DataFrame, key: str, text: str, block_words: int) -> tuple[DataFrame, int]:
+    """Stored items that have words: block, k and their hashes; and the number of blocks."""
+
+    def over(batches):
+        for batch in batches:
+            found = [word_hashes_of(t) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([h.astype(np.uint64).tobytes() for h in found], pa.binary()), pa.array([len(h) for h in found], pa.int64())],
+                names=["k", "words", "n"],
+            )
+
+    texts = items.select(F.col(key).cast("string").alias("k"), F.col(text).alias("t"))
+    rows = stored(texts.mapInArrow(over, "k string, words binary, n long").filter("n > 0"), "items")
+    total = rows.agg(F.sum("n")).first()[0] or 0
+    # Items are dealt by hash; a quarter more blocks leave room for unequal ones.
+    n = 1 if total <= block_words else ceil(1.25 * total / block_words)
+    return rows.withColumn("block", F.pmod(F.xxhash64("k", "words"), F.lit(n))), n
 
 
 def hits(
@@ -116,18 +137,24 @@ def hits(
     window: int = WINDOW, block_words: int = BLOCK_WORDS,
 ) -> tuple[DataFrame, str]:
     """The frame with a struct column (its name is returned too): counts, ids and the spans of hit words."""
-    name, before = "", []
-    for block in blocks(benchmark, item_key, item_text, window, block_words):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
-
-        def work(piece: Piece, shared=shared) -> pa.Array:
-            return found_in(piece, shared.value)
-
-        docs, name = annotated(docs, text, "hits", HITS, work)
-        before.append(name)
-    if len(before) == 1:
-        return docs, name
-    return merged(docs, before)
+    items, n = in_blocks(benchmark, item_key, item_text, block_words)
+
+    def against(frame: DataFrame, number: int):
+        rows = items.filter(F.col("block") == number).select("k", "words").collect()
+        shared = frame.sparkSession.sparkContext.broadcast(Block([(r["k"], bytes(r["words"])) for r in rows], window))
+        made, name = annotated(frame, text, "hits", HITS, lambda piece: found_in(piece, shared.value.items))
+        return made, name, shared
+
+    if n == 1:
+        return against(docs, 0)[:2]
+    row, found = free_name(docs, "__row"), []
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "texts")
+    for number in range(n):
+        made, h, shared = against(numbered.select(row, text), number)
+        hit = made.filter(F.col(h)["n_hit"] > 0).select(F.col(row).alias("__at"), *(F.col(h)[c].alias(c) for c in ("from_", "to_", "items")))
+        found.append(stored(hit, "hits"))
+        shared.unpersist()
+    return joined(numbered, row, reduce(DataFrame.unionByName, found), text)
 
 
 def found_in(piece: Piece, block: Items) -> pa.Array:
@@ -167,21 +194,38 @@ def packed(n_words: np.ndarray, spans: dict[int, list], items: dict[int, set]) -
     )
 
 
-def merged(docs: DataFrame, names: list[str]) -> tuple[DataFrame, str]:
-    """One struct of those that the blocks left, still row by row."""
-    kept = [c for c in docs.columns if c not in names]
-    schema = StructType([f for f in docs.schema.fields if f.name not in names]).add(names[0], HITS)
+def joined(numbered: DataFrame, row: str, found: DataFrame, text: str) -> tuple[DataFrame, str]:
+    """The rows with one struct of what all blocks found in them."""
+    of_row = found.groupBy("__at").agg(
+        F.struct(*(F.flatten(F.collect_list(c)).alias(c) for c in ("from_", "to_")), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+        .alias("__found")
+    )
+    both = numbered.join(of_row, F.col(row) == F.col("__at"), "left").drop("__at")
+    # The struct comes last and is read by its place, so its name may clash.
+    kept = [c for c in numbered.columns if c != row]
+    name = free_name(numbered, "hits")
+    schema = StructType([f for f in numbered.schema.fields if f.name != row]).add(name, HITS)
 
     def over(batches):
         for batch in batches:
-            at = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in names]
-            spans = {i: [x for r in row for x in zip(r["from_"], r["to_"], strict=True)] for i, row in enumerate(zip(*at, strict=True))}
-            items = {i: {x for r in row for x in r["items"]} for i, row in enumerate(zip(*at, strict=True))}
-            made = packed(np.array([r["n_words"] for r in at[0]]), {i: s for i, s in spans.items() if s}, items)
-            columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
-            yield pa.RecordBatch.from_arrays([*columns, made], names=[*kept, names[0]])
-
-    return docs.mapInArrow(over, schema), names[0]
+            column, first = batch.column(kept.index(text)), 0
+            rows = batch.column(batch.num_columns - 1).to_pylist()
+            made = []
+            for piece in pieces(column):
+                own = rows[first : first + len(piece)]
+                first += len(piece)
+                made.append(
+                    packed(
+                        piece.words(ALNUM, LOWER).counts,
+                        {i: list(zip(r["from_"], r["to_"], strict=True)) for i, r in enumerate(own) if r},
+                        {i: set(r["items"]) for i, r in enumerate(own) if r},
+                    )
+                )
+            if made:
+                columns = [batch.column(i) for i in range(len(kept))]
+                yield pa.RecordBatch.from_arrays([*columns, pa.concat_arrays(made)], names=[*kept, name])
+
+    return both.select(*(F.col(f"`{c}`") for c in kept), F.col("__found")).mapInArrow(over, schema), name
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
