@@ -358,7 +358,6 @@ def test_contaminated_rows_and_spans_go(clashing, llm):
 def test_decontamination_of_nothing(none, odd, items, llm):
     no_items = llm.createDataFrame([], "item_id long, text string")
     assert decontaminate.contamination(none, items).collect() == []
-    assert decontaminate.contamination(none, items, block_words=700).collect() == []
     assert decontaminate.contamination(odd, no_items).filter("contaminated").count() == 0
 
 
