@@ -4,8 +4,11 @@ Each block starts from nothing and is coded alone. At every id three models pred
 far: the id that last followed the two ids before (order 2), the one that last followed the id before (order 1), and the
 frequencies of ids in the block (order 0, renewed whenever the block has doubled), with an escape to any id. Their
 shares of the probability are mixed by how often the order was right of late at its present run of hits, and the mixture
-drives a carry-less range coder with 48-bit state that emits 16-bit words. Numpy works on the same step of all blocks at
-once; the blocks do not touch each other.
+drives a range coder with 48-bit state that emits 16-bit words; carries into words put out are settled at the end. Numpy
+works on the same step of all blocks at once; the blocks do not touch each other.
+
+The encoder knows all ids beforehand. What each order expects, whether it is right and its run of hits follow from
+sorting a block's steps by context, so that step by step only the trust in the orders and the interval move on.
 """
 
 from __future__ import annotations
@@ -13,8 +16,10 @@ from __future__ import annotations
 import numpy as np
 
 BLOCK = 4096
-IDS = 1 << 16  # ids are below
+ID_BITS = 16
+IDS = 1 << ID_BITS  # ids are below
 NONE = IDS - 1  # no id yet; a vocabulary must not have it
+HASH = np.array([40503, 60493], np.uint16)
 ONE_BITS, TWO_BITS = 11, 12
 SLOT_BITS = 12
 SLOTS = 1 << SLOT_BITS
@@ -23,157 +28,188 @@ SIZE_MASK = (1 << SIZE_BITS) - 1
 RUNS = 4  # a run of hits counts up to RUNS - 1; ids are kept times RUNS, so shifts by 2 below
 START, LOW, HIGH, RATE = 4096, 64, 40960, 4
 GAIN = np.int32(HIGH - LOW)
+CHUNK = 64  # steps whose numbers are made at once; divides the steps at which order 0 is renewed
 RENEW = (64, 128, 256, 512, 1024, 2048)
+SORTED = 256  # blocks sorted at once
 
 WHOLE = np.uint64((1 << 48) - 1)
-TOP, SMALL = np.uint64(32), np.uint64(1 << 24)
-SIXTEEN = np.uint64(16)
-
+SMALL = np.uint64(1 << 32)  # a smaller interval puts out a word, after which it is not smaller
+SIXTEEN, TOP, FOUR = np.uint64(16), np.uint64(32), np.uint64(4)
+LOWER = SMALL - np.uint64(1)
 
-class Interval:
-    """Low end and size of the interval of every block, narrowed step by step; words leave when they are decided."""
 
-    def __init__(self, blocks: int):
-        self.low = np.zeros(blocks, np.uint64)
-        self.range = np.full(blocks, WHOLE)
+class Coder:
+    """Low end and size of the interval of every block, narrowed step by step."""
 
-    def shift(self, which: np.ndarray | None, out: np.ndarray) -> None:
-        """Put out or take in a word, where ``out``, in all blocks or in some."""
-        raise NotImplementedError
+    def __init__(self, blocks: int, length: int):
+        room = 2 * length + 8
+        self.low, self.range = np.zeros(blocks, np.uint64), np.full(blocks, WHOLE)
+        # A word may have a 17th bit: a carry into the words before.
+        self.words = np.zeros(blocks * room, np.uint32)
+        self.begin = np.arange(blocks) * room
+        self.at = self.begin.copy()
 
     def step(self, low: np.ndarray, width: np.ndarray) -> None:
         """Narrow every block's interval to (low, width) of 2**16."""
         unit = self.range >> SIXTEEN
-        self.low += unit * low.astype(np.uint64)
-        self.range = unit * width.astype(np.uint64)
-        out, size = settled(self.low, self.range)
-        # All blocks at once: most put out a word, and whole arrays are faster than a choice of them.
-        self.shift(None, out)
-        by = out.astype(np.uint64) << np.uint64(4)
-        self.low = (self.low << by) & WHOLE
-        self.range = size << by
-        self.settle(np.flatnonzero(settled(self.low, self.range)[0]))
-
-    def step_some(self, which: np.ndarray, low: np.ndarray, width: np.ndarray) -> None:
+        self.low += unit * low
+        unit *= width
+        out = unit < SMALL
+        word = self.low >> TOP
+        # A block that puts out none is overwritten by its next word.
+        self.words[self.at] = word
+        self.at += out
+        word *= out
+        self.low -= word << TOP
+        by = out * SIXTEEN
+        self.low <<= by
+        unit <<= by
+        self.range = unit
+
+    def step_some(self, which: np.ndarray, low: np.ndarray) -> None:
+        """Narrow some blocks' intervals to one of 2**16 parts, which always puts out a word."""
         unit = self.range[which] >> SIXTEEN
-        self.low[which] += unit * low.astype(np.uint64)
-        self.range[which] = unit * width.astype(np.uint64)
-        self.settle(which)
-
-    def settle(self, which: np.ndarray) -> None:
-        while len(which):
-            out, size = settled(self.low[which], self.range[which])
-            which, size = which[out], size[out]
-            self.shift(which, out)
-            self.low[which] = (self.low[which] << SIXTEEN) & WHOLE
-            self.range[which] = size << SIXTEEN
-
-
-def settled(low: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where the top word is decided, or the range is so small that it is made so; and the sizes, cut where it is."""
-    same = ((low ^ (low + size)) >> TOP) == 0
-    small = size < SMALL
-    if small.any():
-        small &= ~same
-        size = np.where(small, (~low + np.uint64(1)) & (SMALL - np.uint64(1)), size)
-        return same | small, size
-    return same, size
-
-
-class Coder(Interval):
-    def __init__(self, blocks: int, length: int):
-        super().__init__(blocks)
-        self.room = 2 * length + 8
-        self.words = np.zeros(blocks * self.room, np.uint16)
-        self.begin = np.arange(blocks) * self.room
-        self.at = self.begin.copy()
-
-    def shift(self, which: np.ndarray | None, out: np.ndarray) -> None:
-        if which is None:
-            # A block that puts out none is overwritten by its next word.
-            self.words[self.at] = (self.low >> TOP).astype(np.uint16)
-            self.at += out
-        else:
-            self.words[self.at[which]] = (self.low[which] >> TOP).astype(np.uint16)
-            self.at[which] += 1
+        bottom = self.low[which] + unit * low
+        at = self.at[which]
+        self.words[at] = bottom >> TOP
+        self.at[which] = at + 1
+        self.low[which] = (bottom & LOWER) << SIXTEEN
+        self.range[which] = unit << SIXTEEN
 
     def finish(self) -> list[bytes]:
         for shift in (TOP, SIXTEEN, np.uint64(0)):
-            self.words[self.at] = (self.low >> shift).astype(np.uint16)
+            self.words[self.at] = self.low >> shift
+            self.low &= (np.uint64(1) << shift) - np.uint64(1)
             self.at += 1
-        return [self.words[a:b].tobytes() for a, b in zip(self.begin.tolist(), self.at.tolist(), strict=True)]
+        self.words[self.at] = 0  # words that were not put out
+        over = np.flatnonzero(self.words > 0xFFFF)
+        while len(over):
+            self.words[over] &= 0xFFFF
+            over = over - 1
+            self.words[over] += 1
+            over = over[self.words[over] > 0xFFFF]
+        return [self.words[a:b].astype(np.uint16).tobytes() for a, b in zip(self.begin.tolist(), self.at.tolist(), strict=True)]
 
 
-class Reader(Interval):
-    """The same intervals while decoding; ``code`` is what the words say."""
+class Reader:
+    """The same intervals while decoding; ``code`` is what the words say above the low end."""
 
     def __init__(self, payloads: list[bytes]):
-        super().__init__(len(payloads))
+        blocks = len(payloads)
         room = max(map(len, payloads)) // 2 + 8
-        self.words = np.zeros(len(payloads) * room + 1, np.uint16)
+        self.words = np.zeros(blocks * room + 1, np.uint16)
         for i, p in enumerate(payloads):
             self.words[i * room : i * room + len(p) // 2] = np.frombuffer(p, np.uint16)
-        self.at = np.arange(len(payloads)) * room
-        self.code = np.zeros(len(payloads), np.uint64)
+        self.range, self.code = np.full(blocks, WHOLE), np.zeros(blocks, np.uint64)
+        self.at = np.arange(blocks) * room
         for _ in range(3):
-            self.shift(None, np.ones(len(payloads), bool))
-
-    def shift(self, which: np.ndarray | None, out: np.ndarray) -> None:
-        if which is None:
-            by = out.astype(np.uint64) << np.uint64(4)
-            word = self.words.take(self.at) * out
-            self.code = ((self.code << by) & WHOLE) | word
-            self.at += out
-        else:
-            self.code[which] = ((self.code[which] << SIXTEEN) & WHOLE) | self.words[self.at[which]]
-            self.at[which] += 1
+            self.code = (self.code << SIXTEEN) | self.words.take(self.at)
+            self.at += 1
 
     def value(self) -> np.ndarray:
+        """Where in 2**16 the code stands; ``step`` follows."""
+        self.unit = self.range >> SIXTEEN
         # Exact in doubles: 48 bits over at most 32, and a quotient of 16 bits.
-        gone = (self.code - self.low).view(np.int64).astype(np.float64)
-        return np.minimum(gone / (self.range >> SIXTEEN).view(np.int64), IDS - 1).astype(np.int32)
+        return np.minimum(self.code.view(np.int64) / self.unit.view(np.int64), IDS - 1).astype(np.int32)
+
+    def step(self, low: np.ndarray, width: np.ndarray) -> None:
+        self.code -= self.unit * low.astype(np.uint64)
+        size = self.unit * width.astype(np.uint64)
+        out = size < SMALL
+        by = out * SIXTEEN
+        self.code <<= by
+        self.code |= self.words.take(self.at) * out
+        size <<= by
+        self.at += out
+        self.range = size
 
     def value_of(self, which: np.ndarray) -> np.ndarray:
-        unit = self.range[which] >> SIXTEEN
-        return np.minimum((self.code[which] - self.low[which]) // unit, np.uint64(IDS - 1)).astype(np.int64)
+        """Read one of 2**16 parts in some blocks."""
+        unit, code, at = self.range[which] >> SIXTEEN, self.code[which], self.at[which]
+        got = np.minimum(code // unit, np.uint64(IDS - 1))
+        self.code[which] = ((code - unit * got) << SIXTEEN) | self.words[at]
+        self.range[which] = unit << SIXTEEN
+        self.at[which] = at + 1
+        return got.astype(np.int32)
 
 
-class Contexts:
-    """Orders 1 and 2 of all blocks: what followed last, and how far each is to be trusted."""
+def places(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slots of the contexts of orders 1 and 2, from the id before and the one before it, modulo 2**16."""
+    first = one * HASH[0]
+    return first >> np.uint16(16 - ONE_BITS), (first + two * HASH[1]) >> np.uint16(16 - TWO_BITS)
 
-    ONE = ((np.arange(IDS, dtype=np.uint32) * np.uint32(40503)) >> np.uint32(5)).astype(np.int64) & ((1 << ONE_BITS) - 1)
+
+def forecasts(ids: np.ndarray) -> np.ndarray:
+    """For every step, order (1, 2) and block: run of hits of the context so far, plus RUNS where the order is right."""
+    blocks, length = ids.shape
+    out = np.empty((length, 2, blocks), np.uint8)
+    for i in range(0, blocks, SORTED):
+        some = ids[i : i + SORTED]
+        one, two = np.zeros_like(some), np.zeros_like(some)
+        one[:, 1:], two[:, 2:] = some[:, :-1], some[:, :-2]
+        for k, context in enumerate(places(one, two)):
+            order = np.argsort(context, axis=1, kind="stable")
+            context, value = np.take_along_axis(context, order, axis=1), np.take_along_axis(some, order, axis=1)
+            same = np.zeros(some.shape, bool)
+            same[:, 1:] = context[:, 1:] == context[:, :-1]
+            hit = same.copy()
+            hit[:, 1:] &= value[:, 1:] == value[:, :-1]
+            run = hit.astype(np.uint8)  # hits that end here, up to RUNS - 1
+            for _ in range(RUNS - 2):
+                run[:, 1:] = hit[:, 1:] * (run[:, :-1] + np.uint8(1))
+            mark = hit * np.uint8(RUNS)
+            mark[:, 1:] += same[:, 1:] * run[:, :-1]
+            back = np.empty_like(mark)
+            np.put_along_axis(back, order, mark, axis=1)
+            out[:, k, i : i + SORTED] = back.T
+    return out
+
+
+class Trust:
+    """Shares of 2**16 that orders 1 and 2 of every block get at their present runs of hits."""
 
     def __init__(self, blocks: int):
-        self.lane1, self.lane2 = np.arange(blocks) << ONE_BITS, np.arange(blocks) << TWO_BITS
-        self.runs = np.arange(blocks) * RUNS
+        self.runs = np.arange(2 * blocks) * RUNS
+        self.table = np.full(2 * blocks * RUNS, START, np.int32)
+
+
+def shares_of(trust: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shares of orders 2 and 1, from trust in order 1 and then order 2 along the last axis."""
+    blocks = trust.shape[-1] // 2
+    two = trust[..., blocks:]
+    # Halved, so that the product stays within 32 bits.
+    return two, ((IDS - two) >> 1) * (trust[..., :blocks] >> 1) >> 14
+
+
+class Contexts(Trust):
+    """Orders 1 and 2 of all blocks: what followed last, and how far each is to be trusted."""
+
+    def __init__(self, blocks: int):
+        super().__init__(blocks)
+        lanes = np.arange(blocks)
+        self.lanes = np.concatenate([lanes << ONE_BITS, (blocks << ONE_BITS) + (lanes << TWO_BITS)])
         # An id and its run of hits in one number: id * RUNS + run.
-        self.next1 = np.full(blocks << ONE_BITS, NONE * RUNS, np.int32)
-        self.next2 = np.full(blocks << TWO_BITS, NONE * RUNS, np.int32)
-        self.trust1, self.trust2 = np.full(blocks * RUNS, START, np.int32), np.full(blocks * RUNS, START, np.int32)
-        self.one = np.zeros(blocks, np.int64)
-        self.two = np.zeros(blocks, np.int64)
+        self.next = np.full((blocks << ONE_BITS) + (blocks << TWO_BITS), NONE * RUNS, np.int32)
+        self.one, self.two = np.zeros(blocks, np.uint16), np.zeros(blocks, np.uint16)
 
     def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """What orders 2 and 1 expect, and their shares of 2**16."""
-        self.h1 = self.lane1 + self.ONE.take(self.one)
-        self.h2 = self.lane2 + (((self.one * 40503 + self.two * 60493) >> 4) & ((1 << TWO_BITS) - 1))
-        self.n1, self.n2 = self.next1.take(self.h1), self.next2.take(self.h2)
-        self.g1, self.g2 = self.n1 >> 2, self.n2 >> 2
-        self.t1, self.t2 = self.runs + (self.n1 & 3), self.runs + (self.n2 & 3)
-        self.q1, self.q2 = self.trust1.take(self.t1), self.trust2.take(self.t2)
-        # Halved, so that the product stays within 32 bits.
-        return self.g2, self.g1, self.q2, ((IDS - self.q2) >> 1) * (self.q1 >> 1) >> 14
+        self.at = self.lanes + np.concatenate(places(self.one, self.two))
+        self.n = self.next.take(self.at)
+        expected = (self.n >> 2).reshape(2, -1)
+        self.run = self.runs + (self.n & 3)
+        self.q = self.table.take(self.run)
+        return expected[1], expected[0], *shares_of(self.q)
 
     def learn(self, ids: np.ndarray) -> None:
-        fresh = ids.astype(np.int32, copy=False) << 2
-        for trust, at, q, next_, h, n in (
-            (self.trust1, self.t1, self.q1, self.next1, self.h1, self.n1), (self.trust2, self.t2, self.q2, self.next2, self.h2, self.n2)
-        ):
-            gap = n - fresh  # 0 to RUNS - 1 where it was right, and then the run
-            hit = gap.view(np.uint32) < RUNS
-            trust[at] = q + ((hit * GAIN + LOW - q) >> RATE)
-            next_[h] = fresh + np.minimum(gap + 1, RUNS - 1) * hit
-        self.two, self.one = self.one, ids.astype(np.int64)
+        fresh = ids << 2
+        fresh = np.concatenate([fresh, fresh])
+        gap = self.n - fresh  # 0 to RUNS - 1 where it was right, and then the run
+        hit = gap.view(np.uint32) < RUNS
+        self.table[self.run] = self.q + ((hit * GAIN + LOW - self.q) >> RATE)
+        gap += 1
+        self.next[self.at] = fresh + np.minimum(gap, RUNS - 1) * hit
+        self.two, self.one = self.one, ids.astype(np.uint16)
 
 
 def slots_of(count: np.ndarray, distinct: np.ndarray, seen: int) -> np.ndarray:
@@ -182,53 +218,73 @@ def slots_of(count: np.ndarray, distinct: np.ndarray, seen: int) -> np.ndarray:
     return 1 + count * (SLOTS - escape - distinct) // seen
 
 
+def ranks(ids: np.ndarray) -> tuple[np.ndarray, int]:
+    """Rank of every id among the distinct ones of its block (steps x blocks), and how many a block has at most."""
+    blocks, length = ids.shape
+    out = np.empty((length, blocks), np.uint16)
+    for i in range(0, blocks, SORTED):
+        some = ids[i : i + SORTED]
+        order = np.argsort(some, axis=1, kind="stable")
+        ordered = np.take_along_axis(some, order, axis=1)
+        rank = np.zeros(some.shape, np.uint16)
+        np.cumsum(ordered[:, 1:] != ordered[:, :-1], axis=1, out=rank[:, 1:])
+        back = np.empty_like(rank)
+        np.put_along_axis(back, order, rank, axis=1)
+        out[:, i : i + SORTED] = back.T
+    return out, int(out.max(initial=0)) + 1
+
+
 def encode(ids: np.ndarray) -> list[bytes]:
-    """Payloads of blocks of one length (blocks x length, ids below NONE)."""
+    """Payloads of blocks of one length (blocks x length, at most 2**16 of ids below NONE)."""
+    ids = ids.astype(np.uint16)
     blocks, length = ids.shape
-    coder, contexts = Coder(blocks, length), Contexts(blocks)
-    lanes = np.arange(blocks)
-    # Order 0 by the rank of an id among those of its block, found at once.
-    order = np.argsort(ids.astype(np.uint16), axis=1, kind="stable")
-    ordered = np.take_along_axis(ids, order, axis=1)
-    rank = np.zeros((blocks, length), np.int32)
-    np.cumsum(ordered[:, 1:] != ordered[:, :-1], axis=1, out=rank[:, 1:])
-    width = int(rank.max(initial=0)) + 1
-    place = np.empty((blocks, length), np.int32)
-    np.put_along_axis(place, order, rank, axis=1)
-    del order, ordered, rank
-    by_step, place = np.ascontiguousarray(ids.T.astype(np.int32)), np.ascontiguousarray(place.T + (lanes * width).astype(np.int32))
-    counts = np.zeros(blocks * width, np.int32)
+    coder, trust = Coder(blocks, length), Trust(blocks)
+    marks = forecasts(ids).reshape(length, 2 * blocks)
+    rank, width = ranks(ids)
+    lanes = np.arange(blocks) * width
+    counts = np.zeros(blocks * width, np.int64)
     # First slot and number of slots in one number; the escape has the slots before all ids.
     share = np.zeros(blocks * width, np.int32)
     escape = np.full(blocks, SLOTS, np.int32)
     renewed = 0
-    for t in range(length):
+    for t in range(0, length, CHUNK):
         if t in RENEW:
-            counts += np.bincount(place[renewed:t].ravel(), minlength=len(counts)).astype(np.int32)
+            counts += np.bincount((lanes + rank[renewed:t]).ravel(), minlength=len(counts))
             renewed, table = t, counts.reshape(blocks, width)
             distinct = (table > 0).sum(axis=1, dtype=np.int32)
             got = np.where(table > 0, slots_of(table, distinct[:, None], t), 0)
-            upto = np.cumsum(got, axis=1)
+            upto = np.cumsum(got, axis=1, dtype=np.int32)
             escape = (SLOTS - upto[:, -1]).astype(np.int32)
             share = (((upto - got + escape[:, None]) << SIZE_BITS) | got).astype(np.int32).ravel()
             share[got.ravel() == 0] = 0
-        x = by_step[t]
-        g2, g1, share2, share1 = contexts.predict()
+        mark = marks[t : t + CHUNK]
+        place = lanes + rank[t : t + CHUNK]
+        x = ids[:, t : t + CHUNK].T
+        hits = mark >= RUNS
+        run, goal = trust.runs + (mark & 3), hits * GAIN + LOW
+        q = np.empty(mark.shape, np.int32)
+        for i in range(len(mark)):
+            now = q[i]
+            trust.table.take(run[i], out=now, mode="clip")
+            trust.table[run[i]] = now + ((goal[i] - now) >> RATE)
+        share2, share1 = shares_of(q)
         base = share2 + share1
         rest = IDS - base
-        both = share.take(place[t])
+        both = share.take(place)
         new = both == 0
         a, n = both >> SIZE_BITS, np.where(new, escape, both & SIZE_MASK)
         start = (a * rest) >> SLOT_BITS
         low, wide = base + start, (((a + n) * rest) >> SLOT_BITS) - start
-        hit2, hit1 = g2 == x, g1 == x
+        hit1, hit2 = hits[:, :blocks], hits[:, blocks:]
         low, wide = np.where(hit1, share2, low), np.where(hit1, share1, wide)
-        low, wide = np.where(hit2, 0, low), np.where(hit2, share2, wide)
-        coder.step(low, wide)
-        out = np.flatnonzero(new & ~hit1 & ~hit2)
-        if len(out):
-            coder.step_some(out, x[out], np.ones(len(out), np.int64))
-        contexts.learn(x)
+        low, wide = np.where(hit2, 0, low).astype(np.uint64), np.where(hit2, share2, wide).astype(np.uint64)
+        step, some = np.nonzero(new & ~hit1 & ~hit2)
+        cuts = np.searchsorted(step, np.arange(len(mark) + 1)).tolist()
+        free = x[step, some].astype(np.uint64)
+        for i in range(len(mark)):
+            coder.step(low[i], wide[i])
+            if cuts[i] < cuts[i + 1]:
+                coder.step_some(some[cuts[i] : cuts[i + 1]], free[cuts[i] : cuts[i + 1]])
     return coder.finish()
 
 
@@ -238,9 +294,9 @@ def decode(payloads: list[bytes], length: int) -> np.ndarray:
     reader, contexts = Reader(payloads), Contexts(blocks)
     lanes = np.arange(blocks)
     out = np.zeros((length, blocks), np.int32)
-    # Row of each slot in the lists below; row i < blocks is the escape of block i
-    names, share = np.full(blocks, NONE, np.int32), np.full(blocks, SLOTS, np.int32)
-    slot = np.repeat(lanes.astype(np.int32), SLOTS)
+    # Each slot's place in the block's list of entries, the first of them its escape. An entry has an id, first slot, size.
+    first_entry, entries = lanes, np.full(blocks, SLOTS << ID_BITS | NONE)
+    slot = np.zeros(blocks * SLOTS, np.uint16)
     lane_slots = lanes.astype(np.int32) * SLOTS
     for t in range(length):
         if t in RENEW:
@@ -252,16 +308,17 @@ def decode(payloads: list[bytes], length: int) -> np.ndarray:
             count = np.diff(np.append(begins, blocks * t)).astype(np.int32)
             got = slots_of(count, distinct[owner], t)
             cuts = np.concatenate([[0], np.cumsum(distinct)])
-            upto = np.cumsum(got)
-            before = np.concatenate([[0], upto])[cuts]
+            upto = np.concatenate([[0], np.cumsum(got)])
+            before = upto[cuts]
             escape = SLOTS - np.diff(before)
-            names = np.concatenate([np.full(blocks, NONE, np.int32), seen.ravel()[begins].astype(np.int32)])
-            size = np.concatenate([escape, got])
-            first = np.concatenate([np.zeros(blocks, np.int64), upto - got - before[owner] + escape[owner]])
-            share = ((first << SIZE_BITS) | size).astype(np.int32)
-            # A block's slots: its escape, then its ids in order.
-            rows = np.insert(np.arange(blocks, blocks + len(got)), cuts[:-1], lanes)
-            slot = np.repeat(rows.astype(np.int32), size[rows])
+            entry = np.arange(len(got)) + owner + 1
+            first_entry = cuts[:-1] + lanes
+            entries = np.empty(len(got) + blocks, np.int64)
+            entries[first_entry] = escape << ID_BITS | NONE
+            first = upto[:-1] - before[owner] + escape[owner]
+            entries[entry] = ((first << SIZE_BITS | got) << ID_BITS) | seen.ravel()[begins]
+            size = (entries >> ID_BITS) & SIZE_MASK
+            slot = np.repeat((np.arange(len(entries)) - np.repeat(first_entry, distinct + 1)).astype(np.uint16), size)
         g2, g1, share2, share1 = contexts.predict()
         base = share2 + share1
         rest = IDS - base
@@ -269,20 +326,19 @@ def decode(payloads: list[bytes], length: int) -> np.ndarray:
         inner = np.maximum(value - base, 0)
         place = (((inner + 1) << SLOT_BITS) - 1) / rest  # in doubles, exact as above
         row = slot.take(lane_slots + np.minimum(place, SLOTS - 1).astype(np.int32))
-        both = share.take(row)
+        entry = entries.take(first_entry + row)
+        both = (entry >> ID_BITS).astype(np.int32)
         a, n = both >> SIZE_BITS, both & SIZE_MASK
         start = (a * rest) >> SLOT_BITS
         low, wide = base + start, (((a + n) * rest) >> SLOT_BITS) - start
-        x = names.take(row)
+        x = (entry & (IDS - 1)).astype(np.int32)
         hit1, hit2 = value < base, value < share2
         low, wide, x = np.where(hit1, share2, low), np.where(hit1, share1, wide), np.where(hit1, g1, x)
         low, wide, x = np.where(hit2, 0, low), np.where(hit2, share2, wide), np.where(hit2, g2, x)
         reader.step(low, wide)
-        free = np.flatnonzero((row < blocks) & ~hit1)
+        free = np.flatnonzero((row == 0) & ~hit1)
         if len(free):
-            got = reader.value_of(free)
-            x[free] = got
-            reader.step_some(free, got, np.ones(len(free), np.int64))
+            x[free] = reader.value_of(free)
         contexts.learn(x)
         out[t] = x
     return np.ascontiguousarray(out.T)

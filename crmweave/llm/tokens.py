@@ -253,9 +253,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.schema(FILE).parquet(path)
 
     def decoded(batches):
-        for batch in batches:
-            for i in range(0, len(batch), LANES):
-                yield read_blocks(batch.slice(i, LANES))
+        for batch in rebatched(batches, LANES):
+            yield read_blocks(batch)
 
     found = files.mapInArrow(decoded, PIECES)
     # One row a part: as many as the writer had partitions.
@@ -268,6 +267,21 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return whole.join(F.broadcast(parts), "part").select("doc_id", (F.col("before") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 
+def rebatched(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of ``rows``, the last with what is left."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += len(batch)
+        if n >= rows:
+            table = pa.Table.from_batches(held).combine_chunks()
+            whole = n - n % rows
+            yield from table.slice(0, whole).to_batches(max_chunksize=rows)
+            held, n = table.slice(whole).to_batches(), n - whole
+    if n:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches(max_chunksize=rows)
+
+
 def read_blocks(batch: pa.RecordBatch) -> pa.RecordBatch:
     columns = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
     part, block, length, crc = (columns[c].to_pylist() for c in ("part", "block", "length", "crc32"))
