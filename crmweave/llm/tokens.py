@@ -6,8 +6,8 @@ this block, ids that follow in later blocks. All blocks of a part but its last h
 alone; a checksum that does not fit is an error. Spark's committer writes the files, so a lost task leaves none.
 
 Tokenizing: the pre-tokenizer never joins what stands on both sides of a place where white space begins after a visible
-character, so texts are cut there and each distinct piece is encoded once by the tokenizer; a worker keeps the last
-CACHE_WORDS pieces' ids. Cuts are made only after ASCII and two-byte characters, of which no white space is in question.
+character, so texts are cut there and each distinct piece is encoded once by the tokenizer, many new ones in a row as
+one text; a worker keeps the last CACHE_WORDS pieces' ids. Cuts are made only after ASCII and two-byte characters, of which no white space is in question.
 
 Nulls: a null text is empty and has the end id alone; null keys come first. Equal keys are ordered by a hash of the text;
 each row has an entry of its own. Extra columns do not matter. An empty table gives no rows.
@@ -25,14 +25,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crmweave.llm.coder import BLOCK, decode, encode
+from crmweave.llm.coder import BLOCK, IDS, decode, encode
 from crmweave.llm.text import NOT_SPACE, Piece, pieces, span_hashes
 from crmweave.session import shared_folder
 
 END = 0
 LANES = 2048  # full blocks that a task codes in step
 CACHE_WORDS, SLOT_BITS, TRIES = 1_500_000, 22, 8
-BATCH = 20_000
+BATCH, JOINED = 20_000, 1_000  # new pieces encoded at once, and in one text
 
 FILE = (
     "part int, block int, length int, crc32 long, payload binary, "
@@ -50,6 +50,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # Bytes that each id stands for, if the vocabulary writes a byte as a character.
+        self.width = np.zeros(IDS, np.int64)
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.width[i] = len(token)
+        for i, token in self.tokenizer.get_added_tokens_decoder().items():
+            self.width[i] = len(token.content.encode())
         self.clear()
 
     def clear(self) -> None:
@@ -88,15 +94,47 @@ class Encoder:
             if not len(left):
                 break
 
-    def learn(self, hashes: np.ndarray, texts: list[str]) -> None:
-        ids = [e.ids for i in range(0, len(texts), BATCH) for e in self.tokenizer.encode_batch_fast(texts[i : i + BATCH], add_special_tokens=False)]
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((x for e in ids for x in e), np.uint16, int(size.sum()))
+    def learn(self, hashes: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
+        """Enter new pieces. Those that may stand one after the other as they do in a text are encoded together."""
+        last = data[end - 1]
+        fit = ~NOT_SPACE[data[start]] & (SAFE[last] | ((last >= 0x80) & TWO_BYTE_LEAD[data[end - 2]]))
+        begin, size = np.zeros(len(start), np.int64), np.zeros(len(start), np.int64)
+        for which, together in ((np.flatnonzero(fit), True), (np.flatnonzero(~fit), False)):
+            for i in range(0, len(which), BATCH):
+                some = which[i : i + BATCH]
+                flat, sizes = (self.joined if together else self.apart)(data, start[some], end[some])
+                begin[some], size[some] = self.held + np.cumsum(sizes) - sizes, sizes
+                self.pool.append(flat)
+                self.held += len(flat)
         self.store(hashes)
-        self.begin.append(self.held + np.cumsum(size) - size)
+        self.begin.append(begin)
         self.size.append(size)
-        self.pool.append(flat)
-        self.known, self.held = self.known + len(ids), self.held + len(flat)
+        self.known += len(start)
+
+    def apart(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces, each encoded by itself, and their numbers."""
+        texts = [data[a:b].tobytes().decode("utf-8") for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter((x for e in ids for x in e), np.uint16, int(size.sum())), size
+
+    def joined(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for pieces that begin with white space and end in a safe character, encoded as texts of many.
+
+        The bytes that each id stands for tell where a piece's ids end. Where an end falls into an id, as it may with a
+        vocabulary whose ids do not stand for bytes, the pieces are encoded apart.
+        """
+        upto = np.concatenate([[0], np.cumsum(end - start)])
+        raw = data[np.repeat(start - upto[:-1], end - start) + np.arange(upto[-1])].tobytes()
+        cuts = [*upto[:-1:JOINED].tolist(), len(raw)]
+        texts = [raw[a:b].decode("utf-8") for a, b in zip(cuts, cuts[1:], strict=False)]
+        ids = [np.array(e.ids, np.uint16) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.concatenate(ids)
+        reached = np.cumsum(self.width[flat])
+        at = np.searchsorted(reached, upto[1:])
+        if not len(flat) or reached[-1] != upto[-1] or (reached[at] != upto[1:]).any():
+            return self.apart(data, start, end)
+        return flat, np.diff(np.concatenate([[0], at + 1]))
 
     def encode(self, piece: Piece) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a piece, each with the end id, and their numbers."""
@@ -117,9 +155,8 @@ class Encoder:
         new = np.flatnonzero(entry < 0)
         if len(new):
             distinct, first, back = np.unique(hashes[new], return_index=True, return_inverse=True)
-            raw, known = data.tobytes(), self.known
-            at = new[first]
-            self.learn(distinct, [raw[a:b].decode("utf-8") for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)])
+            known, at = self.known, new[first]
+            self.learn(distinct, data, start[at], end[at])
             entry[new] = (known + back).astype(np.int32)
         self.begin, self.size, self.pool = ([np.concatenate(x)] if len(x) > 1 else x for x in (self.begin, self.size, self.pool))
         size = self.size[0][entry]
