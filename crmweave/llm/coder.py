@@ -30,7 +30,7 @@ START, LOW, HIGH, RATE = 4096, 64, 40960, 4
 GAIN = np.int32(HIGH - LOW)
 CHUNK = 64  # steps whose numbers are made at once; divides the steps at which order 0 is renewed
 RENEW = (64, 128, 256, 512, 1024, 2048)
-SORTED = 256  # blocks sorted at once
+SORTED = 32  # blocks sorted at once
 
 WHOLE = np.uint64((1 << 48) - 1)
 SMALL = np.uint64(1 << 32)  # a smaller interval puts out a word, after which it is not smaller
@@ -139,6 +139,13 @@ def places(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first >> np.uint16(16 - ONE_BITS), (first + two * HASH[1]) >> np.uint16(16 - TWO_BITS)
 
 
+def sorting(rows: np.ndarray) -> np.ndarray:
+    """The stable order of each row, as places in all rows one after the other."""
+    order = np.argsort(rows, axis=1, kind="stable")
+    order += np.arange(len(rows))[:, None] * rows.shape[1]
+    return order
+
+
 def forecasts(ids: np.ndarray) -> np.ndarray:
     """For every step, order (1, 2) and block: run of hits of the context so far, plus RUNS where the order is right."""
     blocks, length = ids.shape
@@ -148,8 +155,8 @@ def forecasts(ids: np.ndarray) -> np.ndarray:
         one, two = np.zeros_like(some), np.zeros_like(some)
         one[:, 1:], two[:, 2:] = some[:, :-1], some[:, :-2]
         for k, context in enumerate(places(one, two)):
-            order = np.argsort(context, axis=1, kind="stable")
-            context, value = np.take_along_axis(context, order, axis=1), np.take_along_axis(some, order, axis=1)
+            order = sorting(context)
+            context, value = context.take(order), some.take(order)
             same = np.zeros(some.shape, bool)
             same[:, 1:] = context[:, 1:] == context[:, :-1]
             hit = same.copy()
@@ -160,7 +167,7 @@ def forecasts(ids: np.ndarray) -> np.ndarray:
             mark = hit * np.uint8(RUNS)
             mark[:, 1:] += same[:, 1:] * run[:, :-1]
             back = np.empty_like(mark)
-            np.put_along_axis(back, order, mark, axis=1)
+            back.ravel()[order] = mark
             out[:, k, i : i + SORTED] = back.T
     return out
 
@@ -224,12 +231,12 @@ def ranks(ids: np.ndarray) -> tuple[np.ndarray, int]:
     out = np.empty((length, blocks), np.uint16)
     for i in range(0, blocks, SORTED):
         some = ids[i : i + SORTED]
-        order = np.argsort(some, axis=1, kind="stable")
-        ordered = np.take_along_axis(some, order, axis=1)
+        order = sorting(some)
+        ordered = some.take(order)
         rank = np.zeros(some.shape, np.uint16)
         np.cumsum(ordered[:, 1:] != ordered[:, :-1], axis=1, out=rank[:, 1:])
         back = np.empty_like(rank)
-        np.put_along_axis(back, order, rank, axis=1)
+        back.ravel()[order] = rank
         out[:, i : i + SORTED] = back.T
     return out, int(out.max(initial=0)) + 1
 
