@@ -8,8 +8,9 @@ import pytest
 from brute import alnum, hits, two_letter_words, words
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
-from crmweave.llm import coder, repeats, text
+from crmweave.llm import coder, queries, repeats, text, tokens
 from crmweave.llm.automaton import SuffixAutomaton
 from crmweave.llm.decontaminate import Items, packed, word_hashes_of
 from crmweave.llm.mixing import cheapest_flow, targets
@@ -158,3 +159,41 @@ def test_hashes_of_spans_follow_their_bytes():
     for i in (0, 1, 77, 70_000):
         up = int(low[i]) + (int(high[i]) << 32)
         assert up == pow(text.BASE, i, text.PRIME) and up * int(down[i]) % text.PRIME == 1
+
+
+def test_pieces_in_a_row_have_the_ids_of_whole_texts():
+    draw = random.Random(3)
+    parts = [" ", "  ", "\n", "\n\n", "\t", "　", " ", "\x1c", "a", "the", "don't", "é", "日本", "한", "12,3", "!?", "🙂", "<|endoftext|>", "-"]
+    texts = ["".join(draw.choices(parts, k=draw.randint(0, 40))) for _ in range(1000)]
+    model, went = tokens.Encoder(queries.vocabulary()), {"joined": 0, "apart": 0}
+
+    def counted(name):
+        made = getattr(tokens.Encoder, name)
+
+        def call(data, start, end):
+            went[name] += len(start)
+            return made(model, data, start, end)
+
+        return call
+
+    model.joined, model.apart = counted("joined"), counted("apart")
+    found = []
+    for piece in text.pieces(pa.array(texts)):
+        ids, counts = model.encode(piece)
+        found += [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+    whole = Tokenizer.from_file(queries.vocabulary()).encode_batch(texts, add_special_tokens=False)
+    assert found == [[*e.ids, tokens.END] for e in whole]
+    assert min(went.values()) > 100
+    model.width[:] = 2  # as if ids did not stand for bytes: all go by themselves
+    model.clear()
+    ids, _ = model.encode(next(text.pieces(pa.array(texts))))
+    assert ids.tolist() == [x for e in found for x in e]
+
+
+@pytest.mark.parametrize("sizes", [[], [3], [5, 5], [1, 1, 1, 9, 4], [20]])
+def test_rebatched(sizes):
+    rows = iter(range(sum(sizes)))
+    batches = [pa.record_batch({"x": [next(rows) for _ in range(n)]}) for n in sizes]
+    out = [b.column(0).to_pylist() for b in tokens.rebatched(iter(batches), 4)]
+    assert sum(out, []) == list(range(sum(sizes)))
+    assert all(len(b) == 4 for b in out[:-1]) and all(out)
