@@ -3,8 +3,9 @@
 Links are inclusions: the values of one column occur among those of a column without repetitions. One pass over each
 table makes a theta sketch (the smallest hashes) of every column. Pairs of sketches rule out most pairs of columns; only
 what survives is counted, on distinct values. Keys are column sets without repetitions, searched by size: a set that
-holds a key is no longer minimal, one whose columns have too few values together cannot be one, and distinct counts by
-sketches rule out most of the rest before any set is counted.
+holds a key is no longer minimal, one whose columns have too few values together cannot be one. Most of the rest are
+ruled out by a repetition found among a part of their values, taken by hash and so with all the rows of each value, for
+many sets in one pass; what has none there is counted whole.
 
 What sketches decide has a margin of several standard errors; what they let pass is exact.
 """
@@ -15,6 +16,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import combinations
 from math import prod
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +34,7 @@ SKETCH = 12  # 2**12 hashes a column
 MARGIN = 3  # standard errors
 DISTINCT_ERROR = 0.02  # of a count by sketch
 SETS_A_PASS = 150
+PARTS = (256, 16)  # one in so many values of a set is looked at before it is counted whole
 
 
 def quoted(name: str) -> Column:
@@ -147,21 +150,36 @@ def discover_keys(df: DataFrame, table: str, most: int = 3, columns: Sequence[st
     for size in range(1, most + 1) if rows else ():
         sets = [s for s in combinations(distinct, size) if not any(set(k) <= set(s) for k in keys)]
         sets = [s for s in sets if prod(distinct[c] * (1 + 5 * DISTINCT_ERROR) for c in s) >= rows]
-        if size > 1:
-            sets = _likely_keys(df, sets, enough)
+        if size == 1:
+            sets = [s for s in sets if distinct[s[0]] >= enough]
+        for parts in PARTS:
+            sets = _unrepeated(df, sets, parts)
         keys += [s for s in sets if _is_key(df, s)]
     schema = StructType([StructField("table_name", StringType()), StructField("key_columns", StringType()), StructField("rows", LongType())])
     return df.sparkSession.createDataFrame([(table, ",".join(k), rows) for k in keys], schema)
 
 
-def _likely_keys(df: DataFrame, sets: list[tuple[str, ...]], enough: float) -> list[tuple[str, ...]]:
-    """Sets whose number of distinct values, by a sketch of each in one pass, is near enough to the rows."""
-    found = []
+def _unrepeated(df: DataFrame, sets: list[tuple[str, ...]], parts: int) -> list[tuple[str, ...]]:
+    """Sets of which no value repeats among one in ``parts`` of their values, all in one pass; columns without NULLs.
+
+    The values are chosen by hash, so a chosen value comes with all its rows, and they are compared themselves: a set
+    left out here is certainly no key.
+    """
+    kept = []
     for at in range(0, len(sets), SETS_A_PASS):
         some = sets[at : at + SETS_A_PASS]
-        row = df.agg(*(_distinct(s).alias(f"d{i}") for i, s in enumerate(some))).first()
-        found += [s for s, n in zip(some, row, strict=True) if n >= enough]
-    return found
+        used = list(dict.fromkeys(c for s in some for c in s))
+        chosen = [F.pmod(F.xxhash64(*(quoted(c) for c in s)), F.lit(parts)) == 0 for s in some]
+        rows = df.where(reduce(or_, chosen)).select(
+            F.explode(F.array(*(F.when(x, F.lit(i)) for i, x in enumerate(chosen)))).alias("__set"), *(quoted(c) for c in used)
+        ).where("__set is not null")
+        values = [
+            F.when(F.col("__set").isin([i for i, s in enumerate(some) if c in s]), quoted(c)).alias(f"__v{j}") for j, c in enumerate(used)
+        ]
+        repeated = rows.groupBy("__set", *values).agg(F.count("*").alias("__n")).where("__n > 1").select("__set").distinct()
+        bad = {r[0] for r in repeated.collect()}
+        kept += [s for i, s in enumerate(some) if i not in bad]
+    return kept
 
 
 def _distinct(names: Sequence[str]) -> Column:

@@ -2,6 +2,7 @@
 
 import pytest
 
+from crmweave.operators import discovery
 from crmweave.operators.discovery import discover_keys, discover_links
 from crmweave.specs import Relationship
 
@@ -39,3 +40,15 @@ def test_minimal_keys(spark):
     assert discover_keys(df.drop("id"), "t", most=1).collect() == []
     assert {r["key_columns"] for r in discover_keys(df.select("a", "b"), "t").collect()} == {"a,b"}
     assert discover_keys(df.limit(0), "t").collect() == [] and discover_keys(df.unionByName(df), "t").collect() == []
+
+
+def test_repetitions_in_a_part_rule_sets_out_before_they_are_counted(spark, monkeypatch):
+    """Nearly unique sets pass any sketch; only what no part refutes is counted whole."""
+    counted = []
+    whole = discovery._is_key
+    monkeypatch.setattr(discovery, "_is_key", lambda df, names: counted.append(names) or whole(df, names))
+    df = spark.range(40_000).selectExpr("id", "id div 2 as half", "pmod(xxhash64(id), 50) as any")
+    assert {r["key_columns"] for r in discover_keys(df, "t", most=2).collect()} == {"id"}
+    assert counted == [("id",)]
+    twice = spark.createDataFrame([(i if i else 1, i // 4, "x") for i in range(300)], "a long, b long, c string")
+    assert discover_keys(twice, "t").collect() == []  # the one repetition, of (1, 0, x), is in no part looked at first
