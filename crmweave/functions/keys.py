@@ -14,7 +14,9 @@ def canonical_key(value: Column | str) -> Column:
     A floating number is written out in full: as text it would be in powers of ten from ten millions on.
     """
     value = as_column(value)
+    kind = F.typeof(value)
     plain = F.regexp_replace(value.try_cast("decimal(38,6)").cast("string"), r"\.?0+$", "")
     # The type is known when the query is planned, so only one branch is left in it.
-    text = F.when(F.typeof(value).isin("double", "float"), F.coalesce(plain, value.cast("string"))).otherwise(value.cast("string"))
-    return F.nullif(F.regexp_replace(F.trim(text), r"\.0$", ""), F.lit(""))
+    text = F.when(kind.isin("double", "float"), F.coalesce(plain, value.cast("string"))).otherwise(value.cast("string"))
+    key = F.nullif(F.regexp_replace(F.trim(text), r"\.0$", ""), F.lit(""))
+    return F.when(kind.isin("tinyint", "smallint", "int", "bigint"), value.cast("string")).otherwise(key)

@@ -26,6 +26,8 @@ from pyspark.sql.types import (
 )
 
 from crmweave.functions.keys import canonical_key
+from crmweave.llm.frames import stored
+from crmweave.session import checkpoint
 from crmweave.specs import Relationship
 
 ID_TYPES = (ByteType, ShortType, IntegerType, LongType, StringType)
@@ -94,7 +96,7 @@ def discover_links(
     A parent key is a column whose values do not repeat. Per link: filled child rows, those among them that point at
     nothing (orphans), the share of the parent's values that are pointed at (coverage), and whether it is ``declared``.
     """
-    sketches = column_sketches(tables)
+    sketches = checkpoint(column_sketches(tables))  # a row per column
     named = [(r["id"], r["table_name"], r["column_name"]) for r in sketches.select("id", "table_name", "column_name").collect()]
     pairs = [(r["child"], r["parent"]) for r in likely_links(sketches, containment, least_distinct).collect()]
     used = {i for pair in pairs for i in pair}
@@ -114,17 +116,25 @@ def discover_links(
     if not parts:
         counted = spark.createDataFrame([], "id int, key string, n long")
     else:
-        counted = reduce(DataFrame.unionByName, parts).where("key is not null").groupBy("id", "key").agg(F.count("*").alias("n"))
-    sizes = counted.groupBy("id").agg(F.count("*").alias("values"), F.max("n").alias("most"))
+        # Read in three ways below; the tables are read for it once.
+        counted = stored(
+            reduce(DataFrame.unionByName, parts).where("key is not null").groupBy("id", "key").agg(F.count("*").alias("n")), "link-values"
+        )
+    sizes = counted.groupBy("id").agg(F.count("*").alias("values"), F.max("n").alias("most"), F.sum("n").alias("filled"))
     unique = sizes.where("most = 1").select(F.col("id").alias("parent_id"), F.col("values").alias("parent_values"))
-    open_ = links.join(unique, "parent_id")
-    children = counted.select(F.col("id").alias("child_id"), "key", "n").join(open_.select("child_id", "parent_id"), "child_id")
-    parents = counted.select(F.col("id").alias("parent_id"), "key", F.lit(1).alias("known"))
-    found = children.join(parents, ["parent_id", "key"], "left").groupBy("child_id", "parent_id").agg(
-        F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("n"))), F.lit(0)).alias("orphans"),
-        F.count("*").alias("child_values"), F.count("known").alias("shared"),
+    filled = sizes.select(F.col("id").alias("child_id"), F.col("values").alias("child_values"), F.col("filled").alias("rows"))
+    open_ = links.join(unique, "parent_id").join(filled, "child_id")
+    # Values meet by the key alone, so that they move once and not once for every parent that a child may have.
+    children = counted.where(F.col("id").isin(sorted({c for c, _ in pairs}))).select("key", F.col("id").alias("child_id"), "n")
+    parents = counted.where(F.col("id").isin(sorted({p for _, p in pairs}))).select("key", F.col("id").alias("parent_id"))
+    likely = F.broadcast(links.select("child_id", "parent_id"))
+    met = children.join(parents, "key").join(likely, ["child_id", "parent_id"]).groupBy("child_id", "parent_id").agg(
+        F.sum("n").alias("hit"), F.count("*").alias("shared")
     )
-    return open_.join(found, ["child_id", "parent_id"]).where(
+    found = open_.join(met, ["child_id", "parent_id"], "left").withColumns(
+        {"shared": F.coalesce("shared", F.lit(0)), "orphans": F.col("rows") - F.coalesce("hit", F.lit(0))}
+    )
+    return found.where(
         (F.col("shared") >= containment * F.col("child_values")) & (F.col("child_values") >= least_distinct)
     ).select(
         "child", "child_column", "parent", "parent_key", "rows", "orphans",

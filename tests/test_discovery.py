@@ -52,3 +52,13 @@ def test_repetitions_in_a_part_rule_sets_out_before_they_are_counted(spark, monk
     assert counted == [("id",)]
     twice = spark.createDataFrame([(i if i else 1, i // 4, "x") for i in range(300)], "a long, b long, c string")
     assert discover_keys(twice, "t").collect() == []  # the one repetition, of (1, 0, x), is in no part looked at first
+
+
+def test_links_read_the_tables_once_for_their_values(spark):
+    """Values are stored with their counts; what meets whom is worked out from them."""
+    parents = {f"p{k}": spark.range(k, 300 + k).withColumnRenamed("id", "key") for k in range(3)}
+    found = discover_links({**parents, "c": spark.range(900).selectExpr("5 + id % 290 as ref", "cast(5 + id % 290 as string) || '.0' as text")})
+    assert "Range" not in found._jdf.queryExecution().executedPlan().toString()
+    got = {tuple(r)[:4]: tuple(r)[4:6] for r in found.collect()}
+    assert all(got["c", column, p, "key"] == (900, 0) for column in ("ref", "text") for p in parents)
+    assert got["p0", "key", "p2", "key"] == (300, 2) and got["p2", "key", "p0", "key"] == (300, 2)
