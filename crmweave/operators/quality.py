@@ -17,6 +17,8 @@ from crmweave.specs import ObjectMap, Relationship
 
 # Fixed value: column names that suggest contact data.
 CONTACT_NAMES = "Phone|Email|Fax|Mobile"
+# Tasks at most that the rows of one value go to when values are counted.
+SPREAD = 32
 # Types a text column may turn out to hold, most specific first, each with the shape
 # a value must have: a plain number would otherwise pass for a year or be truncated.
 CANDIDATE_TYPES = {
@@ -65,19 +67,20 @@ def id_profile(df: DataFrame, key: str, approximate: bool = False) -> DataFrame:
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Exact number of distinct values of each column.
 
-    Values are brought into one narrow (column, value) form and reduced in the map
-    tasks.  Several distinct aggregates at once would shuffle rows as wide as the
-    table, once per column.
+    Values are brought into one narrow (column, value) form. Several distinct aggregates at once would shuffle rows as
+    wide as the table, once per column. Values move before they are reduced: a task that reads a large part of the table
+    would hold all values of all its columns. A value that very many rows have is spread by a hash of its row.
     """
-    values = F.array(
-        *(
-            F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value"))
-            for c in columns
-        )
-    )
+    texts = [F.col(f"`{c}`").cast("string") for c in columns]
+    values = F.array(*(F.struct(F.lit(c).alias("column_name"), text.alias("value")) for c, text in zip(columns, texts, strict=True)))
+    spread = F.pmod(F.xxhash64(*texts), F.lit(SPREAD)).cast("int").alias("spread")
     return (
-        df.select(F.inline(values))
+        df.select(spread, F.inline(values))
         .where(F.col("value").isNotNull())
+        .repartition("column_name", "value", "spread")
+        .distinct()
+        .select("column_name", "value")
+        .repartition("column_name", "value")
         .distinct()
         .groupBy("column_name")
         .agg(F.count("*").alias("distinct_count"))

@@ -492,3 +492,13 @@ def test_one_incoming_row_of_a_key_is_stored_whole(spark, rows):
     current = spark.createDataFrame([], "id long, a string, b string")
     incoming = spark.createDataFrame([(2, "x", "1"), (2, "y", "2"), (2, "x", "1")], current.schema)
     assert rows(keyed.upsert(current, incoming, ["id"], ["b"])) in ([(2, "x", "1")], [(2, "y", "2")])
+
+
+def test_distinct_values_move_before_they_are_reduced(spark):
+    """No reading task holds the values of all columns; a frequent value, NULLs and equal rows count once."""
+    df = spark.range(2000).selectExpr("id % 500 as a", "'x' as b", "cast(null as string) as c", "map('k', id % 3) as m")
+    counted = quality.distinct_counts(df, df.columns)
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("Exchange") > plan.rindex("HashAggregate")
+    assert {tuple(r) for r in counted.collect()} == {("a", 500), ("b", 1), ("m", 3)}
+    assert quality.distinct_counts(df.limit(0), df.columns).collect() == []
