@@ -502,3 +502,15 @@ def test_distinct_values_move_before_they_are_reduced(spark):
     assert plan.rindex("Exchange") > plan.rindex("HashAggregate")
     assert {tuple(r) for r in counted.collect()} == {("a", 500), ("b", 1), ("m", 3)}
     assert quality.distinct_counts(df.limit(0), df.columns).collect() == []
+
+
+def test_one_row_of_a_key_moves_without_a_second_copy(spark):
+    """The row with the least content hash stays, whatever the order; rows are not carried twice to find it."""
+    df = spark.range(600).selectExpr("id % 7 as k", "id % 50 as v", "if(id % 5 = 0, null, map('p', string(id % 40))) as m")
+    kept = keyed.one_of_each(df, ["k"])
+    assert "SortAggregate" not in kept._jdf.queryExecution().executedPlan().toString() and kept.columns == df.columns
+    least = {}
+    for r in df.selectExpr("*", "xxhash64(k, v, to_json(m)) as h").collect():
+        least[r["k"]] = min(least.get(r["k"], (float("inf"),)), (r["h"], r["v"], r["m"]), key=lambda x: x[0])
+    assert {r["k"]: (r["v"], r["m"]) for r in keyed.one_of_each(df.orderBy(F.desc("v")), ["k"]).collect()} == {k: x[1:] for k, x in least.items()}
+    assert {r["k"]: (r["v"], r["m"]) for r in kept.collect()} == {k: x[1:] for k, x in least.items()}
