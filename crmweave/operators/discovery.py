@@ -12,6 +12,7 @@ What sketches decide has a margin of several standard errors; what they let pass
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import combinations
@@ -26,8 +27,7 @@ from pyspark.sql.types import (
 )
 
 from crmweave.functions.keys import canonical_key
-from crmweave.llm.frames import stored
-from crmweave.session import checkpoint
+from crmweave.session import checkpoint, shared_folder
 from crmweave.specs import Relationship
 
 ID_TYPES = (ByteType, ShortType, IntegerType, LongType, StringType)
@@ -117,9 +117,10 @@ def discover_links(
         counted = spark.createDataFrame([], "id int, key string, n long")
     else:
         # Read in three ways below; the tables are read for it once.
-        counted = stored(
-            reduce(DataFrame.unionByName, parts).where("key is not null").groupBy("id", "key").agg(F.count("*").alias("n")), "link-values"
-        )
+        path = f"{shared_folder(spark)}/link-values-{uuid.uuid4().hex}"
+        values = reduce(DataFrame.unionByName, parts).where("key is not null").groupBy("id", "key").agg(F.count("*").alias("n"))
+        values.write.parquet(path)
+        counted = spark.read.schema(values.schema).parquet(path)
     sizes = counted.groupBy("id").agg(F.count("*").alias("values"), F.max("n").alias("most"), F.sum("n").alias("filled"))
     unique = sizes.where("most = 1").select(F.col("id").alias("parent_id"), F.col("values").alias("parent_values"))
     filled = sizes.select(F.col("id").alias("child_id"), F.col("values").alias("child_values"), F.col("filled").alias("rows"))
