@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +45,18 @@ def legacy_value(
     return value
 
 
+def map_of(entries: Sequence[tuple[str, Column]], keep: Callable[[Column], Column]) -> Column:
+    """map<string,string> of the named text values that ``keep`` holds for.
+
+    Entries are chosen before they enter the map, by plain conditions: a filter over a finished map would run a function
+    on each entry of each row, outside of generated code.
+    """
+    if len({name for name, _ in entries}) < len(entries):
+        raise ValueError("a map cannot have two entries of one name")
+    none = F.create_map().cast("map<string,string>")
+    return F.map_concat(none, *(F.when(keep(v), F.create_map(F.lit(name), v)).otherwise(none) for name, v in entries))
+
+
 def update_map(
     schema: StructType,
     mapping: ObjectMap,
@@ -63,17 +75,18 @@ def update_map(
             value = legacy_value(field, schema, transforms, prefix)
         if value is not None:
             entries.append((field.target, value.cast("string")))
-    if not entries:
-        return F.create_map().cast("map<string,string>")
-    return F.map_filter(
-        F.map_from_arrays(
-            F.array(*(F.lit(name) for name, _ in entries)), F.array(*(v for _, v in entries))
-        ),
-        lambda _, value: is_filled(value),
-    )
+    return map_of(entries, is_filled)
 
 
 def payload_rows(df: DataFrame, key: str, payload: str) -> DataFrame:
     """One row per (key, property, value) of a JSON payload column."""
     parsed = F.from_json(F.col(payload), "map<string,string>")
     return df.select(F.col(key), F.explode(parsed).alias("property", "value"))
+
+
+def map_rows(df: DataFrame, column: str, *more: Column | str) -> DataFrame:
+    """``more`` and (property, value) of each entry of a map column.
+
+    For a plain ``explode`` of a column Spark infers that the map is not empty and makes it a second time to check that.
+    """
+    return df.select(*more, F.explode_outer(column).alias("property", "value")).where(F.col("property").isNotNull())

@@ -16,7 +16,7 @@ from pyspark.sql.types import (
 from crmweave.crm.staging import head_columns, staging_schema
 from crmweave.functions.dates import literal_time
 from crmweave.functions.keys import canonical_key
-from crmweave.functions.payload import TRANSFORMS, Transform, legacy_column, update_map
+from crmweave.functions.payload import TRANSFORMS, Transform, legacy_column, map_of, update_map
 from crmweave.operators.contact import pick_primary
 from crmweave.operators.crosswalk import LINK, link_names, translate_links
 from crmweave.operators.lookup import lookup_join
@@ -179,15 +179,7 @@ def conflicts(reconciled: DataFrame) -> DataFrame:
 
 def _legacy_properties(schema: StructType) -> Column:
     names = [c for c in schema.names if c.startswith("leg_")]
-    if not names:
-        return F.create_map().cast("map<string,string>")
-    return F.map_filter(
-        F.map_from_arrays(
-            F.array(*(F.lit(c.removeprefix("leg_")) for c in names)),
-            F.array(*(F.col(c).cast("string") for c in names)),
-        ),
-        lambda _, value: value.isNotNull(),
-    )
+    return map_of([(c.removeprefix("leg_"), F.col(c).cast("string")) for c in names], Column.isNotNull)
 
 
 def to_staging(

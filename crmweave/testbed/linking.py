@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crmweave.crm.target import object_map
+from crmweave.functions.payload import map_rows
 from crmweave.operators import reconcile
 from crmweave.operators.crosswalk import crosswalk_of, link_report
 from crmweave.plans.reconciliation import reconcile_all, staging_path
@@ -176,10 +177,7 @@ def _(spark, d):
         staged = reconcile.to_staging(linked(spark, d, kind), kind, AS_OF)
         for name in ("legacy_properties", "properties_to_update"):
             parts.append(
-                staged.select(
-                    F.lit(kind).alias("object_type"), F.col(staged.columns[0]).alias("legacy_id"), F.lit(name).alias("map"),
-                    F.explode(name).alias("property", "value"),
-                )
+                map_rows(staged, name, F.lit(kind).alias("object_type"), F.col(staged.columns[0]).alias("legacy_id"), F.lit(name).alias("map"))
             )
     return reduce(DataFrame.unionByName, parts)
 

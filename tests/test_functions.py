@@ -3,6 +3,7 @@
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -14,7 +15,7 @@ from crmweave.functions.money import (
     net_after_discount, net_amount, weighted_forecast, with_deal_amounts,
 )
 from crmweave.functions.names import conform, resolve_column, snake_name, with_snake_names
-from crmweave.functions.payload import payload_rows, update_map
+from crmweave.functions.payload import map_of, map_rows, payload_rows, update_map
 from crmweave.functions.stages import entity_kind, entity_name, final_stage, priority_score, stage_number
 from crmweave.functions.text import contains_ci, email_valid, joined, sanitize
 
@@ -177,3 +178,22 @@ def test_payload_skips_null_blank_and_nan(spark, rows):
         (1, "name", "Acme"), (2, "annualrevenue", "5.0"), (2, "domain", "acme.com"), (2, "name", "NaN"),
         (2, "website", "acme.com"),
     ]
+
+
+def test_maps_are_made_once_and_unfolded_whole(spark, rows):
+    df = spark.range(1, 4).selectExpr("id", "CASE id WHEN 1 THEN 'x' END AS a", "CASE id WHEN 1 THEN '' WHEN 2 THEN 'y' END AS b")
+    entries = [("a", F.col("a")), ("b", F.col("b"))]
+    made = df.select("id", map_of(entries, Column.isNotNull).alias("m"), map_of(entries, lambda v: v != "").alias("filled"))
+    assert rows(map_rows(made, "m", "id")) == [(1, "a", "x"), (1, "b", ""), (2, "b", "y")]
+    assert rows(map_rows(made, "filled", "id")) == [(1, "a", "x"), (2, "b", "y")]
+    assert [len(r.m) for r in made.orderBy("id").collect()] == [2, 1, 0]
+    plan = map_rows(made, "m", "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("map_concat(") == 1 and "size(" not in plan
+    with pytest.raises(ValueError, match="two entries"):
+        map_of([*entries, ("a", F.col("b"))], Column.isNotNull)
+
+
+def test_updates_are_mapped_without_a_function_per_entry(spark):
+    legacy = spark.sql("SELECT 123 AS Comp_CompanyId, 'ACME Corp' AS Comp_Name, '' AS Comp_WebSite")
+    plan = legacy.select(update_map(legacy.schema, object_map("companies")).alias("m"))._jdf.queryExecution().analyzed().toString()
+    assert "lambda" not in plan
