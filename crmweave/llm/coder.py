@@ -49,22 +49,21 @@ class Coder:
         self.begin = np.arange(blocks) * room
         self.at = self.begin.copy()
 
-    def step(self, low: np.ndarray, width: np.ndarray) -> None:
-        """Narrow every block's interval to (low, width) of 2**16."""
-        unit = self.range >> SIXTEEN
-        self.low += unit * low
-        unit *= width
-        out = unit < SMALL
-        word = self.low >> TOP
+    def step(self, parts: np.ndarray) -> None:
+        """Narrow every block's interval to parts (low, width) of 2**16; they are overwritten."""
+        parts *= self.range >> SIXTEEN
+        low, size = parts
+        low += self.low
+        out = size < SMALL
+        word = low >> TOP
         # A block that puts out none is overwritten by its next word.
         self.words[self.at] = word
         self.at += out
         word *= out
-        self.low -= word << TOP
-        by = out * SIXTEEN
-        self.low <<= by
-        unit <<= by
-        self.range = unit
+        word <<= TOP
+        low -= word
+        parts <<= out * SIXTEEN
+        self.low, self.range = parts
 
     def step_some(self, which: np.ndarray, low: np.ndarray) -> None:
         """Narrow some blocks' intervals to one of 2**16 parts, which always puts out a word."""
@@ -100,36 +99,41 @@ class Reader:
         self.words = np.zeros(blocks * room + 1, np.uint16)
         for i, p in enumerate(payloads):
             self.words[i * room : i * room + len(p) // 2] = np.frombuffer(p, np.uint16)
-        self.range, self.code = np.full(blocks, WHOLE), np.zeros(blocks, np.uint64)
         self.at = np.arange(blocks) * room
+        code = np.zeros(blocks, np.uint64)
         for _ in range(3):
-            self.code = (self.code << SIXTEEN) | self.words.take(self.at)
+            code = (code << SIXTEEN) | self.words.take(self.at)
             self.at += 1
+        self.state = np.stack([code, np.full(blocks, WHOLE)])
 
     def value(self) -> np.ndarray:
         """Where in 2**16 the code stands; ``step`` follows."""
-        self.unit = self.range >> SIXTEEN
+        self.unit = self.state[1] >> SIXTEEN
         # Exact in doubles: 48 bits over at most 32, and a quotient of 16 bits.
-        return np.minimum(self.code.view(np.int64) / self.unit.view(np.int64), IDS - 1).astype(np.int32)
-
-    def step(self, low: np.ndarray, width: np.ndarray) -> None:
-        self.code -= self.unit * low.astype(np.uint64)
-        size = self.unit * width.astype(np.uint64)
+        at = self.state[0].view(np.int64) / self.unit.view(np.int64)
+        return np.minimum(at, IDS - 1, out=at).astype(np.int32)
+
+    def step(self, parts: np.ndarray) -> None:
+        """Narrow every block's interval to parts (low, width) of 2**16."""
+        state = parts.astype(np.uint64)
+        state *= self.unit
+        code, size = state
+        np.subtract(self.state[0], code, out=code)
         out = size < SMALL
-        by = out * SIXTEEN
-        self.code <<= by
-        self.code |= self.words.take(self.at) * out
-        size <<= by
+        state <<= out * SIXTEEN
+        code |= self.words.take(self.at) * out
         self.at += out
-        self.range = size
+        self.state = state
 
     def value_of(self, which: np.ndarray) -> np.ndarray:
         """Read one of 2**16 parts in some blocks."""
-        unit, code, at = self.range[which] >> SIXTEEN, self.code[which], self.at[which]
-        got = np.minimum(code // unit, np.uint64(IDS - 1))
-        self.code[which] = ((code - unit * got) << SIXTEEN) | self.words[at]
-        self.range[which] = unit << SIXTEEN
-        self.at[which] = at + 1
+        code, size = self.state
+        unit, own, at = size.take(which) >> SIXTEEN, code.take(which), self.at.take(which)
+        got = np.minimum(own // unit, np.uint64(IDS - 1))
+        own -= unit * got
+        own <<= SIXTEEN
+        own |= self.words.take(at)
+        code[which], size[which], self.at[which] = own, unit << SIXTEEN, at + 1
         return got.astype(np.int32)
 
 
@@ -193,29 +197,44 @@ class Contexts(Trust):
 
     def __init__(self, blocks: int):
         super().__init__(blocks)
+        self.runs = self.runs.reshape(2, blocks)
         lanes = np.arange(blocks)
-        self.lanes = np.concatenate([lanes << ONE_BITS, (blocks << ONE_BITS) + (lanes << TWO_BITS)])
+        self.lanes = np.stack([lanes << ONE_BITS, (blocks << ONE_BITS) + (lanes << TWO_BITS)])
         # An id and its run of hits in one number: id * RUNS + run.
         self.next = np.full((blocks << ONE_BITS) + (blocks << TWO_BITS), NONE * RUNS, np.int32)
         self.one, self.two = np.zeros(blocks, np.uint16), np.zeros(blocks, np.uint16)
-
-    def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """What orders 2 and 1 expect, and their shares of 2**16."""
-        self.at = self.lanes + np.concatenate(places(self.one, self.two))
+        self.at = np.empty((2, blocks), np.int64)
+        # For a hit of order 1, and of order 2: low end and width in 2**16, and the id.
+        self.cases = np.zeros((2, 3, blocks), np.int32)
+
+    def predict(self) -> np.ndarray:
+        """What orders 1 and 2 expect, with their shares of 2**16."""
+        self.at[0], self.at[1] = places(self.one, self.two)
+        self.at += self.lanes
         self.n = self.next.take(self.at)
-        expected = (self.n >> 2).reshape(2, -1)
         self.run = self.runs + (self.n & 3)
         self.q = self.table.take(self.run)
-        return expected[1], expected[0], *shares_of(self.q)
+        cases = self.cases
+        np.right_shift(self.n, 2, out=cases[:, 2])
+        cases[1, 1], cases[0, 1] = shares_of(self.q.ravel())
+        cases[0, 0] = cases[1, 1]
+        return cases
 
     def learn(self, ids: np.ndarray) -> None:
         fresh = ids << 2
-        fresh = np.concatenate([fresh, fresh])
         gap = self.n - fresh  # 0 to RUNS - 1 where it was right, and then the run
         hit = gap.view(np.uint32) < RUNS
-        self.table[self.run] = self.q + ((hit * GAIN + LOW - self.q) >> RATE)
+        trust = hit * GAIN
+        trust += LOW
+        trust -= self.q
+        trust >>= RATE
+        trust += self.q
+        self.table[self.run] = trust
         gap += 1
-        self.next[self.at] = fresh + np.minimum(gap, RUNS - 1) * hit
+        np.minimum(gap, RUNS - 1, out=gap)
+        gap *= hit
+        gap += fresh
+        self.next[self.at] = gap
         self.two, self.one = self.one, ids.astype(np.uint16)
 
 
@@ -284,12 +303,13 @@ def encode(ids: np.ndarray) -> list[bytes]:
         low, wide = base + start, (((a + n) * rest) >> SLOT_BITS) - start
         hit1, hit2 = hits[:, :blocks], hits[:, blocks:]
         low, wide = np.where(hit1, share2, low), np.where(hit1, share1, wide)
-        low, wide = np.where(hit2, 0, low).astype(np.uint64), np.where(hit2, share2, wide).astype(np.uint64)
+        parts = np.empty((len(mark), 2, blocks), np.uint64)
+        parts[:, 0], parts[:, 1] = np.where(hit2, 0, low), np.where(hit2, share2, wide)
         step, some = np.nonzero(new & ~hit1 & ~hit2)
         cuts = np.searchsorted(step, np.arange(len(mark) + 1)).tolist()
         free = x[step, some].astype(np.uint64)
         for i in range(len(mark)):
-            coder.step(low[i], wide[i])
+            coder.step(parts[i])
             if cuts[i] < cuts[i + 1]:
                 coder.step_some(some[cuts[i] : cuts[i + 1]], free[cuts[i] : cuts[i + 1]])
     return coder.finish()
@@ -304,7 +324,8 @@ def decode(payloads: list[bytes], length: int) -> np.ndarray:
     # Each slot's place in the block's list of entries, the first of them its escape. An entry has an id, first slot, size.
     first_entry, entries = lanes, np.full(blocks, SLOTS << ID_BITS | NONE)
     slot = np.zeros(blocks * SLOTS, np.uint16)
-    lane_slots = lanes.astype(np.int32) * SLOTS
+    lane_slots = lanes * SLOTS
+    own, ends = np.empty((3, blocks), np.int32), np.empty((2, blocks), np.int32)
     for t in range(length):
         if t in RENEW:
             seen = np.sort(out[:t].T.astype(np.uint16), axis=1, kind="stable")
@@ -326,24 +347,35 @@ def decode(payloads: list[bytes], length: int) -> np.ndarray:
             entries[entry] = ((first << SIZE_BITS | got) << ID_BITS) | seen.ravel()[begins]
             size = (entries >> ID_BITS) & SIZE_MASK
             slot = np.repeat((np.arange(len(entries)) - np.repeat(first_entry, distinct + 1)).astype(np.uint16), size)
-        g2, g1, share2, share1 = contexts.predict()
-        base = share2 + share1
+        cases = contexts.predict()
+        share2 = cases[1, 1]
+        base = share2 + cases[0, 1]
         rest = IDS - base
         value = reader.value()
-        inner = np.maximum(value - base, 0)
-        place = (((inner + 1) << SLOT_BITS) - 1) / rest  # in doubles, exact as above
-        row = slot.take(lane_slots + np.minimum(place, SLOTS - 1).astype(np.int32))
+        inner = value - base
+        np.maximum(inner, 0, out=inner)
+        inner <<= SLOT_BITS
+        inner |= SLOTS - 1
+        place = (inner / rest).astype(np.int64)  # in doubles, exact as above, and below SLOTS
+        place += lane_slots
+        row = slot.take(place)
         entry = entries.take(first_entry + row)
+        # Low end and width of the entry's slots, and its id.
+        np.bitwise_and(entry, IDS - 1, out=own[2], casting="same_kind")
         both = (entry >> ID_BITS).astype(np.int32)
-        a, n = both >> SIZE_BITS, both & SIZE_MASK
-        start = (a * rest) >> SLOT_BITS
-        low, wide = base + start, (((a + n) * rest) >> SLOT_BITS) - start
-        x = (entry & (IDS - 1)).astype(np.int32)
-        hit1, hit2 = value < base, value < share2
-        low, wide, x = np.where(hit1, share2, low), np.where(hit1, share1, wide), np.where(hit1, g1, x)
-        low, wide, x = np.where(hit2, 0, low), np.where(hit2, share2, wide), np.where(hit2, g2, x)
-        reader.step(low, wide)
-        free = np.flatnonzero((row == 0) & ~hit1)
+        np.right_shift(both, SIZE_BITS, out=ends[0])
+        np.bitwise_and(both, SIZE_MASK, out=ends[1])
+        ends[1] += ends[0]
+        ends *= rest
+        ends >>= SLOT_BITS
+        np.add(ends[0], base, out=own[0])
+        np.subtract(ends[1], ends[0], out=own[1])
+        hit1 = value < base
+        np.copyto(own, cases[0], where=hit1)
+        np.copyto(own, cases[1], where=value < share2)
+        reader.step(own[:2])
+        x = own[2]
+        free = np.flatnonzero((row == 0) > hit1)
         if len(free):
             x[free] = reader.value_of(free)
         contexts.learn(x)

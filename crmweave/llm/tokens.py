@@ -15,6 +15,7 @@ each row has an entry of its own. Extra columns do not matter. An empty table gi
 
 from __future__ import annotations
 
+import os
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -38,15 +39,30 @@ FILE = (
     "part int, block int, length int, crc32 long, payload binary, "
     "rows array<long>, keys array<long>, counts array<int>, after array<long>"
 )
-SAFE = np.array([0x21 <= b <= 0x7E for b in range(256)])
-TWO_BYTE_LEAD = np.array([0xC3 <= b <= 0xDF for b in range(256)])
 _ENCODERS: dict[str, Encoder] = {}
 
 
+def within(data: np.ndarray, low: int, high: int) -> np.ndarray:
+    """Whether bytes lie from ``low`` to ``high``; smaller ones wrap to larger."""
+    return data - np.uint8(low) <= np.uint8(high - low)
+
+
+def extended(held: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    """``held`` with ``more`` after its first ``used`` entries; it has room to grow, so what it holds is seldom moved."""
+    if used + len(more) > len(held):
+        wider = np.empty(max(2 * len(held), used + len(more)), held.dtype)
+        wider[:used] = held[:used]
+        held = wider
+    held[used : used + len(more)] = more
+    return held
+
+
 class Encoder:
     """Ids of distinct pieces of text, found by hash in a table of fixed size; emptied when it holds CACHE_WORDS."""
 
     def __init__(self, path: str):
+        # A task has one core; the library would start threads on all of them.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -61,8 +77,7 @@ class Encoder:
     def clear(self) -> None:
         self.slot_hash = np.zeros(1 << SLOT_BITS, np.uint64)
         self.slot_entry = np.full(1 << SLOT_BITS, -1, np.int32)
-        self.begin, self.size = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        self.pool: list[np.ndarray] = [np.zeros(0, np.uint16)]
+        self.begin, self.size, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint16)
         self.known, self.held = 0, 0
 
     def found(self, hashes: np.ndarray) -> np.ndarray:
@@ -97,18 +112,17 @@ class Encoder:
     def learn(self, hashes: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
         """Enter new pieces. Those that may stand one after the other as they do in a text are encoded together."""
         last = data[end - 1]
-        fit = ~NOT_SPACE[data[start]] & (SAFE[last] | ((last >= 0x80) & TWO_BYTE_LEAD[data[end - 2]]))
+        fit = ~NOT_SPACE[data[start]] & (within(last, 0x21, 0x7E) | ((last >= 0x80) & within(data[end - 2], 0xC3, 0xDF)))
         begin, size = np.zeros(len(start), np.int64), np.zeros(len(start), np.int64)
         for which, together in ((np.flatnonzero(fit), True), (np.flatnonzero(~fit), False)):
             for i in range(0, len(which), BATCH):
                 some = which[i : i + BATCH]
                 flat, sizes = (self.joined if together else self.apart)(data, start[some], end[some])
                 begin[some], size[some] = self.held + np.cumsum(sizes) - sizes, sizes
-                self.pool.append(flat)
+                self.pool = extended(self.pool, self.held, flat)
                 self.held += len(flat)
         self.store(hashes)
-        self.begin.append(begin)
-        self.size.append(size)
+        self.begin, self.size = extended(self.begin, self.known, begin), extended(self.size, self.known, size)
         self.known += len(start)
 
     def apart(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -141,11 +155,11 @@ class Encoder:
         data = piece.data
         if self.known > CACHE_WORDS:
             self.clear()
-        solid = NOT_SPACE[data]
+        solid = (data != 0x20) & ~within(data, 0x09, 0x0D)
         cut = np.zeros(len(data) + 1, bool)
         if len(data) > 1:
-            safe = SAFE[data[:-1]]
-            safe[1:] |= (data[1:-1] >= 0x80) & TWO_BYTE_LEAD[data[:-2]]
+            safe = within(data[:-1], 0x21, 0x7E)
+            safe[1:] |= (data[1:-1] >= 0x80) & within(data[:-2], 0xC3, 0xDF)
             cut[1:-1] = ~solid[1:] & solid[:-1] & safe
         cut[piece.offsets] = True
         start = np.flatnonzero(cut[:-1])
@@ -158,16 +172,16 @@ class Encoder:
             known, at = self.known, new[first]
             self.learn(distinct, data, start[at], end[at])
             entry[new] = (known + back).astype(np.int32)
-        self.begin, self.size, self.pool = ([np.concatenate(x)] if len(x) > 1 else x for x in (self.begin, self.size, self.pool))
-        size = self.size[0][entry]
+        size = self.size.take(entry)
         of = np.searchsorted(start, piece.offsets)
         total = np.concatenate([[0], np.cumsum(size)])
         counts = np.diff(total[of])
         n = int(total[-1])
-        source = np.repeat(self.begin[0][entry] - total[:-1], size) + np.arange(n)
+        source = np.repeat(self.begin.take(entry) - total[:-1], size) + np.arange(n)
         out = np.full(n + len(counts), END, np.uint16)
-        # A text's ids move on by the end ids before them.
-        out[np.arange(n) + np.repeat(np.arange(len(counts)), counts)] = self.pool[0][source]
+        inside = np.ones(len(out), bool)
+        inside[np.cumsum(counts + 1) - 1] = False
+        out[inside] = self.pool.take(source)
         return out, counts + 1
 
 

@@ -3,11 +3,14 @@
 from collections import defaultdict
 
 import brute
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from crmweave.llm import decontaminate, language, licences, lines, mixing, neardup, queries, repeats, rules, shards, tokens
 from crmweave.llm.components import components
+from crmweave.llm.text import PRIME, pieces as text_pieces, reduced
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -53,6 +56,25 @@ def test_token_file(both):
     assert got == want
 
 
+def test_known_pieces_are_kept_without_being_moved_by_each_new_one():
+    model = tokens.Encoder(queries.vocabulary())
+    first, counts = model.encode(next(text_pieces(pa.array(["one two three " * 50 + "four", "", "five"]))))
+    assert counts.sum() == len(first) and counts[1] == 1 and first[counts[0]] == tokens.END
+    model.begin, model.size, model.pool = (np.resize(x, 1000) for x in (model.begin, model.size, model.pool))
+    held = model.pool
+    again, _ = model.encode(next(text_pieces(pa.array(["six five", None, "one"]))))
+    assert model.pool is held
+    alone = tokens.Encoder(queries.vocabulary()).encode(next(text_pieces(pa.array(["six five", None, "one"]))))[0]
+    assert again.tolist() == alone.tolist()
+
+
+def test_bytes_within_a_range_and_numbers_modulo_the_prime():
+    data = np.arange(256, dtype=np.uint8)
+    assert np.flatnonzero(tokens.within(data, 0xC3, 0xDF)).tolist() == list(range(0xC3, 0xE0))
+    some = [0, 1, PRIME - 1, PRIME, PRIME + 1, 2 * PRIME, (1 << 64) - 1]
+    assert reduced(np.array(some, np.uint64)).tolist() == [x % PRIME for x in some]
+
+
 def test_token_file_of_nothing(none, clashing):
     assert tokens.round_trip(none, queries.vocabulary()).collect() == []
     assert tokens.round_trip(clashing, queries.vocabulary()).count() == clashing.count()
