@@ -8,8 +8,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from crmweave.llm import decontaminate, language, licences, lines, mixing, neardup, queries, repeats, rules, shards, tokens
+from crmweave.llm import components as joining, decontaminate, language, licences, lines, mixing, neardup, queries, repeats, rules, shards, tokens
 from crmweave.llm.components import components
+from crmweave.llm.frames import stored
 from crmweave.llm.text import PRIME, pieces as text_pieces, reduced
 
 SMALL = "/root/testdata/sf0.001"
@@ -475,6 +476,22 @@ def test_components(llm):
     assert components(llm.createDataFrame([], "a long, b long")).collect() == []
 
 
+@pytest.mark.parametrize("links, rounds", [([(0, 1), (1, 0), (0, 2), (0, 1), (50, 70), (5, 5), (None, 3)], 0), ([(0, 1), (1, 2), (50, 70)], 1)])
+def test_links_that_are_stars_take_no_round(llm, monkeypatch, links, rounds):
+    kept = []
+    monkeypatch.setattr(joining, "stored", lambda df, what: kept.append(what) or stored(df, what))
+    found = joining.stars(llm.createDataFrame(links, "a long, b long"))
+    assert sorted(map(tuple, found.collect())) == [(1, 0), (2, 0), (70, 50)]
+    assert len(kept) == max(rounds, 1)
+
+
+def test_further_links_join_components(llm):
+    joined = joining.stars(llm.createDataFrame([(1, 2), (3, 4), (8, 9)], "a long, b long"))
+    more = llm.createDataFrame([(2, 4), (4, 0), (10, 11)], "a long, b long")
+    got = {tuple(r) for r in neardup.extended(joined, more).collect()}
+    assert got == {(1, 0), (2, 0), (3, 0), (4, 0), (9, 8), (11, 10)}
+
+
 # 10 shards
 
 
