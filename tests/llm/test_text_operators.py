@@ -284,6 +284,32 @@ def test_fuzzy_lines_in_large_groups(llm):
     assert by_id(lines.deduplicated(df), "n_lines", "n_removed", "removed_lines") == brute.fuzzy_lines(rows)
 
 
+def test_fuzzy_lines_that_share_a_band_by_chance_are_no_candidates():
+    draw = np.random.default_rng(5)
+
+    def one_group(size, bits):
+        ids, n = np.arange(1, len(size) + 1), len(size)
+        blob = repeats.pack_sorted(np.full(n, 9, np.uint64), ids, size.astype(np.uint8), bits)
+        return lines.grouped(pa.table({"bucket": pa.array([0], pa.int32()), "blob": pa.array([blob], pa.binary())}), 80).to_pydict()
+
+    for n in (30, 300):  # below and above the groups that are paired step by step
+        bits = draw.integers(0, 1 << 63, n, dtype=np.uint64)
+        bits[n - 1] = bits[0] ^ np.uint64(5)
+        found = one_group(np.full(n, 110), bits)
+        # Bits drawn at random agree often enough for about one pair in 3,000.
+        assert (1, n) in zip(found["a"], found["b"], strict=True) and len(found["kind"]) < n / 8 and 1 not in found["kind"]
+        assert one_group(np.arange(n) % 2 * 6 + 110, np.full(n, 7, np.uint64))["kind"].count(0) < n * lines.MOST
+        alike = one_group(np.full(n, 110), np.full(n, 7, np.uint64))
+        assert alike["kind"].count(0) == sum(min(k, lines.MOST) for k in range(n))
+        assert alike["kind"].count(1) == n and set(alike["a"][-n:]) == {9}
+
+
+def test_a_bit_table_has_all_of_its_ids(llm):
+    ids = np.random.default_rng(6).integers(-(1 << 63), 1 << 63, 3000)
+    table = lines.bit_table(llm.createDataFrame([(int(i),) for i in ids[:1000]], "id long"), 1000)
+    assert lines.in_table(table, ids[:1000]).all() and lines.in_table(table, ids[1000:]).mean() < 0.05
+
+
 def test_fuzzy_lines_query_links_lines_that_differ_in_one_character(llm, tmp_path):
     filler = "this page was printed on the evening of day {} by the desk"
     assert 49 <= len(filler.format(1)) < 99
