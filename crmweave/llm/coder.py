@@ -2,7 +2,7 @@
 
 Each block starts from nothing and is coded alone. At every id three models predict, each from what the block has had so
 far: the id that last followed the two ids before (order 2), the one that last followed the id before (order 1), and the
-frequencies of ids in the block (order 0, renewed whenever the block has doubled), with an escape to any id. Their
+frequencies of ids in the block (order 0, renewed whenever the block has doubled up to 512 ids), with an escape to any id. Their
 shares of the probability are mixed by how often the order was right of late at its present run of hits, and the mixture
 drives a range coder with 48-bit state that emits 16-bit words; carries into words put out are settled at the end. Numpy
 works on the same step of all blocks at once; the blocks do not touch each other.
@@ -15,13 +15,13 @@ from __future__ import annotations
 
 import numpy as np
 
-BLOCK = 4096
+BLOCK = 1024
 ID_BITS = 16
 IDS = 1 << ID_BITS  # ids are below
 NONE = IDS - 1  # no id yet; a vocabulary must not have it
 HASH = np.array([40503, 60493], np.uint16)
-ONE_BITS, TWO_BITS = 11, 12
-SLOT_BITS = 12
+ONE_BITS, TWO_BITS = 10, 10
+SLOT_BITS = 11  # more slots than ids that order 0 is renewed from, for each has one
 SLOTS = 1 << SLOT_BITS
 SIZE_BITS = SLOT_BITS + 1
 SIZE_MASK = (1 << SIZE_BITS) - 1
@@ -29,7 +29,7 @@ RUNS = 4  # a run of hits counts up to RUNS - 1; ids are kept times RUNS, so shi
 START, LOW, HIGH, RATE = 4096, 64, 40960, 4
 GAIN = np.int32(HIGH - LOW)
 CHUNK = 64  # steps whose numbers are made at once; divides the steps at which order 0 is renewed
-RENEW = (64, 128, 256, 512, 1024, 2048)
+RENEW = (64, 128, 256, 512)
 SORTED = 32  # blocks sorted at once
 
 WHOLE = np.uint64((1 << 48) - 1)

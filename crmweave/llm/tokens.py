@@ -31,7 +31,7 @@ from crmweave.llm.text import NOT_SPACE, Piece, pieces, span_hashes
 from crmweave.session import shared_folder
 
 END = 0
-LANES = 2048  # full blocks that a task codes in step
+LANES = 4096  # full blocks that a task codes in step
 CACHE_WORDS, SLOT_BITS, TRIES = 1_500_000, 22, 8
 BATCH, JOINED = 20_000, 1_000  # new pieces encoded at once, and in one text
 

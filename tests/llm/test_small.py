@@ -95,6 +95,16 @@ def test_coder_round_trip(blocks, length, kind):
     assert coder.encode(ids[:1])[0] == payloads[0]  # blocks do not depend on each other
 
 
+def test_coder_tables_of_a_block_are_small_and_hold_its_ids():
+    # Decoding reads them at random at every step, for many blocks in turn.
+    assert 4 * (1 << coder.ONE_BITS) + 4 * (1 << coder.TWO_BITS) + 2 * coder.SLOTS <= 1 << 14
+    for seen in coder.RENEW:
+        for distinct in (1, seen // 2, seen):
+            count = np.ones(distinct, np.int32)
+            count[0] += seen - distinct
+            assert coder.slots_of(count, np.full(distinct, distinct, np.int32), seen).sum() < coder.SLOTS
+
+
 def test_crc_of_joined_pieces():
     import zlib
 
