@@ -325,6 +325,41 @@ def test_fuzzy_lines_query_over_the_small_table(llm, documents):
     assert got == brute.fuzzy_lines(texts(documents), width=queries.LINE_SHINGLE)
 
 
+def test_fuzzy_lines_are_compared_as_sets_of_their_code_points():
+    texts = ["short", "caf\u00e9 d\u00e9j\u00e0 vu " * 9, "caf\u00e9 d\u00e9j\u00e0 vu " * 12 + "end", "plain words without any end " * 3, "plain words without an end " * 3, "short"]
+    texts += [t + " more" for t in texts] + ["\U0001f600 smile " * 6, "x" * 40, "x" * 90]
+    sets = [{t[i : i + 5] for i in range(max(1, len(t) - 4))} for t in texts]
+    want = np.array([[len(x & y) > 0 and 100 * len(x & y) >= 80 * len(x | y) for y in sets] for x in sets])
+    hashes, bounds = lines.sets_of(pa.array([t.encode() for t in texts], pa.binary()), 5)
+    a, b = np.indices(want.shape).reshape(2, -1)
+    assert want.any(axis=1).all() and not want.all()
+    assert (lines.common_of(hashes, bounds, a, b, 80).reshape(want.shape) == want).all()
+    assert (lines.crossed(hashes, bounds, 6, 80) == want[:6, 6:]).all()
+    # Bytes that are no UTF-8, beside a line that they do not touch.
+    odd = pa.array([b"\xa9 stray byte in a line", b"left open \xc3", b"\xa9 stray byte in a line", texts[2].encode()], pa.binary())
+    assert lines.common_of(*lines.sets_of(odd, 5), np.array([0, 0, 3]), np.array([2, 1, 3]), 80).tolist() == [True, False, True]
+    wide = lines.sets_of(odd, 5)[0][-len(sets[2]) :]
+    assert set(wide.tolist()) <= set(hashes[bounds[2] : bounds[3]].tolist())
+
+
+def test_lines_that_share_several_groups_are_compared_in_one():
+    kind = pa.struct([("keys", pa.list_(pa.int64()))])
+    x, y = (pa.array([{"keys": k} for k in own], kind) for own in ([[-4, 7], [7], [9]], [[7, -4], [9, 7]]))
+    assert not lines.met_before(x, y, -4).any()
+    assert lines.met_before(x, y, 7).tolist() == [[True, False], [False, False], [False, False]]
+    assert lines.met_before(x, y, 9).tolist() == [[True, True], [True, True], [False, False]]
+
+
+def test_fuzzy_lines_with_null_and_repeated_ids(llm):
+    line = "the same line stands in many of the documents here, now and then"
+    rows = [(None, f"{line}\nown"), (None, line), (3, f"alone\n{line}!"), (3, f"other\n{line}!"), (4, f"{line}\n\n{line}"), (5, None)]
+    df = llm.createDataFrame(rows, "doc_id long, text string")
+    assert by_id(lines.deduplicated(df, width=5), "n_lines", "n_removed", "removed_lines") == brute.fuzzy_lines(rows, width=5)
+    every = lines.occurrences(df, width=5).collect()
+    assert sum(r["removed"] for r in every) == sum(n for _, n, _ in brute.fuzzy_lines(rows, width=5).values())
+    assert sorted(r["line"] for r in every).count(-1) == len(rows)
+
+
 def test_fuzzy_lines_of_nothing(none, clashing):
     assert lines.deduplicated(none).collect() == []
     kept = lines.without_lines(clashing)
